@@ -8,10 +8,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
+# Timestamp text in messages keeps microseconds (Spark's default
+# JSON format stops at milliseconds and would lose precision on a round trip).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def to_json_value(*cols: str | Column) -> Column:
     """One JSON object per row from the given columns (nulls omitted)."""
-    return F.to_json(F.struct(*cols))
+    return F.to_json(F.struct(*cols), JSON_OPTIONS)
 
 
 def parse_json(
@@ -29,7 +36,8 @@ def parse_json(
         *keep,
         raw.alias("_raw"),
         F.from_json(
-            raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+            raw, with_corrupt,
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS},
         ).alias("_msg"),
     )
     bad = F.col("_raw").isNull() | F.col("_msg").isNull() | F.col(f"_msg.{CORRUPT}").isNotNull()

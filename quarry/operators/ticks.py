@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.change import abs_pct_change, pct_change
+from quarry.functions.json import to_json_value
 from quarry.operators.history import with_history
 from quarry.operators.ranks import exact_quantiles
 
@@ -146,7 +147,7 @@ def alert_messages(flagged: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss.SSS
     ticker so a keyed topic keeps one ticker's alerts in order.
     """
     vol = flagged.where(F.col("is_volume_anomaly"))
-    body = F.struct(
+    body = (
         F.col("stock_ticker").cast("string").alias("stock_ticker"),
         F.date_format("timestamp", ts_format).alias("timestamp"),
         F.col("volume"),
@@ -156,5 +157,5 @@ def alert_messages(flagged: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss.SSS
     )
     return vol.select(
         F.col("stock_ticker").cast("string").alias("key"),
-        F.to_json(body).alias("value"),
+        to_json_value(*body).alias("value"),
     )

@@ -15,7 +15,97 @@ FROM (SELECT *, lag(close) OVER (PARTITION BY stock_ticker ORDER BY timestamp, e
 WHERE prev_close IS NOT NULL
 """
 
+_SCD = """
+WITH target AS (
+  SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS city, c_custkey + 1 AS record_id,
+         TIMESTAMP '2020-01-01 00:00:00' AS effective_start_date,
+         TIMESTAMP '9999-12-31 00:00:00' AS effective_end_date
+  FROM customer WHERE c_custkey % 10 <> 0
+  UNION ALL
+  SELECT c_custkey, c_name, c_mktsegment, c_custkey + 1000000,
+         TIMESTAMP '2019-01-01 00:00:00', TIMESTAMP '2020-01-01 00:00:00'
+  FROM customer WHERE c_custkey % 7 = 0),
+source AS (
+  SELECT c_custkey AS customer_id, c_name AS name,
+         CASE WHEN c_custkey % 5 = 2 THEN 'MOVED' ELSE c_mktsegment END AS city
+  FROM customer WHERE c_custkey % 10 <> 1),
+active AS (SELECT * FROM target WHERE effective_end_date = TIMESTAMP '9999-12-31 00:00:00'),
+hist AS (SELECT * FROM target WHERE effective_end_date <> TIMESTAMP '9999-12-31 00:00:00'),
+j AS (
+  SELECT a.*, s.customer_id AS s_id, s.name AS s_name, s.city AS s_city,
+         CASE WHEN a.customer_id IS NULL THEN 'insert'
+              WHEN s.customer_id IS NULL THEN 'delete'
+              WHEN a.name IS NOT DISTINCT FROM s.name AND a.city IS NOT DISTINCT FROM s.city THEN 'keep'
+              ELSE 'change' END AS kind
+  FROM active a FULL OUTER JOIN source s ON a.customer_id = s.customer_id),
+old AS (
+  SELECT customer_id, name, city, record_id, effective_start_date,
+         CASE WHEN kind IN ('change', 'delete') THEN TIMESTAMP '2024-01-01 00:00:00'
+              ELSE effective_end_date END AS effective_end_date
+  FROM j WHERE kind <> 'insert'),
+fresh AS (
+  SELECT s_id AS customer_id, s_name AS name, s_city AS city,
+         (SELECT coalesce(max(record_id), 0) FROM target)
+           + row_number() OVER (ORDER BY CASE WHEN kind = 'change' THEN 0 ELSE 1 END, s_id) AS record_id,
+         TIMESTAMP '2024-01-01 00:00:00' AS effective_start_date,
+         TIMESTAMP '9999-12-31 00:00:00' AS effective_end_date
+  FROM j WHERE kind IN ('change', 'insert')),
+merged AS (SELECT * FROM hist UNION ALL SELECT * FROM old UNION ALL SELECT * FROM fresh)
+SELECT customer_id, name, city, CAST(record_id AS BIGINT) AS record_id,
+       strftime(effective_start_date, '%Y-%m-%d %H:%M:%S') AS effective_start_date,
+       strftime(effective_end_date, '%Y-%m-%d %H:%M:%S') AS effective_end_date
+FROM merged
+"""
+
+_ANOMALY_FLAGS = f"""
+WITH h AS (
+  SELECT *, lag(close) OVER (PARTITION BY stock_ticker ORDER BY timestamp, event_id) AS prev_minute_close,
+         avg(volume) OVER (PARTITION BY stock_ticker ORDER BY timestamp, event_id
+                           ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS avg_10min_volume
+  FROM ({_TICKS}) b),
+m AS (
+  SELECT *,
+    CASE WHEN prev_minute_close IS NULL THEN 0.0
+         WHEN prev_minute_close = 0 THEN NULL
+         ELSE (close - prev_minute_close) / prev_minute_close * 100 END AS price_change_pct,
+    CASE WHEN avg_10min_volume IS NOT NULL AND avg_10min_volume > 0
+         THEN (volume - avg_10min_volume) / avg_10min_volume * 100 ELSE 0.0 END AS volume_change_pct
+  FROM h)
+SELECT *, coalesce(prev_minute_close IS NOT NULL AND abs(price_change_pct) > 0.5, false) AS p,
+          coalesce(avg_10min_volume IS NOT NULL AND volume_change_pct > 2.0, false) AS v
+FROM m
+"""
+
 ORACLE = {
+    "scd2_merge": _SCD,
+    "scd2_merge_sql": _SCD,
+    "scd2_second_run": _SCD,
+    "clean_bars": """
+SELECT CAST(user_id AS VARCHAR) AS stock_ticker, CAST(event_id AS VARCHAR) AS event_id, ts AS timestamp,
+       value AS open, value AS high, value AS low, value AS close,
+       CAST(round(value * 100) AS BIGINT) AS volume
+FROM events WHERE event_type <> 'error'
+""",
+    "clean_bar_rejects": """
+SELECT CAST(user_id AS VARCHAR) AS stock_ticker, CAST(event_id AS VARCHAR) AS event_id, 'n/a' AS close
+FROM events WHERE event_type = 'error'
+""",
+    "parse_messages": """
+SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS stock_ticker, ts AS timestamp,
+       value AS open, value AS high, value AS low, value AS close,
+       CAST(round(value * 100) AS BIGINT) AS volume
+FROM events
+""",
+    "parse_props": """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+""",
+    "alert_messages": f"""
+SELECT CAST(stock_ticker AS VARCHAR) AS key, CAST(stock_ticker AS VARCHAR) AS stock_ticker,
+       strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, volume,
+       avg_10min_volume AS avg_volume, volume_change_pct,
+       'Traded Volume more than 2% of its average' AS warning
+FROM ({_ANOMALY_FLAGS}) f WHERE v
+""",
     "time_bucket_counts": """
 SELECT CASE WHEN h >= 0 AND h < 6 THEN '0-6'
             WHEN h >= 6 AND h < 12 THEN '6-12'

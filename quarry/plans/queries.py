@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import buckets, ranks, ticks
+from quarry.operators import buckets, clean, ranks, scd2, ticks
+from quarry.plans.scd2_sql import scd2_merge_sql
 from quarry.operators.history import with_history
 from quarry.sources import derive
 from quarry.sources.tables import load_table
@@ -62,7 +63,98 @@ def q_key_set_union(spark, sf):
     return c.union(o).distinct()
 
 
+def _scd_inputs(spark, sf):
+    customer = load_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    return derive.scd_target_from_customer(customer), derive.scd_source_from_customer(customer)
+
+
+_SCD_ARGS = dict(keys=["customer_id"], tracked=["name", "city"], id_col="record_id", as_of=derive.SCD_AS_OF)
+
+
+def _scd_view(df: DataFrame) -> DataFrame:
+    # The open-ended sentinel (year 9999) does not fit pandas' nanosecond
+    # timestamps; the registered form renders validity dates as text.
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return df.withColumns({
+        "effective_start_date": F.date_format("effective_start_date", fmt),
+        "effective_end_date": F.date_format("effective_end_date", fmt),
+    })
+
+
+def q_scd2_merge(spark, sf):
+    target, source = _scd_inputs(spark, sf)
+    return _scd_view(scd2.scd2_merge(target, source, **_SCD_ARGS))
+
+
+def q_scd2_merge_sql(spark, sf):
+    target, source = _scd_inputs(spark, sf)
+    return _scd_view(scd2_merge_sql(spark, target, source, **_SCD_ARGS))
+
+
+def q_scd2_second_run(spark, sf):
+    """Merging the same snapshot again changes nothing."""
+    target, source = _scd_inputs(spark, sf)
+    once = scd2.scd2_merge(target, source, **_SCD_ARGS)
+    return _scd_view(scd2.scd2_merge(once, source, **_SCD_ARGS))
+
+
+_BAR_NTZ = dict(clean.BAR_TYPES, timestamp="timestamp_ntz")
+
+
+def q_clean_bars(spark, sf):
+    raw = derive.bar_text_from_events(_events(spark, sf, ["event_id", "ts", "user_id", "event_type", "value"]))
+    good, _ = clean.clean_bars(raw, _BAR_NTZ, carry=["stock_ticker", "event_id"])
+    return good
+
+
+def q_clean_bar_rejects(spark, sf):
+    raw = derive.bar_text_from_events(_events(spark, sf, ["event_id", "ts", "user_id", "event_type", "value"]))
+    _, rejected = clean.clean_bars(raw, _BAR_NTZ, carry=["stock_ticker", "event_id"])
+    return rejected.select("stock_ticker", "event_id", "close")
+
+
+def q_parse_messages(spark, sf):
+    from pyspark.sql.types import TimestampNTZType, StructField, StructType
+
+    msgs = derive.stock_messages_from_events(_events(spark, sf, ["event_id", "ts", "user_id", "value"]))
+    schema = StructType([
+        StructField(f.name, TimestampNTZType() if f.name == "timestamp" else f.dataType, True)
+        for f in clean.STOCK_SCHEMA.fields
+    ])
+    good, _ = clean.parse_messages(msgs, schema)
+    return good
+
+
+def q_parse_props(spark, sf):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    ev = _events(spark, sf, ["event_id", "props"])
+    good, _ = clean.parse_messages(ev, StructType([StructField("k", IntegerType())]), "props", "event_id")
+    return good.withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
+def q_alert_messages(spark, sf):
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+    msgs = ticks.alert_messages(ticks.detect_anomalies(_ticks(spark, sf)))
+    schema = StructType([
+        StructField("stock_ticker", StringType()), StructField("timestamp", StringType()),
+        StructField("volume", LongType()), StructField("avg_volume", DoubleType()),
+        StructField("volume_change_pct", DoubleType()), StructField("warning", StringType()),
+    ])
+    good, _ = clean.parse_messages(msgs, schema)
+    return good
+
+
 QUERIES = {
+    "scd2_merge": q_scd2_merge,
+    "scd2_merge_sql": q_scd2_merge_sql,
+    "scd2_second_run": q_scd2_second_run,
+    "clean_bars": q_clean_bars,
+    "clean_bar_rejects": q_clean_bar_rejects,
+    "parse_messages": q_parse_messages,
+    "parse_props": q_parse_props,
+    "alert_messages": q_alert_messages,
     "time_bucket_counts": q_time_bucket_counts,
     "pct_change": q_pct_change,
     "threshold_summary": q_threshold_summary,

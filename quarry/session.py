@@ -36,6 +36,7 @@ def get_spark(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     }
     if shuffle_partitions:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.json import to_json_value
 from quarry.functions.time import time_string
 
 # Fixed values of the SCD fixture (see FIXTURES.md): validity dates and as-of.
@@ -92,11 +93,9 @@ def scd_source_from_customer(customer: DataFrame) -> DataFrame:
 def stock_messages_from_events(events: DataFrame) -> DataFrame:
     """Topic-shaped rows: key, JSON value (binary), broker timestamp."""
     t = ticks_from_events(events)
-    body = F.to_json(
-        F.struct(
-            F.col("stock_ticker").cast("string").alias("stock_ticker"),
-            "timestamp", "open", "high", "low", "close", "volume",
-        )
+    body = to_json_value(
+        F.col("stock_ticker").cast("string").alias("stock_ticker"),
+        "timestamp", "open", "high", "low", "close", "volume",
     )
     return t.select(
         F.col("stock_ticker").cast("string").cast("binary").alias("key"),
