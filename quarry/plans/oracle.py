@@ -76,7 +76,27 @@ SELECT *, coalesce(prev_minute_close IS NOT NULL AND abs(price_change_pct) > 0.5
 FROM m
 """
 
+_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
+
+
+def _lines(expr: str) -> str:
+    return (
+        f"(len(regexp_extract_all({expr}, '{_BREAK}')) + "
+        f"CASE WHEN length({expr}) > 0 AND NOT regexp_matches({expr}, '({_BREAK})\\z') THEN 1 ELSE 0 END)"
+    )
+
+
 ORACLE = {
+    "line_counts": f"SELECT doc_id, CAST({_lines('text')} AS BIGINT) AS n_lines FROM documents",
+    "line_counts_files": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
+    "line_counts_scan": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
+    "sliding_counts": """
+WITH w AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS b FROM events),
+s AS (SELECT b AS window_start FROM w UNION ALL SELECT b - INTERVAL 5 MINUTE FROM w)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, count(*) AS count
+FROM s GROUP BY window_start
+""",
     "scd2_merge": _SCD,
     "scd2_merge_sql": _SCD,
     "scd2_second_run": _SCD,

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import buckets, clean, ranks, scd2, ticks
+from quarry.operators import buckets, clean, linecount, ranks, scd2, sliding, ticks
+from quarry.session import scratch_path
 from quarry.plans.scd2_sql import scd2_merge_sql
 from quarry.operators.history import with_history
 from quarry.sources import derive
@@ -146,7 +147,45 @@ def q_alert_messages(spark, sf):
     return good
 
 
+def q_line_counts(spark, sf):
+    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    return linecount.with_line_count(docs, "text").select("doc_id", "n_lines")
+
+
+def write_documents_as_files(spark, sf) -> str:
+    """One text file per document (Spark's text writer ends each with a newline)."""
+    out = scratch_path(spark, "documents-files")
+    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    docs.repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").text(out)
+    return out
+
+
+def _doc_id_from_path(col="path"):
+    return F.regexp_extract(F.col(col), r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
+
+
+def q_line_counts_files(spark, sf):
+    root = write_documents_as_files(spark, sf)
+    counts = linecount.line_counts(spark, root, mode="exact", glob="*.txt")
+    return counts.select(_doc_id_from_path(), "n_lines")
+
+
+def q_line_counts_scan(spark, sf):
+    root = write_documents_as_files(spark, sf)
+    counts = linecount.line_counts(spark, root, mode="scan", glob="*.txt")
+    return counts.select(_doc_id_from_path(), "n_lines")
+
+
+def q_sliding_counts(spark, sf):
+    ev = _events(spark, sf, ["ts"])
+    return sliding.sliding_counts(ev, "ts", "10 minutes", "5 minutes")
+
+
 QUERIES = {
+    "line_counts": q_line_counts,
+    "line_counts_files": q_line_counts_files,
+    "line_counts_scan": q_line_counts_scan,
+    "sliding_counts": q_sliding_counts,
     "scd2_merge": q_scd2_merge,
     "scd2_merge_sql": q_scd2_merge_sql,
     "scd2_second_run": q_scd2_second_run,
