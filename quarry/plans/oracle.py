@@ -87,6 +87,8 @@ def _lines(expr: str) -> str:
 
 
 ORACLE = {
+    "sliding_counts_stream": None,
+    "line_counts_stream": None,
     "line_counts": f"SELECT doc_id, CAST({_lines('text')} AS BIGINT) AS n_lines FROM documents",
     "line_counts_files": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
     "line_counts_scan": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
@@ -183,3 +185,6 @@ SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_order
 SELECT c_custkey AS custkey FROM customer UNION SELECT o_custkey FROM orders
 """,
 }
+
+ORACLE["sliding_counts_stream"] = ORACLE["sliding_counts"]
+ORACLE["line_counts_stream"] = ORACLE["line_counts_files"]

@@ -181,7 +181,57 @@ def q_sliding_counts(spark, sf):
     return sliding.sliding_counts(ev, "ts", "10 minutes", "5 minutes")
 
 
+def _events_feed(spark, sf, cols, days_per_file=5):
+    """Events as a file stream: one file per span of days, error events one file late."""
+    from quarry.streaming.feed import write_arrivals
+
+    ev = _events(spark, sf, cols + ["event_type"] if "event_type" not in cols else cols)
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
+    late = F.when(F.col("event_type") == "error", 1).otherwise(0)
+    arrival = (F.floor(day / days_per_file) + late).alias("_arrival")
+    feed_dir = scratch_path(spark, "events-feed")
+    write_arrivals(ev.select(*cols, arrival), "_arrival", feed_dir)
+    return feed_dir
+
+
+def q_sliding_counts_stream(spark, sf):
+    from quarry.sources.tables import to_event_time
+    from quarry.streaming.sliding import read_counts, sliding_counts_stream
+
+    feed = _events_feed(spark, sf, ["event_id", "ts"])
+    schema = to_event_time(_events(spark, sf, ["event_id", "ts"])).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    out = scratch_path(spark, "sliding-out")
+    q = sliding_counts_stream(
+        stream, scratch_path(spark, "sliding-ckpt"), ts="ts", size="10 minutes", slide="5 minutes",
+        watermark="12 days", mode="update", path=out, trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    res = read_counts(spark, out)
+    return res.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "count",
+    )
+
+
+def q_line_counts_stream(spark, sf):
+    from quarry.streaming.linecount import line_counts_stream
+
+    root = write_documents_as_files(spark, sf)
+    out = scratch_path(spark, "linecount-out")
+    q = line_counts_stream(
+        spark, root, scratch_path(spark, "linecount-ckpt"), out, glob="*.txt",
+        max_files_per_trigger=max(1, 1 + spark.read.parquet(f"{sf}/documents.parquet").count() // 4),
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).select(_doc_id_from_path(), "n_lines")
+
+
 QUERIES = {
+    "sliding_counts_stream": q_sliding_counts_stream,
+    "line_counts_stream": q_line_counts_stream,
     "line_counts": q_line_counts,
     "line_counts_files": q_line_counts_files,
     "line_counts_scan": q_line_counts_scan,
