@@ -108,6 +108,11 @@ def detect_anomalies(
         moving_avgs={"avg_10min_volume": "volume"},
         rows=rows, chunk=chunk,
     )
+    return apply_rules(h, price_pct, volume_pct)
+
+
+def apply_rules(h: DataFrame, price_pct: float = PRICE_PCT, volume_pct: float = VOLUME_PCT) -> DataFrame:
+    """Rule columns from ``prev_minute_close`` and ``avg_10min_volume`` (batch or stream)."""
     prev = F.col("prev_minute_close")
     avg = F.col("avg_10min_volume")
     has_avg = avg.isNotNull() & (avg > 0)

@@ -188,3 +188,4 @@ SELECT c_custkey AS custkey FROM customer UNION SELECT o_custkey FROM orders
 
 ORACLE["sliding_counts_stream"] = ORACLE["sliding_counts"]
 ORACLE["line_counts_stream"] = ORACLE["line_counts_files"]
+ORACLE["detect_anomalies_stream"] = ORACLE["detect_anomalies"]

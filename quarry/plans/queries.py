@@ -229,7 +229,46 @@ def q_line_counts_stream(spark, sf):
     return spark.read.parquet(out).select(_doc_id_from_path(), "n_lines")
 
 
+def q_detect_anomalies_stream(spark, sf):
+    """Ticks arrive as files (error bars one file late) plus one far-future
+    bar that moves the watermark past every real bar; that bar itself stays
+    buffered and is never emitted."""
+    from quarry.sources.tables import to_event_time
+    from quarry.streaming.anomalies import detect_anomalies_stream
+    from quarry.streaming.feed import write_arrivals
+    from quarry.streaming.runner import start
+
+    ev = _events(spark, sf, ["event_id", "ts", "user_id", "value", "event_type"])
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
+    late = F.when(F.col("event_type") == "error", 1).otherwise(0)
+    t = derive.ticks_from_events(ev).join(
+        ev.select("event_id", (F.floor(day / 5) + late).alias("_arrival")), "event_id"
+    )
+    last = ev.agg(F.max("ts").alias("ts"), F.max("event_id").alias("event_id"))
+    sentinel = last.select(
+        F.lit(-1).cast("bigint").alias("stock_ticker"),
+        (F.col("ts") + F.expr("INTERVAL 60 DAYS")).alias("timestamp"),
+        *[F.lit(0.0).alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(0).cast("bigint").alias("volume"),
+        (F.col("event_id") + 1).alias("event_id"),
+        F.lit(10_000).cast("bigint").alias("_arrival"),
+    )
+    feed = scratch_path(spark, "ticks-feed")
+    write_arrivals(t.unionByName(sentinel), "_arrival", feed)
+    schema = to_event_time(derive.ticks_from_events(ev)).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    stream = to_event_time(stream, "timestamp")
+    flagged = detect_anomalies_stream(stream, watermark="12 days")
+    out = scratch_path(spark, "anomaly-out")
+    q = start(flagged, scratch_path(spark, "anomaly-ckpt"), sink="parquet", path=out,
+              mode="append", trigger={"availableNow": True})
+    q.awaitTermination()
+    res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return ticks.anomalies(res)
+
+
 QUERIES = {
+    "detect_anomalies_stream": q_detect_anomalies_stream,
     "sliding_counts_stream": q_sliding_counts_stream,
     "line_counts_stream": q_line_counts_stream,
     "line_counts": q_line_counts,
