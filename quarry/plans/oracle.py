@@ -189,3 +189,21 @@ SELECT c_custkey AS custkey FROM customer UNION SELECT o_custkey FROM orders
 ORACLE["sliding_counts_stream"] = ORACLE["sliding_counts"]
 ORACLE["line_counts_stream"] = ORACLE["line_counts_files"]
 ORACLE["detect_anomalies_stream"] = ORACLE["detect_anomalies"]
+
+_NEAREST = """
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label AS cls, i, avg(CAST(x AS DOUBLE)) AS m FROM e GROUP BY label, i),
+d AS (SELECT e.vec_id, c.cls, sum((CAST(e.x AS DOUBLE) - c.m) * (CAST(e.x AS DOUBLE) - c.m)) AS dist
+      FROM e JOIN c ON e.i = c.i GROUP BY e.vec_id, c.cls)
+SELECT d.vec_id, any_value(b.label) AS label, CAST(arg_min(d.cls, d.dist) AS VARCHAR) AS pred_class
+FROM d JOIN embeddings b ON b.vec_id = d.vec_id GROUP BY d.vec_id
+"""
+ORACLE["classify"] = _NEAREST
+ORACLE["weighted_precision"] = f"""
+WITH p AS (SELECT CAST(label AS VARCHAR) AS label, pred_class AS prediction FROM ({_NEAREST}) q),
+a AS (SELECT label AS c, count(*) AS n_actual FROM p GROUP BY 1),
+r AS (SELECT prediction AS c, count(*) AS n_pred, sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS tp
+      FROM p GROUP BY 1)
+SELECT round(sum(coalesce(r.tp / r.n_pred, 0.0) * a.n_actual) / sum(a.n_actual), 9) AS weighted_precision
+FROM a LEFT JOIN r ON a.c = r.c
+"""

@@ -267,7 +267,44 @@ def q_detect_anomalies_stream(spark, sf):
     return ticks.anomalies(res)
 
 
+def _nearest_centroid_predictions(spark, sf):
+    from quarry.operators import inference
+
+    emb = load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    labels, cents = inference.class_centroids(emb, "embedding", "label")
+    return inference.classify(
+        emb, "embedding", inference.nearest_centroid_factory(labels, cents),
+        inference.array_preprocess, inference.top1_decoder(labels),
+    )
+
+
+def q_classify(spark, sf):
+    pred = _nearest_centroid_predictions(spark, sf)
+    return pred.select("vec_id", "label", F.col("prediction.class").alias("pred_class"))
+
+
+def q_weighted_precision(spark, sf):
+    from quarry.operators.tuning import weighted_precision
+
+    pred = _nearest_centroid_predictions(spark, sf).select(
+        F.col("label").cast("string").alias("label"), F.col("prediction.class").alias("prediction")
+    )
+    return weighted_precision(pred).select(F.round("weighted_precision", 9).alias("weighted_precision"))
+
+
+def q_tune_tree_metrics(spark, sf):
+    """Cross-validated grid (a 4-point grid here; the 40-point default is the API's)."""
+    from quarry.operators.tuning import tune_tree
+
+    vecs = derive.vectors_from_embeddings(load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]))
+    _, metrics = tune_tree(vecs, grid={"maxDepth": [2, 4], "maxBins": [8, 32]}, folds=3, seed=7)
+    return metrics
+
+
 QUERIES = {
+    "classify": q_classify,
+    "weighted_precision": q_weighted_precision,
+    "tune_tree_metrics": q_tune_tree_metrics,
     "detect_anomalies_stream": q_detect_anomalies_stream,
     "sliding_counts_stream": q_sliding_counts_stream,
     "line_counts_stream": q_line_counts_stream,
