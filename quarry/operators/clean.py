@@ -55,6 +55,29 @@ def clean_bars(
     return good, rejected
 
 
+def load_bars(
+    spark, path, ticker_from: str | None = "stem", schema=None, types: dict | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Read OHLCV CSV files (header line, one file or folder per ticker).
+
+    The ticker comes from the file: ``stem`` = file name without extension,
+    ``dir`` = the folder holding it (the value after ``=`` for ``k=v`` folders).
+    Returns ``(good, rejected)`` as ``clean_bars``.
+    """
+    from quarry.functions.text import file_stem
+    from quarry.sources.files import BAR_TEXT_SCHEMA, read_csv
+
+    raw = read_csv(spark, path, schema or BAR_TEXT_SCHEMA, header=True)
+    fp = F.col("_metadata.file_path")
+    if ticker_from == "stem":
+        raw = raw.withColumn("stock_ticker", file_stem(fp))
+    elif ticker_from == "dir":
+        raw = raw.withColumn("stock_ticker", F.regexp_extract(fp, r"(?:[^/=]+=)?([^/=]+)/[^/]+$", 1))
+    elif ticker_from is not None:
+        raise ValueError(f"unknown ticker_from {ticker_from!r}")
+    return clean_bars(raw, types)
+
+
 def publish_order(df: DataFrame, key: str, ts: str, num_partitions: int | None = None) -> DataFrame:
     """Group each key's rows in one partition, sorted by time, for a keyed sink.
 

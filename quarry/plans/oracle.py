@@ -207,3 +207,11 @@ r AS (SELECT prediction AS c, count(*) AS n_pred, sum(CASE WHEN label = predicti
 SELECT round(sum(coalesce(r.tp / r.n_pred, 0.0) * a.n_actual) / sum(a.n_actual), 9) AS weighted_precision
 FROM a LEFT JOIN r ON a.c = r.c
 """
+
+ORACLE["load_bars"] = ORACLE["clean_bars"]
+ORACLE["line_counts_from_events"] = ORACLE["line_counts_files"]
+ORACLE["line_count_event_rejects"] = """
+SELECT 'malformed' AS reason, count(DISTINCT lang) AS n FROM documents
+UNION ALL
+SELECT 'missing', count(DISTINCT source) FROM documents
+"""

@@ -301,7 +301,50 @@ def q_tune_tree_metrics(spark, sf):
     return metrics
 
 
+def q_load_bars(spark, sf):
+    """Bars written as CSV, one folder per ticker, read back with the ticker from the folder."""
+    raw = derive.bar_text_from_events(_events(spark, sf, ["event_id", "ts", "user_id", "event_type", "value"]))
+    out = scratch_path(spark, "bars-csv")
+    raw.repartition("stock_ticker").write.mode("overwrite").partitionBy("stock_ticker").option("header", True).csv(out)
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    schema = StructType([StructField(c, StringType()) for c in ["event_id", *_BAR_NTZ]])
+    good, _ = clean.load_bars(spark, out, ticker_from="dir", schema=schema, types=_BAR_NTZ)
+    return good.select("stock_ticker", "event_id", *_BAR_NTZ)
+
+
+def _file_events(spark, sf):
+    """File-arrival messages for the document files, plus broken and dangling ones."""
+    root = write_documents_as_files(spark, sf)
+    files = linecount.read_files(spark, root, glob="*.txt").select(
+        F.regexp_replace("path", "^file:", "").alias("path")
+    )
+    rel = F.expr(f"substring(path, {len(root.replace('file:', '')) + 2})")
+    ok = files.select(F.to_json(F.struct(F.lit(root.replace("file:", "")).alias("bucket"), rel.alias("file"))).alias("value"))
+    docs = load_table(spark, sf, "documents", ["lang", "source"])
+    broken = docs.select("lang").distinct().select(F.concat(F.lit('{"bucket": "x", "file": '), F.col("lang")).alias("value"))
+    dangling = docs.select("source").distinct().select(
+        F.to_json(F.struct(F.lit(root.replace("file:", "")).alias("bucket"), F.concat(F.col("source"), F.lit(".missing")).alias("file"))).alias("value")
+    )
+    return root, ok.unionByName(broken).unionByName(dangling)
+
+
+def q_line_counts_from_events(spark, sf):
+    root, events = _file_events(spark, sf)
+    counts, _ = linecount.line_counts_from_events(events, linecount.read_files(spark, root, glob="*.txt"))
+    return counts.select(_doc_id_from_path(), "n_lines")
+
+
+def q_line_count_event_rejects(spark, sf):
+    root, events = _file_events(spark, sf)
+    _, rejected = linecount.line_counts_from_events(events, linecount.read_files(spark, root, glob="*.txt"))
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
+    "load_bars": q_load_bars,
+    "line_counts_from_events": q_line_counts_from_events,
+    "line_count_event_rejects": q_line_count_event_rejects,
     "classify": q_classify,
     "weighted_precision": q_weighted_precision,
     "tune_tree_metrics": q_tune_tree_metrics,
