@@ -32,14 +32,13 @@ def parse_json(
     keep = list(keep or [])
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
     raw = F.col(value_col).cast("string")
-    parsed = df.select(
-        *keep,
-        raw.alias("_raw"),
-        F.from_json(
-            raw, with_corrupt,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS},
-        ).alias("_msg"),
+    msg = F.from_json(
+        raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS}
     )
+    # Parse once per row. Produced by a generator, `_msg` cannot be substituted
+    # into the reject filter below, which would otherwise evaluate the parse
+    # (and whatever built the text) again for every row.
+    parsed = df.select(*keep, F.inline(F.array(F.struct(raw.alias("_raw"), msg.alias("_msg")))))
     bad = F.col("_raw").isNull() | F.col("_msg").isNull() | F.col(f"_msg.{CORRUPT}").isNotNull()
     good = parsed.filter(~bad).select(*keep, *[F.col(f"_msg.{f.name}").alias(f.name) for f in schema.fields])
     rejected = parsed.filter(bad).select(*keep, F.col("_raw").alias("raw_value"))

@@ -93,7 +93,14 @@ def with_history(
     first_tail = F.col("_rn") == F.greatest(F.col("_cnt") - rows + 1, F.lit(1))
     halo = tails.select(*part, first_tail.alias("_first"), *halo_cols).where("_first").drop("_first")
 
-    out = base.join(halo, part, "left")
+    # Null-safe keys: a null key or chunk is a group like any other, and no
+    # IsNotNull is inferred on one side only, so both branches keep the same
+    # plan below the (key, chunk) exchange and Spark reuses that shuffle.
+    hcols = [c for c in halo.columns if c not in part]
+    on = [F.col(f"_b.{c}").eqNullSafe(F.col(f"_h.{c}")) for c in part]
+    out = base.alias("_b").join(halo.alias("_h"), on, "left").select(
+        "_b.*", *[F.col(f"_h.{c}") for c in hcols]
+    )
     head = F.col("_rn") <= rows
     for name in lags:
         out = out.withColumn(
