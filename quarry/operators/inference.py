@@ -7,15 +7,23 @@ heavy is shipped from the driver), each Arrow batch goes through
 
 from __future__ import annotations
 
+import sys as _sys
+
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import parent_dir
 
+# Workers (including Spark's driver-side Python runner for stateful
+# processors) unpickle this module's classes and functions by value, so they
+# do not need the package installed.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 # Fixed value: the prediction struct of the classifier.
 PREDICTION_SCHEMA = "class string, desc string, score float"
 
@@ -49,6 +57,9 @@ def classify(
 ) -> DataFrame:
     """Add ``prediction`` (struct); optionally ``label`` from the file's folder
     and ``processing_time``."""
+    from quarry.session import ship_package
+
+    ship_package(df.sparkSession)
     out = df.withColumn("prediction", model_udf(model_factory, preprocess, decode, schema)(F.col(input_col)))
     if label_from_path:
         out = out.withColumn("label", parent_dir(F.col(label_from_path)))

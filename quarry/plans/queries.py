@@ -241,9 +241,7 @@ def q_detect_anomalies_stream(spark, sf):
     ev = _events(spark, sf, ["event_id", "ts", "user_id", "value", "event_type"])
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
     late = F.when(F.col("event_type") == "error", 1).otherwise(0)
-    t = derive.ticks_from_events(ev).join(
-        ev.select("event_id", (F.floor(day / 5) + late).alias("_arrival")), "event_id"
-    )
+    t = derive.ticks_from_events(ev.withColumn("_arrival", F.floor(day / 5) + late), keep=["_arrival"])
     last = ev.agg(F.max("ts").alias("ts"), F.max("event_id").alias("event_id"))
     sentinel = last.select(
         F.lit(-1).cast("bigint").alias("stock_ticker"),

@@ -93,3 +93,35 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
         out.count()
         return out
     raise ValueError(f"unknown materialize mode {how!r}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in Python workers (UDFs, stateful processors).
+
+    Zips the package into the shared checkpoint folder and registers it with
+    ``addPyFile`` once per application; a cluster that installs the package on
+    every node does not need it, but it is harmless there.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    local = target.replace("file:", "", 1) if target.startswith("file:") or "://" not in target else None
+    if local is None:
+        local = tempfile.mkdtemp(prefix="quarry-pkg-")  # zipped on the driver, then shipped by Spark
+    archive = os.path.join(local, "quarry.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

@@ -22,10 +22,11 @@ def ntz(text: str):
     return F.to_timestamp_ntz(F.lit(text))
 
 
-def ticks_from_events(events: DataFrame) -> DataFrame:
+def ticks_from_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """OHLCV bars: ticker = user, close = value, volume = value in cents."""
     v = F.col("value")
     return events.select(
+        *(keep or []),
         F.col("user_id").alias("stock_ticker"),
         F.col("ts").alias("timestamp"),
         v.alias("open"),

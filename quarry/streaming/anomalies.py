@@ -9,20 +9,28 @@ the batch job. Needs the RocksDB state store provider.
 
 from __future__ import annotations
 
+import sys as _sys
+
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from quarry.operators.ticks import VOLUME_ROWS, apply_rules
-from quarry.session import ROCKSDB_PROVIDER
+from quarry.session import ROCKSDB_PROVIDER, ship_package
+
+# Workers (including Spark's driver-side Python runner for stateful
+# processors) unpickle this module's classes and functions by value, so they
+# do not need the package installed.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 _BUFFER = "ts_us LONG, tb LONG, close DOUBLE, volume DOUBLE"
 _LAST = "prev_close DOUBLE, vols ARRAY<DOUBLE>"
-_MARK = "wm LONG"
+_TIMER = "at LONG"
 
 
 class TickHistory(StatefulProcessor):
@@ -37,7 +45,15 @@ class TickHistory(StatefulProcessor):
         self.handle = handle
         self.buffer = handle.getListState("buffer", _BUFFER)
         self.last = handle.getValueState("last", _LAST)
-        self.mark = handle.getValueState("mark", _MARK)
+        self.timer = handle.getValueState("timer", _TIMER)
+
+    def _arm(self, ts_us: int) -> None:
+        """Keep one timer per ticker: 1 ms after its earliest buffered bar."""
+        at = ts_us // 1000 + 1
+        cur = self.timer.get()
+        if cur is None or at < cur[0]:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
@@ -49,18 +65,13 @@ class TickHistory(StatefulProcessor):
                     pdf["volume"].astype("float64").tolist(),
                 )
             )
-            self.buffer.appendList(batch)
-            # A timer 1 ms after each bar fires once the watermark is past it.
-            for ms in {t // 1000 + 1 for t, *_ in batch}:
-                self.handle.registerTimer(ms)
+            if batch:
+                self.buffer.appendList(batch)
+                self._arm(min(t for t, *_ in batch))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        seen = self.mark.get()
-        if seen is not None and seen[0] == wm:
-            return iter([])  # this key's bars were already flushed for this watermark
-        self.mark.update((wm,))
         pending = list(self.buffer.get())
         limit = wm * 1000
         ready = sorted((r for r in pending if r[0] < limit), key=lambda r: (r[0], r[1]))
@@ -68,8 +79,10 @@ class TickHistory(StatefulProcessor):
             return iter([])
         rest = [r for r in pending if r[0] >= limit]
         self.buffer.clear()
+        self.timer.clear()
         if rest:
             self.buffer.put(rest)
+            self._arm(min(r[0] for r in rest))
         state = self.last.get()
         prev = state[0] if state else None
         vols = list(state[1]) if state and state[1] is not None else []
@@ -110,6 +123,7 @@ def detect_anomalies_stream(
     delayed by ``watermark``; bars later than the watermark are dropped by Spark.
     """
     spark = ticks.sparkSession
+    ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     key_type = ticks.schema[key].dataType
