@@ -110,6 +110,12 @@ def array_preprocess(s: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype="float64") for v in s]) if len(s) else np.zeros((0, 0))
 
 
+def text_vector_preprocess(s: pd.Series) -> np.ndarray:
+    """File bytes holding comma-separated numbers -> one row vector per file."""
+    rows = [np.asarray(bytes(b).decode("utf-8").strip().split(","), dtype="float32") for b in s]
+    return np.stack(rows).astype("float64") if rows else np.zeros((0, 0))
+
+
 def top1_decoder(labels: list):
     """Smallest distance wins; score = 1 / (1 + distance)."""
 

@@ -215,3 +215,4 @@ SELECT 'malformed' AS reason, count(DISTINCT lang) AS n FROM documents
 UNION ALL
 SELECT 'missing', count(DISTINCT source) FROM documents
 """
+ORACLE["classify_stream"] = _NEAREST

@@ -339,7 +339,35 @@ def q_line_count_event_rejects(spark, sf):
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_classify_stream(spark, sf):
+    """Vectors written one file each under label=<l>/vec_id=<id>/ folders, classified on arrival."""
+    from quarry.operators import inference
+    from quarry.streaming.classify import classify_stream
+
+    emb = load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    labels, cents = inference.class_centroids(emb, "embedding", "label")
+    src = scratch_path(spark, "vector-files")
+    emb.select("label", "vec_id", F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))).alias("v")) \
+        .repartition("label", "vec_id").write.mode("overwrite").partitionBy("label", "vec_id").text(src)
+    out = scratch_path(spark, "classify-out")
+    n = emb.count()
+    q = classify_stream(
+        spark, src, scratch_path(spark, "classify-ckpt"),
+        inference.nearest_centroid_factory(labels, cents), inference.text_vector_preprocess,
+        inference.top1_decoder(labels), sink="parquet", path=out, trigger={"availableNow": True},
+        glob="*.txt", max_files_per_trigger=max(1, n // 4 + 1), label_pattern=r"label=(\d+)/",
+    )
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    return res.select(
+        F.regexp_extract("path", r"vec_id=(\d+)/", 1).cast("bigint").alias("vec_id"),
+        F.col("label").cast("int").alias("label"),
+        F.col("prediction.class").alias("pred_class"),
+    )
+
+
 QUERIES = {
+    "classify_stream": q_classify_stream,
     "load_bars": q_load_bars,
     "line_counts_from_events": q_line_counts_from_events,
     "line_count_event_rejects": q_line_count_event_rejects,
