@@ -24,6 +24,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Chunk units tried by chunk="auto", coarsest first, with their length in seconds.
+CHUNK_UNITS = (("month", 31 * 86400), ("week", 7 * 86400), ("day", 86400), ("hour", 3600),
+               ("minute", 60), ("second", 1))
+TARGET_ROWS_PER_CHUNK = 2_000_000
+
+
+def auto_chunk(df: DataFrame, keys: list[str], ts: str, target_rows: int = TARGET_ROWS_PER_CHUNK) -> str:
+    """Coarsest unit whose chunks hold at most ``target_rows`` rows of the densest key.
+
+    One aggregate (partial per task, one row per key after the shuffle) gives
+    each key's rows per second over its own time span.
+    """
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), ((F.max(t) - F.min(t)) / 1e6).alias("span")
+    )
+    rate = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1.0)))).first()[0] or 0.0
+    for unit, secs in CHUNK_UNITS:
+        if rate * secs <= target_rows:
+            return unit
+    return CHUNK_UNITS[-1][0]
+
+
 def chunk_expr(chunk: str | Column | None, ts: str) -> Column | None:
     if chunk is None or isinstance(chunk, Column):
         return chunk
@@ -47,13 +70,15 @@ def with_history(
 
     ``order`` must be a total order inside a key (add a tiebreak column).
     ``chunk`` must not decrease along ``order``: a unit for ``date_trunc``, "day",
-    a Column, or None.
+    "auto" (measured, see ``auto_chunk``), a Column, or None.
     """
     keys = [key] if isinstance(key, str) else list(key)
     lags = dict(lags or {})
     moving_avgs = dict(moving_avgs or {})
     if rows < 1:
         raise ValueError("rows must be >= 1")
+    if isinstance(chunk, str) and chunk == "auto":
+        chunk = auto_chunk(df, keys, order[0])
     ch = chunk_expr(chunk, order[0])
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order)

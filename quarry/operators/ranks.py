@@ -70,13 +70,15 @@ def exact_quantiles(
     quantiles: list[float],
     num_partitions: int | None = None,
     pin: str = "checkpoint",
-) -> list[float | None]:
+    return_values: bool = False,
+):
     """Exact quantiles with linear interpolation between closest ranks.
 
     Sort-based and distributed: no task ever holds more than one range
     partition, and a third of the rows sharing one value still splits across
     partitions because a random tiebreak joins the sort key. Returns one value
-    per quantile (None when there are no non-null values).
+    per quantile (None when there are no non-null values); with
+    ``return_values`` also the pinned sorted values (column ``_v``).
     """
     v = df.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
     ranked = global_positions(
@@ -84,7 +86,7 @@ def exact_quantiles(
     ).select("_pos", "_v")
     n = ranked.count()
     if n == 0:
-        return [None] * len(quantiles)
+        return ([None] * len(quantiles), ranked) if return_values else [None] * len(quantiles)
     wanted = {}
     plan = []
     for q in quantiles:
@@ -99,4 +101,4 @@ def exact_quantiles(
     for lo, hi, d in plan:
         a, b = wanted[lo], wanted[hi]
         out.append(a if lo == hi else a + (b - a) * d)
-    return out
+    return (out, ranked) if return_values else out

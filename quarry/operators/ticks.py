@@ -33,7 +33,7 @@ def price_changes(
     ts: str = "timestamp",
     price: str = "close",
     tiebreak: tuple[str, ...] = ("event_id",),
-    chunk: str | Column | None = "day",
+    chunk: str | Column | None = "auto",
 ) -> DataFrame:
     """Absolute % change of ``price`` from the previous tick of the same key.
 
@@ -65,7 +65,10 @@ def threshold_summary(
         raise ValueError("one label per quantile")
     x = F.col(col)
     if exact:
-        values = exact_quantiles(changes, col, list(quantiles))
+        # The sorted values are pinned once; the counts below read them instead
+        # of recomputing the upstream plan (nulls never exceed a threshold).
+        values, pinned = exact_quantiles(changes, col, list(quantiles), return_values=True)
+        changes, x = pinned, F.col("_v")
     else:
         row = changes.agg(F.percentile_approx(x, list(quantiles), accuracy).alias("p")).first()
         values = list(row["p"]) if row["p"] is not None else [None] * len(quantiles)
@@ -91,7 +94,7 @@ def detect_anomalies(
     price_pct: float = PRICE_PCT,
     volume_pct: float = VOLUME_PCT,
     rows: int = VOLUME_ROWS,
-    chunk: str | Column | None = "day",
+    chunk: str | Column | None = "auto",
 ) -> DataFrame:
     """Price and volume rules on every bar.
 

@@ -166,3 +166,22 @@ def detect_anomalies_stream(
     if volume_pct is not None:
         kw["volume_pct"] = volume_pct
     return apply_rules(hist, **kw)
+
+
+def per_batch_alert_writer(alerts_path: str, **rule_args):
+    """``foreachBatch`` body that applies the batch rules to each micro-batch alone.
+
+    History does not cross micro-batch boundaries here (the first bar of each
+    batch has none); use ``detect_anomalies_stream`` to keep it. Empty batches
+    are skipped without a count; each batch's alerts go to ``batch_id=<id>``
+    with overwrite, so a retried batch replaces its own output.
+    """
+    from quarry.operators.ticks import alert_messages, detect_anomalies
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        flagged = detect_anomalies(batch, chunk=None, **rule_args)
+        alert_messages(flagged).write.mode("overwrite").json(f"{alerts_path}/batch_id={batch_id}")
+
+    return write

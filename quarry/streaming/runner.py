@@ -66,3 +66,12 @@ def latest_per_key(spark: SparkSession, path: str, keys: list[str], fmt: str = "
     vals = [c for c in df.columns if c not in keys and c != "batch_id"]
     last = F.max_by(F.struct(*vals), F.col("batch_id")).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in vals])
+
+
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late rows discarded by stateful operators, summed over recent progress."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total

@@ -77,3 +77,15 @@ def test_anomaly_rules_literal(spark):
     assert got[3]["prev_minute_close"] == 0.0 and got[3]["price_change_pct"] is None
     assert got[3]["anomaly_type"] == "Volume"          # zero previous close: no price anomaly
     assert got[4]["is_volume_anomaly"] is False
+
+
+def test_auto_chunk_narrows_for_dense_keys(spark):
+    from quarry.operators.history import auto_chunk
+
+    base = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    dense = spark.range(0, 100_000).select(
+        F.lit(1).alias("k"), (base + F.make_dt_interval(secs=F.col("id") / 1000)).alias("ts"))
+    assert auto_chunk(dense, ["k"], "ts", target_rows=2_000_000) == "minute"
+    assert auto_chunk(dense, ["k"], "ts", target_rows=10**12) == "month"
+    t = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
+    assert auto_chunk(t, ["stock_ticker"], "timestamp") == "month"
