@@ -156,7 +156,8 @@ def write_documents_as_files(spark, sf) -> str:
     """One text file per document (Spark's text writer ends each with a newline)."""
     out = scratch_path(spark, "documents-files")
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    docs.repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").text(out)
+    docs.repartition(spark.sparkContext.defaultParallelism, "doc_id").write.mode("overwrite") \
+        .partitionBy("doc_id").text(out)
     return out
 
 
@@ -205,6 +206,7 @@ def q_sliding_counts_stream(spark, sf):
     q = sliding_counts_stream(
         stream, scratch_path(spark, "sliding-ckpt"), ts="ts", size="10 minutes", slide="5 minutes",
         watermark="12 days", mode="update", path=out, trigger={"availableNow": True},
+        shuffle_partitions=spark.sparkContext.defaultParallelism,
     )
     q.awaitTermination()
     res = read_counts(spark, out)
@@ -259,7 +261,8 @@ def q_detect_anomalies_stream(spark, sf):
     flagged = detect_anomalies_stream(stream, watermark="12 days")
     out = scratch_path(spark, "anomaly-out")
     q = start(flagged, scratch_path(spark, "anomaly-ckpt"), sink="parquet", path=out,
-              mode="append", trigger={"availableNow": True})
+              mode="append", trigger={"availableNow": True},
+              shuffle_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return ticks.anomalies(res)
@@ -303,7 +306,8 @@ def q_load_bars(spark, sf):
     """Bars written as CSV, one folder per ticker, read back with the ticker from the folder."""
     raw = derive.bar_text_from_events(_events(spark, sf, ["event_id", "ts", "user_id", "event_type", "value"]))
     out = scratch_path(spark, "bars-csv")
-    raw.repartition("stock_ticker").write.mode("overwrite").partitionBy("stock_ticker").option("header", True).csv(out)
+    raw.repartition(spark.sparkContext.defaultParallelism, "stock_ticker").write.mode("overwrite") \
+        .partitionBy("stock_ticker").option("header", True).csv(out)
     from pyspark.sql.types import StringType, StructField, StructType
 
     schema = StructType([StructField(c, StringType()) for c in ["event_id", *_BAR_NTZ]])
@@ -348,7 +352,8 @@ def q_classify_stream(spark, sf):
     labels, cents = inference.class_centroids(emb, "embedding", "label")
     src = scratch_path(spark, "vector-files")
     emb.select("label", "vec_id", F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))).alias("v")) \
-        .repartition("label", "vec_id").write.mode("overwrite").partitionBy("label", "vec_id").text(src)
+        .repartition(spark.sparkContext.defaultParallelism, "label", "vec_id").write.mode("overwrite") \
+        .partitionBy("label", "vec_id").text(src)
     out = scratch_path(spark, "classify-out")
     n = emb.count()
     q = classify_stream(

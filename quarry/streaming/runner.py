@@ -3,12 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def _partitions(spark: SparkSession, n: int | None):
+    """Use ``n`` shuffle partitions for a stream being started.
+
+    A stateful stream fixes its state partition count at the first start (it
+    is recorded in the checkpoint), so size it to the cluster, not to the
+    session's batch default. The stream clones the session when it starts,
+    so the session's own value is restored right after.
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def start(
     df: DataFrame,
     checkpoint: str,
@@ -18,6 +40,7 @@ def start(
     trigger: dict | None = None,
     options: dict | None = None,
     query_name: str | None = None,
+    shuffle_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start ``df`` into a sink: parquet/json/csv (path), kafka (options), memory, console.
 
@@ -32,7 +55,8 @@ def start(
     if trigger:
         w = w.trigger(**trigger)
     w = w.format(sink)
-    return w.start(path) if path else w.start()
+    with _partitions(df.sparkSession, shuffle_partitions):
+        return w.start(path) if path else w.start()
 
 
 def idempotent_batch_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
@@ -53,11 +77,13 @@ def start_foreach_batch(
     fn: Callable[[DataFrame, int], None],
     mode: str = "update",
     trigger: dict | None = None,
+    shuffle_partitions: int | None = None,
 ) -> StreamingQuery:
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    with _partitions(df.sparkSession, shuffle_partitions):
+        return w.start()
 
 
 def latest_per_key(spark: SparkSession, path: str, keys: list[str], fmt: str = "parquet") -> DataFrame:

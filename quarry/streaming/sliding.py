@@ -20,6 +20,7 @@ def sliding_counts_stream(
     path: str | None = None,
     sink: str = "console",
     trigger: dict | None = None,
+    shuffle_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the sliding count on ``stream``.
 
@@ -27,12 +28,15 @@ def sliding_counts_stream(
     micro-batch is written under ``batch_id=<id>`` (idempotent on retry) and
     ``quarry.streaming.runner.latest_per_key`` gives the current counts.
     ``append`` (needs a watermark) emits each window once, when it closes.
+    ``shuffle_partitions`` fixes the state partition count at the first start.
     """
     counts = sliding_counts(stream, ts, size, slide, watermark)
     if mode == "update" and path:
-        return start_foreach_batch(counts, checkpoint, idempotent_batch_writer(path), "update", trigger)
+        return start_foreach_batch(counts, checkpoint, idempotent_batch_writer(path), "update", trigger,
+                                   shuffle_partitions)
     return start(counts, checkpoint, sink=sink, path=path, mode=mode, trigger=trigger,
-                 options={"truncate": "false"} if sink == "console" else None)
+                 options={"truncate": "false"} if sink == "console" else None,
+                 shuffle_partitions=shuffle_partitions)
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
