@@ -133,5 +133,25 @@ def top1_decoder(labels: list):
     return decode
 
 
+def topk_schema(k: int) -> str:
+    return f"top{k} array<struct<class: string, desc: string, score: float>>"
+
+
+def topk_decoder(labels: list, k: int):
+    """The ``k`` nearest classes per row, best first (use with ``topk_schema(k)``)."""
+
+    def decode(d: np.ndarray) -> pd.DataFrame:
+        kk = min(k, d.shape[1]) if d.size else 0
+        idx = np.argsort(d, axis=1)[:, :kk] if d.size else np.zeros((0, 0), dtype=int)
+        out = [
+            [{"class": str(labels[j]), "desc": f"nearest centroid of class {labels[j]}",
+              "score": float(1.0 / (1.0 + d[r, j]))} for j in row]
+            for r, row in enumerate(idx)
+        ]
+        return pd.DataFrame({f"top{k}": out})
+
+    return decode
+
+
 def path_label(path: Column) -> Column:
     return parent_dir(path)
