@@ -41,9 +41,11 @@ def check_keys(df: DataFrame, keys: list[str], on_bad_keys: str = "error", what:
     if on_bad_keys == "ignore":
         return df
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    dup_keys = df.where(~any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # One aggregate finds both: null keys group together like any other value.
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    dup_keys = per_key.where(~any_null & (F.col("_n") > 1))
     if on_bad_keys == "error":
-        if not df.where(any_null).isEmpty() or not dup_keys.isEmpty():
+        if not per_key.where(any_null | (F.col("_n") > 1)).isEmpty():
             raise BadKeysError(f"{what} has null or duplicate keys {keys}")
         return df
     if on_bad_keys == "drop":
