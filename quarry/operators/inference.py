@@ -71,16 +71,19 @@ def classify(
 # --- a small model family used for the embeddings table -----------------------
 
 
-def class_centroids(df: DataFrame, vec_col: str, label_col: str, max_classes: int = 100_000) -> tuple[list, np.ndarray]:
+def class_centroids(
+    df: DataFrame, vec_col: str, label_col: str, max_classes: int = 100_000, max_bytes: int = 64 << 20
+) -> tuple[list, np.ndarray]:
     """Mean vector per class, computed by Spark (partial aggregation per task).
 
-    Only the centroid matrix reaches the driver; its size is classes x dims and
-    is checked against ``max_classes`` before it is collected.
+    Only the centroid matrix reaches the driver and then every task (it is the
+    model); its size, classes x dims x 8 bytes, is checked against
+    ``max_classes`` and ``max_bytes`` before anything is collected.
     """
-    n = df.select(label_col).distinct().count()
-    if n > max_classes:
-        raise ValueError(f"{n} classes exceed max_classes={max_classes}")
-    dims = df.select(F.max(F.size(vec_col))).first()[0] or 0
+    stats = df.agg(F.countDistinct(label_col).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
+    n, dims = stats["n"], stats["d"] or 0
+    if n > max_classes or n * dims * 8 > max_bytes:
+        raise ValueError(f"{n} classes x {dims} dims exceed the model budget")
     sums = df.groupBy(label_col).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.col(vec_col)[i].cast("double")).alias(f"s{i}") for i in range(dims)],

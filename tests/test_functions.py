@@ -42,10 +42,10 @@ def test_line_count_matches_splitlines(spark):
 
 
 def test_path_helpers(spark):
-    df = spark.createDataFrame([("gs://b/flowers/roses/img1.jpg",), ("/data/AAPL.csv",)], "p string")
+    df = spark.createDataFrame([("/data/images/cats/img1.jpg",), ("/data/AAPL.csv",)], "p string")
     got = df.select(parent_dir(F.col("p")).alias("d"), file_stem(F.col("p")).alias("s"),
                     report_line(F.col("p"), F.lit(3)).alias("r")).collect()
-    assert got[0]["d"] == "roses" and got[1]["s"] == "AAPL"
+    assert got[0]["d"] == "cats" and got[1]["s"] == "AAPL"
     assert got[1]["r"] == "Number of lines in /data/AAPL.csv: 3"
 
 

@@ -69,5 +69,5 @@ def test_events_route_malformed_and_missing(spark):
 
 
 def test_report_line(spark):
-    df = spark.createDataFrame([("gs://b/input.txt", 4)], "path string, n_lines long")
-    assert linecount.with_report(df).first()["report"] == "Number of lines in gs://b/input.txt: 4"
+    df = spark.createDataFrame([("/data/in/input.txt", 4)], "path string, n_lines long")
+    assert linecount.with_report(df).first()["report"] == "Number of lines in /data/in/input.txt: 4"
