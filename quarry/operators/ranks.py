@@ -22,7 +22,7 @@ def global_positions(
     order: list[str | Column],
     pos_col: str = "_pos",
     num_partitions: int | None = None,
-    pin: str = "checkpoint",
+    pin: str = "table",
 ) -> DataFrame:
     """Add a 0-based position of each row in the total order ``order``.
 
@@ -57,7 +57,7 @@ def dense_ids(
     id_col: str = "id",
     offset: int = 0,
     num_partitions: int | None = None,
-    pin: str = "checkpoint",
+    pin: str = "table",
 ) -> DataFrame:
     """Dense ids ``offset+1 .. offset+n`` following ``order`` (distributed)."""
     out = global_positions(df, order, "_pos", num_partitions, pin)
@@ -69,7 +69,7 @@ def exact_quantiles(
     value_col: str,
     quantiles: list[float],
     num_partitions: int | None = None,
-    pin: str = "checkpoint",
+    pin: str = "table",
     return_values: bool = False,
 ):
     """Exact quantiles with linear interpolation between closest ranks.

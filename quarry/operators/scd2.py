@@ -70,7 +70,7 @@ def scd2_merge(
     end_col: str = "effective_end_date",
     sentinel: str = SENTINEL,
     on_bad_keys: str = "error",
-    pin: str = "checkpoint",
+    pin: str = "table",
 ) -> DataFrame:
     """Merge a source snapshot into a versioned dimension (see module doc).
 

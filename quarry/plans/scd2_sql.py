@@ -33,7 +33,7 @@ def scd2_merge_sql(
     sentinel: str = SENTINEL,
     on_bad_keys: str = "error",
     num_partitions: int | None = None,
-    pin: str = "checkpoint",
+    pin: str = "table",
 ) -> DataFrame:
     if as_of is None:
         raise ValueError("as_of is required")

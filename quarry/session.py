@@ -81,10 +81,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Pin a frame that is read more than once and must not change between reads.
 
-    ``checkpoint`` writes it to the shared checkpoint folder and cuts lineage, so
-    a lost executor cannot make a second read see different rows. ``persist``
-    keeps it in executor memory/disk (faster, recomputed from lineage on loss).
+    ``table`` writes it once as Parquet under the shared checkpoint folder and
+    reads it back: lineage is cut, a lost executor cannot make a second read
+    see different rows, and the input is computed once. ``checkpoint`` uses
+    ``Dataset.checkpoint`` (same guarantees; computes the input twice unless
+    cached and keeps the partitioning). ``persist`` keeps it in executor
+    memory/disk (recomputed from lineage on loss).
     """
+    if how == "table":
+        spark = df.sparkSession
+        path = scratch_path(spark, "pinned")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if how == "checkpoint":
         checkpoint_root(df.sparkSession)
         return df.checkpoint(eager=True)
