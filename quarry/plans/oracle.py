@@ -216,3 +216,10 @@ UNION ALL
 SELECT 'missing', count(DISTINCT source) FROM documents
 """
 ORACLE["classify_stream"] = _NEAREST
+ORACLE["sliding_counts_10s"] = """
+WITH w AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) AS b FROM events),
+s AS (SELECT b AS window_start FROM w UNION ALL SELECT b - INTERVAL 5 SECOND FROM w)
+SELECT window_start, window_start + INTERVAL 10 SECOND AS window_end, count(*) AS count
+FROM s GROUP BY window_start
+"""
+ORACLE["click_counter_tsv"] = ORACLE["time_bucket_counts"]

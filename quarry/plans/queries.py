@@ -371,7 +371,32 @@ def q_classify_stream(spark, sf):
     )
 
 
+def q_sliding_counts_10s(spark, sf):
+    """The original window settings: 10 second windows every 5 seconds."""
+    return sliding.sliding_counts(_events(spark, sf, ["ts"]), "ts", "10 seconds", "5 seconds")
+
+
+def q_click_counter_tsv(spark, sf):
+    """Click log written as tab-separated text with a header, counted by the end-to-end job."""
+    from quarry.plans.jobs import click_counter_job
+
+    src, out = scratch_path(spark, "clicks-tsv"), scratch_path(spark, "clicks-out")
+    clicks = derive.clicks_from_events(_events(spark, sf, ["ts", "user_id"]))
+    clicks.write.mode("overwrite").option("header", True).option("sep", "\t").csv(src)
+    click_counter_job(spark, src, out)
+    return spark.read.schema("time_range string, count bigint").csv(out)
+
+
+def q_threshold_summary_approx(spark, sf):
+    """Approximate thresholds (bounded sketches); values differ from the exact ones by rank error."""
+    ch = ticks.price_changes(_ticks(spark, sf))
+    return ticks.threshold_summary(ch, exact=False, accuracy=10_000)
+
+
 QUERIES = {
+    "sliding_counts_10s": q_sliding_counts_10s,
+    "click_counter_tsv": q_click_counter_tsv,
+    "threshold_summary_approx": q_threshold_summary_approx,
     "classify_stream": q_classify_stream,
     "load_bars": q_load_bars,
     "line_counts_from_events": q_line_counts_from_events,
