@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 # Chunk units tried by chunk="auto", coarsest first, with their length in seconds.
 CHUNK_UNITS = (("month", 31 * 86400), ("week", 7 * 86400), ("day", 86400), ("hour", 3600),
-               ("minute", 60), ("second", 1))
+               ("minute", 60), ("second", 1), ("millisecond", 0.001))
 TARGET_ROWS_PER_CHUNK = 2_000_000
 
 

@@ -89,3 +89,23 @@ def test_auto_chunk_narrows_for_dense_keys(spark):
     assert auto_chunk(dense, ["k"], "ts", target_rows=10**12) == "month"
     t = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
     assert auto_chunk(t, ["stock_ticker"], "timestamp") == "month"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_history_random_series_with_null_keys(spark, seed):
+    import datetime as dt
+
+    rng = np.random.default_rng(seed)
+    n = 3000
+    keys = rng.choice([1, 2, 3, None], size=n, p=[0.5, 0.2, 0.2, 0.1])
+    t0 = dt.datetime(2024, 1, 1)
+    secs = np.sort(rng.integers(0, 6 * 3600, size=n))
+    vol = rng.integers(0, 1000, size=n).astype(float)
+    vol[rng.random(n) < 0.05] = np.nan
+    data = [(None if k is None else int(k), t0 + dt.timedelta(seconds=int(s)), float(rng.random()),
+             None if np.isnan(v) else int(v), i) for i, (k, s, v) in enumerate(zip(keys, secs, vol))]
+    df = spark.createDataFrame(data, "stock_ticker long, timestamp timestamp_ntz, close double, volume long, event_id long")
+    rows_ = int(rng.integers(1, 12))
+    for chunk in ("minute", "hour", "auto"):
+        got = with_history(df, "stock_ticker", ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, rows_, chunk)
+        compare(got, plain(df, rows_))
