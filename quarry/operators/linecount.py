@@ -103,12 +103,10 @@ def line_counts_from_events(
     wanted = good.select(
         F.concat_ws("/", F.regexp_replace("bucket", "/+$", ""), F.regexp_replace("file", "^/+", "")).alias("path")
     ).distinct()
-    counted, unreadable = count_file_lines(
-        files.withColumn("path", F.regexp_replace("path", "^file:", "")).join(wanted, "path", "left_semi")
-    )
-    missing = wanted.join(counted.select("path"), "path", "left_anti").join(
-        unreadable.select("path"), "path", "left_anti"
-    )
+    files = files.withColumn("path", F.regexp_replace("path", "^file:", ""))
+    counted, unreadable = count_file_lines(files.join(wanted, "path", "left_semi"))
+    # Only the listing is needed here: a path-only scan does not read contents.
+    missing = wanted.join(files.select("path"), "path", "left_anti")
     rejected = (
         bad.select(F.col("raw_value").alias("message"), F.lit(None).cast("string").alias("path"), F.lit("malformed").alias("reason"))
         .unionByName(missing.select(F.lit(None).cast("string").alias("message"), "path", F.lit("missing").alias("reason")))

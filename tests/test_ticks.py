@@ -109,3 +109,22 @@ def test_history_random_series_with_null_keys(spark, seed):
     for chunk in ("minute", "hour", "auto"):
         got = with_history(df, "stock_ticker", ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, rows_, chunk)
         compare(got, plain(df, rows_))
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One key with a third of the rows: no task of the history window holds it all."""
+    import datetime as dt
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        base = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+        n = 30_000
+        df = spark.range(0, n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("stock_ticker"),
+            (base + F.make_dt_interval(secs=F.col("id") * 3)).cast("timestamp_ntz").alias("timestamp"),
+            F.rand(5).alias("close"), (F.col("id") % 97).alias("volume"), F.col("id").alias("event_id"))
+        got = with_history(df, "stock_ticker", ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, 10, "hour")
+        sizes = got.where(F.col("stock_ticker") == 0).groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 1 and max(r["count"] for r in sizes) < n / 3 / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
