@@ -84,13 +84,27 @@ def class_centroids(
     n, dims = stats["n"], stats["d"] or 0
     if n > max_classes or n * dims * 8 > max_bytes:
         raise ValueError(f"{n} classes x {dims} dims exceed the model budget")
-    sums = df.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(vec_col)[i].cast("double")).alias(f"s{i}") for i in range(dims)],
+    if dims <= 256:
+        # one pass, one sum per dimension (partial aggregation per task)
+        sums = df.groupBy(label_col).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(F.col(vec_col)[i].cast("double")).alias(f"s{i}") for i in range(dims)],
+        )
+        rows = sorted(sums.collect(), key=lambda r: r[label_col])
+        labels = [r[label_col] for r in rows]
+        mat = np.array([[r[f"s{i}"] / r["n"] for i in range(dims)] for r in rows], dtype="float64")
+        return labels, mat
+    # wide vectors: one row per (class, position) after a positional explode
+    means = (
+        df.select(label_col, F.posexplode(vec_col).alias("i", "x"))
+        .groupBy(label_col, "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+        .collect()
     )
-    rows = sorted(sums.collect(), key=lambda r: r[label_col])
-    labels = [r[label_col] for r in rows]
-    mat = np.array([[r[f"s{i}"] / r["n"] for i in range(dims)] for r in rows], dtype="float64")
+    labels = sorted({r[label_col] for r in means})
+    at = {lab: j for j, lab in enumerate(labels)}
+    mat = np.zeros((len(labels), dims), dtype="float64")
+    for r in means:
+        mat[at[r[label_col]], r["i"]] = r["m"]
     return labels, mat
 
 

@@ -39,3 +39,13 @@ def test_tune_tree_small_grid(spark):
     best = max(m, key=lambda r: r["avg_metric"])
     assert best_params(model)["maxDepth"] == best["maxDepth"]
     assert model.bestModel.transform(vecs).select("prediction").count() == vecs.count()
+
+
+def test_centroids_of_wide_vectors(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 300))
+    y = rng.integers(0, 4, size=200)
+    df = spark.createDataFrame([(int(l), [float(v) for v in row]) for l, row in zip(y, x)], "label int, v array<double>")
+    labels, cents = inference.class_centroids(df, "v", "label")
+    want = np.stack([x[y == lab].mean(0) for lab in labels])
+    assert np.allclose(cents, want, atol=1e-12)
