@@ -11,7 +11,7 @@ Per business key, with null-safe comparison of the tracked columns:
 | expired rows (history) are always kept untouched                           |
 
 One full outer join of active rows and source classifies every key in one
-shuffle. New versions get dense ids after the current maximum, changed keys
+shuffle; the classified rows are pinned once so that join runs once. New versions get dense ids after the current maximum, changed keys
 first then new keys, each in key order, numbered without a single-partition
 window (``quarry.operators.ranks.dense_ids``).
 """
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.ranks import dense_ids
+from quarry.session import materialize
 
 # Fixed value: the end date that marks the open version.
 SENTINEL = "9999-12-31 00:00:00"
@@ -100,18 +101,29 @@ def scd2_merge(
         .when(_same(tracked, "t", "s"), F.lit("keep"))
         .otherwise(F.lit("change"))
     )
-    joined = t.join(s, on, "full_outer").withColumn("_kind", kind)
+    scols = source.columns
+    # The classified join feeds two outputs that are computed by different
+    # actions (numbering the new versions, then the final union); pinning it
+    # once means the full outer join runs once.
+    joined = materialize(
+        t.join(s, on, "full_outer").select(
+            *[F.col(f"t.{c}").alias(f"t__{c}") for c in tcols],
+            *[F.col(f"s.{c}").alias(f"s__{c}") for c in scols],
+            F.col("t._in_t").isNotNull().alias("_in_t"),
+            kind.alias("_kind"),
+        ),
+        pin,
+    )
 
     closes = F.col("_kind").isin("change", "delete")
-    old = joined.where(F.col("t._in_t")).select(
+    old = joined.where(F.col("_in_t")).select(
         *[
-            F.when(closes, asof).otherwise(F.col(f"t.{c}")).alias(c) if c == end_col else F.col(f"t.{c}").alias(c)
+            F.when(closes, asof).otherwise(F.col(f"t__{c}")).alias(c) if c == end_col else F.col(f"t__{c}").alias(c)
             for c in tcols
         ]
     )
-    scols = set(source.columns)
     fresh = joined.where(F.col("_kind").isin("change", "insert")).select(
-        *[F.col(f"s.{c}").alias(c) for c in tcols if c in scols and c not in (id_col, start_col, end_col)],
+        *[F.col(f"s__{c}").alias(c) for c in tcols if c in set(scols) and c not in (id_col, start_col, end_col)],
         asof.alias(start_col),
         sent.alias(end_col),
         F.when(F.col("_kind") == "change", 0).otherwise(1).alias("_grp"),

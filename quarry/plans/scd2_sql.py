@@ -62,6 +62,8 @@ def scd2_merge_sql(
         FROM (SELECT *, TRUE AS _in_t FROM {{target}} WHERE {_q(end_col)} <=> {sent}) t
         FULL OUTER JOIN (SELECT *, TRUE AS _in_s FROM {{source}}) s ON {on}"""
 
+    # Pinned once: both the numbering and the final union read it.
+    classified_df = materialize(spark.sql(classified, target=target, source=source), pin)
     new_cols = [c for c in tcols if c in scols and c not in (id_col, start_col, end_col)]
     order = ", ".join(["_grp"] + [_q(k) for k in keys])
     fresh_sql = f"""
@@ -69,9 +71,9 @@ def scd2_merge_sql(
           SELECT /*+ REPARTITION_BY_RANGE({n}, {order}) */
                  {", ".join(f"{_q('s__' + c)} AS {_q(c)}" for c in new_cols)},
                  CASE WHEN _kind = 'change' THEN 0 ELSE 1 END AS _grp
-          FROM ({classified}) j WHERE _kind IN ('change', 'insert')
+          FROM {{classified}} j WHERE _kind IN ('change', 'insert')
           SORT BY {order})"""
-    ranked = materialize(spark.sql(fresh_sql, target=target, source=source), pin)
+    ranked = materialize(spark.sql(fresh_sql, classified=classified_df), pin)
 
     def out_col(c: str, closing: bool) -> str:
         if c == end_col and closing:
@@ -95,8 +97,8 @@ def scd2_merge_sql(
                                                     AND 1 PRECEDING), 0) AS _off FROM counts)
         SELECT {", ".join(_q(c) for c in tcols)} FROM {{target}} WHERE NOT ({_q(end_col)} <=> {sent})
         UNION ALL
-        SELECT {", ".join(out_col(c, True) for c in tcols)} FROM ({classified}) j WHERE _in_t
+        SELECT {", ".join(out_col(c, True) for c in tcols)} FROM {{classified}} j WHERE _in_t
         UNION ALL
         SELECT /*+ BROADCAST(o) */ {", ".join(new_col(c) for c in tcols)}
         FROM {{ranked}} r JOIN offs o ON shiftright(r._mid, 33) = o._pid"""
-    return spark.sql(final, target=target, source=source, ranked=ranked)
+    return spark.sql(final, target=target, classified=classified_df, ranked=ranked)
