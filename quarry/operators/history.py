@@ -147,3 +147,48 @@ def with_history(
     drop += [f"_h_{x}" for x in list(lags) + list(moving_avgs)]
     drop += [f"_{p}_{x}" for x in moving_avgs for p in ("s", "c")]
     return out.drop(*drop)
+
+
+# Fixed-length chunk units for time-range history, in seconds.
+_FIXED_UNITS = {"day": 86400, "hour": 3600, "minute": 60, "second": 1}
+
+
+def with_time_history(
+    df: DataFrame,
+    key: str | list[str],
+    ts: str,
+    moving_avgs: dict[str, str],
+    range_seconds: float,
+    chunk: str | None = "auto",
+) -> DataFrame:
+    """Average of each column over the previous ``range_seconds`` of the same key,
+    current instant excluded (rows with ``ts`` in ``[t - range, t)``), null when empty.
+
+    Skew-safe: each key is cut into fixed-length time chunks at least as long
+    as the range; every chunk also receives copies of the rows of the previous
+    chunk that lie within ``range_seconds`` of its start, the window runs per
+    ``(key, chunk)``, and the copies are dropped. One shuffle; the copied rows
+    are bounded by the rows within the range of each chunk boundary.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    range_us = int(round(range_seconds * 1_000_000))
+    t_us = F.unix_micros(F.col(ts).cast("timestamp"))
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(t_us).rangeBetween(-range_us, -1)
+        return df.withColumns({name: F.avg(c).over(w) for name, c in moving_avgs.items()})
+    if chunk == "auto":
+        chunk = auto_chunk(df, keys, ts)
+    fixed = [u for u, secs in _FIXED_UNITS.items() if secs * 1_000_000 >= range_us]
+    if chunk not in _FIXED_UNITS or _FIXED_UNITS[chunk] * 1_000_000 < range_us:
+        # a chunk must be a fixed length no shorter than the range
+        chunk = min(fixed, key=lambda u: _FIXED_UNITS[u]) if fixed else "day"
+        if _FIXED_UNITS[chunk] * 1_000_000 < range_us:
+            raise ValueError("range_seconds longer than a day needs chunk=None")
+    width = _FIXED_UNITS[chunk] * 1_000_000
+    own = df.withColumn("_t", t_us).withColumn("_chunk", F.floor(F.col("_t") / width)).withColumn("_own", F.lit(True))
+    near_end = F.col("_t") >= (F.col("_chunk") + 1) * width - range_us
+    copies = own.where(near_end).withColumn("_chunk", F.col("_chunk") + 1).withColumn("_own", F.lit(False))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_t").rangeBetween(-range_us, -1)
+    both = own.unionByName(copies)
+    out = both.withColumns({name: F.avg(c).over(w) for name, c in moving_avgs.items()})
+    return out.where("_own").drop("_t", "_chunk", "_own")

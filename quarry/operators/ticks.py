@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.change import abs_pct_change, pct_change
 from quarry.functions.json import to_json_value
-from quarry.operators.history import with_history
+from quarry.operators.history import with_history, with_time_history
 from quarry.operators.ranks import exact_quantiles
 
 # The quantiles of the thresholding report and their labels.
@@ -95,22 +95,30 @@ def detect_anomalies(
     volume_pct: float = VOLUME_PCT,
     rows: int = VOLUME_ROWS,
     chunk: str | Column | None = "auto",
+    volume_window_seconds: float | None = None,
 ) -> DataFrame:
     """Price and volume rules on every bar.
 
     Price: |% change from the previous close| > ``price_pct``. Volume: % above
-    the average of the previous ``rows`` volumes > ``volume_pct`` (one-sided).
+    the average of the previous ``rows`` volumes > ``volume_pct`` (one-sided);
+    with ``volume_window_seconds`` the average covers that much time instead.
     Bars without history are not anomalies; a previous close of 0 is not one
     either. Adds prev_minute_close, avg_10min_volume, price_change_pct,
     volume_change_pct, is_price_anomaly, is_volume_anomaly, anomaly_type,
     is_anomaly.
     """
-    h = with_history(
-        ticks, key, [ts, *tiebreak],
-        lags={"prev_minute_close": "close"},
-        moving_avgs={"avg_10min_volume": "volume"},
-        rows=rows, chunk=chunk,
-    )
+    if volume_window_seconds is None:
+        h = with_history(
+            ticks, key, [ts, *tiebreak],
+            lags={"prev_minute_close": "close"},
+            moving_avgs={"avg_10min_volume": "volume"},
+            rows=rows, chunk=chunk,
+        )
+    else:
+        # the average covers the previous `volume_window_seconds` instead of `rows` bars
+        h = with_history(ticks, key, [ts, *tiebreak], lags={"prev_minute_close": "close"}, rows=1, chunk=chunk)
+        h = with_time_history(h, key, ts, {"avg_10min_volume": "volume"}, volume_window_seconds,
+                              chunk if isinstance(chunk, str) or chunk is None else "auto")
     return apply_rules(h, price_pct, volume_pct)
 
 

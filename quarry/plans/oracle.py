@@ -223,3 +223,10 @@ SELECT window_start, window_start + INTERVAL 10 SECOND AS window_end, count(*) A
 FROM s GROUP BY window_start
 """
 ORACLE["click_counter_tsv"] = ORACLE["time_bucket_counts"]
+ORACLE["moving_avg_range"] = f"""
+SELECT stock_ticker, timestamp, event_id, volume,
+       avg(volume) OVER (PARTITION BY stock_ticker ORDER BY timestamp
+                         RANGE BETWEEN INTERVAL 600 SECOND PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)
+         AS avg_10min_volume
+FROM ({_TICKS}) b
+"""

@@ -393,7 +393,16 @@ def q_threshold_summary_approx(spark, sf):
     return ticks.threshold_summary(ch, exact=False, accuracy=10_000)
 
 
+def q_moving_avg_range(spark, sf):
+    """Average volume over the previous 10 minutes (time range, current instant excluded)."""
+    from quarry.operators.history import with_time_history
+
+    h = with_time_history(_ticks(spark, sf), "stock_ticker", "timestamp", {"avg_10min_volume": "volume"}, 600)
+    return h.select("stock_ticker", "timestamp", "event_id", "volume", "avg_10min_volume")
+
+
 QUERIES = {
+    "moving_avg_range": q_moving_avg_range,
     "sliding_counts_10s": q_sliding_counts_10s,
     "click_counter_tsv": q_click_counter_tsv,
     "threshold_summary_approx": q_threshold_summary_approx,

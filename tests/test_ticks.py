@@ -128,3 +128,19 @@ def test_hot_key_is_spread_over_tasks(spark):
         assert len(sizes) > 1 and max(r["count"] for r in sizes) < n / 3 / 2
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("chunk", ["auto", "minute", "hour", None])
+def test_time_history_equals_plain_range_window(spark, chunk):
+    from quarry.operators.history import with_time_history
+
+    t = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
+    t = t.unionByName(t.withColumn("event_id", F.col("event_id") + 10**9))  # equal timestamps inside a key
+    got = with_time_history(t, "stock_ticker", "timestamp", {"a": "volume"}, 6 * 3600, chunk)
+    w = Window.partitionBy("stock_ticker").orderBy(F.unix_micros(F.col("timestamp").cast("timestamp"))) \
+        .rangeBetween(-6 * 3600 * 1_000_000, -1)
+    want = t.withColumn("a", F.avg("volume").over(w))
+    a = {r["event_id"]: r["a"] for r in got.collect()}
+    b = {r["event_id"]: r["a"] for r in want.collect()}
+    assert a.keys() == b.keys()
+    assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a)
