@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -28,79 +28,87 @@ from quarry.session import ROCKSDB_PROVIDER, ship_package
 # do not need the package installed.
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
-_BUFFER = "ts_us LONG, tb LONG, close DOUBLE, volume DOUBLE"
-_LAST = "prev_close DOUBLE, vols ARRAY<DOUBLE>"
-_TIMER = "at LONG"
+_STATE = (
+    "buf ARRAY<STRUCT<ts: BIGINT, tb: BIGINT, close: DOUBLE, volume: DOUBLE>>, "
+    "prev_close DOUBLE, vols ARRAY<DOUBLE>, timer BIGINT"
+)
+_OUT_COLS = ["ts_us", "tb", "close", "volume", "prev_minute_close", "avg_10min_volume"]
 
 
 class TickHistory(StatefulProcessor):
     """Emit each buffered bar with its previous close and the mean of the
-    previous ``rows`` volumes, once the watermark has passed it."""
+    previous ``rows`` volumes, once the watermark has passed it.
 
-    def __init__(self, key_field: str, rows: int = VOLUME_ROWS):
+    One value per ticker holds the bars not yet passed by the watermark, the
+    last close, the last ``rows`` volumes and the pending timer, so each ticker
+    costs one state read and one write per micro-batch.
+    """
+
+    def __init__(self, key_field: str, rows: int = VOLUME_ROWS, row_api: bool = True):
         self.key_field = key_field
         self.rows = rows
+        self.row_api = row_api
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", _BUFFER)
-        self.last = handle.getValueState("last", _LAST)
-        self.timer = handle.getValueState("timer", _TIMER)
-
-    def _arm(self, ts_us: int) -> None:
-        """Keep one timer per ticker: 1 ms after its earliest buffered bar."""
-        at = ts_us // 1000 + 1
-        cur = self.timer.get()
-        if cur is None or at < cur[0]:
-            self.handle.registerTimer(at)
-            self.timer.update((at,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            batch = list(
-                zip(
+        self.state = handle.getValueState("ticker", _STATE)
+
+    def _load(self):
+        st = self.state.get()
+        if st is None:
+            return [], None, [], None
+        buf = [(r[0], r[1], r[2], r[3]) for r in (st[0] or [])]
+        return buf, st[1], list(st[2] or []), st[3]
+
+    def _flush(self, key, buf, prev, vols, timer, wm_ms):
+        """Emit bars strictly before the watermark in (time, tiebreak) order."""
+        limit = wm_ms * 1000
+        ready = sorted((r for r in buf if r[0] < limit), key=lambda r: (r[0], r[1]))
+        rest = [r for r in buf if r[0] >= limit]
+        out = []
+        for ts, tb, close, vol in ready:
+            known = [v for v in vols if v is not None and v == v]
+            out.append((key[0], ts, tb, close, vol, prev, sum(known) / len(known) if known else None))
+            prev = close
+            vols = (vols + [vol])[-self.rows:]
+        if rest:
+            # a timer 1 ms after the earliest waiting bar fires once the watermark passes it
+            at = min(r[0] for r in rest) // 1000 + 1
+            if timer is None or at < timer or timer <= wm_ms:
+                self.handle.registerTimer(at)
+                timer = at
+        else:
+            timer = None
+        self.state.update((rest, prev, vols, timer))
+        return out
+
+    def _emit(self, out):
+        if not out:
+            return iter([])
+        names = [self.key_field] + _OUT_COLS
+        if self.row_api:
+            return iter([Row(**dict(zip(names, r))) for r in out])
+        return iter([pd.DataFrame(out, columns=names)])
+
+    def handleInputRows(self, key, rows, timerValues):
+        buf, prev, vols, timer = self._load()
+        if self.row_api:
+            buf.extend((r["ts_us"], r["tb"], r["close"], r["volume"]) for r in rows)
+        else:
+            for pdf in rows:
+                buf.extend(zip(
                     pdf["ts_us"].astype("int64").tolist(),
                     pdf["tb"].astype("int64").tolist(),
                     pdf["close"].astype("float64").tolist(),
                     pdf["volume"].astype("float64").tolist(),
-                )
-            )
-            if batch:
-                self.buffer.appendList(batch)
-                self._arm(min(t for t, *_ in batch))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        pending = list(self.buffer.get())
-        limit = wm * 1000
-        ready = sorted((r for r in pending if r[0] < limit), key=lambda r: (r[0], r[1]))
-        if not ready:
+                ))
+        return self._emit(self._flush(key, buf, prev, vols, timer, timerValues.getCurrentWatermarkInMs()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        buf, prev, vols, timer = self._load()
+        if not buf:
             return iter([])
-        rest = [r for r in pending if r[0] >= limit]
-        self.buffer.clear()
-        self.timer.clear()
-        if rest:
-            self.buffer.put(rest)
-            self._arm(min(r[0] for r in rest))
-        state = self.last.get()
-        prev = state[0] if state else None
-        vols = list(state[1]) if state and state[1] is not None else []
-        out = {"ts_us": [], "tb": [], "close": [], "volume": [], "prev_minute_close": [], "avg_10min_volume": []}
-        for ts, tb, close, vol in ready:
-            out["ts_us"].append(ts)
-            out["tb"].append(tb)
-            out["close"].append(close)
-            out["volume"].append(vol)
-            out["prev_minute_close"].append(prev)
-            known = [v for v in vols if v is not None and v == v]
-            out["avg_10min_volume"].append(sum(known) / len(known) if known else None)
-            prev = close
-            vols = (vols + [vol])[-self.rows:]
-        self.last.update((prev, vols))
-        pdf = pd.DataFrame(out)
-        pdf.insert(0, self.key_field, key[0])
-        return iter([pdf])
+        return self._emit(self._flush(key, buf, prev, vols, None, timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:
         pass
@@ -115,12 +123,15 @@ def detect_anomalies_stream(
     rows: int = VOLUME_ROWS,
     price_pct: float | None = None,
     volume_pct: float | None = None,
+    row_api: bool = True,
 ) -> DataFrame:
     """Streaming form of ``quarry.operators.ticks.detect_anomalies``.
 
     ``ticks`` is a streaming frame with an event-time ``ts`` (TIMESTAMP type),
     ``key``, ``tiebreak``, ``close`` and ``volume``. Output is append-only and
     delayed by ``watermark``; bars later than the watermark are dropped by Spark.
+    ``row_api`` uses the row-based ``transformWithState`` (no pandas frame per
+    ticker per micro-batch); otherwise ``transformWithStateInPandas``.
     """
     spark = ticks.sparkSession
     ship_package(spark)
@@ -144,12 +155,17 @@ def detect_anomalies_stream(
         StructField("prev_minute_close", DoubleType()),
         StructField("avg_10min_volume", DoubleType()),
     ])
-    hist = inp.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=TickHistory(key, rows),
-        outputStructType=out_schema,
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+    grouped = inp.groupBy(key)
+    if row_api:
+        hist = grouped.transformWithState(
+            statefulProcessor=TickHistory(key, rows, row_api=True),
+            outputStructType=out_schema, outputMode="Append", timeMode="EventTime",
+        )
+    else:
+        hist = grouped.transformWithStateInPandas(
+            statefulProcessor=TickHistory(key, rows, row_api=False),
+            outputStructType=out_schema, outputMode="Append", timeMode="EventTime",
+        )
     vol_type = ticks.schema["volume"].dataType
     hist = hist.select(
         key,
