@@ -1,5 +1,6 @@
 import os
-import shutil
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ def test_sliding_stream_equals_batch(spark):
     assert sum(want.values()) == 2 * ev.count()  # every row in size/slide windows
 
 
-def test_anomaly_stream_equals_batch_with_disorder(spark):
+@pytest.mark.parametrize("row_api", [True, False])
+def test_anomaly_stream_equals_batch_with_disorder(spark, row_api):
     from quarry.streaming.anomalies import detect_anomalies_stream
     from quarry.streaming.runner import start
 
@@ -47,7 +49,7 @@ def test_anomaly_stream_equals_batch_with_disorder(spark):
     write_arrivals(t.withColumn("_a", arr.cast("bigint")).unionByName(sentinel), "_a", feed)
     stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 2).parquet(feed)
     out = scratch_path(spark, "t-anom-out")
-    q = start(detect_anomalies_stream(stream, "10 days"), scratch_path(spark, "t-anom-ck"), path=out,
+    q = start(detect_anomalies_stream(stream, "10 days", row_api=row_api), scratch_path(spark, "t-anom-ck"), path=out,
               trigger={"availableNow": True})
     q.awaitTermination()
     cols = ["stock_ticker", "event_id", "prev_minute_close", "avg_10min_volume", "anomaly_type"]
