@@ -78,6 +78,25 @@ def load_bars(
     return clean_bars(raw, types)
 
 
+def csv_to_messages(
+    spark, path, fieldnames: list[str], header: bool = True, key: str | None = None
+) -> DataFrame:
+    """Delimited rows with the given field names -> one JSON message per row.
+
+    Every field is read as text (names are explicit, not taken from the file);
+    ``header`` skips a header line instead of sending it as data.
+    """
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    schema = StructType([StructField(n, StringType(), True) for n in fieldnames])
+    # positional: the given names win over whatever a header line says
+    rows = spark.read.option("header", header).option("enforceSchema", True).schema(schema).csv(path)
+    return rows.select(
+        (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"),
+        to_json_value(*fieldnames).alias("value"),
+    )
+
+
 def publish_order(df: DataFrame, key: str, ts: str, num_partitions: int | None = None) -> DataFrame:
     """Group each key's rows in one partition, sorted by time, for a keyed sink.
 

@@ -230,3 +230,8 @@ SELECT stock_ticker, timestamp, event_id, volume,
          AS avg_10min_volume
 FROM ({_TICKS}) b
 """
+ORACLE["customer_messages"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS customer_id,
+       c_name AS name, c_mktsegment AS city
+FROM customer
+"""

@@ -401,7 +401,22 @@ def q_moving_avg_range(spark, sf):
     return h.select("stock_ticker", "timestamp", "event_id", "volume", "avg_10min_volume")
 
 
+def q_customer_messages(spark, sf):
+    """Customer rows as a CSV file with a header, fed as JSON messages and parsed back."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    fields = ["customer_id", "name", "city"]
+    src = scratch_path(spark, "customers-csv")
+    load_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"]).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("city")
+    ).write.mode("overwrite").option("header", True).csv(src)
+    msgs = clean.csv_to_messages(spark, src, fields, header=True, key="customer_id")
+    good, _ = clean.parse_messages(msgs, StructType([StructField(f, StringType()) for f in fields]))
+    return good
+
+
 QUERIES = {
+    "customer_messages": q_customer_messages,
     "moving_avg_range": q_moving_avg_range,
     "sliding_counts_10s": q_sliding_counts_10s,
     "click_counter_tsv": q_click_counter_tsv,

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 def write_arrivals(df: DataFrame, arrival: str, path: str, fmt: str = "parquet") -> list[int]:
     """Write the rows of each ``arrival`` value (ascending) as one append."""
-    groups = [r[0] for r in df.select(arrival).distinct().orderBy(arrival).collect()]
-    for g in groups:
-        df.where(F.col(arrival) == g).drop(arrival).coalesce(1).write.mode("append").format(fmt).save(path)
+    df = df.persist()  # one scan of the input for all groups
+    try:
+        groups = [r[0] for r in df.select(arrival).distinct().orderBy(arrival).collect()]
+        for g in groups:
+            df.where(F.col(arrival) == g).drop(arrival).coalesce(1).write.mode("append").format(fmt).save(path)
+    finally:
+        df.unpersist()
     return groups
