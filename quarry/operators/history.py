@@ -1,8 +1,10 @@
-"""Per-key ordered history (lag, moving average of previous rows), skew-safe.
+"""Per-key ordered history (lag, moving averages of previous rows or seconds), skew-safe.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so a
 ticker holding a third of the data becomes a third of the job in one task.
-Here each key is cut into chunks (by default calendar days of the event time):
+Here each key is cut into chunks of event time (calendar days by default; the
+tick jobs use ``chunk="auto"``, which measures the densest key and picks the
+unit):
 
 1. one window pass per ``(key, chunk)`` computes in-chunk lags, in-chunk sums
    and counts of the previous ``rows`` values, and the row's rank in its chunk;
@@ -16,6 +18,10 @@ Here each key is cut into chunks (by default calendar days of the event time):
 
 Only step 1 shuffles the data. Step 2 shuffles at most ``rows`` rows per chunk.
 With ``chunk=None`` a plain per-key window is used.
+
+``with_time_history`` covers averages over the previous N seconds: there each
+chunk receives copies of the rows of the previous chunk within N seconds of its
+start, and one window per ``(key, chunk)`` finishes the job.
 """
 
 from __future__ import annotations
