@@ -46,12 +46,31 @@ def count_file_lines(files: DataFrame, exclude: str | None = None) -> tuple[Data
     return good, rejected
 
 
+# Fixed value: files up to this size are counted whole by mode="auto".
+WHOLE_FILE_LIMIT = 64 << 20
+
+
+def _scan_counts(spark: SparkSession, path: str, glob: str | None, min_size: int | None = None) -> DataFrame:
+    r = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    lines = r.text(path)
+    if min_size is not None:
+        lines = lines.where(F.col("_metadata.file_size") > min_size)  # prunes files, not rows
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.regexp_count(F.col("value"), F.lit(_EXTRA_BREAKS)).alias("_extra"),
+    )
+    return lines.groupBy("path").agg((F.count(F.lit(1)) + F.sum("_extra")).cast("bigint").alias("n_lines"))
+
+
 def line_counts(
     spark: SparkSession,
     path: str,
-    mode: str = "exact",
+    mode: str = "auto",
     glob: str | None = None,
     manifest: DataFrame | None = None,
+    whole_file_limit: int = WHOLE_FILE_LIMIT,
 ) -> DataFrame:
     """(path, n_lines) for every file under ``path``.
 
@@ -59,20 +78,18 @@ def line_counts(
     limit). ``scan`` reads lines with the splittable text source, so one huge
     file is spread over many tasks, and adds the boundaries the reader does not
     split on; it can be one too high when an unterminated last line ends in
-    such a boundary. Zero-length files are not listed by Spark's file sources;
-    pass ``manifest`` (a ``path`` column) to report them with 0.
+    such a boundary. ``auto`` counts files up to ``whole_file_limit`` bytes
+    exactly and scans the larger ones; both sides prune by size before reading.
+    Zero-length files are not listed by Spark's file sources; pass ``manifest``
+    (a ``path`` column) to report them with 0.
     """
     if mode == "exact":
         out, _ = count_file_lines(read_files(spark, path, glob))
     elif mode == "scan":
-        r = spark.read.option("recursiveFileLookup", "true")
-        if glob:
-            r = r.option("pathGlobFilter", glob)
-        lines = r.text(path).select(
-            F.col("_metadata.file_path").alias("path"),
-            F.regexp_count(F.col("value"), F.lit(_EXTRA_BREAKS)).alias("_extra"),
-        )
-        out = lines.groupBy("path").agg((F.count(F.lit(1)) + F.sum("_extra")).cast("bigint").alias("n_lines"))
+        out = _scan_counts(spark, path, glob)
+    elif mode == "auto":
+        small, _ = count_file_lines(read_files(spark, path, glob).where(F.col("length") <= whole_file_limit))
+        out = small.unionByName(_scan_counts(spark, path, glob, min_size=whole_file_limit))
     else:
         raise ValueError(f"unknown mode {mode!r}")
     if manifest is not None:

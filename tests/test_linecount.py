@@ -71,3 +71,17 @@ def test_events_route_malformed_and_missing(spark):
 def test_report_line(spark):
     df = spark.createDataFrame([("/data/in/input.txt", 4)], "path string, n_lines long")
     assert linecount.with_report(df).first()["report"] == "Number of lines in /data/in/input.txt: 4"
+
+
+def test_auto_mode_splits_by_size(spark):
+    d = tempfile.mkdtemp(prefix="quarry-lc-")
+    texts = {"small.txt": "a\nb\n", "big.txt": "x\n" * 5000 + "y\x0bz\n"}
+    for n, t in texts.items():
+        with open(os.path.join(d, n), "w", encoding="utf-8", newline="") as f:
+            f.write(t)
+    got = {os.path.basename(r["path"]): r["n_lines"]
+           for r in linecount.line_counts(spark, d, mode="auto", whole_file_limit=1000).collect()}
+    assert got == {n: len(t.splitlines()) for n, t in texts.items()}
+    plan = linecount.line_counts(spark, d, mode="auto", whole_file_limit=1000)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "length" in plan and "file_size" in plan
