@@ -104,6 +104,6 @@ def sliding_count_stream_job(
     return sliding_counts_stream(raw, checkpoint, "timestamp", size, slide, watermark, "update", path, sink)
 
 
-def line_count_job(spark: SparkSession, path: str, mode: str = "exact") -> DataFrame:
+def line_count_job(spark: SparkSession, path: str, mode: str = "auto") -> DataFrame:
     """Files -> one report line per file."""
     return linecount.with_report(linecount.line_counts(spark, path, mode=mode))
