@@ -235,3 +235,4 @@ SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS customer
        c_name AS name, c_mktsegment AS city
 FROM customer
 """
+ORACLE["detect_anomalies_stream_table"] = ORACLE["detect_anomalies"]

@@ -415,7 +415,46 @@ def q_customer_messages(spark, sf):
     return good
 
 
+def q_detect_anomalies_stream_table(spark, sf):
+    """Same feed as detect_anomalies_stream, state kept as a versioned table (skew-safe form).
+    Two far-future bars follow the data: the first moves the watermark, the second's
+    micro-batch emits what it released."""
+    from quarry.sources.tables import to_event_time
+    from quarry.streaming.batch_state import anomaly_table_writer
+    from quarry.streaming.feed import write_arrivals
+    from quarry.streaming.runner import start_foreach_batch
+
+    ev = _events(spark, sf, ["event_id", "ts", "user_id", "value", "event_type"])
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
+    late = F.when(F.col("event_type") == "error", 1).otherwise(0)
+    t = derive.ticks_from_events(ev.withColumn("_arrival", F.floor(day / 5) + late), keep=["_arrival"])
+    last = ev.agg(F.max("ts").alias("ts"), F.max("event_id").alias("event_id"))
+    sentinels = [
+        last.select(
+            F.lit(-1).cast("bigint").alias("stock_ticker"),
+            (F.col("ts") + F.expr(f"INTERVAL {60 + i} DAYS")).alias("timestamp"),
+            *[F.lit(0.0).alias(c) for c in ("open", "high", "low", "close")],
+            F.lit(0).cast("bigint").alias("volume"),
+            (F.col("event_id") + 1 + i).alias("event_id"),
+            F.lit(10_000 + i).cast("bigint").alias("_arrival"),
+        )
+        for i in range(2)
+    ]
+    feed = scratch_path(spark, "ticks-feed-table")
+    write_arrivals(t.unionByName(sentinels[0]).unionByName(sentinels[1]), "_arrival", feed)
+    schema = to_event_time(derive.ticks_from_events(ev)).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    out, state = scratch_path(spark, "anomaly-table-out"), scratch_path(spark, "anomaly-table-state")
+    q = start_foreach_batch(stream, scratch_path(spark, "anomaly-table-ckpt"),
+                            anomaly_table_writer(out, state, 12 * 86400), mode="append",
+                            trigger={"availableNow": True})
+    q.awaitTermination()
+    res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return ticks.anomalies(res)
+
+
 QUERIES = {
+    "detect_anomalies_stream_table": q_detect_anomalies_stream_table,
     "customer_messages": q_customer_messages,
     "moving_avg_range": q_moving_avg_range,
     "sliding_counts_10s": q_sliding_counts_10s,

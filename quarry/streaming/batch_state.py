@@ -1,0 +1,109 @@
+"""Anomaly rules over a stream with state kept as a versioned table (skew-safe).
+
+``transformWithState`` keeps one ticker's state and rows in one task, so a
+ticker holding a third of the stream limits throughput. This form runs inside
+``foreachBatch`` and keeps the same state as a Parquet table per batch id
+under a shared folder:
+
+* ``hist`` rows: the last ``rows`` emitted bars of every ticker;
+* ``pending`` rows: bars not yet passed by the watermark;
+* one ``mark`` row: the largest event time seen so far.
+
+For micro-batch ``k`` the watermark is ``mark(k-1) - delay`` (as Spark's own).
+New bars older than it are dropped as late; pending bars older than it are
+final, get their history from ``hist`` with the skew-safe batch operator
+(``with_history``, chunked per ticker), and are written to ``out/batch_id=k``.
+The new state goes to ``state/v=k``. Both writes overwrite their batch's
+folder, so a retried batch replaces its own output and the next batch reads a
+complete state. Results equal ``detect_anomalies_stream``. Bars are emitted by
+the first micro-batch after the watermark passes them: ``foreachBatch`` gets no
+empty trailing batch, so the last bars wait for further input.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quarry.operators.history import chunk_expr, with_history
+from quarry.operators.ticks import VOLUME_ROWS, apply_rules
+
+
+def _state_schema(key_type: str) -> str:
+    return f"kind string, k {key_type}, ts timestamp, tb bigint, close double, volume double"
+
+
+def _read_state(spark: SparkSession, path: str, version: int, key_type: str) -> DataFrame:
+    if version < 0:
+        return spark.createDataFrame([], _state_schema(key_type))
+    return spark.read.schema(_state_schema(key_type)).parquet(f"{path}/v={version}")
+
+
+def last_n_per_key(df: DataFrame, n: int, chunk: str = "day") -> DataFrame:
+    """Last ``n`` rows per ``k`` by (ts, tb), in two skew-safe steps: per (k, chunk), then per k."""
+    ch = chunk_expr(chunk, "ts")
+    w1 = Window.partitionBy("k", "_c").orderBy(F.col("ts").desc(), F.col("tb").desc())
+    first = df.withColumn("_c", ch).withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
+    w2 = Window.partitionBy("k").orderBy(F.col("ts").desc(), F.col("tb").desc())
+    return first.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= n).drop("_c", "_r")
+
+
+def anomaly_table_writer(
+    out_path: str,
+    state_path: str,
+    delay_seconds: float,
+    key: str = "stock_ticker",
+    ts: str = "timestamp",
+    tiebreak: str = "event_id",
+    rows: int = VOLUME_ROWS,
+    chunk: str = "auto",
+    key_type: str = "bigint",
+    **rule_args,
+):
+    """``foreachBatch`` body; see the module doc."""
+    delay_us = int(round(delay_seconds * 1_000_000))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = _read_state(spark, state_path, batch_id - 1, key_type)
+        mark = prev.where("kind = 'mark'").agg(F.max("ts")).first()[0]
+        wm_us = None if mark is None else int(mark.timestamp() * 1_000_000) - delay_us
+        wm = None if wm_us is None else F.timestamp_micros(F.lit(wm_us))
+
+        new = batch.select(
+            F.lit("pending").alias("kind"), F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("ts"),
+            F.col(tiebreak).cast("bigint").alias("tb"), F.col("close").cast("double").alias("close"),
+            F.col("volume").cast("double").alias("volume"),
+        )
+        if wm is not None:
+            new = new.where(F.col("ts") >= wm)  # late bars are dropped, as Spark drops them
+        pending = prev.where("kind = 'pending'").unionByName(new)
+        hist = prev.where("kind = 'hist'")
+        if wm is None:
+            ready = pending.limit(0)
+            waiting = pending
+        else:
+            ready = pending.where(F.col("ts") < wm)
+            waiting = pending.where(F.col("ts") >= wm)
+
+        both = hist.withColumn("_own", F.lit(False)).unionByName(ready.withColumn("_own", F.lit(True)))
+        h = with_history(both, "k", ["ts", "tb"], lags={"prev_minute_close": "close"},
+                         moving_avgs={"avg_10min_volume": "volume"}, rows=rows, chunk=chunk)
+        flagged = apply_rules(h.where("_own").drop("_own", "kind"), **rule_args).select(
+            F.col("k").alias(key), F.col("ts").alias(ts), F.col("tb").alias(tiebreak), "close",
+            F.col("volume").cast("bigint").alias("volume"), "prev_minute_close", "avg_10min_volume",
+            "price_change_pct", "volume_change_pct", "is_price_anomaly", "is_volume_anomaly",
+            "anomaly_type", "is_anomaly",
+        )
+        flagged.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+        new_hist = last_n_per_key(hist.unionByName(ready).drop("kind"), rows).withColumn("kind", F.lit("hist"))
+        seen = new.agg(F.max("ts")).first()[0]
+        marks = [m for m in (mark, seen) if m is not None]
+        state = new_hist.unionByName(waiting.withColumn("kind", F.lit("pending")))
+        if marks:
+            state = state.unionByName(spark.createDataFrame(
+                [("mark", None, max(marks), None, None, None)], _state_schema(key_type)))
+        state.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
+
+    return write

@@ -97,3 +97,31 @@ def test_per_batch_writer_and_late_rows(spark):
     want = ticks.alert_messages(ticks.detect_anomalies(t)).count()
     assert got == want
     assert rows_dropped_by_watermark(q) == 0
+
+
+def test_table_state_stream_equals_batch_with_disorder(spark):
+    from quarry.streaming.batch_state import anomaly_table_writer
+    from quarry.streaming.runner import start_foreach_batch
+
+    ev = spark.read.parquet(f"{SF0}/events.parquet")
+    t = to_event_time(derive.ticks_from_events(ev))
+    day = F.datediff(F.to_date("timestamp"), F.lit("2024-01-01"))
+    feed = scratch_path(spark, "t-tab-feed")
+    arr = (F.floor(day / 4) * 2 + F.when(F.col("event_id") % 3 == 0, 1).otherwise(0))
+    sentinel = t.agg(F.max("timestamp").alias("ts")).select(
+        F.lit(-1).cast("bigint").alias("stock_ticker"), (F.col("ts") + F.expr("INTERVAL 40 DAYS")).alias("timestamp"),
+        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("bigint").alias("volume"),
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit(999).cast("bigint").alias("_a"))
+    write_arrivals(t.withColumn("_a", arr.cast("bigint")).unionByName(sentinel).unionByName(
+        sentinel.withColumn("_a", F.lit(1000).cast("bigint")).withColumn("event_id", F.lit(-2).cast("bigint"))),
+        "_a", feed)
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    out, state = scratch_path(spark, "t-tab-out"), scratch_path(spark, "t-tab-state")
+    q = start_foreach_batch(stream, scratch_path(spark, "t-tab-ck"),
+                            anomaly_table_writer(out, state, 10 * 86400, chunk="hour"),
+                            mode="append", trigger={"availableNow": True})
+    q.awaitTermination()
+    cols = ["stock_ticker", "event_id", "prev_minute_close", "avg_10min_volume", "anomaly_type"]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in ticks.detect_anomalies(t).select(*cols).collect())
+    assert got == want
