@@ -197,7 +197,7 @@ def per_batch_alert_writer(alerts_path: str, **rule_args):
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        flagged = detect_anomalies(batch, chunk=None, **rule_args)
+        flagged = detect_anomalies(batch, chunk="auto", **rule_args)
         alert_messages(flagged).write.mode("overwrite").json(f"{alerts_path}/batch_id={batch_id}")
 
     return write

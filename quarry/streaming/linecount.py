@@ -28,6 +28,7 @@ def line_counts_stream(
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
     rejects_path: str | None = None,
+    mode: str = "exact",
 ) -> StreamingQuery:
     """Count lines of each new file under ``source_dir`` once.
 
@@ -35,7 +36,14 @@ def line_counts_stream(
     nor recounts a committed file. One row per file (path, n_lines, report) is
     appended to ``out_path``; output lives apart from the input, and
     ``exclude`` (regex on the path) skips files that must never be counted.
+
+    ``mode="scan"`` reads lines with the splittable text source instead of
+    whole files, for files too large to hold as one row. The file source hands
+    every file whole to one micro-batch, so a per-batch count per file (in
+    ``foreachBatch``, written under ``batch_id=<id>``) is already final.
     """
+    if mode == "scan":
+        return _scan_stream(spark, source_dir, checkpoint, out_path, glob, exclude, max_files_per_trigger, trigger)
     r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -48,3 +56,30 @@ def line_counts_stream(
         start(rejected, checkpoint.rstrip("/") + "-rejects", sink="parquet", path=rejects_path,
               mode="append", trigger=trigger)
     return q
+
+
+_EXTRA_BREAKS = r"[\x{0B}\x{0C}\x{1C}\x{1D}\x{1E}\x{85}\x{2028}\x{2029}]"
+
+
+def _scan_stream(spark, source_dir, checkpoint, out_path, glob, exclude, max_files_per_trigger, trigger):
+    from pyspark.sql import functions as F
+
+    from quarry.streaming.runner import start_foreach_batch
+
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = r.load(source_dir).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.regexp_count(F.col("value"), F.lit(_EXTRA_BREAKS)).alias("_extra"),
+    )
+    if exclude:
+        lines = lines.where(~F.col("path").rlike(exclude))
+
+    def write(batch, batch_id):
+        counts = batch.groupBy("path").agg((F.count(F.lit(1)) + F.sum("_extra")).cast("bigint").alias("n_lines"))
+        with_report(counts).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return start_foreach_batch(lines, checkpoint, write, mode="append", trigger=trigger)

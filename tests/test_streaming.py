@@ -125,3 +125,18 @@ def test_table_state_stream_equals_batch_with_disorder(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
     want = sorted(tuple(r) for r in ticks.detect_anomalies(t).select(*cols).collect())
     assert got == want
+
+
+def test_line_count_stream_scan_mode(spark):
+    from quarry.streaming.linecount import line_counts_stream
+
+    src = scratch_path(spark, "t-lcs-src").replace("file:", "")
+    texts = {"a.txt": "1\n2\n3\n", "b.txt": "x\x0by\n", "c.txt": "one line\n"}
+    for n, t in texts.items():
+        with open(os.path.join(src, n), "w", encoding="utf-8", newline="") as f:
+            f.write(t)
+    out = scratch_path(spark, "t-lcs-out")
+    line_counts_stream(spark, src, scratch_path(spark, "t-lcs-ck"), out, mode="scan", max_files_per_trigger=1,
+                       trigger={"availableNow": True}).awaitTermination()
+    got = {os.path.basename(r["path"]): r["n_lines"] for r in spark.read.parquet(out).collect()}
+    assert got == {n: len(t.splitlines()) for n, t in texts.items()}
