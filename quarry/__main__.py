@@ -43,6 +43,11 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--checkpoint", required=True), w.add_argument("--size", default="10 seconds")
     w.add_argument("--slide", default="5 seconds"), w.add_argument("--watermark", default="1 minute")
 
+    tt = sub.add_parser("tune-tree", help="LibSVM train/test -> k-fold CV decision tree -> metrics (JSON)")
+    tt.add_argument("train"), tt.add_argument("--test", default=None), tt.add_argument("--folds", type=int, default=3)
+    tt.add_argument("--max-depth", default="0,1,2,3,4,5,6,7"), tt.add_argument("--max-bins", default="2,4,8,16,32")
+    tt.add_argument("--num-features", type=int, default=None)
+
     args = p.parse_args(argv)
 
     from quarry.plans import jobs
@@ -75,6 +80,10 @@ def main(argv: list[str] | None = None) -> int:
         src = topics.topic_source_options(args.servers, args.topic)
         jobs.sliding_count_stream_job(spark, src, args.checkpoint, args.size, args.slide,
                                       args.watermark).awaitTermination()
+    elif args.job == "tune-tree":
+        grid = {"maxDepth": [int(x) for x in args.max_depth.split(",")],
+                "maxBins": [int(x) for x in args.max_bins.split(",")]}
+        print(json.dumps(jobs.tune_tree_job(spark, args.train, args.test, grid, args.folds, args.num_features)))
     print(json.dumps({"job": args.job, "status": "done"}), file=sys.stderr)
     return 0
 

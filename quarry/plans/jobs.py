@@ -107,3 +107,32 @@ def sliding_count_stream_job(
 def line_count_job(spark: SparkSession, path: str, mode: str = "auto") -> DataFrame:
     """Files -> one report line per file."""
     return linecount.with_report(linecount.line_counts(spark, path, mode=mode))
+
+
+def tune_tree_job(
+    spark: SparkSession,
+    train_path: str,
+    test_path: str | None = None,
+    grid: dict | None = None,
+    folds: int = 3,
+    num_features: int | None = None,
+    seed: int = 42,
+    parallelism: int = 4,
+) -> dict:
+    """LibSVM train (and test) files -> k-fold CV over the tree grid -> best parameters,
+    per-grid metrics and weighted precision of the best model on train and test."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    from quarry.operators.tuning import best_params, tune_tree
+
+    train = files.read_libsvm(spark, train_path, num_features)
+    model, metrics = tune_tree(train, grid=grid, folds=folds, seed=seed, parallelism=parallelism)
+    ev = MulticlassClassificationEvaluator(labelCol="indexedLabel", predictionCol="prediction",
+                                           metricName="weightedPrecision")
+    out = {"best": best_params(model), "grid": [r.asDict() for r in metrics.collect()],
+           "train_weighted_precision": ev.evaluate(model.bestModel.transform(train))}
+    if test_path:
+        # the test file must have the training vector size, whatever its largest index
+        test = files.read_libsvm(spark, test_path, num_features or train.first()["features"].size)
+        out["test_weighted_precision"] = ev.evaluate(model.bestModel.transform(test))
+    return out

@@ -49,3 +49,16 @@ def test_scd2_csv_job(spark):
         out = jobs.scd2_csv_job(spark, f"{d}/source", f"{d}/target", f"{d}/out{int(sql)}",
                                 source_schema=source.schema, target_schema=target.schema, sql=sql, **kw)
         assert rows(out) == rows(scd2.scd2_merge(target, source, **kw))
+
+
+def test_tune_tree_job_on_libsvm(spark):
+    d = tempfile.mkdtemp(prefix="quarry-svm-")
+    vecs = derive.vectors_from_embeddings(spark.read.parquet(f"{SF0}/embeddings.parquet"))
+    train, test = vecs.randomSplit([0.7, 0.3], seed=3)
+    train.select("label", "features").write.format("libsvm").save(f"{d}/train")
+    test.select("label", "features").write.format("libsvm").save(f"{d}/test")
+    dim = len(vecs.first()["features"])
+    out = jobs.tune_tree_job(spark, f"{d}/train", f"{d}/test", {"maxDepth": [1, 2], "maxBins": [8]}, folds=2,
+                             num_features=dim)
+    assert set(out["best"]) == {"maxDepth", "maxBins"} and len(out["grid"]) == 2
+    assert 0.0 <= out["train_weighted_precision"] <= 1.0 and 0.0 <= out["test_weighted_precision"] <= 1.0
