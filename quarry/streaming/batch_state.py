@@ -80,7 +80,7 @@ def anomaly_table_writer(
         pending = prev.where("kind = 'pending'").unionByName(new)
         hist = prev.where("kind = 'hist'")
         if wm is None:
-            ready = pending.limit(0)
+            ready = pending.where(F.lit(False))  # nothing is final before the first watermark
             waiting = pending
         else:
             ready = pending.where(F.col("ts") < wm)
