@@ -200,8 +200,9 @@ def q_sliding_counts_stream(spark, sf):
     from quarry.streaming.sliding import read_counts, sliding_counts_stream
 
     feed = _events_feed(spark, sf, ["event_id", "ts"])
-    schema = to_event_time(_events(spark, sf, ["event_id", "ts"])).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    # read the feed with its stored types, then cast in the session time zone
+    schema = _events(spark, sf, ["event_id", "ts"]).schema
+    stream = to_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed), "ts")
     out = scratch_path(spark, "sliding-out")
     q = sliding_counts_stream(
         stream, scratch_path(spark, "sliding-ckpt"), ts="ts", size="10 minutes", slide="5 minutes",
@@ -255,7 +256,7 @@ def q_detect_anomalies_stream(spark, sf):
     )
     feed = scratch_path(spark, "ticks-feed")
     write_arrivals(t.unionByName(sentinel), "_arrival", feed)
-    schema = to_event_time(derive.ticks_from_events(ev)).schema
+    schema = derive.ticks_from_events(ev).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
     stream = to_event_time(stream, "timestamp")
     flagged = detect_anomalies_stream(stream, watermark="12 days")
@@ -442,8 +443,8 @@ def q_detect_anomalies_stream_table(spark, sf):
     ]
     feed = scratch_path(spark, "ticks-feed-table")
     write_arrivals(t.unionByName(sentinels[0]).unionByName(sentinels[1]), "_arrival", feed)
-    schema = to_event_time(derive.ticks_from_events(ev)).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    schema = derive.ticks_from_events(ev).schema
+    stream = to_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed), "timestamp")
     out, state = scratch_path(spark, "anomaly-table-out"), scratch_path(spark, "anomaly-table-state")
     q = start_foreach_batch(stream, scratch_path(spark, "anomaly-table-ckpt"),
                             anomaly_table_writer(out, state, 12 * 86400), mode="append",

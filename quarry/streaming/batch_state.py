@@ -66,9 +66,9 @@ def anomaly_table_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = _read_state(spark, state_path, batch_id - 1, key_type)
-        mark = prev.where("kind = 'mark'").agg(F.max("ts")).first()[0]
-        wm_us = None if mark is None else int(mark.timestamp() * 1_000_000) - delay_us
-        wm = None if wm_us is None else F.timestamp_micros(F.lit(wm_us))
+        # event times as epoch microseconds, computed in Spark (no local-time conversion)
+        mark_us = prev.where("kind = 'mark'").agg(F.max(F.unix_micros("ts"))).first()[0]
+        wm = None if mark_us is None else F.timestamp_micros(F.lit(int(mark_us) - delay_us))
 
         new = batch.select(
             F.lit("pending").alias("kind"), F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("ts"),
@@ -98,12 +98,15 @@ def anomaly_table_writer(
         flagged.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
         new_hist = last_n_per_key(hist.unionByName(ready).drop("kind"), rows).withColumn("kind", F.lit("hist"))
-        seen = new.agg(F.max("ts")).first()[0]
-        marks = [m for m in (mark, seen) if m is not None]
+        seen_us = new.agg(F.max(F.unix_micros("ts"))).first()[0]
+        marks = [int(m) for m in (mark_us, seen_us) if m is not None]
         state = new_hist.unionByName(waiting.withColumn("kind", F.lit("pending")))
         if marks:
-            state = state.unionByName(spark.createDataFrame(
-                [("mark", None, max(marks), None, None, None)], _state_schema(key_type)))
+            mark_row = spark.range(1).select(
+                F.lit("mark").alias("kind"), F.lit(None).cast(key_type).alias("k"),
+                F.timestamp_micros(F.lit(max(marks))).alias("ts"), F.lit(None).cast("bigint").alias("tb"),
+                F.lit(None).cast("double").alias("close"), F.lit(None).cast("double").alias("volume"))
+            state = state.unionByName(mark_row)
         state.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
 
     return write

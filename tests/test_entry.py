@@ -38,3 +38,19 @@ def test_fast_queries_match_duckdb_at_sf0001(spark):
         idx = [rel.columns.index(c) for c in order]
         b = sorted((tuple(norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
         assert a == b, name
+
+
+def test_stream_query_under_non_utc_session(spark):
+    """Feeds keep wall-clock (NTZ) times; streams cast them in the session zone and back."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{table_path(SF0, 'events')}')")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = sorted(tuple(r) for r in E.queries()["sliding_counts_stream"](spark, SF0)
+                     .select("window_start", "window_end", "count").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = sorted(tuple(r) for r in con.sql(
+        f"SELECT window_start, window_end, count FROM ({E.oracle_sql()['sliding_counts_stream']})").fetchall())
+    assert got == want
