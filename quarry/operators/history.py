@@ -96,11 +96,22 @@ def with_history(
             out = out.withColumn(name, F.avg(c).over(frame))
         return out
 
-    part = keys + ["_chunk"]
+    # Group on non-nullable structs: equality of structs is null-safe (a null
+    # key or chunk is a group like any other), no IsNotNull is inferred, and the
+    # halo join below is a plain equi-join on the columns the window already
+    # hash-partitioned by, so Spark neither reshuffles the big side nor breaks
+    # the reuse of its exchange in the tails branch.
+    part = ["_gk", "_chunk"]
     w = Window.partitionBy(*part).orderBy(*order)
     frame = w.rowsBetween(-rows, -1)
+    # The key lives only inside `_gk` until the end, so both branches below
+    # project the same columns and share one exchange (columns a caller
+    # carries beyond key, order and value columns make the tails branch
+    # narrower; results stay right but the tails then shuffle separately).
     base = (
-        df.withColumn("_chunk", ch)
+        df.withColumn("_gk", F.struct(*[F.col(k) for k in keys]))
+        .withColumn("_chunk", F.struct(ch.alias("c")))
+        .drop(*keys)
         .withColumn("_rn", F.row_number().over(w))
         .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*part)))
     )
@@ -111,7 +122,7 @@ def with_history(
         base = base.withColumn(f"_c_{name}", F.count(c).over(frame))
 
     # Halo: history before each chunk, from the tails of earlier chunks.
-    wt = Window.partitionBy(*keys).orderBy("_chunk", *order)
+    wt = Window.partitionBy("_gk").orderBy("_chunk", *order)
     tails = base.where(F.col("_rn") > F.col("_cnt") - rows)
     halo_cols = []
     for name, c in lags.items():
@@ -124,14 +135,7 @@ def with_history(
     first_tail = F.col("_rn") == F.greatest(F.col("_cnt") - rows + 1, F.lit(1))
     halo = tails.select(*part, first_tail.alias("_first"), *halo_cols).where("_first").drop("_first")
 
-    # Null-safe keys: a null key or chunk is a group like any other, and no
-    # IsNotNull is inferred on one side only, so both branches keep the same
-    # plan below the (key, chunk) exchange and Spark reuses that shuffle.
-    hcols = [c for c in halo.columns if c not in part]
-    on = [F.col(f"_b.{c}").eqNullSafe(F.col(f"_h.{c}")) for c in part]
-    out = base.alias("_b").join(halo.alias("_h"), on, "left").select(
-        "_b.*", *[F.col(f"_h.{c}") for c in hcols]
-    )
+    out = base.join(halo, part, "left")
     head = F.col("_rn") <= rows
     for name in lags:
         out = out.withColumn(
@@ -149,7 +153,8 @@ def with_history(
         s = F.when(head, s + extra_sum).otherwise(s)
         n = F.when(head, n + extra_cnt).otherwise(n)
         out = out.withColumn(name, F.when(n > 0, s / n))
-    drop = ["_chunk", "_rn", "_cnt"]
+    out = out.select(*[F.col(f"_gk.{k}").alias(k) for k in keys], "*")
+    drop = ["_gk", "_chunk", "_rn", "_cnt"]
     drop += [f"_h_{x}" for x in list(lags) + list(moving_avgs)]
     drop += [f"_{p}_{x}" for x in moving_avgs for p in ("s", "c")]
     return out.drop(*drop)
