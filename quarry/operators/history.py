@@ -196,10 +196,13 @@ def with_time_history(
         if _FIXED_UNITS[chunk] * 1_000_000 < range_us:
             raise ValueError("range_seconds longer than a day needs chunk=None")
     width = _FIXED_UNITS[chunk] * 1_000_000
-    own = df.withColumn("_t", t_us).withColumn("_chunk", F.floor(F.col("_t") / width)).withColumn("_own", F.lit(True))
-    near_end = F.col("_t") >= (F.col("_chunk") + 1) * width - range_us
-    copies = own.where(near_end).withColumn("_chunk", F.col("_chunk") + 1).withColumn("_own", F.lit(False))
+    chunked = df.withColumn("_t", t_us).withColumn("_c0", F.floor(F.col("_t") / width))
+    near_end = F.col("_t") >= (F.col("_c0") + 1) * width - range_us
+    # one scan: every row once in its own chunk, rows near a chunk's end once more in the next
+    shift = F.explode(F.when(near_end, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    both = chunked.withColumn("_d", shift).select(
+        "*", (F.col("_c0") + F.col("_d")).alias("_chunk"), (F.col("_d") == 0).alias("_own")
+    ).drop("_c0", "_d")
     w = Window.partitionBy(*keys, "_chunk").orderBy("_t").rangeBetween(-range_us, -1)
-    both = own.unionByName(copies)
     out = both.withColumns({name: F.avg(c).over(w) for name, c in moving_avgs.items()})
     return out.where("_own").drop("_t", "_chunk", "_own")
