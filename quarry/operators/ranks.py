@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import materialize
+from quarry.session import estimate_partitions, materialize
 
 _PID_SHIFT = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
@@ -27,7 +27,9 @@ def global_positions(
     """Add a 0-based position of each row in the total order ``order``.
 
     Rows equal on ``order`` get distinct, adjacent positions in arbitrary order.
-    Add a tiebreak column to ``order`` to make positions deterministic.
+    Add a tiebreak column to ``order`` to make positions deterministic. The
+    number of range partitions follows the data size (``estimate_partitions``);
+    the broadcast offset table has one row per partition.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

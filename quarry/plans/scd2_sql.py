@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators.scd2 import SENTINEL, check_keys
-from quarry.session import materialize
+from quarry.session import estimate_partitions, materialize
 
 
 def _q(name: str) -> str:
@@ -44,7 +44,6 @@ def scd2_merge_sql(
     sent = f"CAST('{sentinel}' AS {ts_type})"
     asof = f"CAST('{as_of}' AS {ts_type})"
     source = check_keys(source, keys, on_bad_keys, "source")
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     max_id = spark.sql(
         f"SELECT COALESCE(MAX({_q(id_col)}), 0) AS m FROM {{target}}", target=target
@@ -64,6 +63,7 @@ def scd2_merge_sql(
 
     # Pinned once: both the numbering and the final union read it.
     classified_df = materialize(spark.sql(classified, target=target, source=source), pin)
+    n = num_partitions or estimate_partitions(classified_df)
     new_cols = [c for c in tcols if c in scols and c not in (id_col, start_col, end_col)]
     order = ", ".join(["_grp"] + [_q(k) for k in keys])
     fresh_sql = f"""

@@ -133,3 +133,25 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(archive)
     _SHIPPED.add(app)
+
+
+def estimate_partitions(
+    df: DataFrame, target_bytes: int = 64 << 20, max_partitions: int = 1_000_000
+) -> int:
+    """Partition count for an explicit repartition, from the optimizer's size estimate.
+
+    Explicit counts (e.g. ``repartitionByRange``) are not split by AQE, so they
+    are sized to the data: about ``target_bytes`` of estimated input per
+    partition, at least the session's default parallelism. Falls back to
+    ``spark.sql.shuffle.partitions`` when no estimate is available.
+    """
+    spark = df.sparkSession
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate (e.g. some remote plans)
+        return default
+    if size <= 0 or size >= (1 << 62):
+        return default
+    floor = max(1, spark.sparkContext.defaultParallelism)
+    return int(min(max_partitions, max(floor, -(-size // target_bytes))))

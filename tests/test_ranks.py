@@ -42,3 +42,15 @@ def test_exact_quantiles_match_numpy_with_hot_value(spark):
 def test_exact_quantiles_empty(spark):
     df = spark.createDataFrame([], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [None]
+
+
+def test_range_partitions_follow_data_size(spark):
+    from quarry.session import estimate_partitions
+
+    li = spark.read.parquet(f"{SF1}/lineitem.parquet")
+    small = estimate_partitions(li, target_bytes=1 << 40)
+    assert small == spark.sparkContext.defaultParallelism
+    size = int(str(li._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    big = estimate_partitions(li, target_bytes=16 << 10)
+    assert big == max(spark.sparkContext.defaultParallelism, -(-size // (16 << 10)))
+    assert estimate_partitions(li, target_bytes=1, max_partitions=50) == 50
