@@ -54,3 +54,27 @@ def test_stream_query_under_non_utc_session(spark):
     want = sorted(tuple(r) for r in con.sql(
         f"SELECT window_start, window_end, count FROM ({E.oracle_sql()['sliding_counts_stream']})").fetchall())
     assert got == want
+
+
+def test_python_worker_queries_from_another_directory(tmp_path):
+    """The driver may start outside the repo: UDF and stateful-processor queries must still run."""
+    import os
+    import subprocess
+    import sys
+
+    entry = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    code = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("entry_mod", {entry!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("classify", "detect_anomalies_stream"):
+    print(name, m.queries()[name](spark, {SF0!r}).count())
+spark.stop()
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "classify " in out.stdout and "detect_anomalies_stream " in out.stdout
