@@ -87,8 +87,6 @@ def _lines(expr: str) -> str:
 
 
 ORACLE = {
-    "sliding_counts_stream": None,
-    "line_counts_stream": None,
     "line_counts": f"SELECT doc_id, CAST({_lines('text')} AS BIGINT) AS n_lines FROM documents",
     "line_counts_files": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
     "line_counts_scan": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
@@ -186,9 +184,6 @@ SELECT c_custkey AS custkey FROM customer UNION SELECT o_custkey FROM orders
 """,
 }
 
-ORACLE["sliding_counts_stream"] = ORACLE["sliding_counts"]
-ORACLE["line_counts_stream"] = ORACLE["line_counts_files"]
-ORACLE["detect_anomalies_stream"] = ORACLE["detect_anomalies"]
 
 _NEAREST = """
 WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -208,21 +203,17 @@ SELECT round(sum(coalesce(r.tp / r.n_pred, 0.0) * a.n_actual) / sum(a.n_actual),
 FROM a LEFT JOIN r ON a.c = r.c
 """
 
-ORACLE["load_bars"] = ORACLE["clean_bars"]
-ORACLE["line_counts_from_events"] = ORACLE["line_counts_files"]
 ORACLE["line_count_event_rejects"] = """
 SELECT 'malformed' AS reason, count(DISTINCT lang) AS n FROM documents
 UNION ALL
 SELECT 'missing', count(DISTINCT source) FROM documents
 """
-ORACLE["classify_stream"] = _NEAREST
 ORACLE["sliding_counts_10s"] = """
 WITH w AS (SELECT time_bucket(INTERVAL 5 SECOND, ts) AS b FROM events),
 s AS (SELECT b AS window_start FROM w UNION ALL SELECT b - INTERVAL 5 SECOND FROM w)
 SELECT window_start, window_start + INTERVAL 10 SECOND AS window_end, count(*) AS count
 FROM s GROUP BY window_start
 """
-ORACLE["click_counter_tsv"] = ORACLE["time_bucket_counts"]
 ORACLE["moving_avg_range"] = f"""
 SELECT stock_ticker, timestamp, event_id, volume,
        avg(volume) OVER (PARTITION BY stock_ticker ORDER BY timestamp
@@ -235,4 +226,14 @@ SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS customer
        c_name AS name, c_mktsegment AS city
 FROM customer
 """
+
+# Queries that must give the same rows as another one: streams equal their batch form,
+# file-based forms equal the table form, the end-to-end job equals the operator.
+ORACLE["sliding_counts_stream"] = ORACLE["sliding_counts"]
+ORACLE["detect_anomalies_stream"] = ORACLE["detect_anomalies"]
 ORACLE["detect_anomalies_stream_table"] = ORACLE["detect_anomalies"]
+ORACLE["line_counts_stream"] = ORACLE["line_counts_files"]
+ORACLE["line_counts_from_events"] = ORACLE["line_counts_files"]
+ORACLE["load_bars"] = ORACLE["clean_bars"]
+ORACLE["click_counter_tsv"] = ORACLE["time_bucket_counts"]
+ORACLE["classify_stream"] = _NEAREST
