@@ -140,3 +140,25 @@ def test_line_count_stream_scan_mode(spark):
                        trigger={"availableNow": True}).awaitTermination()
     got = {os.path.basename(r["path"]): r["n_lines"] for r in spark.read.parquet(out).collect()}
     assert got == {n: len(t.splitlines()) for n, t in texts.items()}
+
+
+def test_sliding_stream_append_mode_emits_closed_windows_once(spark):
+    from quarry.streaming.sliding import sliding_counts_stream
+
+    ev = to_event_time(spark.read.parquet(f"{SF0}/events.parquet").select("event_id", "ts"))
+    feed = scratch_path(spark, "t-app-feed")
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
+    last = ev.agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("bigint").alias("event_id"),
+                                                  (F.col("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    write_arrivals(ev.withColumn("_a", F.floor(day / 10)).unionByName(last.withColumn("_a", F.lit(99).cast("bigint"))),
+                   "_a", feed)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    out = scratch_path(spark, "t-app-out")
+    q = sliding_counts_stream(stream, scratch_path(spark, "t-app-ck"), "ts", "1 hour", "30 minutes",
+                              watermark="1 hour", mode="append", sink="parquet", path=out,
+                              trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.groupBy("window_start").count().where("count > 1").count() == 0  # each window once
+    want = {(r[0], r[1]): r[2] for r in sliding.sliding_counts(ev, "ts", "1 hour", "30 minutes").collect()}
+    assert {(r[0], r[1]): r[2] for r in got.collect()} == want  # the sentinel's windows stay open
