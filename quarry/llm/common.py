@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +47,7 @@ def bloom_of(ids: DataFrame, col: str, bits: int) -> Bloom:
         yield pa.RecordBatch.from_arrays(
             [pa.array(on, pa.int32()), pa.array([cells[i].tobytes() for i in on], pa.binary())], ["cell", "bits"])
 
-    def merge(key, pdf):
-        import pandas as pd
-
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(bits // 8 // 64, np.uint8)
         for x in pdf["bits"]:
             out |= np.frombuffer(x, np.uint8)

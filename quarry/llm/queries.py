@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.sources.tables import load_table
 
-from . import packing, quality, sharding
+from . import exact_dedup, line_dedup, packing, quality, sharding, substring_dedup
 
 
 def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
@@ -20,6 +20,18 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(docs, *byte_bpe())
 
 
+def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
 def byte_bpe() -> tuple[str, str]:
     """File and pre-tokenizer pattern of the public byte-level BPE vocabulary."""
     import public_tokenizers
@@ -36,5 +48,8 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op4_packing": op4_packing,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
