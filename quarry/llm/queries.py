@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.sources.tables import load_table
 
-from . import exact_dedup, line_dedup, packing, quality, sharding, substring_dedup
+from . import exact_dedup, jaccard_join, line_dedup, packing, quality, sharding, substring_dedup
 
 
 def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(docs, *byte_bpe())
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
 
@@ -48,6 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op4_packing": op4_packing,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
