@@ -97,7 +97,7 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 def _order_table(profiles: DataFrame) -> np.ndarray:
-    """The summed sketch as a rank per cell, uint32 of SKETCH_CELLS: a size that does not depend on the data."""
+    """The summed sketch as a rank per cell, one byte each: a size that does not depend on the data."""
     def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SKETCH_CELLS // SKETCH_BLOCKS, np.int64)
         for x in pdf["counts"]:
@@ -109,9 +109,10 @@ def _order_table(profiles: DataFrame) -> np.ndarray:
     for r in parts.collect():  # SKETCH_BLOCKS rows
         sketch[r["cell"]] = np.frombuffer(r["counts"], "<i8")
     flat = sketch.ravel()
-    # One rank step per factor of two above twice the mean; below it, hashes alone decide.
-    mean = max(flat.mean(), 1.0)
-    return np.where(flat > 2 * mean, 1 + np.log2(np.maximum(flat / mean, 1)).astype(np.int64), 0).astype(np.uint8)
+    # Four rank steps per doubling of what a cell holds beyond chance; below that, hashes alone decide.
+    mean = flat.mean()
+    beyond = flat - (mean + 4 * np.sqrt(mean) + 2)
+    return np.where(beyond > 0, 1 + 4 * np.log2(np.maximum(beyond, 1)).astype(np.int64), 0).astype(np.uint8)
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -155,30 +156,38 @@ def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _seed_pairs(reps: DataFrame) -> DataFrame:
     keyed = reps.select("rep", F.explode("seeds").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("k")).where("k > 1").select("key", "a")
+    common = keyed.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    keyed = pin(keyed.join(common, "key"))
+    # The hub of a key is the holder whose keys are the most common: close to the middle of a group of copies.
+    weight = keyed.groupBy("rep").agg(F.sum("k").alias("weight"))
+    keyed = keyed.join(weight, "rep")
+    hubs = keyed.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep"))["rep"].alias("a"))
     return keyed.join(hubs, "key").where("a != rep").select("a", F.col("rep").alias("b")).distinct()
 
 
 def _shared_prefixes(docs: DataFrame, reps: DataFrame, order: np.ndarray, fragments: int) -> DataFrame:
-    """(token, id, n): prefix shingles with at least two holders, fragment by fragment."""
+    """(token, id, n, end): prefix shingles with at least two holders, fragment by fragment.
+
+    ``end`` is the place of the prefix's last shingle in the global order.
+    """
     sc = docs.sparkSession.sparkContext
     bits = sc.broadcast(bloom_of(reps, "rep", BLOOM_BITS).bits)
     ranks = sc.broadcast(order)
-    fields = [("token", "<u8"), ("id", "<i8"), ("n", "<i8")]
+    fields = [("token", "<u8"), ("id", "<i8"), ("n", "<i8"), ("end", "<i8")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom, rank = K.Bloom(bits.value), ranks.value
         held, count = [], 0
 
         def flush():
-            token, id_, n = (np.concatenate(x) for x in zip(*held))
+            token, *rest = (np.concatenate(x) for x in zip(*held))
             held.clear()
             f = (token >> K.U64(32)) % K.U64(fragments)
             by = np.argsort(f, kind="stable")
             f = f[by]
             first = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
-            cols = [pa.array([x.tobytes() for x in np.split(v[by], first[1:])], pa.binary()) for v in (token, id_, n)]
-            return pa.RecordBatch.from_arrays([pa.array(f[first].astype(np.int32)), *cols], ["fragment", "token", "id", "n"])
+            cols = [pa.array([x.tobytes() for x in np.split(v[by], first[1:])], pa.binary()) for v in (token, *rest)]
+            return pa.RecordBatch.from_arrays([pa.array(f[first].astype(np.int32)), *cols], ["fragment"] + [x for x, _ in fields])
 
         for batch in batches:
             batch = batch.filter(pa.array(bloom.has(K.column(batch, "id").to_numpy())))
@@ -192,7 +201,8 @@ def _shared_prefixes(docs: DataFrame, reps: DataFrame, order: np.ndarray, fragme
                     if len(at) < p:
                         at = np.argsort(r, kind="stable")
                     t = s[at[:p]]
-                    held.append((t, np.full(len(t), i, np.int64), np.full(len(t), len(s), np.int64)))
+                    end = (int(r[at[p - 1]]) << 55) | (int(t[-1]) >> 9)
+                    held.append((t, *(np.full(p, v, np.int64) for v in (i, len(s), end))))
                     count += len(t)
                 if count >= BLOCK_TOKENS:
                     yield flush()
@@ -201,31 +211,40 @@ def _shared_prefixes(docs: DataFrame, reps: DataFrame, order: np.ndarray, fragme
             yield flush()
 
     def shared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        token, id_, n = (np.concatenate([np.frombuffer(x, kind) for x in pdf[name]]) for name, kind in fields)
+        token, *rest = (np.concatenate([np.frombuffer(x, kind) for x in pdf[name]]) for name, kind in fields)
         by = np.argsort(token, kind="stable")
         t = token[by]
         same = t[1:] == t[:-1]
         many = np.append(same, False) | np.append(False, same)
         by = by[many]
-        return pd.DataFrame({"token": token[by].view(np.int64), "id": id_[by], "n": n[by]})
+        return pd.DataFrame({"token": token[by].view(np.int64), **{x: v[by] for (x, _), v in zip(fields[1:], rest)}})
 
-    return (docs.mapInArrow(cut, "fragment int, token binary, id binary, n binary").groupBy("fragment")
-            .applyInPandas(shared, "token long, id long, n long"))
+    return (docs.mapInArrow(cut, "fragment int, token binary, id binary, n binary, end binary").groupBy("fragment")
+            .applyInPandas(shared, "token long, id long, n long, end long"))
 
 
 def _rest_pairs(shared: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components whose summed prefix overlap still allows a link."""
-    held = (shared.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
-            .withColumn("component", F.coalesce("component", "id")))
+    """Pairs of different components whose summed prefix overlap still allows a link.
+
+    Of a pair, let x be the document whose prefix ends first. All its prefix shingles that both hold are
+    in both prefixes, so the overlap is at most those plus what lies beyond x's prefix. x has ``most``
+    prefix shingles with any other holder, which bounds the overlap before the pair is counted.
+    """
+    own = shared.groupBy("id", "n", "end").agg(F.count("*").alias("most"))
+    held = (shared.join(own, ["id", "n", "end"])
+            .join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
+            .select("token", "id", "n", "end", "most", F.coalesce("component", "id").alias("component")))
     open_ = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("token")
     held = pin(held.join(open_, "token"))
-    a = held.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    b = held.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    met = a.join(b, "token").where(f"a < b and ca != cb and {DEN} * na >= {NUM} * nb and {DEN} * nb >= {NUM} * na")
-    sums = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    need = F.expr(f"({NUM} * (na + nb) + {DEN + NUM - 1}) div {DEN + NUM}")
-    beyond = F.expr(f"({NUM} * greatest(na, nb) + {DEN - 1}) div {DEN} - 1")  # what the longer prefix leaves out
-    return sums.where(F.col("c") >= need - beyond).select("a", "b")
+    a, b = (held.select("token", F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "end", "most", "component")))
+            for x in "ab")
+    need = f"({NUM} * (n_a + n_b) + {DEN + NUM - 1}) div {DEN + NUM}"
+    room = {x: f"(({NUM} * n_{x} + {DEN - 1}) div {DEN} - 1)" for x in "ab"}  # shingles beyond the prefix
+    met = a.join(b, "token").where(
+        f"a < b and component_a != component_b and {DEN} * n_a >= {NUM} * n_b and {DEN} * n_b >= {NUM} * n_a and "
+        f"((end_a <= end_b and most_a + {room['a']} >= {need}) or (end_b <= end_a and most_b + {room['b']} >= {need}))")
+    sums = met.groupBy("a", "b", "n_a", "n_b", "end_a", "end_b").agg(F.count("*").alias("c"))
+    return sums.where(f"(end_a <= end_b and c + {room['a']} >= {need}) or (end_b <= end_a and c + {room['b']} >= {need})").select("a", "b")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,7 +260,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     first = pin(_links(named, pin(_seed_pairs(reps))))
     known = components(first)
     fragments = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimate_partitions(docs, 32 << 20))
-    shared = _shared_prefixes(named, reps, _order_table(profiles), fragments)
+    shared = pin(_shared_prefixes(named, reps, _order_table(profiles), fragments))
     rest = pin(_rest_pairs(shared, known))
     second = _links(named, rest)
     # Rows that share an id but not a set tie their classes together.
