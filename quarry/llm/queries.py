@@ -5,16 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.sources.tables import load_table
 
-from . import exact_dedup, jaccard_join, line_dedup, packing, quality, sharding, substring_dedup
+from . import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
 
 
 def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(load_table(spark, sf, "documents", ["doc_id", "text"]), 40)
 
 
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
+def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """All turns of ``conversations``: the vocabulary's own ids (BPE merges), the Viterbi ids, and the decoded text."""
+    turns = load_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    table = pieces.piece_table(spark, piece_model())
+    both = pieces.encode(pieces.encode(turns, table, method="viterbi", out_col="viterbi_ids"), table, method="bpe")
+    return pieces.decode(both, table).select("conv_id", "turn", "ids", "viterbi_ids", F.size("ids").alias("n_ids"),
+                                             F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+
+
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
     return packing.pack(docs, *byte_bpe())
@@ -32,10 +47,21 @@ def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
 
 
+def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scoring.score(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
 
 
+def piece_model() -> str:
+    """File of the public SentencePiece vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def byte_bpe() -> tuple[str, str]:
     """File and pre-tokenizer pattern of the public byte-level BPE vocabulary."""
     import public_tokenizers
@@ -51,10 +77,13 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_packing": op4_packing,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
