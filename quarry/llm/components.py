@@ -37,6 +37,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         now = pin(_small_star(_large_star(now)))
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
         state = tuple(seen)
     raise RuntimeError("components did not settle")

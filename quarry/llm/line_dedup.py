@@ -220,7 +220,7 @@ def _probe_local(index: DataFrame, shards: int):
 
 
 def _probe_routed(src: DataFrame, index: DataFrame, shards: int) -> DataFrame:
-    """(id, drops): per document the first digests of the keys it loses, decided at the keys' shards."""
+    """(id, __drops): per document the first digests of the keys it loses, decided at the keys' shards."""
     fields = [("h1", "<u8"), ("h2", "<u8"), ("id", "<i8")]
     schema = "shard int, " + ", ".join(f"{n} binary" for n, _ in fields)
 
@@ -244,7 +244,7 @@ def _probe_routed(src: DataFrame, index: DataFrame, shards: int) -> DataFrame:
         return pd.concat(out)
 
     told = index.groupBy("shard").cogroup(src.mapInArrow(ask, schema).groupBy("shard")).applyInPandas(answer, "id long, h long")
-    return told.groupBy("id").agg(F.collect_set("h").alias("drops"))  # a document's own lines
+    return told.groupBy("id").agg(F.collect_set("h").alias("__drops"))  # a document's own lines
 
 
 def _probed(docs: DataFrame, id_col: str, text_col: str, broadcast_bytes: int):
@@ -272,7 +272,7 @@ def _probed(docs: DataFrame, id_col: str, text_col: str, broadcast_bytes: int):
 
     def probe(rows, h1, h2, loff, long):
         drop = np.zeros(len(h1), bool)
-        for i, d in enumerate(K.column(rows, "drops").to_pylist()):
+        for i, d in enumerate(K.column(rows, "__drops").to_pylist()):
             if d:
                 a, b = loff[i], loff[i + 1]
                 drop[a:b] = long[a:b] & np.isin(h1[a:b].view(np.int64), np.asarray(d, np.int64))

@@ -31,7 +31,7 @@ from . import textkernel as K
 from .common import ready
 
 ORDER, CUTOFF, BACKOFF = 2, 2, 0.4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def _grams(texts, order: int):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ready
-from .tokens import encoder
+from .tokens import Encoder
 
 MIN_PIECE = 16
 
@@ -58,6 +58,7 @@ class Packer:
         return max(0, end - max(start, prompt))
 
     def add(self, item, length: int, prompt: int) -> None:
+        """Place a document; ``item`` is (document, ids, place of the first of these ids, ids in all)."""
         start, lim = 0, self.limits
         while start < length:
             n = self._longest(start, length, prompt, lim.tokens, lim.loss_tokens)
@@ -66,7 +67,8 @@ class Packer:
                 self.sequence += 1
                 start += n
             else:
-                self._push(item, start, length, prompt)
+                doc, ids, _, total = item
+                self._push((doc, ids[4 * start:], start, total), start, length, prompt)  # the rest of the ids is let go
                 break
         if len(self.items) >= 2 * self.pool:
             while len(self.items) > self.pool:
@@ -124,14 +126,14 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, limits: Limits = Li
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, pattern)
+        enc = Encoder(tokenizer_path, pattern)
         base = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 
         def emit(sequence, offset, item, start, length):
-            doc, ids = item
-            part = ids[4 * start:4 * (start + length)]
-            row = (doc, start, length, zlib.crc32(part), len(ids) // 4, base + sequence, offset)
+            doc, ids, at, total = item
+            part = ids[4 * (start - at):4 * (start - at + length)]
+            row = (doc, start, length, zlib.crc32(part), total, base + sequence, offset)
             rows.append(row + (np.frombuffer(part, "<u4").astype(np.int64),) if with_ids else row)
 
         def flush():
@@ -143,12 +145,12 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, limits: Limits = Li
         types = None
         for batch in batches:
             types = types or [batch.schema.field(0).type] + [pa.int64()] * 6 + [pa.list_(pa.int64())] * with_ids
-            for i in range(0, batch.num_rows, 256):
-                doc, prompt, text = (c.to_pylist() for c in batch.slice(i, 256).columns)
+            for i in range(0, batch.num_rows, 128):
+                doc, prompt, text = (c.to_pylist() for c in batch.slice(i, 128).columns)
                 for d, p, t in zip(doc, prompt, text):
                     before = enc.ids(p) if p else b""
                     ids = before + (enc.ids(t) if t else b"") + end
-                    packer.add((d, ids), len(ids) // 4, len(before) // 4)
+                    packer.add((d, ids, 0, len(ids) // 4), len(ids) // 4, len(before) // 4)
                 if len(rows) >= 4096:
                     yield flush()
         if types:

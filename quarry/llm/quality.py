@@ -112,20 +112,15 @@ def _margin(model: Model, data, offs, wh, woff) -> np.ndarray:
     return out
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rows, data, offs in K.text_chunks(batch):
-            s, e, woff = K.words(data, offs)
-            w, wo, g, go = _slots(data, offs, K.FIRST.ranges(K.FIRST.prefix(data), s, e), woff)
-            idx, val = [], []
-            for i in range(rows.num_rows):
-                parts = [np.unique(x[o[i]:o[i + 1]] + base, return_counts=True)
-                         for x, o, base in ((w, wo, 0), (g, go, DIMS))]
-                idx.append(np.concatenate([p[0] for p in parts]))
-                val.append(np.concatenate([SHARE * p[1] / max(p[1].sum(), 1) for p in parts]))
-            yield pa.RecordBatch.from_arrays(
-                [K.column(rows, "id"), K.column(rows, "label"), pa.array(idx, pa.list_(pa.int32())),
-                 pa.array(val, pa.list_(pa.float64()))], ["id", "label", "idx", "val"])
+def _sparse(text: str | None) -> tuple[list, list]:
+    """Slots and values of one document's features."""
+    batch = pa.RecordBatch.from_arrays([pa.array([text or ""])], ["text"])
+    _, data, offs = next(K.text_chunks(batch))
+    s, e, woff = K.words(data, offs)
+    w, _, g, _ = _slots(data, offs, K.FIRST.ranges(K.FIRST.prefix(data), s, e), woff)
+    parts = [np.unique(x + base, return_counts=True) for x, base in ((w, 0), (g, DIMS))]
+    return (np.concatenate([p[0] for p in parts]).tolist(),
+            np.concatenate([SHARE * p[1] / max(p[1].sum(), 1) for p in parts]).tolist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -140,15 +135,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .orderBy(F.xxhash64("id"), "id", "label").limit(max_rows))
     texts = ready(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "id")  # at most max_rows small rows
-    vec = F.udf(lambda i, v: SparseVector(2 * DIMS, i, v), VectorUDT())
-    data = (rows.select("id", "label", "text")
-            .mapInArrow(_features, "id long, label double, idx array<int>, val array<double>")
-            .select("label", vec("idx", "val").alias("features"),
+    vec = F.udf(lambda t: SparseVector(2 * DIMS, *_sparse(t)), VectorUDT())  # a row at a time, on the sample only
+    data = (rows.select("label", vec("text").alias("features"),
                     (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0).alias("held"))).persist()
     try:
         if data.where("not held").select("label").distinct().count() < 2:
             return None
-        lr = LogisticRegression(maxIter=40, regParam=1e-3, standardization=False).fit(data.where("not held"))
+        lr = LogisticRegression(maxIter=60, regParam=1e-4, standardization=False).fit(data.where("not held"))
         margins = lr.transform(data.where("held")).select(
             "label", array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features")).persist()
         scale, shift = 1.0, 0.0

@@ -58,10 +58,6 @@ def units(data: np.ndarray, offs: np.ndarray):
     return s[first], e[last - 1], last - first, h[0], h[1], np.searchsorted(first, woff)
 
 
-def _text_key(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    return K.SECOND.ranges(K.SECOND.prefix(data), offs[:-1], offs[1:]).view(np.int64)
-
-
 def _unit_rows(docs: DataFrame, only: "object | None" = None) -> DataFrame:
     """(id, tkey, place, h1, h2) of every unit; with ``only``, of units whose digest may be in that filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +68,7 @@ def _unit_rows(docs: DataFrame, only: "object | None" = None) -> DataFrame:
                 per = np.diff(uoff)
                 row = np.repeat(np.arange(len(per)), per)
                 place = np.arange(len(row)) - uoff[:-1][row]
-                cols = [K.column(rows, "id").to_numpy()[row], _text_key(data, offs)[row], place,
+                cols = [K.column(rows, "id").to_numpy()[row], K.column(rows, "tkey").to_numpy()[row], place,
                         h1.view(np.int64), h2.view(np.int64)]
                 if bloom is not None:
                     hit = bloom.has(cols[3])
@@ -84,7 +80,8 @@ def _unit_rows(docs: DataFrame, only: "object | None" = None) -> DataFrame:
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tkey, places): per document the sorted places of units that occur earlier elsewhere."""
-    src = ready(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    src = ready(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                             F.xxhash64(F.col(text_col).cast("string")).alias("tkey")).where("id is not null")
     rank = F.struct("id", "tkey", "place")
     firsts = (_unit_rows(src).groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
               .where("first != last").select("h1", "h2", "first"))
@@ -132,16 +129,10 @@ def _without(data: np.ndarray, a: int, b: int, cuts) -> bytes:
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The documents with ``__places`` of their repeated units."""
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, offs in K.text_chunks(batch, text_col):
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(_text_key(data, offs))], [*rows.schema.names, "__tkey"])
-
     found = repeats(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("tkey").alias("__tkey"),
                                                    F.col("places").alias("__places"))
-    keyed = ready(docs).mapInArrow(key, T.StructType([*docs.schema.fields, T.StructField("__tkey", T.LongType())]))
-    return (keyed.withColumn("__id", F.col(id_col).cast("long")).join(found, ["__id", "__tkey"], "left")
-            .select(*docs.columns, "__places"))
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__tkey": F.xxhash64(F.col(text_col).cast("string"))})
+    return keyed.join(found, ["__id", "__tkey"], "left").select(*docs.columns, "__places")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

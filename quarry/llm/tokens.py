@@ -12,7 +12,7 @@ import json
 
 import numpy as np
 
-CACHE_UNITS = 300_000
+CACHE_UNITS = 120_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -34,6 +34,9 @@ def _engine(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+_ENGINES: dict = {}
+
+
 class _Units(dict):
     """unit -> little-endian uint32 ids of prefix + unit; None where the unit does not stand alone."""
 
@@ -52,7 +55,9 @@ class _Units(dict):
 
 class Encoder:
     def __init__(self, path: str, pattern: str):
-        self.encode = _engine(path, pattern).encode_ordinary
+        if (path, pattern) not in _ENGINES:  # once per worker process; the caches live as long as the encoder
+            _ENGINES[path, pattern] = _engine(path, pattern)
+        self.encode = _ENGINES[path, pattern].encode_ordinary
         self.first, self.rest = _Units(self.encode, ""), _Units(self.encode, " ")
         self.feed = np.asarray(self.encode("\n"), "<u4").tobytes()
 
@@ -70,13 +75,3 @@ class Encoder:
             return b"".join(parts)
         except TypeError:  # a unit that does not stand alone
             return np.asarray(self.encode(text), "<u4").tobytes()
-
-
-_LOADED: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder(path: str, pattern: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Encoder(path, pattern)
-    return _LOADED[path, pattern]
