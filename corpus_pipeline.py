@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import jaccard_join, line_dedup, packing, quality, substring_dedup
-from quarry.llm.common import pin
+from quarry.llm.common import pin, small_batches
 from quarry.llm.queries import byte_bpe
 from quarry.sources.tables import load_table
 
@@ -35,23 +35,27 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.fit(docs, load_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+    model = quality.fit(docs, load_table(small_batches(spark), sf_dir, "labels", ["doc_id", "quality"]))
     return quality.keep_good(docs, model)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _counted(line_dedup.dedup_texts(docs))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_join.representatives(docs)
 
 
 def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _counted(substring_dedup.dedup_texts(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, *byte_bpe())
 
 

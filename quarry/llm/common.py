@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import materialize, ship_package
@@ -15,6 +15,20 @@ from quarry.session import materialize, ship_package
 from .textkernel import Bloom
 
 
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Lower the session's Arrow batch to ``ARROW_ROWS`` rows: whole documents make long rows.
+
+    A session setting, so it is made where a query or a pipeline stage begins, not inside operators.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+    return spark
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write once under the shared checkpoint folder and read back: computed once, lineage cut."""
     return materialize(df, how="table")
@@ -26,12 +40,6 @@ def ready(df: DataFrame) -> DataFrame:
     return df
 
 
-def partitions_for(df: DataFrame, units: int, per_partition: int) -> int:
-    """Partitions for ``units`` of work at ``per_partition`` each, at least the session's shuffle count."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-int(units) // per_partition))
-
-
 def bloom_of(ids: DataFrame, col: str, bits: int) -> Bloom:
     """Bloom filter of an id column: one filter per task, merged on the driver pairwise by Spark.
 

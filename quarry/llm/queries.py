@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from quarry.sources.tables import load_table
 
 from . import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
+from .common import small_batches
 
 
 def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    return sharding.shard(load_table(spark, sf, "documents", ["doc_id", "text"]), 40)
+    return sharding.shard(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]), 40)
 
 
 def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    pages = load_table(small_batches(spark), sf, "pages", ["page_id", "url", "html"])
     return html_extract.extract(pages, html_extract.fit(pages))
 
 
 def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """All turns of ``conversations``: the vocabulary's own ids (BPE merges), the Viterbi ids, and the decoded text."""
-    turns = load_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    turns = load_table(small_batches(spark), sf, "conversations", ["conv_id", "turn", "text"])
     table = pieces.piece_table(spark, piece_model())
     both = pieces.encode(pieces.encode(turns, table, method="viterbi", out_col="viterbi_ids"), table, method="bpe")
     return pieces.decode(both, table).select("conv_id", "turn", "ids", "viterbi_ids", F.size("ids").alias("n_ids"),
@@ -31,28 +32,28 @@ def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    docs = load_table(small_batches(spark), sf, "documents", ["doc_id", "text"])
     return packing.pack(docs, *byte_bpe())
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard_join.join(load_table(spark, sf, "documents", ["doc_id", "text"]))
+    return jaccard_join.join(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]))
 
 
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return exact_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
+    return exact_dedup.dedup(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]))
 
 
 def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return substring_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
+    return substring_dedup.dedup(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]))
 
 
 def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    return lm_scoring.score(load_table(spark, sf, "documents", ["doc_id", "text"]))
+    return lm_scoring.score(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]))
 
 
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return line_dedup.dedup(load_table(spark, sf, "documents", ["doc_id", "text"]))
+    return line_dedup.dedup(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]))
 
 
 def piece_model() -> str:
@@ -70,8 +71,8 @@ def byte_bpe() -> tuple[str, str]:
 
 
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    model = quality.fit(docs, load_table(spark, sf, "labels", ["doc_id", "quality"]))
+    docs = load_table(small_batches(spark), sf, "documents", ["doc_id", "text"])
+    model = quality.fit(docs, load_table(small_batches(spark), sf, "labels", ["doc_id", "quality"]))
     return quality.apply_rules(docs, model)
 
 
