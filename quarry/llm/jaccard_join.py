@@ -13,7 +13,8 @@ any order gives the same result, a good one puts common shingles last. The order
    and returns the rest. Pairs that are not yet in one component count their shared prefix shingles per
    fragment; the counts are summed per pair, and a pair whose sum cannot reach the threshold is dropped.
 4. The surviving pairs count overlaps fragment by fragment over their whole sets, summed per pair, and
-   link when ``100 * overlap >= 80 * union``, in integers. Components of all links give the classes.
+   link when ``100 * overlap >= 80 * union``, in integers: first each document's most promising pair, then
+   every pair still between two components. Components of all links give the classes.
 
 Nothing is sampled or capped; the seeds only save work. Sets travel only for documents that occur in a
 candidate pair (a Bloom filter of fixed size selects them; a false hit is dropped by the join).
@@ -45,7 +46,7 @@ SKETCH_CELLS, SKETCH_BLOCKS = 1 << 20, 64
 MINIMA, BAND = 32, 3
 BLOOM_BITS = 1 << 25
 BLOCK_TOKENS = 1_000_000
-OVERLAP_FRAGMENTS = 4
+OVERLAP_FRAGMENTS = 2
 
 
 def _need(a, b):
@@ -161,8 +162,10 @@ def _seed_pairs(reps: DataFrame) -> DataFrame:
     # The hub of a key is the holder whose keys are the most common: close to the middle of a group of copies.
     weight = keyed.groupBy("rep").agg(F.sum("k").alias("weight"))
     keyed = keyed.join(weight, "rep")
-    hubs = keyed.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep"))["rep"].alias("a"))
-    return keyed.join(hubs, "key").where("a != rep").select("a", F.col("rep").alias("b")).distinct()
+    hubs = keyed.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("order"), "rep")).alias("hub"))
+    # One pair for each document, with the heaviest hub of its keys.
+    best = keyed.join(hubs, "key").groupBy("rep").agg(F.min("hub")["rep"].alias("a"))
+    return best.where("a != rep").select("a", F.col("rep").alias("b"))
 
 
 def _shared_prefixes(docs: DataFrame, reps: DataFrame, order: np.ndarray, fragments: int) -> DataFrame:
@@ -244,7 +247,22 @@ def _rest_pairs(shared: DataFrame, comps: DataFrame) -> DataFrame:
         f"a < b and component_a != component_b and {DEN} * n_a >= {NUM} * n_b and {DEN} * n_b >= {NUM} * n_a and "
         f"((end_a <= end_b and most_a + {room['a']} >= {need}) or (end_b <= end_a and most_b + {room['b']} >= {need}))")
     sums = met.groupBy("a", "b", "n_a", "n_b", "end_a", "end_b").agg(F.count("*").alias("c"))
-    return sums.where(f"(end_a <= end_b and c + {room['a']} >= {need}) or (end_b <= end_a and c + {room['b']} >= {need})").select("a", "b")
+    return sums.where(f"(end_a <= end_b and c + {room['a']} >= {need}) or (end_b <= end_a and c + {room['b']} >= {need})").select("a", "b", "c")
+
+
+def _best_pairs(pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, c), the one with the largest count for each document: linear in a group of copies."""
+    first = F.max_by(F.struct("a", "b"), F.struct("c", -F.col("a"), -F.col("b"))).alias("p")
+    best = pairs.groupBy("a").agg(first).select("p.*").union(
+        pairs.groupBy(F.col("b").alias("own")).agg(first).select("p.*"))
+    return best.distinct()
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose documents are not yet in one component."""
+    for x in "ab":
+        pairs = pairs.join(comps.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left")
+    return pairs.where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,11 +280,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     fragments = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimate_partitions(docs, 32 << 20))
     shared = pin(_shared_prefixes(named, reps, _order_table(profiles), fragments))
     rest = pin(_rest_pairs(shared, known))
-    second = _links(named, rest)
+    second = pin(_links(named, pin(_best_pairs(rest))))
+    third = _links(named, pin(_apart(rest, components(first.union(second)))))
     # Rows that share an id but not a set tie their classes together.
     own = rows.where("id is not null and n > 0").join(reps.select("digest", "rep"), "digest")
     ties = own.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    final = components(first.union(second).union(ties)).withColumnRenamed("node", "id")
+    final = components(first.union(second).union(third).union(ties)).withColumnRenamed("node", "id")
     return (rows.join(final, "id", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
