@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("csv_glob"), b.add_argument("--servers", required=True), b.add_argument("--topic", required=True)
 
     lc = sub.add_parser("line-counts", help="files -> one report line per file")
-    lc.add_argument("path"), lc.add_argument("--mode", default="auto", choices=["auto", "exact", "scan"])
+    lc.add_argument("path")
     lc.add_argument("--output", default=None)
 
     a = sub.add_parser("anomaly-stream", help="topic of bars -> stateful anomaly rules -> alerts")
@@ -65,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "bars-to-topic":
         jobs.bars_to_topic_job(spark, args.csv_glob, args.servers, args.topic)
     elif args.job == "line-counts":
-        out = jobs.line_count_job(spark, args.path, args.mode)
+        out = jobs.line_count_job(spark, args.path)
         if args.output:
             sinks.write_json(out, args.output, mode="overwrite")
         else:

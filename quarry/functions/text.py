@@ -43,3 +43,10 @@ def file_stem(path: Column) -> Column:
 
 def report_line(path: Column, n: Column) -> Column:
     return F.format_string(REPORT_FORMAT, path, n)
+
+
+def plain_path(path: Column, decode: bool = True) -> Column:
+    """A path as its owner writes it: URL escapes of ``_metadata.file_path`` undone once, no ``file:`` scheme."""
+    if decode:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^file:/*(?=/)", "")

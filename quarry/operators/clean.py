@@ -64,11 +64,11 @@ def load_bars(
     ``dir`` = the folder holding it (the value after ``=`` for ``k=v`` folders).
     Returns ``(good, rejected)`` as ``clean_bars``.
     """
-    from quarry.functions.text import file_stem
+    from quarry.functions.text import file_stem, plain_path
     from quarry.sources.files import BAR_TEXT_SCHEMA, read_csv
 
     raw = read_csv(spark, path, schema or BAR_TEXT_SCHEMA, header=True)
-    fp = F.col("_metadata.file_path")
+    fp = plain_path(F.col("_metadata.file_path"))
     if ticker_from == "stem":
         raw = raw.withColumn("stock_ticker", file_stem(fp))
     elif ticker_from == "dir":

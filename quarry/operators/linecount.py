@@ -7,12 +7,12 @@ empty text has no lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.functions.json import parse_json
-from quarry.functions.text import LINE_BREAK, line_count, report_line
+from quarry.functions.text import LINE_BREAK, line_break_count, line_count, plain_path, report_line
 
 # The text reader already splits on \n, \r and \r\n; these are the other boundaries.
 _EXTRA_BREAKS = r"[\x{0B}\x{0C}\x{1C}\x{1D}\x{1E}\x{85}\x{2028}\x{2029}]"
@@ -46,55 +46,58 @@ def count_file_lines(files: DataFrame, exclude: str | None = None) -> tuple[Data
     return good, rejected
 
 
-# Fixed value: files up to this size are counted whole by mode="auto".
-WHOLE_FILE_LIMIT = 64 << 20
-
-
-def _scan_counts(spark: SparkSession, path: str, glob: str | None, min_size: int | None = None) -> DataFrame:
-    r = spark.read.option("recursiveFileLookup", "true")
+def count_lines(
+    spark: SparkSession, path: str, glob: str | None = None, manifest: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``(counts, rejected)``: (path, n_lines) and (path, reason) of every file under ``path``.
+
+    One exact scan for files of any size. The splittable text source cuts at line feeds only, so a huge
+    file is spread over many tasks; the other boundaries are counted in each row (a carriage return
+    before a line feed belongs to it). A file's last row ends without a line feed when its rows and
+    their line feeds are one byte longer than the file; if that row ends in another boundary, no
+    further line follows. Files that are not UTF-8 are rejected. Zero-length files are not listed by
+    Spark's file sources; pass ``manifest`` (a ``path`` column) to report them with 0. Manifest entries
+    that do not exist also count 0, and rejected files stay rejected.
+    """
+    r = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    lines = r.text(path)
-    if min_size is not None:
-        lines = lines.where(F.col("_metadata.file_size") > min_size)  # prunes files, not rows
-    lines = lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.regexp_count(F.col("value"), F.lit(_EXTRA_BREAKS)).alias("_extra"),
+    row = F.col("value")
+    rows = r.text(path).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_size").alias("_size"),
+        (F.octet_length(row) + 1).cast("bigint").alias("_bytes"),
+        (line_break_count(F.regexp_replace(row, r"\r\z", "")) + 1).alias("_lines"),
+        row.rlike(_EXTRA_BREAKS + r"\z").alias("_ends"),
+        F.is_valid_utf8(row).alias("_ok"),
+        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"),
+    )
+    files = rows.groupBy("path").agg(
+        F.min("_ok").alias("_ok"), F.sum("_lines").alias("_lines"), F.max_by("_ends", "_at").alias("_ends"),
+        (F.sum("_bytes") - F.max("_size")).alias("_over"),
     )
-    return lines.groupBy("path").agg((F.count(F.lit(1)) + F.sum("_extra")).cast("bigint").alias("n_lines"))
+    # A byte order mark (3 bytes) is not part of the first row.
+    open_end = F.col("_over").isin(1, -2) & F.col("_ends")
+    counts = files.where("_ok").select("path", counts_of(open_end).cast("bigint").alias("n_lines"))
+    rejected = files.where("not _ok").select("path", F.lit("invalid utf-8").alias("reason"))
+    if manifest is not None:
+        known = manifest.select("path", plain_path(F.col("path"), decode=False).alias("_p"))
+        every = files.select(F.col("path").alias("_p"), "_ok", counts_of(open_end).alias("n_lines"))
+        counts = (known.join(every, "_p", "left").where("_ok is null or _ok")
+                  .select("path", F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines")))
+    return counts, rejected
+
+
+def counts_of(open_end: Column) -> Column:
+    """Lines of a file: one less when its open last row ends in a boundary."""
+    return F.col("_lines") - F.when(open_end, 1).otherwise(0)
 
 
 def line_counts(
-    spark: SparkSession,
-    path: str,
-    mode: str = "auto",
-    glob: str | None = None,
-    manifest: DataFrame | None = None,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
+    spark: SparkSession, path: str, glob: str | None = None, manifest: DataFrame | None = None
 ) -> DataFrame:
-    """(path, n_lines) for every file under ``path``.
-
-    ``exact`` reads each file whole (bounded by Spark's binary-file length
-    limit). ``scan`` reads lines with the splittable text source, so one huge
-    file is spread over many tasks, and adds the boundaries the reader does not
-    split on; it can be one too high when an unterminated last line ends in
-    such a boundary. ``auto`` counts files up to ``whole_file_limit`` bytes
-    exactly and scans the larger ones; both sides prune by size before reading.
-    Zero-length files are not listed by Spark's file sources; pass ``manifest``
-    (a ``path`` column) to report them with 0.
-    """
-    if mode == "exact":
-        out, _ = count_file_lines(read_files(spark, path, glob))
-    elif mode == "scan":
-        out = _scan_counts(spark, path, glob)
-    elif mode == "auto":
-        small, _ = count_file_lines(read_files(spark, path, glob).where(F.col("length") <= whole_file_limit))
-        out = small.unionByName(_scan_counts(spark, path, glob, min_size=whole_file_limit))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    if manifest is not None:
-        out = manifest.select("path").join(out, "path", "left").fillna(0, ["n_lines"])
-    return out
+    """(path, n_lines) of every readable file under ``path``; ``count_lines`` also returns the rejects."""
+    return count_lines(spark, path, glob, manifest)[0]
 
 
 def with_report(counts: DataFrame) -> DataFrame:
@@ -107,20 +110,22 @@ EVENT_SCHEMA = StructType([StructField("bucket", StringType()), StructField("fil
 
 
 def line_counts_from_events(
-    events: DataFrame, files: DataFrame, value_col: str = "value"
+    events: DataFrame, files: DataFrame, value_col: str = "value", root: str = ""
 ) -> tuple[DataFrame, DataFrame]:
     """File-event messages ``{"bucket", "file"}`` -> per-file line counts.
 
-    ``files`` is a whole-file frame (``read_files``) over the buckets. Events
+    ``files`` is a whole-file frame (``read_files``) over the buckets, and ``root`` what stands before a
+    bucket's name in its paths (``gs://``, ``hdfs:///data/``). Events
     are matched to files by path in a join, so nothing is listed or read on
     the driver. Returns ``(counts, rejected)``; rejected holds malformed
     messages, events whose file is missing, and files that are not UTF-8.
     """
     good, bad = parse_json(events, value_col, EVENT_SCHEMA)
     wanted = good.select(
-        F.concat_ws("/", F.regexp_replace("bucket", "/+$", ""), F.regexp_replace("file", "^/+", "")).alias("path")
+        plain_path(F.concat(F.lit(root), F.regexp_replace("bucket", "/+$", ""), F.lit("/"), F.regexp_replace("file", "^/+", "")),
+                   decode=False).alias("path")
     ).distinct()
-    files = files.withColumn("path", F.regexp_replace("path", "^file:", ""))
+    files = files.withColumn("path", plain_path(F.col("path"), decode=False))
     counted, unreadable = count_file_lines(files.join(wanted, "path", "left_semi"))
     # Only the listing is needed here: a path-only scan does not read contents.
     missing = wanted.join(files.select("path"), "path", "left_anti")
@@ -133,6 +138,6 @@ def line_counts_from_events(
 
 
 __all__ = [
-    "LINE_BREAK", "with_line_count", "read_files", "count_file_lines", "line_counts",
+    "LINE_BREAK", "with_line_count", "read_files", "count_file_lines", "count_lines", "line_counts",
     "with_report", "line_counts_from_events", "EVENT_SCHEMA",
 ]

@@ -32,7 +32,7 @@ def global_positions(
     the broadcast offset table has one row per partition.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or estimate_partitions(df)
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

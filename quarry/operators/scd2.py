@@ -54,6 +54,23 @@ def check_keys(df: DataFrame, keys: list[str], on_bad_keys: str = "error", what:
     raise ValueError(f"unknown on_bad_keys {on_bad_keys!r}")
 
 
+def split_active(active: DataFrame, source: DataFrame, keys: list[str], on_bad_keys: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(active, untouched, source): open rows to merge, open rows with bad keys, source rows without those keys.
+
+    ``drop`` never removes a stored version: open rows with a null or repeated key stay as they are, and
+    source rows for such a key are left out, since it is not known which open row they would close.
+    """
+    if on_bad_keys != "drop":
+        return check_keys(active, keys, on_bad_keys, "active target"), active.limit(0), source
+    good = check_keys(active, keys, "drop", "active target")
+    per_key = active.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bad = per_key.where(any_null | (F.col("_n") > 1)).select(*keys)
+    untouched = active.alias("a").join(bad.alias("b"), same, "left_semi")
+    return good, untouched, source.join(bad, keys, "left_anti")
+
+
 def _same(cols: list[str], left: str, right: str) -> Column:
     if not cols:
         return F.lit(True)
@@ -90,7 +107,7 @@ def scd2_merge(
 
     is_open = F.col(end_col).eqNullSafe(sent)
     history = target.where(~is_open)
-    active = check_keys(target.where(is_open), keys, on_bad_keys, "active target")
+    active, untouched, source = split_active(target.where(is_open), source, keys, on_bad_keys)
 
     t = active.withColumn("_in_t", F.lit(True)).alias("t")
     s = source.withColumn("_in_s", F.lit(True)).alias("s")
@@ -134,6 +151,7 @@ def scd2_merge(
     )
     id_type = target.schema[id_col].dataType
     return (
-        history.unionByName(old)
+        history.unionByName(untouched)
+        .unionByName(old)
         .unionByName(fresh.withColumn(id_col, F.col(id_col).cast(id_type)))
     )

@@ -72,25 +72,34 @@ def anomaly_stream_job(
     alerts_path: str | None = None,
     watermark: str = "15 minutes",
     trigger: dict | None = None,
+    rejects_path: str | None = None,
 ):
     """Topic of stock messages -> stateful anomaly rules -> volume alerts.
 
     Alerts go to a topic (keyed by ticker) or to JSON files; both stay
     distributed and are checkpointed, so a restart neither loses nor repeats
-    a committed micro-batch.
+    a committed micro-batch. With ``rejects_path``, malformed messages and bars
+    without a time or a ticker are written there as JSON, and both query handles
+    are returned.
     """
     from quarry.sources.tables import to_event_time
-    from quarry.streaming.anomalies import detect_anomalies_stream
+    from quarry.streaming.anomalies import detect_anomalies_stream, incomplete
     from quarry.streaming.runner import start
 
     raw = topics.read_topic(spark, source_options, stream=True)
-    good, _ = clean.parse_messages(raw)
+    good, bad = clean.parse_messages(raw)
     bars = to_event_time(good.withColumn("event_id", F.lit(0).cast("bigint")), "timestamp")
     flagged = detect_anomalies_stream(bars, watermark)
     alerts = ticks.alert_messages(flagged)
     if alerts_sink_options:
-        return start(alerts, checkpoint, sink="kafka", options=alerts_sink_options, trigger=trigger)
-    return start(alerts, checkpoint, sink="json", path=alerts_path, trigger=trigger)
+        query = start(alerts, checkpoint, sink="kafka", options=alerts_sink_options, trigger=trigger)
+    else:
+        query = start(alerts, checkpoint, sink="json", path=alerts_path, trigger=trigger)
+    if rejects_path is None:
+        return query
+    lost = incomplete(bars).select(F.to_json(F.struct(*bars.columns)).alias("raw_value"))
+    rejects = bad.select("raw_value").unionByName(lost)
+    return query, start(rejects, f"{checkpoint}-rejects", sink="json", path=rejects_path, trigger=trigger)
 
 
 def sliding_count_stream_job(
@@ -104,9 +113,9 @@ def sliding_count_stream_job(
     return sliding_counts_stream(raw, checkpoint, "timestamp", size, slide, watermark, "update", path, sink)
 
 
-def line_count_job(spark: SparkSession, path: str, mode: str = "auto") -> DataFrame:
+def line_count_job(spark: SparkSession, path: str) -> DataFrame:
     """Files -> one report line per file."""
-    return linecount.with_report(linecount.line_counts(spark, path, mode=mode))
+    return linecount.with_report(linecount.line_counts(spark, path))
 
 
 def tune_tree_job(

@@ -90,6 +90,7 @@ ORACLE = {
     "line_counts": f"SELECT doc_id, CAST({_lines('text')} AS BIGINT) AS n_lines FROM documents",
     "line_counts_files": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
     "line_counts_scan": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
+    "line_counts_default": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
     "sliding_counts": """
 WITH w AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS b FROM events),

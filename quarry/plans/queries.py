@@ -167,13 +167,13 @@ def _doc_id_from_path(col="path"):
 
 def q_line_counts_files(spark, sf):
     root = write_documents_as_files(spark, sf)
-    counts = linecount.line_counts(spark, root, mode="exact", glob="*.txt")
+    counts = linecount.count_file_lines(linecount.read_files(spark, root, "*.txt"))[0]
     return counts.select(_doc_id_from_path(), "n_lines")
 
 
 def q_line_counts_scan(spark, sf):
     root = write_documents_as_files(spark, sf)
-    counts = linecount.line_counts(spark, root, mode="scan", glob="*.txt")
+    counts = linecount.line_counts(spark, root, glob="*.txt")
     return counts.select(_doc_id_from_path(), "n_lines")
 
 
@@ -474,6 +474,7 @@ QUERIES = {
     "line_counts": q_line_counts,
     "line_counts_files": q_line_counts_files,
     "line_counts_scan": q_line_counts_scan,
+    "line_counts_default": q_line_counts_scan,
     "sliding_counts": q_sliding_counts,
     "scd2_merge": q_scd2_merge,
     "scd2_merge_sql": q_scd2_merge_sql,

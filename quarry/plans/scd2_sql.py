@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.operators.scd2 import SENTINEL, check_keys
+from quarry.operators.scd2 import SENTINEL, check_keys, split_active
 from quarry.session import estimate_partitions, materialize
 
 
@@ -44,6 +44,8 @@ def scd2_merge_sql(
     sent = f"CAST('{sentinel}' AS {ts_type})"
     asof = f"CAST('{as_of}' AS {ts_type})"
     source = check_keys(source, keys, on_bad_keys, "source")
+    active = spark.sql(f"SELECT * FROM {{target}} WHERE {_q(end_col)} <=> {sent}", target=target)
+    active, untouched, source = split_active(active, source, keys, on_bad_keys)
 
     max_id = spark.sql(
         f"SELECT COALESCE(MAX({_q(id_col)}), 0) AS m FROM {{target}}", target=target
@@ -58,11 +60,11 @@ def scd2_merge_sql(
                CASE WHEN t._in_t IS NULL THEN 'insert'
                     WHEN s._in_s IS NULL THEN 'delete'
                     WHEN {same} THEN 'keep' ELSE 'change' END AS _kind
-        FROM (SELECT *, TRUE AS _in_t FROM {{target}} WHERE {_q(end_col)} <=> {sent}) t
+        FROM (SELECT *, TRUE AS _in_t FROM {{active}}) t
         FULL OUTER JOIN (SELECT *, TRUE AS _in_s FROM {{source}}) s ON {on}"""
 
     # Pinned once: both the numbering and the final union read it.
-    classified_df = materialize(spark.sql(classified, target=target, source=source), pin)
+    classified_df = materialize(spark.sql(classified, active=active, source=source), pin)
     n = num_partitions or estimate_partitions(classified_df)
     new_cols = [c for c in tcols if c in scols and c not in (id_col, start_col, end_col)]
     order = ", ".join(["_grp"] + [_q(k) for k in keys])
@@ -97,8 +99,10 @@ def scd2_merge_sql(
                                                     AND 1 PRECEDING), 0) AS _off FROM counts)
         SELECT {", ".join(_q(c) for c in tcols)} FROM {{target}} WHERE NOT ({_q(end_col)} <=> {sent})
         UNION ALL
+        SELECT {", ".join(_q(c) for c in tcols)} FROM {{untouched}}
+        UNION ALL
         SELECT {", ".join(out_col(c, True) for c in tcols)} FROM {{classified}} j WHERE _in_t
         UNION ALL
         SELECT /*+ BROADCAST(o) */ {", ".join(new_col(c) for c in tcols)}
         FROM {{ranked}} r JOIN offs o ON shiftright(r._mid, 33) = o._pid"""
-    return spark.sql(final, target=target, classified=classified_df, ranked=ranked)
+    return spark.sql(final, target=target, untouched=untouched, classified=classified_df, ranked=ranked)

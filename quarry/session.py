@@ -52,13 +52,15 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Taken from ``spark.checkpoint.dir``; only when it is unset (tests) a fresh
-    private folder is created and registered.
+    Taken from ``spark.checkpoint.dir``. Only a local master (tests) may leave it unset and gets
+    a fresh private folder; on a cluster every machine would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="quarry-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)

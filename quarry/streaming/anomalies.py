@@ -114,6 +114,11 @@ class TickHistory(StatefulProcessor):
         pass
 
 
+def incomplete(ticks: DataFrame, key: str = "stock_ticker", ts: str = "timestamp") -> DataFrame:
+    """The bars that ``detect_anomalies_stream`` leaves out: no event time or no ticker."""
+    return ticks.where(F.col(ts).isNull() | F.col(key).isNull())
+
+
 def detect_anomalies_stream(
     ticks: DataFrame,
     watermark: str,
@@ -138,7 +143,8 @@ def detect_anomalies_stream(
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     key_type = ticks.schema[key].dataType
-    inp = ticks.withWatermark(ts, watermark).select(
+    # A bar without a time or a ticker has no place in any series; ``incomplete`` returns such bars.
+    inp = ticks.where(F.col(ts).isNotNull() & F.col(key).isNotNull()).withWatermark(ts, watermark).select(
         key,
         ts,
         F.unix_micros(F.col(ts)).alias("ts_us"),

@@ -42,14 +42,41 @@ def test_manifest_reports_empty_files(spark):
     assert got["e.txt"] == 0 and got["a.txt"] == 3
 
 
-def test_scan_mode_matches_exact_for_terminated_files(spark):
+EDGES = {
+    "open vt.txt": b"a\x0b", "nel.txt": "one\ntwo\x85".encode(), "100%.txt": b"a\r\nb\r\n", "a+b.txt": b"a\rb\r", "cr.txt": b"x\n\r",
+    "blank.txt": b"\n\n", "ls.txt": "p\u2028q".encode(), "bom.txt": b"\xef\xbb\xbfa\nb\x0c", "long.txt": b"line\r\nother\x0bthird\n" * 400 + b"end\x1d",
+    "bad one.txt": b"fine\n" * 300 + b"\xff\xfe\n",
+}
+
+
+def test_one_exact_count_for_every_size_and_split(spark):
     d = tempfile.mkdtemp(prefix="quarry-lc-")
-    texts = {"p.txt": "a\nb\x0bc\n\nd\r\ne\n", "q.txt": "x y\n", "r.txt": "single\n"}
-    for n, t in texts.items():
-        with open(os.path.join(d, n), "w", encoding="utf-8", newline="") as f:
-            f.write(t)
-    scan = {os.path.basename(r["path"]): r["n_lines"] for r in linecount.line_counts(spark, d, mode="scan").collect()}
-    assert scan == {n: len(t.splitlines()) for n, t in texts.items()}
+    for n, data in EDGES.items():
+        with open(os.path.join(d, n), "wb") as f:
+            f.write(data)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("128m", "700b", "64b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            counts, rejected = linecount.count_lines(spark, d)
+            got = {r["path"]: r["n_lines"] for r in counts.collect()}
+            assert got == {os.path.join(d, n): len(x.decode("utf-8-sig").splitlines()) for n, x in EDGES.items() if n != "bad one.txt"}
+            assert [r["path"] for r in rejected.collect()] == [os.path.join(d, "bad one.txt")]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    manifest = spark.createDataFrame([(f"file:{d}/{n}",) for n in ("bad one.txt", "100%.txt", "empty.txt")], "path string")
+    got = {r["path"]: r["n_lines"] for r in linecount.line_counts(spark, d, manifest=manifest).collect()}
+    assert got == {f"file:{d}/100%.txt": 2, f"file:{d}/empty.txt": 0}
+
+
+def test_bare_buckets_under_a_root(spark):
+    files = spark.createDataFrame([("gs://bkt/a b.txt", b"x\ny"), ("gs://other/a.txt", b"z")], "path string, content binary")
+    ev = spark.createDataFrame([('{"bucket": "bkt", "file": "a b.txt"}',), ('{"bucket": "bkt", "file": "no.txt"}',)], "value string")
+    counts, rejected = linecount.line_counts_from_events(ev, files, root="gs://")
+    assert [tuple(r) for r in counts.collect()] == [("gs://bkt/a b.txt", 2)]
+    assert [(r["path"], r["reason"]) for r in rejected.collect()] == [("gs://bkt/no.txt", "missing")]
 
 
 def test_events_route_malformed_and_missing(spark):
@@ -71,17 +98,3 @@ def test_events_route_malformed_and_missing(spark):
 def test_report_line(spark):
     df = spark.createDataFrame([("/data/in/input.txt", 4)], "path string, n_lines long")
     assert linecount.with_report(df).first()["report"] == "Number of lines in /data/in/input.txt: 4"
-
-
-def test_auto_mode_splits_by_size(spark):
-    d = tempfile.mkdtemp(prefix="quarry-lc-")
-    texts = {"small.txt": "a\nb\n", "big.txt": "x\n" * 5000 + "y\x0bz\n"}
-    for n, t in texts.items():
-        with open(os.path.join(d, n), "w", encoding="utf-8", newline="") as f:
-            f.write(t)
-    got = {os.path.basename(r["path"]): r["n_lines"]
-           for r in linecount.line_counts(spark, d, mode="auto", whole_file_limit=1000).collect()}
-    assert got == {n: len(t.splitlines()) for n, t in texts.items()}
-    plan = linecount.line_counts(spark, d, mode="auto", whole_file_limit=1000)._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "length" in plan and "file_size" in plan

@@ -89,6 +89,18 @@ def test_bad_keys(spark):
     assert got == sorted([(1, "a", "X", 1, T0, A), (2, "b", "B", 2, A, OPEN)], key=repr)
 
 
+def test_bad_stored_keys_survive_in_both_forms(spark):
+    target = spark.createDataFrame([(1, "a", "X", 1, T0, OPEN), (None, "n", "N", 2, T0, OPEN), (3, "c", "P", 3, T0, OPEN),
+                                    (3, "c", "Q", 4, T0, OPEN), (3, "c", "O", 5, T0, T0)], TS)
+    source = spark.createDataFrame([(1, "a", "Y"), (3, "c", "R"), (4, "d", "D")], "customer_id bigint, name string, city string")
+    for merge in (scd2_merge, lambda t, s, **kw: scd2_merge_sql(spark, t, s, **kw)):
+        with pytest.raises(BadKeysError):
+            merge(target, source, **ARGS)
+        got = rows(merge(target, source, on_bad_keys="drop", **ARGS))
+        assert got == sorted([(1, "a", "X", 1, T0, A), (1, "a", "Y", 6, A, OPEN), (None, "n", "N", 2, T0, OPEN), (3, "c", "P", 3, T0, OPEN),
+                              (3, "c", "Q", 4, T0, OPEN), (3, "c", "O", 5, T0, T0), (4, "d", "D", 7, A, OPEN)], key=repr)
+
+
 def test_invariants_on_customer(spark):
     c = spark.read.parquet(f"{SF1}/customer.parquet")
     target, source = derive.scd_target_from_customer(c), derive.scd_source_from_customer(c)
