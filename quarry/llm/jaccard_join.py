@@ -10,8 +10,8 @@ any order gives the same result, a good one puts common shingles last. The order
    copies with a number of pairs linear in the group.
 3. Each representative's prefix (the shingles that any partner must share at least one of) is cut at the
    fragment borders and sent to its fragments as packed arrays. A fragment drops shingles with one holder
-   and returns the rest. Pairs that are not yet in one component count their shared prefix shingles per
-   fragment; the counts are summed per pair, and a pair whose sum cannot reach the threshold is dropped.
+   and returns the rest. A document looks for partners outside its component by the rarest of them, as
+   many as a link calls for; a pair whose shared prefix shingles cannot reach the threshold is dropped.
 4. The surviving pairs count overlaps fragment by fragment over their whole sets, summed per pair, and
    link when ``100 * overlap >= 80 * union``, in integers: first each document's most promising pair, then
    every pair still between two components. Components of all links give the classes.
@@ -47,6 +47,7 @@ MINIMA, BAND = 32, 3
 BLOOM_BITS = 1 << 25
 BLOCK_TOKENS = 1_000_000
 OVERLAP_FRAGMENTS = 2
+SIZE_STEP = 1.1
 
 
 def _need(a, b):
@@ -226,28 +227,45 @@ def _shared_prefixes(docs: DataFrame, reps: DataFrame, order: np.ndarray, fragme
             .applyInPandas(shared, "token long, id long, n long, end long"))
 
 
+def _size_class(n):
+    return F.floor(F.log(n) / F.log(F.lit(SIZE_STEP))).cast("int")
+
+
 def _rest_pairs(shared: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components whose summed prefix overlap still allows a link.
+    """Pairs (a, b, c) of different components whose prefix overlap c still allows a link.
 
     Of a pair, let x be the document whose prefix ends first. All its prefix shingles that both hold are
-    in both prefixes, so the overlap is at most those plus what lies beyond x's prefix. x has ``most``
-    prefix shingles with any other holder, which bounds the overlap before the pair is counted.
+    in both prefixes, so the overlap is at most those plus what lies beyond x's prefix (``room``), and the
+    pair needs ``k = need - room`` of them. Only open shingles count, those held by two components. If x has
+    m of them, any m - k + 1 hold one that the pair shares: x looks for partners by its rarest ones alone.
+    ``k`` grows with the partner's size, so x does so once for each size class of partners. Shingles common
+    in a large group of near copies that do not link are thereby looked up by few of them.
     """
-    own = shared.groupBy("id", "n", "end").agg(F.count("*").alias("most"))
-    held = (shared.join(own, ["id", "n", "end"])
-            .join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
-            .select("token", "id", "n", "end", "most", F.coalesce("component", "id").alias("component")))
-    open_ = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("token")
-    held = pin(held.join(open_, "token"))
-    a, b = (held.select("token", F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "end", "most", "component")))
-            for x in "ab")
-    need = f"({NUM} * (n_a + n_b) + {DEN + NUM - 1}) div {DEN + NUM}"
-    room = {x: f"(({NUM} * n_{x} + {DEN - 1}) div {DEN} - 1)" for x in "ab"}  # shingles beyond the prefix
-    met = a.join(b, "token").where(
-        f"a < b and component_a != component_b and {DEN} * n_a >= {NUM} * n_b and {DEN} * n_b >= {NUM} * n_a and "
-        f"((end_a <= end_b and most_a + {room['a']} >= {need}) or (end_b <= end_a and most_b + {room['b']} >= {need}))")
-    sums = met.groupBy("a", "b", "n_a", "n_b", "end_a", "end_b").agg(F.count("*").alias("c"))
-    return sums.where(f"(end_a <= end_b and c + {room['a']} >= {need}) or (end_b <= end_a and c + {room['b']} >= {need})").select("a", "b", "c")
+    held = (shared.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
+            .select("token", "id", "n", "end", F.coalesce("component", "id").alias("component")))
+    open_ = (held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("holders"))
+             .where("lo != hi").select("token", "holders"))
+    # One row per document, with at most as many shingles as its prefix has, the rarest first.
+    own = pin(held.join(open_, "token").groupBy("id", "n", "end", "component")
+              .agg(F.sort_array(F.collect_list(F.struct("holders", "token")))["token"].alias("held")))
+    side = {s: own.select(*(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "end", "component", "held")), F.size("held").alias(f"m_{s}"))
+            for s in "xy"}
+    need = f"(({NUM} * (n_x + n_y) + {DEN + NUM - 1}) div {DEN + NUM})"
+    room = f"(({NUM} * n_x + {DEN - 1}) div {DEN} - 1)"
+    least, most = F.expr(f"({NUM} * n_x + {DEN - 1}) div {DEN}"), F.expr(f"{DEN} * n_x div {NUM}")
+    low = F.greatest(least, F.floor(F.pow(F.lit(SIZE_STEP), "step")) - 1)  # at most the smallest size of the class
+    x = (side["x"].withColumn("step", F.explode(F.sequence(_size_class(least), _size_class(most)))).withColumn("n_y", low)
+         .withColumn("looked", F.expr(f"m_x + 1 - greatest({need} - {room}, 1)")).where("looked > 0")
+         .select("id_x", "n_x", "end_x", "component_x", "m_x", "step", F.posexplode(F.expr("slice(held_x, 1, int(looked))")).alias("at", "token")))
+    y = side["y"].select("id_y", "n_y", "end_y", "component_y", "m_y", _size_class(F.col("n_y")).alias("step"), F.explode("held_y").alias("token"))
+    met = (x.join(y, ["token", "step"]).where(
+        f"component_x != component_y and (end_x < end_y or (end_x = end_y and id_x < id_y)) and {DEN} * n_x >= {NUM} * n_y and "
+        f"{DEN} * n_y >= {NUM} * n_x and least(m_x - at, m_y) + {room} >= {need}")
+        .select("id_x", "n_x", "end_x", "id_y", "n_y", "end_y").distinct())
+    counted = (met.join(side["x"].select("id_x", "n_x", "end_x", "held_x"), ["id_x", "n_x", "end_x"])
+               .join(side["y"].select("id_y", "n_y", "end_y", "held_y"), ["id_y", "n_y", "end_y"])
+               .withColumn("c", F.size(F.array_intersect("held_x", "held_y"))).where(f"c + {room} >= {need}"))
+    return counted.groupBy(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).agg(F.max("c").alias("c"))
 
 
 def _best_pairs(pairs: DataFrame) -> DataFrame:
