@@ -45,7 +45,7 @@ WORDS, NUM, DEN = 5, 80, 100
 SKETCH_CELLS, SKETCH_BLOCKS = 1 << 20, 64
 MINIMA, BAND = 32, 3
 BLOOM_BITS = 1 << 25
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 250_000
 OVERLAP_FRAGMENTS = 2
 SIZE_STEP = 1.1
 
