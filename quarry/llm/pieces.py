@@ -20,10 +20,12 @@ and repeats; a word of any length is folded whole; an empty table gives an empty
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import pin, ready
 
@@ -52,13 +54,13 @@ def words_of(text):
 
 
 def lattice(words: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(word, chars, nodes): nodes hold, for each end, the edges (start, id, score) of pieces that end there."""
+    """(word, nodes): nodes hold, for each end, the edges (start, id, score) of pieces that end there."""
     normal = pieces.where("piece is not null")
     longest, least = normal.agg(F.max(F.char_length("piece")), F.min("score")).first()
-    chars = words.select("word", F.split("word", "").alias("chars"))
-    spans = chars.select("word", F.posexplode("chars").alias("start", "first"), "chars").select(
-        "word", "start", "first", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("chars") - F.col("start")))).alias("length"),
-        "chars").select("word", "start", "length", F.array_join(F.slice("chars", F.col("start") + 1, F.col("length")), "").alias("piece"))
+    size = F.char_length("word")
+    at = words.select("word", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    spans = at.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start")))).alias("length")).select(
+        "word", "start", "length", F.substring("word", F.col("start") + 1, F.col("length")).alias("piece"))
     edges = spans.join(F.broadcast(normal.select("piece", "id", "score")), "piece", "left").where("id is not null or length = 1")
     edges = edges.select("word", (F.col("start") + F.col("length")).alias("end"), "start", "id", "piece",
                          F.coalesce("score", F.lit(least - 10.0)).alias("score"))
@@ -70,7 +72,7 @@ _BEST = "struct<score:double,start:int,id:int,piece:string>"
 
 
 def viterbi(lat: DataFrame) -> DataFrame:
-    """(word, steps): steps are (id or null, piece) along the best path."""
+    """``lat`` with steps: (id or null, piece) along the best path."""
     def best_into(acc, node):
         """The best edge into a node: edges come by start, and the first of equal sums wins."""
         return F.aggregate(
@@ -82,7 +84,7 @@ def viterbi(lat: DataFrame) -> DataFrame:
 
     origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(None).cast("int").alias("id"),
                               F.lit("").alias("piece")).cast(_BEST))
-    table = lat.select("word", F.aggregate("nodes", origin, lambda acc, n: F.concat(acc, F.array(best_into(acc, n)))).alias("best"))
+    table = lat.select("*", F.aggregate("nodes", origin, lambda acc, n: F.concat(acc, F.array(best_into(acc, n)))).alias("best"))
     # Walk back from the end: the state is (place, steps so far).
     step = "array<struct<id:int,piece:string>>"
     walk = F.aggregate(
@@ -92,19 +94,17 @@ def viterbi(lat: DataFrame) -> DataFrame:
             F.element_at("best", i + 1)["start"].alias("at"),
             F.concat(F.array(F.struct(F.element_at("best", i + 1)["id"].alias("id"), F.element_at("best", i + 1)["piece"].alias("piece"))),
                      s["steps"]).cast(step).alias("steps"))).otherwise(s))
-    return table.select("word", walk["steps"].alias("steps"))
-
-
-def bpe(lat: DataFrame) -> DataFrame:
-    """(word, steps): merges of neighbours, the highest score first and the leftmost of equals."""
-    def fold(nodes) -> list[tuple]:
-        edge, size = {}, len(nodes)
-        text = [None] * size
-        for node in nodes:
-            for e in node["edges"]:
-                edge[e["start"], node["end"]] = (e["score"], e["id"])
-                if node["end"] - e["start"] == 1:
-                    text[e["start"]] = e["piece"]
+    return table.select(*lat.columns, walk["steps"].alias("steps"))
+
+
+def bpe(lat: DataFrame, spelled: list[int], out_col: str) -> DataFrame:
+    """``lat`` with ids for its nodes: merges of neighbours, the highest score first and the leftmost of equals.
+
+    ``spelled`` holds the ids of the 256 bytes. The edges go to Python as flat arrays.
+    """
+    def fold(word, start, end, ids, score) -> list[int]:
+        edge = {(a, b): (s, i) for a, b, i, s in zip(start, end, ids, score)}
+        size = len(word)
         right = {i: i + 1 for i in range(size)}
         left = {i + 1: i for i in range(size)}
         queue = []
@@ -113,7 +113,7 @@ def bpe(lat: DataFrame) -> DataFrame:
             b = right.get(a)
             c = right.get(b) if b is not None else None
             found = edge.get((a, c)) if c is not None else None
-            if found and found[1] is not None:
+            if found and found[1] >= 0:
                 heapq.heappush(queue, (-found[0], a, b, c))
 
         for i in range(size):
@@ -127,13 +127,27 @@ def bpe(lat: DataFrame) -> DataFrame:
             offer(a)
             if a in left:
                 offer(left[a])
-        return [{"id": None if edge[a, b][1] is None else int(edge[a, b][1]), "piece": "".join(text[a:b])} for a, b in sorted(right.items())]
+        out = []
+        for a, b in sorted(right.items()):
+            i = edge[a, b][1]
+            out += [i] if i >= 0 else [spelled[x] for x in word[a:b].encode()]
+        return out
+
+    rest = [c for c in lat.columns if c != "nodes"]
 
-    @F.pandas_udf("array<struct<id:int,piece:string>>")
-    def fold_all(nodes: pd.Series) -> pd.Series:
-        return nodes.map(fold)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges = zip(*(batch.column(c).to_pylist() for c in ("word", "__start", "__end", "__id", "__score")))
+            ids = pa.array([fold(*x) for x in edges], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), ids], [*rest, out_col])
 
-    return ready(lat).select("word", fold_all("nodes").alias("steps"))
+    def flat(value):
+        return F.flatten(F.transform("nodes", lambda n: F.transform(n["edges"], lambda e: value(n, e))))
+
+    schema = T.StructType([lat.schema[c] for c in rest] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    return ready(lat).select(
+        *rest, flat(lambda n, e: e["start"]).alias("__start"), flat(lambda n, e: n["end"]).alias("__end"),
+        flat(lambda n, e: F.coalesce(e["id"], F.lit(-1))).alias("__id"), flat(lambda n, e: e["score"]).alias("__score")).mapInArrow(run, schema)
 
 
 def _ids(steps, byte_ids):
@@ -145,17 +159,29 @@ def _ids(steps, byte_ids):
 
 def encode(df: DataFrame, pieces: DataFrame, text_col: str = "text", method: str = "viterbi", out_col: str = "ids") -> DataFrame:
     """``df`` with the ids of its whole texts in ``out_col``."""
-    byte_ids = F.array(*(F.lit(r["id"]) for r in pieces.where("byte is not null").orderBy("byte").collect()))  # 256 ids
+    return encode_all(df, pieces, {out_col: method}, text_col)
+
+
+def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_col: str = "text") -> DataFrame:
+    """``df`` with one id column per entry of ``methods`` (column -> method), all from one lattice."""
+    spelled = [r["id"] for r in pieces.where("byte is not null").orderBy("byte").collect()]  # 256 ids
     text = F.col(text_col).cast("string")
     keyed = df.withColumn("__key", F.sha2(text, 256))
     cut = (df.select(text.alias("t")).where("t is not null").groupBy(F.sha2("t", 256).alias("__key")).agg(F.min("t").alias("t"))
            .select("__key", F.posexplode(words_of(F.col("t"))).alias("at", "word")))
-    lat = pin(lattice(cut.select("word").distinct(), pieces))
-    folded = (viterbi if method == "viterbi" else bpe)(lat).select("word", _ids(F.col("steps"), byte_ids).alias("ids"))
-    texts = cut.join(folded, "word").groupBy("__key").agg(F.flatten(F.transform(
-        F.sort_array(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias(out_col))
+    folded = pin(lattice(cut.select("word").distinct(), pieces))
+    names = {method: f"__{method}" for method in sorted(set(methods.values()), reverse=True)}
+    for method, col in names.items():  # the merges come last: they let go of the nodes
+        if method == "bpe":
+            folded = bpe(folded, spelled, col)
+        else:
+            folded = viterbi(folded).withColumn(col, _ids(F.col("steps"), F.array(*map(F.lit, spelled)))).drop("steps")
+    placed = F.sort_array(F.collect_list(F.struct("at", *names.values())))
+    texts = cut.join(folded.select("word", *names.values()), "word").groupBy("__key").agg(
+        *(F.flatten(placed[c]).alias(c) for c in names.values()))
     empty = F.when(text.isNotNull(), F.array().cast("array<int>"))
-    return keyed.join(texts, "__key", "left").withColumn(out_col, F.coalesce(out_col, empty)).drop("__key")
+    return (keyed.join(texts, "__key", "left").withColumns({out: F.coalesce(names[method], empty) for out, method in methods.items()})
+            .drop("__key", *names.values()))
 
 
 def decode(df: DataFrame, pieces: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

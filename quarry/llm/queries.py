@@ -26,7 +26,7 @@ def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """All turns of ``conversations``: the vocabulary's own ids (BPE merges), the Viterbi ids, and the decoded text."""
     turns = load_table(small_batches(spark), sf, "conversations", ["conv_id", "turn", "text"])
     table = pieces.piece_table(spark, piece_model())
-    both = pieces.encode(pieces.encode(turns, table, method="viterbi", out_col="viterbi_ids"), table, method="bpe")
+    both = pieces.encode_all(turns, table, {"ids": "bpe", "viterbi_ids": "viterbi"})
     return pieces.decode(both, table).select("conv_id", "turn", "ids", "viterbi_ids", F.size("ids").alias("n_ids"),
                                              F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
 
