@@ -51,7 +51,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return _counted(substring_dedup.dedup_texts(docs))
+    return _counted(substring_dedup.dedup_texts(docs, inside=True))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

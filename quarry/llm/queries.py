@@ -45,7 +45,7 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return substring_dedup.dedup(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]))
+    return substring_dedup.dedup(load_table(small_batches(spark), sf, "documents", ["doc_id", "text"]), inside=True)
 
 
 def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,6 +7,14 @@ neighbouring units, each with an earlier occurrence elsewhere, is removed when i
 words or more; shorter repeats (stock phrases) stay. First occurrences are never in a run, so
 every removed unit still stands somewhere. Removed ranges are returned as character offsets.
 
+With ``inside=True`` (the registered query and the pipeline) passages that begin or end inside a unit go as
+well. An anchor is a run of ``GRAM_WORDS`` words whose hash is the least of ``WINDOW`` neighbouring runs, so
+two places that share ``MIN_RUN_WORDS`` words share an anchor there. Each anchor is extended word by word, up
+to ``WINDOW`` words to each side, against the first occurrence of its run, and the range is removed when it
+has ``MIN_RUN_WORDS`` words or more. Ranges that touch are one. An earlier occurrence in the same text counts
+only where the two do not overlap. A passage is found against the first occurrence of each of its anchors
+only: where that first occurrence continues differently, words near it can stay.
+
 Scale: units travel as (key, place, digest), never as text; the first place of a digest is a partially
 aggregated minimum, and the join that marks repeats reads only units that pass a Bloom filter of fixed
 size (a false hit is dropped by the join). A passage in a third of all documents is a skewed key of
@@ -32,6 +40,8 @@ from . import textkernel as K
 from .common import bloom_of, pin, ready
 
 MIN_RUN_WORDS, EDGE_WORDS, BLOOM_BITS = 30, 3, 1 << 25
+GRAM_WORDS = 16
+WINDOW = MIN_RUN_WORDS - GRAM_WORDS + 1  # below GRAM_WORDS, so the anchors of one passage touch
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 
@@ -91,7 +101,124 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return again.groupBy("id", "tkey").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
-def _cuts(data, offs, places) -> list[list[tuple[int, int]]]:
+def _slide(x: np.ndarray, n: int, f) -> np.ndarray:
+    """``f`` over each ``n`` neighbours."""
+    size = 1
+    while size * 2 <= n:
+        x = f(x[:-size], x[size:])
+        size *= 2
+    return f(x[:len(x) - (n - size)], x[n - size:]) if size < n else x
+
+
+def _hashed_words(data: np.ndarray, offs: np.ndarray):
+    """(starts, ends, woff, hashes) of the words of each row, A-Z lower-cased."""
+    low = K.LOWER[data]
+    s, e, woff = K.words(low, offs)
+    return s, e, woff, K.FIRST.ranges(K.FIRST.prefix(low), s, e)
+
+
+def anchors(wh: np.ndarray, woff: np.ndarray):
+    """(row, at, hash): the anchors of each row, at the word where their run begins."""
+    if len(wh) < MIN_RUN_WORDS:
+        z = np.zeros(0, np.int64)
+        return z, z, z.view(np.uint64)
+    row = np.repeat(np.arange(len(woff) - 1), np.diff(woff))
+    g = K.combine(wh, GRAM_WORDS, np.arange(len(wh) - GRAM_WORDS + 1))
+    least = _slide(g, WINDOW, np.minimum)
+    least[row[:len(least)] != row[MIN_RUN_WORDS - 1:]] = 0  # windows that cross a row border choose nothing
+    top = _slide(np.pad(least, WINDOW - 1), WINDOW, np.maximum)
+    at = np.flatnonzero((top == g) & (g > 0))
+    return row[at], at, g[at]
+
+
+def _around(wh: np.ndarray, woff: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """32-bit hashes of the ``WINDOW`` words before (nearest first) and behind each anchor; 0 outside its row."""
+    if len(at) == 0:
+        return np.zeros((0, 2 * WINDOW), "<u4")
+    short = (wh >> K.U64(32)).astype("<u4") | np.uint32(1)
+    k = np.arange(1, WINDOW + 1)
+    left, right = at[:, None] - k, at[:, None] + GRAM_WORDS - 1 + k
+    return np.concatenate((np.where(left >= woff[row][:, None], short[np.maximum(left, 0)], 0),
+                           np.where(right < woff[row + 1][:, None], short[np.minimum(right, len(wh) - 1)], 0)), axis=1).astype("<u4")
+
+
+def _anchor_rows(docs: DataFrame, only: "object | None" = None) -> DataFrame:
+    """(id, tkey, place, h) of every anchor; with ``only``, of anchors that may be in that filter, with ``near`` of each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom = K.Bloom(only.value) if only is not None else None
+        for batch in batches:
+            for rows, data, offs in K.text_chunks(batch):
+                _, _, woff, wh = _hashed_words(data, offs)
+                row, at, h = anchors(wh, woff)
+                h = h.view(np.int64)
+                if bloom is not None:
+                    hit = bloom.has(h)
+                    row, at, h = row[hit], at[hit], h[hit]
+                cols = [pa.array(c) for c in (K.column(rows, "id").to_numpy()[row], K.column(rows, "tkey").to_numpy()[row], at - woff[row], h)]
+                if bloom is not None:
+                    cols.append(pa.array([x.tobytes() for x in _around(wh, woff, row, at)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, ["id", "tkey", "place", "h", "near"][:len(cols)])
+
+    return docs.mapInArrow(run, "id long, tkey long, place long, h long" + ("" if only is None else ", near binary"))
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, tkey, anchors): per document the anchors that occur earlier elsewhere, as (place, back, near).
+
+    ``back`` is the way back to a first occurrence in the same text (0: another text), ``near`` the words around it.
+    """
+    src = ready(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                             F.xxhash64(F.col(text_col).cast("string")).alias("tkey")).where("id is not null")
+    rank = F.struct("id", "tkey", "place")
+    firsts = (_anchor_rows(src).groupBy("h").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
+              .where("first != last").select("h", "first"))
+    firsts = pin(firsts)
+    bits = docs.sparkSession.sparkContext.broadcast(bloom_of(firsts, "h", BLOOM_BITS).bits)  # BLOOM_BITS / 8 bytes
+    own = rank == F.col("first")
+    hits = pin(_anchor_rows(src, bits).join(firsts, "h").select("h", "id", "tkey", "place", "first", F.when(own, F.col("near")).alias("near")))
+    owners = hits.where(own).select("h", "near").dropDuplicates(["h"])
+    same = (F.col("id") == F.col("first.id")) & (F.col("tkey") == F.col("first.tkey"))
+    back = F.when(same, F.col("place") - F.col("first.place")).otherwise(F.lit(0))
+    again = hits.where(~own).select("h", "id", "tkey", "place", back.alias("back")).join(owners, "h")
+    return again.groupBy("id", "tkey").agg(F.sort_array(F.collect_set(F.struct("place", "back", "near"))).alias("anchors"))
+
+
+def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of words with those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _with_passages(data, offs, cuts, found) -> list[list[tuple[int, int]]]:
+    """``cuts`` and the extended anchors of each row, as byte ranges."""
+    if not any(found):
+        return cuts
+    s, e, woff, wh = _hashed_words(data, offs)
+    out = []
+    for i, (cut, own) in enumerate(zip(cuts, found)):
+        if own:
+            at = woff[i] + np.array([x["place"] for x in own])
+            back = np.array([x["back"] for x in own])
+            theirs = np.frombuffer(b"".join(x["near"] for x in own), "<u4").reshape(-1, 2, WINDOW)
+            mine = _around(wh, woff, np.full(len(at), i), at).reshape(-1, 2, WINDOW)
+            left, right = np.cumprod((mine == theirs) & (mine > 0), axis=2).sum(axis=2).T
+            room = np.where(back > 0, np.maximum(back - GRAM_WORDS, 0), 2 * WINDOW)  # the two must not overlap
+            left = np.minimum(left, room)
+            right = np.minimum(right, room - left)
+            ok = (left + right + GRAM_WORDS >= MIN_RUN_WORDS) & ((back == 0) | (back >= MIN_RUN_WORDS))
+            spans = list(zip((at - left)[ok].tolist(), (at + GRAM_WORDS + right)[ok].tolist()))
+            spans += [(int(np.searchsorted(s, a)), int(np.searchsorted(e, b)) + 1) for a, b in cut]
+            cut = [(int(s[a]), int(e[b - 1])) for a, b in _joined(spans)]
+        out.append(cut)
+    return out
+
+
+def _cuts(data, offs, places, found) -> list[list[tuple[int, int]]]:
     """Byte ranges to remove from each row."""
     s, e, n, _, _, uoff = units(data, offs)
     out = []
@@ -107,7 +234,7 @@ def _cuts(data, offs, places) -> list[list[tuple[int, int]]]:
                     if n[at].sum() >= MIN_RUN_WORDS:
                         cut.append((int(s[at[0]]), int(e[at[-1]])))
         out.append(cut)
-    return out
+    return _with_passages(data, offs, out, found)
 
 
 def _without(data: np.ndarray, a: int, b: int, cuts) -> bytes:
@@ -127,15 +254,20 @@ def _without(data: np.ndarray, a: int, b: int, cuts) -> bytes:
     return b"".join(parts)
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The documents with ``__places`` of their repeated units."""
-    found = repeats(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("tkey").alias("__tkey"),
-                                                   F.col("places").alias("__places"))
+def _marked(docs: DataFrame, id_col: str, text_col: str, inside: bool) -> DataFrame:
+    """The documents with ``__places`` of their repeated units and ``__anchors`` of their repeated passages."""
+    found = repeats(docs, id_col, text_col)
+    if inside:
+        found = found.join(passages(docs, id_col, text_col), ["id", "tkey"], "full")
+    else:
+        found = found.withColumn("anchors", F.lit(None).cast("array<struct<place:bigint,back:bigint,near:binary>>"))
+    found = found.select(F.col("id").alias("__id"), F.col("tkey").alias("__tkey"), F.col("places").alias("__places"),
+                         F.col("anchors").alias("__anchors"))
     keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__tkey": F.xxhash64(F.col(text_col).cast("string"))})
-    return keyed.join(found, ["__id", "__tkey"], "left").select(*docs.columns, "__places")
+    return keyed.join(found, ["__id", "__tkey"], "left").select(*docs.columns, "__places", "__anchors")
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", inside: bool = False) -> DataFrame:
     """Per document: id, n_units, n_removed (ranges), removed (start, end in code points), n_chars and kept_sha256 of what stays."""
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)]
                           + [T.StructField(c, T.LongType()) for c in ("n_units", "n_removed")]
@@ -148,7 +280,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in batches:
             for rows, data, offs in K.text_chunks(batch, text_col):
                 uoff = units(data, offs)[5]
-                cuts = _cuts(data, offs, K.column(rows, "__places").to_pylist())
+                cuts = _cuts(data, offs, K.column(rows, "__places").to_pylist(), K.column(rows, "__anchors").to_pylist())
                 points = K.code_points(data)
                 texts = [_without(data, a, b, c) for a, b, c in zip(offs[:-1], offs[1:], cuts)]
                 spans = [[{"start": int(points[s] - points[a]), "end": int(points[e] - points[a])} for s, e in c]
@@ -158,19 +290,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      pa.array(spans, span), pa.array([len(x.decode()) for x in texts], pa.int64()),
                      pa.array([hashlib.sha256(x).hexdigest() for x in texts])], schema.names)
 
-    return _marked(docs.select(id_col, text_col), id_col, text_col).mapInArrow(run, schema)
+    return _marked(docs.select(id_col, text_col), id_col, text_col, inside).mapInArrow(run, schema)
 
 
-def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", inside: bool = False) -> DataFrame:
     """``docs`` with repeated passages removed from the text; all columns, same rows; null texts stay null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in K.text_chunks(batch, text_col):
-                cuts = _cuts(data, offs, K.column(rows, "__places").to_pylist())
+                cuts = _cuts(data, offs, K.column(rows, "__places").to_pylist(), K.column(rows, "__anchors").to_pylist())
                 old = K.column(rows, text_col)
                 text = pa.array([_without(data, offs[i], offs[i + 1], c).decode() if c else old[i].as_py()
                                  for i, c in enumerate(cuts)], old.type)
                 yield pa.RecordBatch.from_arrays([text if c == text_col else K.column(rows, c) for c in names], names)
 
     names = docs.columns
-    return _marked(docs, id_col, text_col).mapInArrow(run, docs.schema)
+    return _marked(docs, id_col, text_col, inside).mapInArrow(run, docs.schema)

@@ -387,6 +387,34 @@ def test_substring_dedup_equals_brute_force(spark, messy, nothing):
     assert substring_dedup.dedup(nothing).count() == 0
 
 
+def test_passages_inside_sentences_go(spark):
+    rng = np.random.default_rng(4)
+    fill = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n))
+    shared = [fill(n) for n in (30, 50, 86, 151)]
+    rows, want = [], {}
+    for k, p in enumerate(shared):
+        rows.append((k, f"{fill(40)} {p} {fill(25)}"))
+        for j in (10 + k, 20 + k):  # begins and ends inside a text without stops
+            head = fill(13 + j)
+            rows.append((j, f"{head} {p.upper()} {fill(9)}"))
+            want[j] = [(len(head) + 1, len(head) + 1 + len(p))]
+    rows += [(30, f"{fill(20)} {' '.join(shared[2].split()[:29])} {fill(20)}"), (31, f"{fill(60)}"), (32, "x y z " * 400)]
+    twice = fill(60)
+    rows.append((33, f"{twice} {fill(5)} {twice}"))
+    want[33] = [(len(rows[-1][1]) - len(twice), len(rows[-1][1]))]
+    rows.append((20, rows[0][1]))  # the same id with another text
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = defaultdict(list)
+    for r in substring_dedup.dedup(docs, inside=True).collect():
+        got[r["doc_id"]].append([(s["start"], s["end"]) for s in r["removed"]])
+    assert all(sorted(got[i], key=len)[-1] for i in want) and len(got[20]) == 2
+    assert all(got[i] == [want[i]] for i in want if i != 20) and want[20] in got[20]
+    assert all(got[i] == [[]] for i in (0, 1, 2, 3, 30, 31)) and got[32][0][0][0] >= 6 * 10
+    texts = {r["doc_id"]: r["text"] for r in substring_dedup.dedup_texts(docs.where("doc_id != 20"), inside=True).collect()}
+    assert all(p in texts[k] and p.upper() not in texts[10 + k] for k, p in enumerate(shared))
+    assert substring_dedup.dedup(docs.limit(0), inside=True).count() == 0
+
+
 # ---- line dedup
 
 def test_line_dedup_both_ways(spark, messy, nothing):
