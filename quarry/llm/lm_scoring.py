@@ -30,7 +30,7 @@ from quarry.session import estimate_partitions
 from . import textkernel as K
 from .common import ready
 
-ORDER, CUTOFF, BACKOFF = 2, 2, 0.4
+ORDER, CUTOFF, BACKOFF = 3, 2, 0.4
 BLOCK_BYTES = 2 << 20
 
 
@@ -65,7 +65,17 @@ def _distinct(grams, place, order: int, shards: int):
     u, c, o = (np.concatenate(x) for x in (u, c, o))
     shard = ((u >> K.U64(32)) % K.U64(shards)).astype(np.int64)
     by = np.lexsort((u, shard))
-    return u[by], c[by].astype("<u4"), o[by], np.searchsorted(shard[by], np.arange(shards + 1))
+    return u[by], c[by].astype("<i8"), o[by], np.searchsorted(shard[by], np.arange(shards + 1))
+
+
+def _totals(gram: np.ndarray, count: np.ndarray, size: np.ndarray, cutoff: int) -> np.ndarray:
+    """The corpus's 64-bit count of each n-gram sent; 0 for orders of 2 and more below ``cutoff``."""
+    u, back = np.unique(gram, return_inverse=True)
+    total = np.zeros(len(u), np.int64)
+    np.add.at(total, back, count)
+    total = total[back]
+    total[(size > 1) & (total < cutoff)] = 0
+    return total
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, cutoff: int = CUTOFF,
@@ -87,13 +97,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
     def answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         gram, count, size = (np.concatenate([np.frombuffer(x, k) for x in pdf[n]])
-                             for n, k in (("gram", "<u8"), ("count", "<u4"), ("size", "u1")))
-        u, back = np.unique(gram, return_inverse=True)
-        total = np.bincount(back, count).astype(np.int64)[back]
-        total[(size > 1) & (total < cutoff)] = 0
+                             for n, k in (("gram", "<u8"), ("count", "<i8"), ("size", "u1")))
+        total = _totals(gram, count, size, cutoff)
         cut = np.cumsum([len(x) for x in pdf["size"]])[:-1]
         return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"],
-                             "count": [x.astype("<u4").tobytes() for x in np.split(total, cut)]})
+                             "count": [x.astype("<i8").tobytes() for x in np.split(total, cut)]})
 
     sent = src.groupBy("block").applyInPandas(send, "block int, shard int, gram binary, count binary, size binary")
     told = sent.groupBy("shard").applyInPandas(answer, "block int, shard int, count binary")
@@ -107,7 +115,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         u, _, _, cut = _distinct(grams, place, order, shards)
         held = np.zeros(len(u), np.int64)
         for s, c in zip(counts["shard"], counts["count"]):
-            held[cut[s]:cut[s + 1]] = np.frombuffer(c, "<u4")
+            held[cut[s]:cut[s + 1]] = np.frombuffer(c, "<i8")
         by = np.argsort(u, kind="stable")
         u, held = u[by], held[by]
         log = np.zeros(len(place))

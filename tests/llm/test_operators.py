@@ -470,6 +470,17 @@ def test_backoff_scores_equal_brute_force(spark, messy, nothing, order):
     assert lm_scoring.score(nothing).count() == 0 and lm_scoring.score(messy).count() == messy.count()
 
 
+def test_scores_use_trigrams_and_wide_counts(spark):
+    docs = spark.createDataFrame([(k, "a b c x b d " * (k + 1)) for k in range(4)], "doc_id long, text string")
+    by_default = sorted(map(tuple, lm_scoring.score(docs).collect()))
+    assert by_default == sorted(map(tuple, lm_scoring.score(docs, order=3).collect()))
+    assert by_default != sorted(map(tuple, lm_scoring.score(docs, order=2).collect()))
+    gram, size = np.array([7, 9, 7], np.uint64), np.array([1, 2, 1], np.uint8)
+    assert lm_scoring._totals(gram, np.array([3_000_000_000, 1, 3_000_000_000]), size, 2).tolist() == [6_000_000_000, 0, 6_000_000_000]
+    _, place, grams = lm_scoring._grams(["a b c a"], 3)
+    assert lm_scoring._distinct(grams, place, 3, 2)[1].dtype.itemsize == 8
+
+
 # ---- quality rules
 
 def _counts(text):
