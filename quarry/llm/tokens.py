@@ -3,12 +3,14 @@
 The vocabulary file is a ``tokenizers`` JSON. Its ranks drive ``tiktoken``'s merge loop, which gives
 the same ids several times faster; the tests hold both against each other. Texts are cut at single
 spaces and line feeds between two other characters, where the pre-tokenizer always cuts as well;
-a text with any other white-space run is encoded whole.
+a text with any other white-space run is encoded whole. As in ``tokenizers``, an added token of the file
+(``<|endoftext|>``) is matched in plain text before anything else, and the parts around it are encoded alone.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 
@@ -31,7 +33,16 @@ def _engine(path: str, pattern: str):
     alphabet = _byte_alphabet()
     special = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(alphabet[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), _added(spec)
+
+
+def _added(spec: dict):
+    """(pattern or None, content -> little-endian uint32 id) of the added tokens; the longest of those at a place counts."""
+    tokens = [t for t in spec.get("added_tokens", []) if t["content"]]
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that take in their surroundings are not supported")
+    ids = {t["content"]: np.asarray([t["id"]], "<u4").tobytes() for t in tokens}
+    return re.compile("|".join(map(re.escape, sorted(ids, key=len, reverse=True)))) if ids else None, ids
 
 
 _ENGINES: dict = {}
@@ -57,12 +68,25 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         if (path, pattern) not in _ENGINES:  # once per worker process; the caches live as long as the encoder
             _ENGINES[path, pattern] = _engine(path, pattern)
-        self.encode = _ENGINES[path, pattern].encode_ordinary
+        engine, (self.added, self.added_ids) = _ENGINES[path, pattern]
+        self.encode = engine.encode_ordinary
         self.first, self.rest = _Units(self.encode, ""), _Units(self.encode, " ")
         self.feed = np.asarray(self.encode("\n"), "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """Ids of the whole text as little-endian unsigned 32-bit integers."""
+        if self.added is None or not self.added.search(text):
+            return self._plain(text)
+        parts, at = [], 0
+        for m in self.added.finditer(text):
+            parts += [self._plain(text[at:m.start()]), self.added_ids[m.group()]]
+            at = m.end()
+        return b"".join(parts) + self._plain(text[at:])
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        if not text:
+            return b""
         first, rest, feed = self.first, self.rest.__getitem__, self.feed
         parts = []
         try:

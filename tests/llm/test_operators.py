@@ -206,6 +206,18 @@ def test_packing(spark, messy, nothing):
     assert full > 0.97
 
 
+def test_added_tokens_in_texts_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    tk, enc, mark = Tokenizer.from_file(byte_bpe()[0]), Encoder(*byte_bpe()), "<|endoftext|>"
+    texts = [f"a {mark} b", mark, mark * 3, f"one two{mark}three", f"  {mark}  \n{mark}\n x", f"x\n\n{mark}", "<|endoftext|", f"<{mark}>", "", PROSE + mark + PROSE]
+    for t in texts:
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == tk.encode(t, add_special_tokens=False).ids, t
+    assert np.frombuffer(enc.ids(texts[0]), "<u4").tolist() == [64, 220, 50256, 275]
+    got = packing.pack(spark.createDataFrame([(1, texts[0])], "doc_id long, text string"), *byte_bpe(), with_ids=True).collect()
+    assert [r["ids"] for r in got] == [[64, 220, 50256, 275, 1]] and got[0]["doc_tokens"] == 5
+
+
 def test_packing_holds_all_three_limits(spark):
     rows = [(i, "say " * (i % 9), "yes indeed " * (i % 40 + 1)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, prompt string, text string").coalesce(1)
