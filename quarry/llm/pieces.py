@@ -9,9 +9,10 @@ are grouped by word, and a fold over them gives the word's ids:
   (ties: the longer last piece); exact for unigram vocabularies;
 * ``bpe``: merges of neighbouring pieces in order of score, for BPE vocabularies, over the same edges.
 
-A character without a piece costs less than any piece and becomes its UTF-8 byte pieces. Ids of words are
-joined back to texts, each distinct text once, so a text in a third of all rows is encoded once. The piece
-table has the size of the vocabulary file; it is broadcast.
+A character without a piece costs less than any piece and becomes its UTF-8 byte pieces. Rows are dealt to
+blocks by a hash of all their columns, so a text in a third of all rows meets in no single task. A block asks
+for the ids of its distinct words and looks its texts' words up in the answer; words are never a row an
+occurrence beyond one text. The piece table has the size of the vocabulary file; it is broadcast.
 
 Defined cases: null text gives a null id list; the empty text an empty one; rows keep all their columns
 and repeats; a word of any length is folded whole; an empty table gives an empty result.
@@ -20,16 +21,22 @@ and repeats; a word of any length is folded whole; an empty table gives an empty
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import estimate_partitions
+
 from .common import pin, ready
 
 MARK = "▁"
+BLOCK_BYTES = 4 << 20
+_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 def piece_table(spark: SparkSession, model_path: str) -> DataFrame:
@@ -46,11 +53,9 @@ def piece_table(spark: SparkSession, model_path: str) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, score double, byte int")
 
 
-def words_of(text):
+def words_of(text: str) -> list[str]:
     """Words of an escaped text, in order; their concatenation is the escaped text."""
-    escaped = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.regexp_extract_all(escaped, F.lit(f"{MARK}*[^{MARK}]+|{MARK}+"), F.lit(0)))
+    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
 def lattice(words: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -162,39 +167,66 @@ def encode(df: DataFrame, pieces: DataFrame, text_col: str = "text", method: str
     return encode_all(df, pieces, {out_col: method}, text_col)
 
 
-def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_col: str = "text") -> DataFrame:
+def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_col: str = "text",
+               blocks: int | None = None) -> DataFrame:
     """``df`` with one id column per entry of ``methods`` (column -> method), all from one lattice."""
     spelled = [r["id"] for r in pieces.where("byte is not null").orderBy("byte").collect()]  # 256 ids
-    text = F.col(text_col).cast("string")
-    keyed = df.withColumn("__key", F.sha2(text, 256))
-    cut = (df.select(text.alias("t")).where("t is not null").groupBy(F.sha2("t", 256).alias("__key")).agg(F.min("t").alias("t"))
-           .select("__key", F.posexplode(words_of(F.col("t"))).alias("at", "word")))
-    folded = pin(lattice(cut.select("word").distinct(), pieces))
+    blocks = blocks or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimate_partitions(df, BLOCK_BYTES))
+    hashed = [F.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
+    keyed = ready(df).withColumns({"__text": F.col(text_col).cast("string"),
+                                   "__block": F.pmod(F.xxhash64(*hashed), F.lit(blocks)).cast("int")})
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of: dict[int, set] = {}
+            for block, text in zip(*(c.to_pylist() for c in batch.columns)):
+                of.setdefault(block, set()).update(words_of(text))
+            for block, words in of.items():
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int32()), pa.array(list(words), pa.string())], ["__block", "word"])
+
+    asked = keyed.where("__text is not null").select("__block", "__text").mapInArrow(ask, "__block int, word string").distinct()
+    folded = pin(lattice(asked.select("word").distinct(), pieces))
     names = {method: f"__{method}" for method in sorted(set(methods.values()), reverse=True)}
     for method, col in names.items():  # the merges come last: they let go of the nodes
         if method == "bpe":
             folded = bpe(folded, spelled, col)
         else:
             folded = viterbi(folded).withColumn(col, _ids(F.col("steps"), F.array(*map(F.lit, spelled)))).drop("steps")
-    placed = F.sort_array(F.collect_list(F.struct("at", *names.values())))
-    texts = cut.join(folded.select("word", *names.values()), "word").groupBy("__key").agg(
-        *(F.flatten(placed[c]).alias(c) for c in names.values()))
-    empty = F.when(text.isNotNull(), F.array().cast("array<int>"))
-    return (keyed.join(texts, "__key", "left").withColumns({out: F.coalesce(names[method], empty) for out, method in methods.items()})
-            .drop("__key", *names.values()))
+    told = asked.join(folded.select("word", *names.values()), "word")
+    kept = [c for c in df.columns if c not in methods]
+    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(c, T.ArrayType(T.IntegerType())) for c in methods])
+
+    def look_up(rows: pa.Table, ids: pa.Table) -> pa.Table:
+        words = ids.column("word").to_pylist()
+        texts = [None if t is None else words_of(t) for t in rows.column("__text").to_pylist()]
+        cols = {}
+        for method, col in names.items():
+            held = ids.column(col).combine_chunks()
+            raw, offs = held.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes(), (4 * held.offsets.to_numpy().astype(np.int64)).tolist()
+            of = {w: raw[a:b] for w, a, b in zip(words, offs, offs[1:])}
+            found = [None if t is None else np.frombuffer(b"".join(map(of.__getitem__, t)), "<i4") for t in texts]
+            cols[method] = pa.array(found, pa.list_(pa.int32()))
+        return pa.Table.from_arrays([rows.column(c) for c in kept] + [cols[m] for m in methods.values()], [*kept, *methods])
+
+    return keyed.groupBy("__block").cogroup(told.groupBy("__block")).applyInArrow(look_up, schema)
 
 
 def decode(df: DataFrame, pieces: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text of its id lists in ``out_col``: pieces are joined, bytes assembled, spaces restored."""
     raw = F.coalesce(F.encode("piece", "UTF-8"), F.unhex(F.lpad(F.hex("byte"), 2, "0")))
-    table = pieces.select(F.col("id").alias("__id"), raw.alias("__raw"))
-    keyed = df.withColumn("__key", F.sha2(F.array_join(F.col(ids_col).cast("array<string>"), " "), 256))
-    each = (keyed.where(F.size(ids_col) > 0).groupBy("__key").agg(F.min(ids_col).alias("__ids"))
-            .select("__key", F.posexplode("__ids").alias("__at", "__id")).join(F.broadcast(table), "__id"))
-    # Bytes travel as hex: arrays of binary have no concatenation.
-    texts = each.groupBy("__key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__at", F.hex("__raw").alias("h")))),
-                                                               lambda x: x["h"]), "").alias("__hex"))
-    text = F.replace(F.decode(F.unhex("__hex"), "UTF-8"), F.lit(MARK), F.lit(" "))
-    texts = texts.select("__key", F.regexp_replace(text, "^ ", "").alias(out_col))
-    return (keyed.join(texts, "__key", "left").drop("__key")
-            .withColumn(out_col, F.coalesce(out_col, F.when(F.col(ids_col).isNotNull(), F.lit("")))))
+    table = {r["id"]: bytes(r["raw"]) for r in pieces.select("id", raw.alias("raw")).collect()}  # the vocabulary
+    shared = ready(df).sparkSession.sparkContext.broadcast(table)
+    kept = [c for c in df.columns if c != out_col]
+    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(out_col, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = shared.value
+        for batch in batches:
+            col = batch.column(batch.schema.get_field_index(ids_col))
+            ids, offs, null = col.values.fill_null(-1).to_numpy(zero_copy_only=False), col.offsets.to_pylist(), col.is_null().to_pylist()
+            texts = [None if n else b"".join([of.get(i, b"") for i in ids[a:b].tolist()]).decode().replace(MARK, " ")
+                     for n, a, b in zip(null, offs, offs[1:])]
+            texts = [t[1:] if t and t[0] == " " else t for t in texts]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(texts, pa.string())], schema.names)
+
+    return df.mapInArrow(run, schema)

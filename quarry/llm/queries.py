@@ -23,11 +23,12 @@ def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
-    """All turns of ``conversations``: the vocabulary's own ids (BPE merges), the Viterbi ids, and the decoded text."""
-    turns = load_table(small_batches(spark), sf, "conversations", ["conv_id", "turn", "text"])
+    """All ``documents`` and all turns of ``conversations``: the vocabulary's own ids (BPE merges), the Viterbi ids, and the decoded text."""
+    docs = load_table(small_batches(spark), sf, "documents", ["doc_id", "text"])
+    turns = load_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     table = pieces.piece_table(spark, piece_model())
-    both = pieces.encode_all(turns, table, {"ids": "bpe", "viterbi_ids": "viterbi"})
-    return pieces.decode(both, table).select("conv_id", "turn", "ids", "viterbi_ids", F.size("ids").alias("n_ids"),
+    both = pieces.encode_all(docs.unionByName(turns, allowMissingColumns=True), table, {"ids": "bpe", "viterbi_ids": "viterbi"})
+    return pieces.decode(both, table).select("doc_id", "conv_id", "turn", "ids", "viterbi_ids", F.size("ids").alias("n_ids"),
                                              F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
 
 

@@ -16,7 +16,7 @@ from conftest import SF0
 from quarry.llm import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
 from quarry.llm import textkernel as K
 from quarry.llm.components import components
-from quarry.llm.queries import byte_bpe, piece_model
+from quarry.llm.queries import QUERIES, byte_bpe, piece_model
 from quarry.llm.tokens import Encoder
 from quarry.sources.tables import load_table
 
@@ -158,6 +158,18 @@ def test_piece_ids_equal_the_library(spark, messy):
     assert pieces.encode(turns.limit(0), table).count() == 0
 
 
+def test_registered_pieces_cover_documents_and_turns(spark):
+    import sentencepiece as S
+
+    sp = S.SentencePieceProcessor(model_file=piece_model())
+    rows = QUERIES["op3_sentencepiece"](spark, SF0).collect()
+    docs = {r["doc_id"]: r["text"] for r in load_table(spark, SF0, "documents", ["doc_id", "text"]).collect()}
+    turns = load_table(spark, SF0, "conversations", ["conv_id", "turn"]).count()
+    got = {r["doc_id"]: r for r in rows if r["conv_id"] is None}
+    assert len(rows) == len(docs) + turns and set(got) == set(docs) and all(r["round_trip"] for r in rows)
+    assert all(got[i]["ids"] == sp.encode(t) and got[i]["viterbi_ids"] for i, t in docs.items() if t)
+
+
 # ---- packing
 
 def _check_packing(rows, texts, limits):
