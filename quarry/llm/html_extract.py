@@ -12,7 +12,8 @@ further kinds of boilerplate (sidebars, notices, forms, reader comments) made of
 the trees learn tokens and structure as well as tags. The model is a few hundred numbers, broadcast.
 
 Defined cases: a null, empty or tagless page gives its decoded text, or an empty string; truncated and
-unclosed mark-up is closed at the end; repeated rows are extracted alike; without a usable training page
+unclosed mark-up is closed at the end, and an unclosed or self-closed graphic, object or the like (``SKIPPED``) drops
+nothing but its tag; text of formulas and buttons belongs to the block around it; repeated rows are extracted alike; without a usable training page
 the article or body element decides; an empty table gives an empty result.
 """
 
@@ -32,7 +33,9 @@ from .common import ready
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SKIPPED = frozenset("script style noscript template iframe svg math textarea select button title object canvas audio video".split())
+RAW = frozenset("script style textarea title".split())  # their text is no mark-up, and ends at the closing tag or the page's end
+SKIPPED = frozenset("noscript template iframe svg select object canvas audio video".split())  # dropped up to their own closing tag
+FOREIGN = frozenset("svg math".split())  # here '/>' closes a tag
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -52,11 +55,53 @@ _TAG = re.compile(
     re.S)
 _ATTR = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
+_HAS_SKIPPED = re.compile(rf"<(?:{'|'.join(sorted(SKIPPED))})\b", re.I)
 FEATURES = ("bad_tag", "good_tag", "bad_tokens", "good_tokens", "bad_above", "good_above", "bad_tokens_above", "good_tokens_above",
             "heading", "paragraph", "item", "container", "depth", "sibling", "siblings", "alike", "bad_siblings", "log_text",
             "log_words", "link_share", "tags_per_char", "blocks", "bad_below", "good_below", "place", "share")
 
 
+def _past(source: str, tag: str, at: int) -> int:
+    """The place behind the closing tag of a raw-text element."""
+    end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+    return end.end() if end else len(source)
+
+
+def _closings(source: str) -> dict[int, int]:
+    """Place behind the start tag -> place behind its own closing tag, of the ``SKIPPED`` elements that are closed.
+
+    One pass with a stack: elements nest, and one that is still open when an element around it closes is not closed.
+    """
+    out: dict[int, int] = {}
+    if not _HAS_SKIPPED.search(source):
+        return out
+    stack: list[tuple[str, int]] = []
+    open_: dict[str, int] = {}
+    at = 0
+    while m := _TAG.search(source, at):
+        at = m.end()
+        if m.group(2) is None:
+            continue
+        tag = m.group(2).lower()
+        if m.group(1):
+            if open_.get(tag):
+                while True:
+                    t, start = stack.pop()
+                    open_[t] -= 1
+                    if t == tag:
+                        break
+                if tag in SKIPPED:
+                    out[start] = at
+        elif m.group(3).endswith("/") and (tag in FOREIGN or any(open_.get(t) for t in FOREIGN)):
+            continue
+        elif tag in RAW:
+            at = _past(source, tag, at)
+        elif tag not in VOID:
+            stack.append((tag, at))
+            open_[tag] = open_.get(tag, 0) + 1
+    return out
+
+
 class Page:
     """Block elements of a page in document order, and its text runs as (node, text, in link)."""
 
@@ -69,6 +114,7 @@ class Page:
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("root", 0)]
         node, links, at, fresh = 0, 0, 0, True
+        closings = _closings(source)
         while at < len(source):
             m = _TAG.search(source, at)
             text = source[at:m.start()] if m else source[at:]
@@ -94,9 +140,11 @@ class Page:
                     node = stack[-1][1]
                 fresh = fresh or tag in BLOCK
                 continue
+            if tag in RAW:
+                at = _past(source, tag, at)
+                continue
             if tag in SKIPPED:
-                end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                at = closings.get(at, at)  # an empty or unclosed one takes nothing with it
                 continue
             if tag in VOID:
                 self.inline[node] += 1

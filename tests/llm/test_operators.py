@@ -127,6 +127,27 @@ def test_extraction_edges(spark):
     assert html_extract.extract(pages.limit(0), None).count() == 0
 
 
+def test_embedded_elements_drop_only_themselves(spark):
+    cases = [
+        ("<p>one <svg class='a'/> two</p><p>three</p>", "one two three"),
+        ("<p>one <math/> two</p><p>three</p>", "one two three"),
+        ("<p>one</p><svg><g><svg><path d='x'/></svg><text>no</text></g><title/></svg><p>two</p><svg></svg><p>three</p>", "one two three"),
+        ("<p>one</p><svg/><p>two</p><svg><text>no</text></svg><p>three</p>", "one two three"),
+        ("<p>one <math><mi>x</mi><mo>=</mo><mn>2</mn></math> two</p>", "one x=2 two"),
+        ("<p>one <button>press</button> two</p><p>three</p>", "one press two three"),
+        ("<p>one <button> two</p><p>three</p>", "one two three"),
+        ("<p>one <object data=x> two</p><p>three</p><object>no</object><p>four</p>", "one two three four"),
+        ("<p>one</p><video src=x><p>two</p>", "one two"),
+        ("<p>one</p><video src=x><p>no</p></video><select><option>no</select><p>two</p>", "one two"),
+        ("<p>one</p><iframe src='a>b'><!-- </iframe> -->no</iframe><p>two</p>", "one two"),
+        ("<p>one</p><style>p{}</style><script>'<svg>'</script><p>two</p><script>no", "one two"),
+    ]
+    pages = spark.createDataFrame([(k, "u", f"<article>{x}</article>") for k, (x, _) in enumerate(cases)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages, None).collect()}
+    assert got == {k: want for k, (_, want) in enumerate(cases)}
+    html_extract.Page("<object><p>" * 100_000 + "</object>")  # no closing tag is searched twice
+
+
 def test_decoding_is_consistent():
     page = html_extract.Page("<div><p>a</p><p>b</p></div><div><p>c</p></div>")
     kept = page.decode(np.array([0, -5.0, 1.0, 1.0, -1.0, 3.0]))
