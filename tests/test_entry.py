@@ -80,3 +80,14 @@ spark.stop()
                          text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "classify " in out.stdout and "detect_anomalies_stream " in out.stdout
+
+
+def test_tuning_covers_the_full_grid(spark, monkeypatch):
+    from quarry.operators import tuning
+
+    seen = {}
+    monkeypatch.setattr(tuning, "tune_tree", lambda train, grid=None, folds=tuning.DEFAULT_FOLDS, **rest: (
+        None, seen.update(grid=grid or tuning.DEFAULT_GRID, folds=folds, rows=train.count())))
+    E.queries()["tune_tree_metrics"](spark, SF0)
+    assert seen == {"grid": {"maxDepth": list(range(8)), "maxBins": [2, 4, 8, 16, 32]}, "folds": 3,
+                    "rows": spark.read.parquet(table_path(SF0, "embeddings")).count()}
