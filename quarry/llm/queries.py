@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from quarry.sources.tables import load_table
 
-from . import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
+from . import bpe_chunks, exact_dedup, filter_audit, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, ranked_search
+from . import sharding, substring_dedup
 from .common import small_batches
 
 
@@ -77,6 +78,24 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.apply_rules(docs, model)
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    return filter_audit.audit_documents(docs, load_table(spark, sf, "labels", ["doc_id", "quality", "toxic"]))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load_table(small_batches(spark), sf, "documents", ["doc_id", "text"])
+    return ranked_search.search_documents(docs, load_table(spark, sf, "benchmark", ["item_id", "text"]), 50)
+
+
+def op13_bpe_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load_table(small_batches(spark), sf, "documents", ["doc_id", "text"])
+    path, pattern = byte_bpe()
+    both = bpe_chunks.decode(bpe_chunks.encode(docs, path, pattern), path)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_html_extraction": op2_html_extraction,
@@ -88,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_bpe_encoding": op13_bpe_encoding,
 }
