@@ -3,8 +3,8 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so a
 ticker holding a third of the data becomes a third of the job in one task.
 Here each key is cut into chunks of event time (calendar days by default; the
-tick jobs use ``chunk="auto"``, which measures the densest key and picks the
-unit):
+tick jobs use ``chunk="auto"``: borders of equal depth from each large key's own
+histogram, see ``quarry.operators.chunks``; without large keys a plain window):
 
 1. one window pass per ``(key, chunk)`` computes in-chunk lags, in-chunk sums
    and counts of the previous ``rows`` values, and the row's rank in its chunk;
@@ -19,25 +19,30 @@ unit):
 Only step 1 shuffles the data. Step 2 shuffles at most ``rows`` rows per chunk.
 With ``chunk=None`` a plain per-key window is used.
 
-``with_time_history`` covers averages over the previous N seconds: there each
-chunk receives copies of the rows of the previous chunk within N seconds of its
-start, and one window per ``(key, chunk)`` finishes the job.
+``with_time_history`` covers averages over the previous N seconds in linear time:
+every row enters a running sum at its time and leaves it N seconds later, as a
+second, negative record in the same sorted pass. Chunks of any length work: a
+chunk starts from the totals of the chunks before it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quarry.operators.chunks import border_tables, with_chunks
 
-# Chunk units tried by chunk="auto", coarsest first, with their length in seconds.
+# Chunk units tried by ``auto_chunk``, coarsest first, with their length in seconds.
 CHUNK_UNITS = (("month", 31 * 86400), ("week", 7 * 86400), ("day", 86400), ("hour", 3600),
                ("minute", 60), ("second", 1), ("millisecond", 0.001))
 TARGET_ROWS_PER_CHUNK = 2_000_000
 
 
 def auto_chunk(df: DataFrame, keys: list[str], ts: str, target_rows: int = TARGET_ROWS_PER_CHUNK) -> str:
-    """Coarsest unit whose chunks hold at most ``target_rows`` rows of the densest key.
+    """Coarsest unit whose chunks hold at most ``target_rows`` rows of the densest key at its mean rate.
+
+    For jobs that want one calendar unit for all keys; ``chunk="auto"`` does not depend on a mean rate.
 
     One aggregate (partial per task, one row per key after the shuffle) gives
     each key's rows per second over its own time span.
@@ -61,6 +66,11 @@ def chunk_expr(chunk: str | Column | None, ts: str) -> Column | None:
     return F.date_trunc(chunk, F.col(ts))
 
 
+def _keyed(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """Add ``_gk`` (the keys as a struct, so that null keys are equal) and ``_t`` (time in microseconds)."""
+    return df.withColumn("_gk", F.struct(*[F.col(k) for k in keys])).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+
+
 def with_history(
     df: DataFrame,
     key: str | list[str],
@@ -69,6 +79,7 @@ def with_history(
     moving_avgs: dict[str, str] | None = None,
     rows: int = 10,
     chunk: str | Column | None = "day",
+    target_rows: int = TARGET_ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``lags`` (out -> column: previous row's value) and ``moving_avgs``
     (out -> column: average of the previous ``rows`` non-null values, current
@@ -76,17 +87,22 @@ def with_history(
 
     ``order`` must be a total order inside a key (add a tiebreak column).
     ``chunk`` must not decrease along ``order``: a unit for ``date_trunc``, "day",
-    "auto" (measured, see ``auto_chunk``), a Column, or None.
+    "auto" (borders of equal depth, at most ``target_rows`` rows a chunk but for
+    rows of one instant), a Column, or None.
     """
     keys = [key] if isinstance(key, str) else list(key)
     lags = dict(lags or {})
     moving_avgs = dict(moving_avgs or {})
     if rows < 1:
         raise ValueError("rows must be >= 1")
+    tables = None
     if isinstance(chunk, str) and chunk == "auto":
-        chunk = auto_chunk(df, keys, order[0])
-    ch = chunk_expr(chunk, order[0])
-    if ch is None:
+        df = _keyed(df, keys, order[0])
+        tables = border_tables(df, target_rows)
+        if not tables:  # no large key: one chunk each
+            df, chunk = df.drop("_gk", "_t"), None
+    ch = None if tables else chunk_expr(chunk, order[0])
+    if ch is None and not tables:
         w = Window.partitionBy(*keys).orderBy(*order)
         frame = w.rowsBetween(-rows, -1)
         out = df
@@ -108,10 +124,12 @@ def with_history(
     # project the same columns and share one exchange (columns a caller
     # carries beyond key, order and value columns make the tails branch
     # narrower; results stay right but the tails then shuffle separately).
+    if tables:
+        cut = with_chunks(df, tables).drop("_t")
+    else:
+        cut = df.withColumn("_gk", F.struct(*[F.col(k) for k in keys])).withColumn("_chunk", F.struct(ch.alias("c")))
     base = (
-        df.withColumn("_gk", F.struct(*[F.col(k) for k in keys]))
-        .withColumn("_chunk", F.struct(ch.alias("c")))
-        .drop(*keys)
+        cut.drop(*keys)
         .withColumn("_rn", F.row_number().over(w))
         .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*part)))
     )
@@ -160,8 +178,34 @@ def with_history(
     return out.drop(*drop)
 
 
-# Fixed-length chunk units for time-range history, in seconds.
-_FIXED_UNITS = {"day": 86400, "hour": 3600, "minute": 60, "second": 1}
+def _channels(kind: T.DataType, v: Column) -> dict[str, Column]:
+    """What is summed over a frame: the values' sum and count, and what a sum of doubles cannot take back.
+
+    Whole numbers and decimals are summed exactly. Doubles below 1e15 are summed as decimals with 18 places,
+    so that a value that left the frame leaves no rounding error behind; larger ones as doubles, and
+    not-a-number and infinities are counted.
+    """
+    one = F.when(v.isNotNull(), F.lit(1).cast("long"))
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return {"s": v.cast("long"), "n": one}
+    if isinstance(kind, T.DecimalType):
+        return {"s": v, "n": one}
+    x = v.cast("double")
+    small = ~F.isnan(x) & (F.abs(x) < 1e15)
+    big = ~F.isnan(x) & (F.abs(x) >= 1e15) & (F.abs(x) < float("inf"))
+    return {"s": F.when(small, x).cast("decimal(38,18)"), "n": one, "big": F.when(big, x),
+            "nan": F.when(F.isnan(x), one), "up": F.when(x == float("inf"), one), "down": F.when(x == float("-inf"), one)}
+
+
+def _average(got: dict[str, Column]) -> Column:
+    total = got["s"].cast("double")
+    if "big" not in got:
+        return F.when(got["n"] > 0, total / got["n"])
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    return (F.when(got["n"] <= 0, F.lit(None).cast("double"))
+            .when((got["nan"] > 0) | ((got["up"] > 0) & (got["down"] > 0)), nan)
+            .when(got["up"] > 0, inf).when(got["down"] > 0, -inf)
+            .otherwise((total + got["big"]) / got["n"]))
 
 
 def with_time_history(
@@ -171,38 +215,53 @@ def with_time_history(
     moving_avgs: dict[str, str],
     range_seconds: float,
     chunk: str | None = "auto",
+    target_rows: int = TARGET_ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Average of each column over the previous ``range_seconds`` of the same key,
     current instant excluded (rows with ``ts`` in ``[t - range, t)``), null when empty.
 
-    Skew-safe: each key is cut into fixed-length time chunks at least as long
-    as the range; every chunk also receives copies of the rows of the previous
-    chunk that lie within ``range_seconds`` of its start, the window runs per
-    ``(key, chunk)``, and the copies are dropped. One shuffle; the copied rows
-    are bounded by the rows within the range of each chunk boundary.
+    Linear in the rows, however many of them a range holds: each row is a record that adds
+    its value at its time and one that takes it back ``range_seconds`` later, and a row's sum is that
+    of all records before its time. Skew-safe for ranges of any length: records are cut into
+    chunks (``"auto"``: borders of equal depth; a unit of ``date_trunc``; None: one per key), sums run
+    inside a chunk, and the totals of a key's earlier chunks, one row per chunk, are added. One shuffle
+    of the data. Rows without a time have no average and count in none.
     """
     keys = [key] if isinstance(key, str) else list(key)
     range_us = int(round(range_seconds * 1_000_000))
-    t_us = F.unix_micros(F.col(ts).cast("timestamp"))
+    if range_us < 1:
+        raise ValueError("range_seconds must be positive")
+    src = _keyed(df, keys, ts)
+    channels = {(out, name): expr for out, c in moving_avgs.items() for name, expr in _channels(df.schema[c].dataType, F.col(c)).items()}
+    cols = {k: f"_v{i}" for i, k in enumerate(channels)}
+    timed = F.col("_t").isNotNull()
+    leaves = F.explode(F.when(timed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = src.select("_gk", "_t", F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+                      *[F.when(timed, e).alias(cols[k]) for k, e in channels.items()], leaves.alias("_out"))
+    own = F.col("_out") == 0
+    records = rows.select(
+        "_gk", (F.col("_t") + F.col("_out").cast("long") * F.lit(range_us)).alias("_t"), F.when(own, F.col("_row")).alias("_row"),
+        *[F.when(own, F.col(c)).otherwise(-F.col(c)).alias(c) for c in cols.values()])
     if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(t_us).rangeBetween(-range_us, -1)
-        return df.withColumns({name: F.avg(c).over(w) for name, c in moving_avgs.items()})
-    if chunk == "auto":
-        chunk = auto_chunk(df, keys, ts)
-    fixed = [u for u, secs in _FIXED_UNITS.items() if secs * 1_000_000 >= range_us]
-    if chunk not in _FIXED_UNITS or _FIXED_UNITS[chunk] * 1_000_000 < range_us:
-        # a chunk must be a fixed length no shorter than the range
-        chunk = min(fixed, key=lambda u: _FIXED_UNITS[u]) if fixed else "day"
-        if _FIXED_UNITS[chunk] * 1_000_000 < range_us:
-            raise ValueError("range_seconds longer than a day needs chunk=None")
-    width = _FIXED_UNITS[chunk] * 1_000_000
-    chunked = df.withColumn("_t", t_us).withColumn("_c0", F.floor(F.col("_t") / width))
-    near_end = F.col("_t") >= (F.col("_c0") + 1) * width - range_us
-    # one scan: every row once in its own chunk, rows near a chunk's end once more in the next
-    shift = F.explode(F.when(near_end, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    both = chunked.withColumn("_d", shift).select(
-        "*", (F.col("_c0") + F.col("_d")).alias("_chunk"), (F.col("_d") == 0).alias("_own")
-    ).drop("_c0", "_d")
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_t").rangeBetween(-range_us, -1)
-    out = both.withColumns({name: F.avg(c).over(w) for name, c in moving_avgs.items()})
-    return out.where("_own").drop("_t", "_chunk", "_own")
+        tables = []
+    elif chunk == "auto":
+        tables = border_tables(records, target_rows)
+    if chunk is None or (chunk == "auto" and not tables):
+        cut, part = records, ["_gk"]
+    else:
+        part = ["_gk", "_chunk"]
+        cut = with_chunks(records, tables) if chunk == "auto" else records.withColumn(
+            "_chunk", F.struct(F.date_trunc(chunk, F.timestamp_micros("_t")).alias("c")))
+    before = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    sums = {c: F.coalesce(F.sum(c).over(before), F.lit(0)) for c in cols.values()}
+    out = cut.select("*", *[e.alias(f"_s{c}") for c, e in sums.items()])
+    if len(part) > 1:
+        totals = cut.groupBy(*part).agg(*[F.sum(c).alias(c) for c in cols.values()])
+        earlier = Window.partitionBy("_gk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select(*part, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_b{c}") for c in cols.values()])
+        out = out.join(starts, part, "left")
+        got = {k: F.col(f"_s{c}") + F.col(f"_b{c}") for k, c in cols.items()}
+    else:
+        got = {k: F.col(f"_s{c}") for k, c in cols.items()}
+    averages = [F.when(F.col("_t").isNotNull(), _average({n: got[o, n] for o, n in got if o == name})).alias(name) for name in moving_avgs]
+    return out.where(F.col("_row").isNotNull()).select(*[F.col("_row")[c].alias(c) for c in df.columns if c not in moving_avgs], *averages)

@@ -66,6 +66,97 @@ def dense_ids(
     return out.withColumn(id_col, (F.col("_pos") + F.lit(offset + 1)).cast("bigint")).drop("_pos")
 
 
+SKETCH_ACCURACY = 10_000
+MAX_COLLECTED = 100_000  # distinct values inside the brackets that the driver may sort
+
+
+def _below(x: Column, v) -> Column:
+    return F.coalesce(F.sum(F.when(x < F.lit(v), 1).otherwise(0)), F.lit(0)).cast("long")
+
+
+def _narrowed(frame: DataFrame, spans: list[dict], accuracy: int) -> list[dict]:
+    """One bracket of values around each wanted rank, from one bounded sketch per span of values.
+
+    A span is {lo, hi, below, n, ranks}: values lo..hi hold the ranks below..below + n - 1.
+    """
+    x, aggs = F.col("_v"), []
+    for i, s in enumerate(spans):
+        inside = F.when((x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"])), x)
+        # a sketch answers within n / accuracy ranks; two of these on each side bracket the rank
+        grid = [min(1.0, max(0.0, (r - s["below"]) / max(1, s["n"] - 1) + d * 2.0 / accuracy)) for r in s["ranks"] for d in (-1, 1)]
+        aggs.append(F.percentile_approx(inside, grid, accuracy).alias(f"a{i}"))
+    row = frame.agg(*aggs).first()
+    out = []
+    for i, s in enumerate(spans):
+        for j, r in enumerate(s["ranks"]):
+            lo, hi = row[f"a{i}"][2 * j:2 * j + 2]
+            at = (r - s["below"]) / max(1, s["n"] - 1)
+            lo = s["lo"] if at - 2.0 / accuracy <= 0 else lo
+            hi = s["hi"] if at + 2.0 / accuracy >= 1 else hi
+            out.append({"lo": lo, "hi": hi, "ranks": [r], "span": s})
+    return out
+
+
+def _counted(frame: DataFrame, brackets: list[dict]) -> list[dict]:
+    """The brackets with ``below`` and ``n`` counted in one scan; one that misses its rank becomes its span again."""
+    x = F.col("_v")
+    aggs = []
+    for i, b in enumerate(brackets):
+        aggs += [_below(x, b["lo"]).alias(f"b{i}"),
+                 F.coalesce(F.sum(F.when((x >= F.lit(b["lo"])) & (x <= F.lit(b["hi"])), 1)), F.lit(0)).cast("long").alias(f"n{i}")]
+    row = frame.agg(*aggs).first()
+    out = []
+    for i, b in enumerate(brackets):
+        below, n = row[f"b{i}"], row[f"n{i}"]
+        if below <= b["ranks"][0] < below + n:
+            out.append({"lo": b["lo"], "hi": b["hi"], "below": below, "n": n, "ranks": b["ranks"]})
+        else:
+            out.append({**b["span"], "ranks": b["ranks"]})
+    return out
+
+
+def values_at_ranks(values: DataFrame, ranks: list[int], n: int, lo, hi, accuracy: int = SKETCH_ACCURACY,
+                    max_collected: int = MAX_COLLECTED) -> dict:
+    """Exact values of 0-based ``ranks`` in the order of column ``_v`` (no nulls, ``n`` rows, from ``lo`` to ``hi``).
+
+    Selection instead of a sort: a bounded sketch brackets each rank, one scan counts what lies below and
+    inside the brackets, and only the distinct values inside are sorted. While those are more than
+    ``max_collected`` (at least one per wanted rank), the brackets are narrowed again, each time by about
+    ``accuracy / 4``. Nothing but
+    the values inside the brackets is shuffled, and equal values count once.
+    """
+    whole = {"lo": lo, "hi": hi, "below": 0, "n": n, "ranks": sorted(set(ranks))}
+    spans, size = [whole], n
+    while True:
+        spans = _counted(values, _narrowed(values, spans, accuracy))
+        now = sum(s["n"] for s in spans)
+        if 2 * now > size:  # too coarse a sketch for what is left; one finer than the rows is exact
+            accuracy = min(accuracy * 8, (1 << 31) - 1)
+        size = now
+        x = F.col("_v")
+        inside = None
+        for s in spans:
+            hit = (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
+            inside = hit if inside is None else inside | hit
+        counts = values.where(inside).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+        found = counts.limit(max(max_collected, len(whole["ranks"])) + 1).collect()
+        if len(found) <= max(max_collected, len(whole["ranks"])):
+            break
+    found.sort(key=lambda r: (r["_v"] != r["_v"], r["_v"]))  # not-a-number is the largest value, as in Spark
+    out = {}
+    for s in spans:
+        at = s["below"]
+        todo = list(s["ranks"])
+        for r in found:
+            v = r["_v"]
+            if not ((v >= s["lo"] or v != v) and (v <= s["hi"] or s["hi"] != s["hi"])):
+                continue
+            at += r["_n"]
+            while todo and todo[0] < at:
+                out[todo.pop(0)] = v
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     value_col: str,
@@ -74,33 +165,26 @@ def exact_quantiles(
     pin: str = "table",
     return_values: bool = False,
 ):
-    """Exact quantiles with linear interpolation between closest ranks.
+    """Exact quantiles with linear interpolation between closest ranks, by selection (``values_at_ranks``).
 
-    Sort-based and distributed: no task ever holds more than one range
-    partition, and a third of the rows sharing one value still splits across
-    partitions because a random tiebreak joins the sort key. Returns one value
-    per quantile (None when there are no non-null values); with
-    ``return_values`` also the pinned sorted values (column ``_v``).
+    The column is pinned once (in ``num_partitions`` parts, if given) and scanned; it is neither sorted nor
+    shuffled. Returns one value per quantile (None when there are no non-null values); with
+    ``return_values`` also the pinned values (column ``_v``).
     """
     v = df.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-    ranked = global_positions(
-        v.withColumn("_tb", F.rand(17)), ["_v", "_tb"], "_pos", num_partitions, pin
-    ).select("_pos", "_v")
-    n = ranked.count()
+    values = materialize(v.coalesce(num_partitions) if num_partitions else v, pin)
+    ends = values.agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
+    n = ends["n"]
     if n == 0:
-        return ([None] * len(quantiles), ranked) if return_values else [None] * len(quantiles)
-    wanted = {}
+        return ([None] * len(quantiles), values) if return_values else [None] * len(quantiles)
     plan = []
     for q in quantiles:
         rn = (n - 1) * float(q)
         lo, hi = int(rn // 1), int(-(-rn // 1))
         plan.append((lo, hi, rn - lo))
-        wanted[lo] = wanted[hi] = None
-    # At most two rows per quantile come back.
-    for row in ranked.where(F.col("_pos").isin(list(wanted))).collect():
-        wanted[row["_pos"]] = row["_v"]
+    at = values_at_ranks(values, [r for lo, hi, _ in plan for r in (lo, hi)], n, ends["lo"], ends["hi"])
     out = []
     for lo, hi, d in plan:
-        a, b = wanted[lo], wanted[hi]
-        out.append(a if lo == hi else a + (b - a) * d)
-    return (out, ranked) if return_values else out
+        a, b = at[lo], at[hi]
+        out.append(a if lo == hi or a == b else a + (b - a) * d)
+    return (out, values) if return_values else out

@@ -57,7 +57,7 @@ def threshold_summary(
 ) -> DataFrame:
     """One row per quantile: label, threshold value, count of rows strictly above.
 
-    ``exact`` uses a distributed sort (``quarry.operators.ranks``); otherwise
+    ``exact`` selects the values at the wanted ranks (``quarry.operators.ranks``); otherwise
     ``percentile_approx`` with ``accuracy``, one bounded sketch per task.
     Exceedances for all thresholds come from one conditional aggregate.
     """
@@ -65,7 +65,7 @@ def threshold_summary(
         raise ValueError("one label per quantile")
     x = F.col(col)
     if exact:
-        # The sorted values are pinned once; the counts below read them instead
+        # The values are pinned once; the counts below read them instead
         # of recomputing the upstream plan (nulls never exceed a threshold).
         values, pinned = exact_quantiles(changes, col, list(quantiles), return_values=True)
         changes, x = pinned, F.col("_v")

@@ -44,7 +44,7 @@ def q_threshold_summary(spark, sf):
 def q_moving_avg_10(spark, sf):
     h = with_history(
         _ticks(spark, sf), "stock_ticker", ["timestamp", "event_id"],
-        moving_avgs={"avg_10_volume": "volume"}, rows=10,
+        moving_avgs={"avg_10_volume": "volume"}, rows=10, chunk="auto",
     )
     return h.select("stock_ticker", "timestamp", "event_id", "volume", "avg_10_volume")
 

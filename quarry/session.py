@@ -144,13 +144,19 @@ def estimate_partitions(
 
     Explicit counts (e.g. ``repartitionByRange``) are not split by AQE, so they
     are sized to the data: about ``target_bytes`` of estimated input per
-    partition, at least the session's default parallelism. Falls back to
+    partition, at least the session's default parallelism. Without column statistics
+    the optimizer multiplies the sizes of join inputs, so a plan of several inputs is
+    taken to be no larger than their sum. Falls back to
     ``spark.sql.shuffle.partitions`` when no estimate is available.
     """
     spark = df.sparkSession
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        size = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        if leaves.size() > 1:
+            size = min(size, sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())))
     except Exception:  # no estimate (e.g. some remote plans)
         return default
     if size <= 0 or size >= (1 << 62):

@@ -154,3 +154,116 @@ def test_time_history_equals_plain_range_window(spark, chunk):
     b = {r["event_id"]: r["a"] for r in want.collect()}
     assert a.keys() == b.keys()
     assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def _burst(spark, n=5000):
+    """n bars within n microseconds and one a year earlier, a second key with three bars, and one without a time."""
+    base = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    at = F.unix_micros(base)
+    rows = spark.range(0, n + 1).select(
+        F.lit(1).cast("long").alias("stock_ticker"),
+        F.timestamp_micros(F.when(F.col("id") == n, at - 365 * 86_400_000_000).otherwise(at + F.col("id"))).alias("timestamp"),
+        (F.col("id") % 17).cast("double").alias("close"), (F.col("id") % 97).alias("volume"), F.col("id").alias("event_id"))
+    few = spark.range(0, 4).select(
+        F.lit(None).cast("long").alias("stock_ticker"), F.when(F.col("id") < 3, F.timestamp_micros(at + F.col("id") * 10**12)).alias("timestamp"),
+        F.lit(1.0).alias("close"), F.lit(5).cast("long").alias("volume"), (F.col("id") + 10**6).alias("event_id"))
+    return rows.unionByName(few)
+
+
+def test_chunks_of_a_burst_stay_within_the_target(spark):
+    from quarry.operators.chunks import border_tables, with_chunks
+    from quarry.operators.history import _keyed
+
+    rows = _keyed(_burst(spark), ["stock_ticker"], "timestamp")
+    for target in (100, 10, 4000):
+        tables = border_tables(rows, target)
+        sizes = with_chunks(rows, tables).groupBy("_gk", "_chunk").agg(
+            F.count("*").alias("n"), F.min("_t").alias("lo"), F.max("_t").alias("hi")).collect()
+        assert max(r["n"] for r in sizes) <= target
+        assert sum(r["_gk"]["stock_ticker"] is None for r in sizes) == 1  # the sparse key is one chunk
+        mine = sorted((r["lo"], r["hi"], tuple(r["_chunk"])) for r in sizes if r["_gk"]["stock_ticker"] == 1)
+        assert all(a[1] < b[0] and a[2] < b[2] for a, b in zip(mine, mine[1:]))  # chunks follow time
+    assert border_tables(rows, 10_000) == []
+
+
+def test_one_instant_stays_one_chunk(spark):
+    from quarry.operators.chunks import border_tables, with_chunks
+
+    rows = spark.range(0, 3000).select(F.struct(F.lit(1).alias("k")).alias("_gk"),
+                                       F.when(F.col("id") < 2500, F.lit(7)).otherwise(F.col("id")).cast("long").alias("_t"))
+    sizes = [r["n"] for r in with_chunks(rows, border_tables(rows, 50)).groupBy("_gk", "_chunk").agg(F.count("*").alias("n")).collect()]
+    assert sorted(sizes)[-1] <= 2550 and sorted(sizes)[-2] <= 50
+
+
+def test_equal_depth_history_equals_plain_window(spark):
+    t = _burst(spark).where(F.col("timestamp").isNotNull())
+    for target in (100, 7):
+        got = with_history(t, "stock_ticker", ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, 10, "auto", target_rows=target)
+        compare(got, plain(t))
+    ev = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
+    compare(with_history(ev, "stock_ticker", ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, 10, "auto", target_rows=20), plain(ev))
+
+
+def test_sparse_keys_need_one_shuffle(spark):
+    t = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
+    got = with_history(t, "stock_ticker", ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, 10, "auto")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    physical = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and physical.count("Window") == 1
+
+
+def _range_averages(df, got, seconds, cols):
+    w = Window.partitionBy("stock_ticker").orderBy(F.unix_micros(F.col("timestamp").cast("timestamp"))) \
+        .rangeBetween(-int(seconds * 1_000_000), -1)
+    want = df.withColumns({n: F.when(F.col("timestamp").isNotNull(), F.avg(c).over(w)) for n, c in cols.items()})
+    a = {r["event_id"]: [r[n] for n in cols] for r in got.collect()}
+    b = {r["event_id"]: [r[n] for n in cols] for r in want.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None) == (y is None), k
+            if x is not None:
+                assert x == y or (x != x and y != y) or abs(x - y) <= 1e-9 * max(1.0, abs(y)), (k, x, y)
+
+
+@pytest.mark.parametrize("seconds", [0.0005, 600, 10 * 86400])
+def test_linear_range_average_over_chunks_of_any_size(spark, seconds):
+    from quarry.operators.history import with_time_history
+
+    t = _burst(spark, 1500)
+    for target in (50, 10**6):
+        _range_averages(t, with_time_history(t, "stock_ticker", "timestamp", {"a": "volume", "c": "close"}, seconds, target_rows=target),
+                        seconds, {"a": "volume", "c": "close"})
+    ev = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
+    _range_averages(ev, with_time_history(ev, "stock_ticker", "timestamp", {"a": "close"}, seconds, target_rows=30), seconds, {"a": "close"})
+
+
+def test_range_average_takes_odd_numbers_back(spark):
+    from quarry.operators.history import with_time_history
+
+    odd = [0.1, float("nan"), None, 1e300, float("inf"), -5.0, float("-inf"), 0.2, 1e16, 0.3, 1e-9, None, 0.7, 2.5, 1e15, 3.5]
+    rows = [(1, i * 1_000_000, v, i) for i, v in enumerate(odd)]
+    t = spark.createDataFrame(rows, "stock_ticker long, us long, v double, event_id long").select(
+        "stock_ticker", F.timestamp_micros("us").alias("timestamp"), "v", "event_id")
+    got = {r["event_id"]: r["a"] for r in with_time_history(t, "stock_ticker", "timestamp", {"a": "v"}, 2.0).collect()}
+    for i in range(len(odd)):
+        held = [v for v in odd[max(0, i - 2):i] if v is not None]
+        want = sum(held) / len(held) if held else None
+        assert got[i] == want or (want is not None and want != want and got[i] != got[i]) or abs(got[i] - want) <= 1e-12 * abs(want), i
+
+
+def test_range_average_is_linear(spark):
+    import time
+
+    from quarry.operators.history import with_time_history
+
+    def seconds(n):
+        base = F.unix_micros(F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+        t = spark.range(0, n).select(F.lit(1).alias("k"), F.timestamp_micros(base + F.col("id")).alias("ts"), (F.col("id") % 97).alias("v"))
+        out = with_time_history(t, "k", "ts", {"a": "v"}, 3600, chunk=None)  # all rows lie in one range
+        t0 = time.time()
+        out.write.format("noop").mode("overwrite").save()
+        return time.time() - t0
+
+    seconds(1000)
+    assert seconds(400_000) <= 5 * max(seconds(100_000), 0.5)
