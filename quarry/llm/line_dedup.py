@@ -46,10 +46,13 @@ class PerfectHash:
 
     MAX_LEVELS = 48
 
-    def __init__(self, levels: list[np.ndarray]):
-        self.levels = levels
-        self.before = np.concatenate(([0], np.cumsum([int(x.sum()) for x in levels]))).astype(np.int64)
-        self.ranks = [np.cumsum(x) - 1 for x in levels]
+    def __init__(self, levels: list[tuple[int, np.ndarray]]):
+        """``levels``: (size, packed bits) each; kept packed, with one rank per 64-bit word."""
+        self.sizes = [n for n, _ in levels]
+        self.words = [np.concatenate((x, np.zeros(-len(x) % 8, np.uint8))).view(">u8").astype(np.uint64) for _, x in levels]
+        counts = [np.bitwise_count(w) for w in self.words]
+        self.ranks = [(np.cumsum(c, dtype=np.int64) - c).astype(np.uint32) for c in counts]
+        self.before = np.concatenate(([0], np.cumsum([int(c.sum(dtype=np.int64)) for c in counts]))).astype(np.int64)
 
     @staticmethod
     def _at(h1: np.ndarray, h2: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -64,7 +67,7 @@ class PerfectHash:
             size = 2 * len(h1) + 8
             at = cls._at(h1, h2, len(levels), size)
             hits = np.bincount(at, minlength=size)
-            levels.append(hits == 1)
+            levels.append((size, np.packbits(hits == 1)))
             rest = hits[at] > 1
             h1, h2 = h1[rest], h2[rest]
         return cls(levels)
@@ -72,20 +75,22 @@ class PerfectHash:
     def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         out = np.full(len(h1), -1, np.int64)
         open_ = np.arange(len(h1))
-        for i, bits in enumerate(self.levels):
-            at = self._at(h1[open_], h2[open_], i, len(bits))
-            hit = bits[at]
-            out[open_[hit]] = self.before[i] + self.ranks[i][at[hit]]
+        for i, (size, words) in enumerate(zip(self.sizes, self.words)):
+            at = self._at(h1[open_], h2[open_], i, size)
+            word, bit = at >> 6, (at & 63).astype(np.uint64)
+            held = words[word]
+            hit = ((held >> (K.U64(63) - bit)) & K.U64(1)).astype(bool)
+            below = np.bitwise_count((held >> K.U64(1)) >> (K.U64(63) - bit)).astype(np.int64)  # the word's bits before it
+            out[open_[hit]] = (self.before[i] + self.ranks[i][word] + below)[hit]
             open_ = open_[~hit]
         return out
 
     def to_rows(self) -> list[bytes]:
-        return [len(x).to_bytes(8, "little") + np.packbits(x).tobytes() for x in self.levels]
+        return [n.to_bytes(8, "little") + w.astype(">u8").tobytes()[:(n + 7) // 8] for n, w in zip(self.sizes, self.words)]
 
     @classmethod
     def from_rows(cls, rows) -> "PerfectHash":
-        return cls([np.unpackbits(np.frombuffer(r, np.uint8, offset=8), count=int.from_bytes(r[:8], "little")).astype(bool)
-                    for r in rows])
+        return cls([(int.from_bytes(r[:8], "little"), np.frombuffer(r, np.uint8, offset=8)) for r in rows])
 
 
 class Shard:
@@ -325,9 +330,11 @@ def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in K.text_chunks(batch, text_col):
-                _, dropped, texts = _rewritten(rows, data, offs, probe)
                 old = K.column(rows, text_col)
-                text = pa.array([t.decode() if d else o.as_py() for t, d, o in zip(texts, dropped, old)], old.type)
+                text = old
+                _, dropped, texts = _rewritten(rows, data, offs, probe)
+                if dropped.any():
+                    text = pa.array(texts, pa.binary(), mask=np.asarray(old.is_null())).cast(old.type)
                 yield pa.RecordBatch.from_arrays([text if c == text_col else K.column(rows, c) for c in names], names)
 
     return frame.mapInArrow(run, docs.schema)

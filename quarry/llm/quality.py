@@ -1,6 +1,6 @@
 """Quality rules: exact text counts, then a calibrated n-gram logistic regression.
 
-The model sees hashed word unigrams and hashed byte trigrams, each as a share of the document's own
+The model sees hashed word unigrams and hashed trigrams of code points, each as a share of the document's own
 n-grams, so its margin does not grow with length. It is fitted with MLlib on at most ``max_rows``
 labelled documents (lowest hash of the id first); a fifth of them is held back to fit the
 calibration (Platt scaling). Weights are ``2 * DIMS`` numbers, whatever the corpus. Every whole
@@ -23,11 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkernel as K
-from .common import ready
+from .common import pin, ready
 
 BITS = 15
 DIMS = 1 << BITS
 MIN_WORDS, MAX_REPEAT_PCT, KEEP_FROM, WINDOW = 20, 30, 0.5, 8
+FIT_PARTS = 4  # partitions of the labelled sample
 SHARE = 40.0  # a feature is SHARE times its share of the row's n-grams: puts weights in the range the penalty expects
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -50,20 +51,17 @@ def _row_sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return c[offs[1:]] - c[offs[:-1]]
 
 
-def _slots(data, offs, wh, woff):
-    """Feature slots with their row borders: (word slots, woff, trigram slots, goff)."""
-    n = np.maximum(np.diff(offs) - 2, 0)
+def _slots(data, offs, prefix, wh, woff):
+    """Feature slots with their row borders: (word slots, woff, slots of three code points, goff)."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    ends = np.append(starts, len(data))
+    coff = np.searchsorted(starts, offs)
+    n = np.maximum(np.diff(coff) - 2, 0)
     goff = np.concatenate(([0], np.cumsum(n)))
-    if len(data) < 3:
-        return (wh >> K.U64(64 - BITS)).astype(np.int64), woff, np.zeros(0, np.int64), goff
-    d = data.astype(np.uint32)
-    g = d[:-2] | (d[1:-1] << np.uint32(8)) | (d[2:] << np.uint32(16))
-    g = (g * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-    inner = np.ones(len(g), bool)
-    for back in (1, 2):  # trigrams that would cross into the next row
-        at = offs[1:-1] - back
-        inner[at[(at >= 0) & (at < len(g))]] = False
-    return (wh >> K.U64(64 - BITS)).astype(np.int64), woff, g[inner].astype(np.int64), goff
+    at = np.arange(goff[-1]) + np.repeat(coff[:-1] - goff[:-1], n)
+    h = (prefix[ends[at + 3]] - prefix[starts[at]]) * K.FIRST.back[starts[at]]
+    h = (h ^ (h >> K.U64(29))) * K.U64(0x9E3779B97F4A7C15)
+    return (wh >> K.U64(64 - BITS)).astype(np.int64), woff, (h >> K.U64(64 - BITS)).astype(np.int64), goff
 
 
 def _repeats(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +77,7 @@ def _repeats(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _measure(data: np.ndarray, offs: np.ndarray):
-    """The five counts of each row, and the word hashes for the model."""
+    """The five counts of each row, and the prefix sums and word hashes for the model."""
     s, e, woff = K.words(data, offs)
     first, second = K.FIRST.prefix(data), K.SECOND.prefix(data)
     wh = K.FIRST.ranges(first, s, e)
@@ -101,31 +99,40 @@ def _measure(data: np.ndarray, offs: np.ndarray):
     np.add.at(cover, at[shared] + WINDOW, -1)
     repeat = _row_sums(np.cumsum(cover)[:-1] > 0, woff)
     counts = dict(zip(_COUNTS, (nw, _row_sums(chars, offs), _row_sums(_SYMBOL[data], offs), dup_lines, repeat)))
-    return counts, wh, woff
+    return counts, first, wh, woff
 
 
-def _margin(model: Model, data, offs, wh, woff) -> np.ndarray:
-    w, wo, g, go = _slots(data, offs, wh, woff)
+def _margin(model: Model, data, offs, prefix, wh, woff) -> np.ndarray:
+    w, wo, g, go = _slots(data, offs, prefix, wh, woff)
     out = np.full(len(offs) - 1, model.intercept)
     for slots, at, weights in ((w, wo, model.weights[:DIMS]), (g, go, model.weights[DIMS:])):
         out += SHARE * _row_sums(weights[slots], at) / np.maximum(np.diff(at), 1)
     return out
 
 
-def _sparse(text: str | None) -> tuple[list, list]:
-    """Slots and values of one document's features."""
-    batch = pa.RecordBatch.from_arrays([pa.array([text or ""])], ["text"])
-    _, data, offs = next(K.text_chunks(batch))
-    s, e, woff = K.words(data, offs)
-    w, _, g, _ = _slots(data, offs, K.FIRST.ranges(K.FIRST.prefix(data), s, e), woff)
-    parts = [np.unique(x + base, return_counts=True) for x, base in ((w, 0), (g, DIMS))]
-    return (np.concatenate([p[0] for p in parts]).tolist(),
-            np.concatenate([SHARE * p[1] / max(p[1].sum(), 1) for p in parts]).tolist())
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Label, held flag, slots and values of each row's features."""
+    for batch in batches:
+        for rows, data, offs in K.text_chunks(batch):
+            s, e, woff = K.words(data, offs)
+            prefix = K.FIRST.prefix(data)
+            w, wo, g, go = _slots(data, offs, prefix, K.FIRST.ranges(prefix, s, e), woff)
+            slots, values = [], []
+            for i in range(rows.num_rows):
+                parts = [np.unique(x[o[i]:o[i + 1]] + base, return_counts=True) for x, o, base in ((w, wo, 0), (g, go, DIMS))]
+                slots.append(np.concatenate([p[0] for p in parts]).astype(np.int32))
+                values.append(np.concatenate([SHARE * p[1] / max(p[1].sum(), 1) for p in parts]))
+            yield pa.RecordBatch.from_arrays([K.column(rows, "label"), K.column(rows, "held"), pa.array(slots, pa.list_(pa.int32())),
+                                              pa.array(values, pa.list_(pa.float64()))], ["label", "held", "slots", "values"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", max_rows: int = 6000) -> Model | None:
-    """Fit and calibrate on at most ``max_rows`` labelled documents; None without both classes."""
+    """Fit and calibrate on at most ``max_rows`` labelled documents; None without both classes.
+
+    The sample is written once and read in ``FIT_PARTS`` partitions, however many the documents have, so
+    an iteration is a few tasks and sums as many gradients.
+    """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -135,9 +142,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .orderBy(F.xxhash64("id"), "id", "label").limit(max_rows))
     texts = ready(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "id")  # at most max_rows small rows
-    vec = F.udf(lambda t: SparseVector(2 * DIMS, *_sparse(t)), VectorUDT())  # a row at a time, on the sample only
-    data = (rows.select("label", vec("text").alias("features"),
-                    (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0).alias("held"))).persist()
+    held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0
+    sample = pin(rows.select("label", held.alias("held"), "text")).coalesce(FIT_PARTS)
+    slots = sample.mapInArrow(_features, "label double, held boolean, slots array<int>, values array<double>")
+    vec = F.udf(lambda i, v: SparseVector(2 * DIMS, i, v), VectorUDT())  # MLlib's type, on the sample only
+    data = slots.select("label", "held", vec("slots", "values").alias("features")).persist()
     try:
         if data.where("not held").select("label").distinct().count() < 2:
             return None
@@ -164,12 +173,12 @@ def apply_rules(docs: DataFrame, model: Model | None, id_col: str = "doc_id", te
         m = shared.value
         for batch in batches:
             for rows, data, offs in K.text_chunks(batch):
-                c, wh, woff = _measure(data, offs)
+                c, prefix, wh, woff = _measure(data, offs)
                 failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PCT * c["n_words"])
                 if m is None:
                     p, good = pa.nulls(rows.num_rows, pa.float64()), ~failed
                 else:
-                    prob = m.probability(_margin(m, data, offs, wh, woff))
+                    prob = m.probability(_margin(m, data, offs, prefix, wh, woff))
                     p, good = pa.array(prob), ~failed & (prob >= keep_from)
                 yield pa.RecordBatch.from_arrays(
                     [K.column(rows, "id"), *(pa.array(c[k].astype(np.int64)) for k in _COUNTS),
@@ -193,10 +202,10 @@ def keep_good(docs: DataFrame, model: Model | None, text_col: str = "text",
         m = shared.value
         for batch in batches:
             for rows, data, offs in K.text_chunks(batch, text_col):
-                c, wh, woff = _measure(data, offs)
+                c, prefix, wh, woff = _measure(data, offs)
                 good = (c["n_words"] >= MIN_WORDS) & (100 * c["n_repeat_words"] <= MAX_REPEAT_PCT * c["n_words"])
                 if m is not None:
-                    good &= m.probability(_margin(m, data, offs, wh, woff)) >= keep_from
+                    good &= m.probability(_margin(m, data, offs, prefix, wh, woff)) >= keep_from
                 if good.any():
                     yield rows.filter(pa.array(good))
 
