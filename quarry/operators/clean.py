@@ -115,11 +115,12 @@ def to_messages(df: DataFrame, key: str) -> DataFrame:
 
 
 def parse_messages(
-    df: DataFrame, schema: StructType = STOCK_SCHEMA, value_col: str = "value", key_col: str | None = "key"
+    df: DataFrame, schema: StructType = STOCK_SCHEMA, value_col: str = "value", key_col: str | None = "key",
+    carry: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Topic rows -> (key + message fields, rejected raw values)."""
-    keep = []
+    """Topic rows -> (key + ``carry`` columns + message fields, rejected raw values)."""
+    keep = list(carry or [])
     if key_col:
         df = df.withColumn(key_col, F.col(key_col).cast("string"))
-        keep = [key_col]
+        keep = [key_col, *keep]
     return parse_json(df, value_col, schema, keep)

@@ -7,12 +7,14 @@ empty text has no lines.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.functions.json import parse_json
 from quarry.functions.text import LINE_BREAK, line_break_count, line_count, plain_path, report_line
+from quarry.session import materialize
 
 # The text reader already splits on \n, \r and \r\n; these are the other boundaries.
 _EXTRA_BREAKS = r"[\x{0B}\x{0C}\x{1C}\x{1D}\x{1E}\x{85}\x{2028}\x{2029}]"
@@ -46,6 +48,40 @@ def count_file_lines(files: DataFrame, exclude: str | None = None) -> tuple[Data
     return good, rejected
 
 
+def text_rows(lines: DataFrame) -> DataFrame:
+    """Rows of the text source (``lineSep`` = line feed, batch or stream) with what ``file_totals`` needs of their files."""
+    return lines.select("value", plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("_size"),
+                        F.col("_metadata.file_block_start").alias("_block"))
+
+
+def file_totals(rows: DataFrame) -> DataFrame:
+    """One row per file from ``text_rows``: path, _ok, _lines, _ends, _over."""
+    row = F.col("value")
+    parts = rows.select(
+        "path", "_size",
+        (F.octet_length(row) + 1).cast("bigint").alias("_bytes"),
+        (line_break_count(F.regexp_replace(row, r"\r\z", "")) + 1).alias("_lines"),
+        row.rlike(_EXTRA_BREAKS + r"\z").alias("_ends"),
+        F.is_valid_utf8(row).alias("_ok"),
+        F.struct(F.col("_block").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"),
+    )
+    return parts.groupBy("path").agg(
+        F.min("_ok").alias("_ok"), F.sum("_lines").alias("_lines"), F.max_by("_ends", "_at").alias("_ends"),
+        (F.sum("_bytes") - F.max("_size")).alias("_over"),
+    )
+
+
+def totals_split(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``file_totals`` as (path, n_lines) and (path, reason)."""
+    counts = files.where("_ok").select("path", counts_of(_open_end()).cast("bigint").alias("n_lines"))
+    return counts, files.where("not _ok").select("path", F.lit("invalid utf-8").alias("reason"))
+
+
+def _open_end() -> Column:
+    # A byte order mark (3 bytes) is not part of the first row.
+    return F.col("_over").isin(1, -2) & F.col("_ends")
+
+
 def count_lines(
     spark: SparkSession, path: str, glob: str | None = None, manifest: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -62,27 +98,11 @@ def count_lines(
     r = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    row = F.col("value")
-    rows = r.text(path).select(
-        plain_path(F.col("_metadata.file_path")).alias("path"),
-        F.col("_metadata.file_size").alias("_size"),
-        (F.octet_length(row) + 1).cast("bigint").alias("_bytes"),
-        (line_break_count(F.regexp_replace(row, r"\r\z", "")) + 1).alias("_lines"),
-        row.rlike(_EXTRA_BREAKS + r"\z").alias("_ends"),
-        F.is_valid_utf8(row).alias("_ok"),
-        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"),
-    )
-    files = rows.groupBy("path").agg(
-        F.min("_ok").alias("_ok"), F.sum("_lines").alias("_lines"), F.max_by("_ends", "_at").alias("_ends"),
-        (F.sum("_bytes") - F.max("_size")).alias("_over"),
-    )
-    # A byte order mark (3 bytes) is not part of the first row.
-    open_end = F.col("_over").isin(1, -2) & F.col("_ends")
-    counts = files.where("_ok").select("path", counts_of(open_end).cast("bigint").alias("n_lines"))
-    rejected = files.where("not _ok").select("path", F.lit("invalid utf-8").alias("reason"))
+    files = file_totals(text_rows(r.text(path)))
+    counts, rejected = totals_split(files)
     if manifest is not None:
         known = manifest.select("path", plain_path(F.col("path"), decode=False).alias("_p"))
-        every = files.select(F.col("path").alias("_p"), "_ok", counts_of(open_end).alias("n_lines"))
+        every = files.select(F.col("path").alias("_p"), "_ok", counts_of(_open_end()).alias("n_lines"))
         counts = (known.join(every, "_p", "left").where("_ok is null or _ok")
                   .select("path", F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines")))
     return counts, rejected
@@ -105,6 +125,17 @@ def with_report(counts: DataFrame) -> DataFrame:
     return counts.withColumn("report", report_line(F.col("path"), F.col("n_lines")))
 
 
+def _file_name(files: DataFrame) -> Column:
+    """The name by which Spark leaves files out of a scan; of frames that are no file scan, the path itself."""
+    try:
+        files.select("_metadata.file_path")
+    except AnalysisException:
+        return F.col("path")
+    return F.col("_metadata.file_path")
+
+
+FILES_PER_SCAN = 5_000  # file names that one scan is limited to
+
 # Fixed value: the file-event message schema.
 EVENT_SCHEMA = StructType([StructField("bucket", StringType()), StructField("file", StringType())])
 
@@ -114,9 +145,11 @@ def line_counts_from_events(
 ) -> tuple[DataFrame, DataFrame]:
     """File-event messages ``{"bucket", "file"}`` -> per-file line counts.
 
-    ``files`` is a whole-file frame (``read_files``) over the buckets, and ``root`` what stands before a
-    bucket's name in its paths (``gs://``, ``hdfs:///data/``). Events
-    are matched to files by path in a join, so nothing is listed or read on
+    ``files`` is a frame of ``read_files`` over the buckets, and ``root`` what stands before a
+    bucket's name in its paths (``gs://``, ``hdfs:///data/``). Events are matched with the listing of the files
+    (their paths alone), and the scan of contents is then limited to the matched files by
+    ``_metadata.file_path``: other files are not opened, and no content goes through a join or an exchange.
+    The names are handed over in blocks of ``FILES_PER_SCAN``, one scan each, so no table passes whole through
     the driver. Returns ``(counts, rejected)``; rejected holds malformed
     messages, events whose file is missing, and files that are not UTF-8.
     """
@@ -125,10 +158,23 @@ def line_counts_from_events(
         plain_path(F.concat(F.lit(root), F.regexp_replace("bucket", "/+$", ""), F.lit("/"), F.regexp_replace("file", "^/+", "")),
                    decode=False).alias("path")
     ).distinct()
-    files = files.withColumn("path", plain_path(F.col("path"), decode=False))
-    counted, unreadable = count_file_lines(files.join(wanted, "path", "left_semi"))
-    # Only the listing is needed here: a path-only scan does not read contents.
-    missing = wanted.join(files.select("path"), "path", "left_anti")
+    file = _file_name(files)
+    listing = files.select(plain_path(F.col("path"), decode=False).alias("path"), file.alias("_file"))
+    matched = materialize(wanted.join(listing, "path", "left"), "table")
+    scans, block = [], []
+    for r in matched.where("_file is not null").select("_file").distinct().toLocalIterator():
+        block.append(r["_file"])
+        if len(block) == FILES_PER_SCAN:
+            scans.append(block)
+            block = []
+    scans += [block] if block or not scans else []
+    counted = unreadable = None
+    for names in scans:
+        some = files.where(file.isin(names) if names else F.lit(False))
+        good_part, bad_part = count_file_lines(some.withColumn("path", plain_path(F.col("path"), decode=False)))
+        counted = good_part if counted is None else counted.unionByName(good_part)
+        unreadable = bad_part if unreadable is None else unreadable.unionByName(bad_part)
+    missing = matched.where("_file is null").select("path")
     rejected = (
         bad.select(F.col("raw_value").alias("message"), F.lit(None).cast("string").alias("path"), F.lit("malformed").alias("reason"))
         .unionByName(missing.select(F.lit(None).cast("string").alias("message"), "path", F.lit("missing").alias("reason")))

@@ -54,12 +54,15 @@ def threshold_summary(
     exact: bool = True,
     accuracy: int = 10_000,
     names=("percentile", "value", "n_exceeding"),
+    certify: bool = False,
 ) -> DataFrame:
     """One row per quantile: label, threshold value, count of rows strictly above.
 
     ``exact`` selects the values at the wanted ranks (``quarry.operators.ranks``); otherwise
     ``percentile_approx`` with ``accuracy``, one bounded sketch per task.
-    Exceedances for all thresholds come from one conditional aggregate.
+    Exceedances for all thresholds come from one conditional aggregate. ``certify``
+    adds ``n_below``, ``n_equal`` and ``within_bound`` from the same aggregate: the quantile's rank lies within
+    ``n / accuracy`` rows of the ranks the value takes (``accuracy`` is not used by the exact form: no tolerance).
     """
     if len(labels) != len(quantiles):
         raise ValueError("one label per quantile")
@@ -76,14 +79,24 @@ def threshold_summary(
         F.coalesce(F.sum(F.when(x > F.lit(v), 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"n{i}")
         for i, v in enumerate(values)
     ]
+    if certify:
+        for i, v in enumerate(values):
+            aggs += [F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"{c}{i}")
+                     for c, test in (("b", x < F.lit(v)), ("e", x == F.lit(v)))]
+        aggs.append(F.count(x).alias("n"))
     counts = changes.agg(*aggs)
-    pairs = ", ".join(
-        f"'{lab}', CAST({repr(float(v)) if v is not None else 'NULL'} AS DOUBLE), n{i}"
-        for i, (lab, v) in enumerate(zip(labels, values))
-    )
-    return counts.selectExpr(
-        f"stack({len(values)}, {pairs}) AS (`{names[0]}`, `{names[1]}`, `{names[2]}`)"
-    )
+    value = [f"CAST({repr(float(v)) if v is not None else 'NULL'} AS DOUBLE)" for v in values]
+    cols = [[f"'{lab}'", value[i], f"n{i}"] for i, lab in enumerate(labels)]
+    out_names = list(names)
+    if certify:
+        slack = "0" if exact else f"n / {float(accuracy)}"
+        for i, q in enumerate(quantiles):
+            # linear interpolation lies between two neighbouring ranks, hence one row on each side
+            rank = f"(n - 1) * {float(q)!r}D"
+            cols[i] += [f"b{i}", f"e{i}", f"n = 0 OR (b{i} - 1 - {slack} <= {rank} AND {rank} <= b{i} + e{i} + {slack})"]
+        out_names += ["n_below", "n_equal", "within_bound"]
+    pairs = ", ".join(", ".join(c) for c in cols)
+    return counts.selectExpr(f"stack({len(values)}, {pairs}) AS ({', '.join(f'`{c}`' for c in out_names)})")
 
 
 def detect_anomalies(
@@ -145,6 +158,7 @@ def apply_rules(h: DataFrame, price_pct: float = PRICE_PCT, volume_pct: float =
     })
 
 
+# The columns of the anomaly report.
 ANOMALY_REPORT = [
     "stock_ticker", "timestamp", "close", "volume", "prev_minute_close",
     "avg_10min_volume", "price_change_pct", "volume_change_pct", "anomaly_type",

@@ -26,7 +26,8 @@ def stock_threshold_job(
     """Per-ticker CSV bars -> |% change| between ticks -> percentile thresholds and
     the number of trades above each -> CSV with the report's headers."""
     bars, _ = clean.load_bars(spark, csv_glob, ticker_from="stem")
-    changes = ticks.price_changes(bars, tiebreak=())
+    # bars have no id: those of one ticker and time are ordered by their other columns
+    changes = ticks.price_changes(bars, tiebreak=("open", "high", "low", "close", "volume"))
     report = ticks.threshold_summary(changes, exact=exact, names=ticks.REPORT_COLUMNS)
     if output_path:
         sinks.write_csv(report, output_path, header=True)
@@ -87,8 +88,10 @@ def anomaly_stream_job(
     from quarry.streaming.runner import start
 
     raw = topics.read_topic(spark, source_options, stream=True)
-    good, bad = clean.parse_messages(raw)
-    bars = to_event_time(good.withColumn("event_id", F.lit(0).cast("bigint")), "timestamp")
+    # bars of one ticker and time are ordered by their place in the topic
+    place = F.shiftleft(F.col("offset").cast("bigint"), 16) + F.col("partition")
+    good, bad = clean.parse_messages(raw.withColumn("event_id", place), carry=["event_id"])
+    bars = to_event_time(good, "timestamp")
     flagged = detect_anomalies_stream(bars, watermark)
     alerts = ticks.alert_messages(flagged)
     if alerts_sink_options:

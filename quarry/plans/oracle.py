@@ -90,7 +90,6 @@ ORACLE = {
     "line_counts": f"SELECT doc_id, CAST({_lines('text')} AS BIGINT) AS n_lines FROM documents",
     "line_counts_files": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
     "line_counts_scan": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
-    "line_counts_default": f"SELECT doc_id, CAST({_lines("(text || chr(10))")} AS BIGINT) AS n_lines FROM documents",
     "sliding_counts": """
 WITH w AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS b FROM events),
@@ -233,6 +232,10 @@ FROM customer
 ORACLE["sliding_counts_stream"] = ORACLE["sliding_counts"]
 ORACLE["detect_anomalies_stream"] = ORACLE["detect_anomalies"]
 ORACLE["detect_anomalies_stream_table"] = ORACLE["detect_anomalies"]
+ORACLE["threshold_summary_approx"] = f"""
+SELECT percentile, (SELECT count(pct_change) FROM ({_CHANGES}) c) > 0 AS within_bound
+FROM (VALUES ('95th'), ('99th'), ('99.5th'), ('99.95th'), ('99.995th')) v(percentile)
+"""
 ORACLE["line_counts_stream"] = ORACLE["line_counts_files"]
 ORACLE["line_counts_from_events"] = ORACLE["line_counts_files"]
 ORACLE["load_bars"] = ORACLE["clean_bars"]

@@ -232,14 +232,10 @@ def q_line_counts_stream(spark, sf):
     return spark.read.parquet(out).select(_doc_id_from_path(), "n_lines")
 
 
-def q_detect_anomalies_stream(spark, sf):
-    """Ticks arrive as files (error bars one file late) plus one far-future
-    bar that moves the watermark past every real bar; that bar itself stays
-    buffered and is never emitted."""
-    from quarry.sources.tables import to_event_time
-    from quarry.streaming.anomalies import detect_anomalies_stream
+def _ticks_feed(spark, sf):
+    """Ticks as a file stream (error bars one file late) plus one far-future bar that moves the watermark
+    past every real bar; that bar itself stays buffered and is never emitted. Returns (folder, schema)."""
     from quarry.streaming.feed import write_arrivals
-    from quarry.streaming.runner import start
 
     ev = _events(spark, sf, ["event_id", "ts", "user_id", "value", "event_type"])
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
@@ -256,15 +252,26 @@ def q_detect_anomalies_stream(spark, sf):
     )
     feed = scratch_path(spark, "ticks-feed")
     write_arrivals(t.unionByName(sentinel), "_arrival", feed)
-    schema = derive.ticks_from_events(ev).schema
+    return feed, derive.ticks_from_events(ev).schema
+
+
+def _anomaly_stream(spark, feed, schema, out, checkpoint, row_api=True):
+    from quarry.sources.tables import to_event_time
+    from quarry.streaming.anomalies import detect_anomalies_stream
+    from quarry.streaming.runner import start
+
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    stream = to_event_time(stream, "timestamp")
-    flagged = detect_anomalies_stream(stream, watermark="12 days")
+    cores = spark.sparkContext.defaultParallelism
+    flagged = detect_anomalies_stream(to_event_time(stream, "timestamp"), watermark="12 days", row_api=row_api,
+                                      chunk_seconds=30 * 86_400, buckets=2 * cores)
+    return start(flagged, checkpoint, sink="parquet", path=out, mode="append", trigger={"availableNow": True}, shuffle_partitions=cores)
+
+
+def q_detect_anomalies_stream(spark, sf):
+    """The anomaly rules over ticks that arrive as files, with history across micro-batches and time chunks."""
+    feed, schema = _ticks_feed(spark, sf)
     out = scratch_path(spark, "anomaly-out")
-    q = start(flagged, scratch_path(spark, "anomaly-ckpt"), sink="parquet", path=out,
-              mode="append", trigger={"availableNow": True},
-              shuffle_partitions=spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
+    _anomaly_stream(spark, feed, schema, out, scratch_path(spark, "anomaly-ckpt")).awaitTermination()
     res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return ticks.anomalies(res)
 
@@ -389,9 +396,10 @@ def q_click_counter_tsv(spark, sf):
 
 
 def q_threshold_summary_approx(spark, sf):
-    """Approximate thresholds (bounded sketches); values differ from the exact ones by rank error."""
+    """Approximate thresholds (bounded sketches), each with its rank error checked by a second aggregate."""
     ch = ticks.price_changes(_ticks(spark, sf))
-    return ticks.threshold_summary(ch, exact=False, accuracy=10_000)
+    out = ticks.threshold_summary(ch, exact=False, accuracy=10_000, certify=True)
+    return out.select("percentile", "within_bound")
 
 
 def q_moving_avg_range(spark, sf):
@@ -417,39 +425,19 @@ def q_customer_messages(spark, sf):
 
 
 def q_detect_anomalies_stream_table(spark, sf):
-    """Same feed as detect_anomalies_stream, state kept as a versioned table (skew-safe form).
-    Two far-future bars follow the data: the first moves the watermark, the second's
-    micro-batch emits what it released."""
-    from quarry.sources.tables import to_event_time
-    from quarry.streaming.batch_state import anomaly_table_writer
+    """The same stream into a table, stopped and started again from its checkpoint: state and output go on where
+    they were. The bars of the first run's files are written before it, all others and the far-future bar after it."""
     from quarry.streaming.feed import write_arrivals
-    from quarry.streaming.runner import start_foreach_batch
 
-    ev = _events(spark, sf, ["event_id", "ts", "user_id", "value", "event_type"])
-    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
-    late = F.when(F.col("event_type") == "error", 1).otherwise(0)
-    t = derive.ticks_from_events(ev.withColumn("_arrival", F.floor(day / 5) + late), keep=["_arrival"])
-    last = ev.agg(F.max("ts").alias("ts"), F.max("event_id").alias("event_id"))
-    sentinels = [
-        last.select(
-            F.lit(-1).cast("bigint").alias("stock_ticker"),
-            (F.col("ts") + F.expr(f"INTERVAL {60 + i} DAYS")).alias("timestamp"),
-            *[F.lit(0.0).alias(c) for c in ("open", "high", "low", "close")],
-            F.lit(0).cast("bigint").alias("volume"),
-            (F.col("event_id") + 1 + i).alias("event_id"),
-            F.lit(10_000 + i).cast("bigint").alias("_arrival"),
-        )
-        for i in range(2)
-    ]
-    feed = scratch_path(spark, "ticks-feed-table")
-    write_arrivals(t.unionByName(sentinels[0]).unionByName(sentinels[1]), "_arrival", feed)
-    schema = derive.ticks_from_events(ev).schema
-    stream = to_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed), "timestamp")
-    out, state = scratch_path(spark, "anomaly-table-out"), scratch_path(spark, "anomaly-table-state")
-    q = start_foreach_batch(stream, scratch_path(spark, "anomaly-table-ckpt"),
-                            anomaly_table_writer(out, state, 12 * 86400), mode="append",
-                            trigger={"availableNow": True})
-    q.awaitTermination()
+    feed, schema = _ticks_feed(spark, sf)
+    parts = spark.read.schema(schema).parquet(feed)
+    middle = parts.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
+    later = F.unix_micros(F.col("timestamp").cast("timestamp")) >= F.lit(middle)
+    both = parts.withColumn("_half", later.cast("int"))
+    src, out, ckpt = (scratch_path(spark, f"ticks-{n}") for n in ("halves", "table", "table-ckpt"))
+    for run in (0, 1):
+        write_arrivals(both.where(F.col("_half") == run), "_half", src)
+        _anomaly_stream(spark, src, schema, out, ckpt, row_api=False).awaitTermination()
     res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return ticks.anomalies(res)
 
@@ -474,7 +462,6 @@ QUERIES = {
     "line_counts": q_line_counts,
     "line_counts_files": q_line_counts_files,
     "line_counts_scan": q_line_counts_scan,
-    "line_counts_default": q_line_counts_scan,
     "sliding_counts": q_sliding_counts,
     "scd2_merge": q_scd2_merge,
     "scd2_merge_sql": q_scd2_merge_sql,

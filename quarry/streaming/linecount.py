@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
-from quarry.operators.linecount import count_file_lines, with_report
-from quarry.streaming.runner import start
-
-# Fixed value: the binary-file source schema.
-BINARY_FILE_SCHEMA = StructType([
-    StructField("path", StringType(), False),
-    StructField("modificationTime", TimestampType(), False),
-    StructField("length", LongType(), False),
-    StructField("content", BinaryType(), True),
-])
+from quarry.operators.linecount import file_totals, text_rows, totals_split, with_report
+from quarry.streaming.runner import start_foreach_batch
 
 
 def line_counts_stream(
@@ -28,58 +20,37 @@ def line_counts_stream(
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
     rejects_path: str | None = None,
-    mode: str = "exact",
 ) -> StreamingQuery:
     """Count lines of each new file under ``source_dir`` once.
 
     The checkpoint records which files were taken, so a restart neither skips
-    nor recounts a committed file. One row per file (path, n_lines, report) is
-    appended to ``out_path``; output lives apart from the input, and
+    nor recounts a committed file. One row per file (path, n_lines, report) goes
+    to ``out_path``; output lives apart from the input, and
     ``exclude`` (regex on the path) skips files that must never be counted.
 
-    ``mode="scan"`` reads lines with the splittable text source instead of
-    whole files, for files too large to hold as one row. The file source hands
-    every file whole to one micro-batch, so a per-batch count per file (in
-    ``foreachBatch``, written under ``batch_id=<id>``) is already final.
+    One form for files of any size, with the counts and rejects of the batch ``count_lines``: lines
+    are read with the splittable text source, and the file source hands every file whole to one
+    micro-batch, so its count there is final. Each micro-batch scans its files once and writes
+    both outputs under ``batch_id=<id>`` with overwrite, so a repeated batch replaces its own rows.
+    Files that are not UTF-8 go to ``rejects_path`` (path, reason), if given.
     """
-    if mode == "scan":
-        return _scan_stream(spark, source_dir, checkpoint, out_path, glob, exclude, max_files_per_trigger, trigger)
-    r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = r.load(source_dir)
-    good, rejected = count_file_lines(files, exclude)
-    q = start(with_report(good), checkpoint, sink="parquet", path=out_path, mode="append", trigger=trigger)
-    if rejects_path:
-        start(rejected, checkpoint.rstrip("/") + "-rejects", sink="parquet", path=rejects_path,
-              mode="append", trigger=trigger)
-    return q
-
-
-_EXTRA_BREAKS = r"[\x{0B}\x{0C}\x{1C}\x{1D}\x{1E}\x{85}\x{2028}\x{2029}]"
-
-
-def _scan_stream(spark, source_dir, checkpoint, out_path, glob, exclude, max_files_per_trigger, trigger):
-    from pyspark.sql import functions as F
-
-    from quarry.streaming.runner import start_foreach_batch
-
-    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = r.load(source_dir).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.regexp_count(F.col("value"), F.lit(_EXTRA_BREAKS)).alias("_extra"),
-    )
+    rows = text_rows(r.load(source_dir))
     if exclude:
-        lines = lines.where(~F.col("path").rlike(exclude))
-
-    def write(batch, batch_id):
-        counts = batch.groupBy("path").agg((F.count(F.lit(1)) + F.sum("_extra")).cast("bigint").alias("n_lines"))
-        with_report(counts).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    return start_foreach_batch(lines, checkpoint, write, mode="append", trigger=trigger)
+        rows = rows.where(~F.col("path").rlike(exclude))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        totals = file_totals(batch).persist()  # one row per file of this micro-batch
+        try:
+            counts, rejected = totals_split(totals)
+            with_report(counts).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            if rejects_path:
+                rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        finally:
+            totals.unpersist()
+
+    return start_foreach_batch(rows, checkpoint, write, mode="append", trigger=trigger)

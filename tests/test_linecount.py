@@ -98,3 +98,27 @@ def test_events_route_malformed_and_missing(spark):
 def test_report_line(spark):
     df = spark.createDataFrame([("/data/in/input.txt", 4)], "path string, n_lines long")
     assert linecount.with_report(df).first()["report"] == "Number of lines in /data/in/input.txt: 4"
+
+
+def test_events_open_matched_files_only(spark):
+    """No content in an exchange or a join, and a file that no event names is not read."""
+    d = tempfile.mkdtemp(prefix="quarry-ev-")
+    for i in range(6):
+        with open(os.path.join(d, f"f {i}.txt"), "w") as f:
+            f.write("a\n" * i)
+    os.chmod(os.path.join(d, "f 5.txt"), 0)
+    ev = spark.createDataFrame([(f'{{"bucket": "{d}", "file": "f {i}.txt"}}',) for i in (1, 2, 2, 9)], "value string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts, rejected = linecount.line_counts_from_events(ev, linecount.read_files(spark, d))
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        files = sum(f.rdd.getNumPartitions() for f in [counts])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "Exchange" not in plan and "Join" not in plan
+    assert "PartitionFilters" in plan or "file_path" in plan
+    assert files <= 2 and sorted((os.path.basename(r["path"]), r["n_lines"]) for r in counts.collect()) == [("f 1.txt", 1), ("f 2.txt", 2)]
+    assert [(os.path.basename(r["path"]), r["reason"]) for r in rejected.collect()] == [("f 9.txt", "missing")]

@@ -99,47 +99,59 @@ def test_per_batch_writer_and_late_rows(spark):
     assert rows_dropped_by_watermark(q) == 0
 
 
-def test_table_state_stream_equals_batch_with_disorder(spark):
-    from quarry.streaming.batch_state import anomaly_table_writer
-    from quarry.streaming.runner import start_foreach_batch
+def _hot_ticks(spark):
+    """One ticker with a third of the bars, null volumes, many chunks, and bars of equal time."""
+    base = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    n = 900
+    return spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("t"), (F.col("id") % 7).cast("string"))).alias("stock_ticker"),
+        (base + F.make_dt_interval(secs=F.floor(F.col("id") / 2) * 97)).alias("timestamp"),
+        (F.col("id") % 13).cast("double").alias("close"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 101).alias("volume"), F.col("id").alias("event_id"))
+
+
+def test_hot_ticker_is_spread_over_chunks_and_survives_a_restart(spark):
+    from quarry.streaming.anomalies import detect_anomalies_stream
+    from quarry.streaming.runner import start
 
-    ev = spark.read.parquet(f"{SF0}/events.parquet")
-    t = to_event_time(derive.ticks_from_events(ev))
-    day = F.datediff(F.to_date("timestamp"), F.lit("2024-01-01"))
-    feed = scratch_path(spark, "t-tab-feed")
-    arr = (F.floor(day / 4) * 2 + F.when(F.col("event_id") % 3 == 0, 1).otherwise(0))
-    sentinel = t.agg(F.max("timestamp").alias("ts")).select(
-        F.lit(-1).cast("bigint").alias("stock_ticker"), (F.col("ts") + F.expr("INTERVAL 40 DAYS")).alias("timestamp"),
-        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("bigint").alias("volume"),
-        F.lit(-1).cast("bigint").alias("event_id"), F.lit(999).cast("bigint").alias("_a"))
-    write_arrivals(t.withColumn("_a", arr.cast("bigint")).unionByName(sentinel).unionByName(
-        sentinel.withColumn("_a", F.lit(1000).cast("bigint")).withColumn("event_id", F.lit(-2).cast("bigint"))),
-        "_a", feed)
-    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    out, state = scratch_path(spark, "t-tab-out"), scratch_path(spark, "t-tab-state")
-    q = start_foreach_batch(stream, scratch_path(spark, "t-tab-ck"),
-                            anomaly_table_writer(out, state, 10 * 86400, chunk="hour"),
-                            mode="append", trigger={"availableNow": True})
-    q.awaitTermination()
+    t = _hot_ticks(spark).persist()
+    feed, out, ck = (scratch_path(spark, f"t-hot-{x}") for x in ("feed", "out", "ck"))
+    tail = t.agg(F.max("timestamp").alias("ts")).select(
+        F.lit("end").alias("stock_ticker"), (F.col("ts") + F.expr("INTERVAL 40 DAYS")).alias("timestamp"),
+        F.lit(1.0).alias("close"), F.lit(1).cast("long").alias("volume"), F.lit(-1).cast("long").alias("event_id"))
+    arrival = F.floor(F.col("event_id") / 300) + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)  # some bars one file late
+    for last, rows_ in ((False, t.where("event_id < 500")), (True, t.where("event_id >= 500"))):
+        frame = rows_.withColumn("_a", arrival.cast("bigint"))
+        write_arrivals(frame.unionByName(tail.withColumn("_a", F.lit(999).cast("bigint"))) if last else frame, "_a", feed)
+        stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        flagged = detect_anomalies_stream(stream, "10 hours", rows=3, chunk_seconds=3600, buckets=2)
+        start(flagged, ck, path=out, trigger={"availableNow": True}).awaitTermination()
     cols = ["stock_ticker", "event_id", "prev_minute_close", "avg_10min_volume", "anomaly_type"]
     got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
-    want = sorted(tuple(r) for r in ticks.detect_anomalies(t).select(*cols).collect())
-    assert got == want
+    want = sorted(tuple(r) for r in ticks.detect_anomalies(t, rows=3).select(*cols).collect())
+    assert len(got) == t.count() and got == want
 
 
-def test_line_count_stream_scan_mode(spark):
+def test_line_count_stream_of_edge_files(spark):
+    """Counts and rejects of arriving files equal those of the batch scan; a repeated batch writes the same folders."""
+    from quarry.operators.linecount import count_lines
     from quarry.streaming.linecount import line_counts_stream
 
     src = scratch_path(spark, "t-lcs-src").replace("file:", "")
-    texts = {"a.txt": "1\n2\n3\n", "b.txt": "x\x0by\n", "c.txt": "one line\n"}
+    texts = {"a.txt": b"1\n2\n3\n", "vt.txt": b"x\x0by\x0b", "nel.txt": "x\u0085".encode(), "crlf.txt": b"a\r\nb\r\n", "cr.txt": b"a\rb",
+             "bom.txt": b"\xef\xbb\xbfone\ntwo", "bad.txt": b"ok\n\xff\xfe\n", "two words.txt": b"one line\n", "open.txt": b"a\nb", "ff.txt": b"a\n\x0c"}
     for n, t in texts.items():
-        with open(os.path.join(src, n), "w", encoding="utf-8", newline="") as f:
+        with open(os.path.join(src, n), "wb") as f:
             f.write(t)
-    out = scratch_path(spark, "t-lcs-out")
-    line_counts_stream(spark, src, scratch_path(spark, "t-lcs-ck"), out, mode="scan", max_files_per_trigger=1,
+    out, bad = scratch_path(spark, "t-lcs-out"), scratch_path(spark, "t-lcs-bad")
+    line_counts_stream(spark, src, scratch_path(spark, "t-lcs-ck"), out, max_files_per_trigger=3, rejects_path=bad,
                        trigger={"availableNow": True}).awaitTermination()
+    counts, rejected = count_lines(spark, src)
     got = {os.path.basename(r["path"]): r["n_lines"] for r in spark.read.parquet(out).collect()}
-    assert got == {n: len(t.splitlines()) for n, t in texts.items()}
+    assert got == {os.path.basename(r["path"]): r["n_lines"] for r in counts.collect()}
+    assert {n: v for n, v in got.items() if n != "bom.txt"} == {n: len(t.decode().splitlines()) for n, t in texts.items() if n not in ("bad.txt", "bom.txt")}
+    reasons = [tuple(r) for r in spark.read.parquet(bad).select("path", "reason").collect()]
+    assert sorted(reasons) == sorted(tuple(r) for r in rejected.collect()) and len(reasons) == 1
 
 
 def test_sliding_stream_append_mode_emits_closed_windows_once(spark):
