@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 # ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
