@@ -115,3 +115,39 @@ def test_invariants_on_customer(spark):
     assert hist.subtract(out).count() == 0
     again = scd2_merge(out, source, **ARGS)
     assert rows(again) == rows(out)
+
+
+def test_each_side_is_shuffled_once(spark):
+    """Key checks add no exchange to the join: one for the open rows, one for the source."""
+    from quarry.operators.scd2 import classified
+
+    c = spark.read.parquet(f"{SF1}/customer.parquet")
+    target, source = derive.scd_target_from_customer(c), derive.scd_source_from_customer(c)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mode in ("error", "drop"):
+            is_open = F.col("effective_end_date").eqNullSafe(F.lit(derive.SENTINEL).cast(target.schema["effective_end_date"].dataType))
+            joined = classified(target.where(is_open), source, ["customer_id"], ["name", "city"], mode)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2 and "Exchange SinglePartition" not in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("pin", ["table", "checkpoint", "persist"])
+def test_both_forms_agree_on_bad_keys_for_every_pin(spark, pin):
+    target = spark.createDataFrame([(1, "a", "X", 1, T0, OPEN), (None, "n", "N", 9, T0, OPEN), (3, "c", "P", 3, T0, OPEN),
+                                    (3, "c", "Q", 4, T0, OPEN), (5, "e", "E", 2, T0, OPEN), (3, "c", "O", 5, T0, T0)], TS)
+    source = spark.createDataFrame([(1, "a", "Y"), (3, "c", "R"), (4, "d", "D"), (None, "n", "M"), (6, "f", "F"), (6, "f", "G"), (5, "e", "E")],
+                                   "customer_id bigint, name string, city string")
+    want = sorted([(1, "a", "X", 1, T0, A), (1, "a", "Y", 10, A, OPEN), (None, "n", "N", 9, T0, OPEN), (3, "c", "P", 3, T0, OPEN),
+                   (3, "c", "Q", 4, T0, OPEN), (3, "c", "O", 5, T0, T0), (4, "d", "D", 11, A, OPEN), (5, "e", "E", 2, T0, OPEN)], key=repr)
+    for merge in (scd2_merge, lambda t, s, **kw: scd2_merge_sql(spark, t, s, **kw)):
+        assert rows(merge(target, source, on_bad_keys="drop", pin=pin, **ARGS)) == want
+        for bad in (target.where("record_id <> 9"), target.where("customer_id = 1 or customer_id is null")):
+            with pytest.raises(BadKeysError):
+                merge(bad, source.where("customer_id < 5"), pin=pin, **ARGS)
+        assert len(rows(merge(target.limit(0), source.limit(0), pin=pin, **ARGS))) == 0
