@@ -15,17 +15,24 @@ from quarry.session import materialize, ship_package
 from .textkernel import Bloom
 
 
-ARROW_ROWS = 1000
+# Freed Arrow buffers go back to the system: whole documents pass through workers that live for the whole job.
+pa.set_memory_pool(pa.system_memory_pool())
+
+# Session settings for tables of whole documents, whose rows are long: rows and bytes that Spark hands to Python
+# at a time, and rows that its Parquet reader decodes at a time.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 2 << 20,
+            "spark.sql.parquet.columnarReaderBatchSize": 1024}
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Lower the session's Arrow batch to ``ARROW_ROWS`` rows: whole documents make long rows.
+    """Lower the session's batch sizes to ``_BATCHES``: whole documents make long rows.
 
-    A session setting, so it is made where a query or a pipeline stage begins, not inside operators.
+    Session settings, so they are made where a query or a pipeline stage begins, not inside operators.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    for key, most in _BATCHES.items():
+        old = spark.conf.get(key)
+        if not old.isdigit() or int(old) > most or int(old) <= 0:
+            spark.conf.set(key, str(most))
     return spark
 
 

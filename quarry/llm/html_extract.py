@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,7 @@ GOOD_TOKENS = frozenset("article body content entry main maincontent page post s
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[/!?][^>]*>|<[a-zA-Z/!?][^<>]*\Z",
     re.S)
-_ATTR = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 _HAS_SKIPPED = re.compile(rf"<(?:{'|'.join(sorted(SKIPPED))})\b", re.I)
 FEATURES = ("bad_tag", "good_tag", "bad_tokens", "good_tokens", "bad_above", "good_above", "bad_tokens_above", "good_tokens_above",
@@ -105,7 +106,9 @@ def _closings(source: str) -> dict[int, int]:
 class Page:
     """Block elements of a page in document order, and its text runs as (node, text, in link)."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, marker: str | None = None):
+        """``marker`` names the attribute by which ``variants`` marks content; no page's own attribute is read as a mark."""
+        self.mark = re.compile(rf'\s{marker}="([01])"') if marker else None
         self.parent, self.tag, self.tokens, self.label = [-1], ["root"], [frozenset()], [None]
         self.inline = [0]
         self.runs: list[tuple[int, list[str], int]] = []
@@ -173,10 +176,9 @@ class Page:
             tokens, label = set(), None
             for a in _ATTR.finditer(m.group(3)):
                 value = a.group(2) or a.group(3) or a.group(4) or ""
-                if a.group(1).lower() == "data-y":
-                    label = int(value)
-                else:
-                    tokens.update(_TOKEN.findall(value.lower()))
+                tokens.update(_TOKEN.findall(value.lower()))
+            if self.mark and (y := self.mark.search(m.group(3))):
+                label = int(y.group(1))
             self.parent.append(stack[-1][1])
             self.tag.append(tag)
             self.tokens.append(frozenset(tokens))
@@ -244,7 +246,7 @@ class Page:
         return x
 
     def marked(self) -> np.ndarray:
-        """Training labels from the mark-up, ``data-y`` first: 1 content or a holder of content, 0 not, -1 unused."""
+        """Training labels from the mark-up, the marker first: 1 content or a holder of content, 0 not, -1 unused."""
         n = len(self.tag)
         y = np.full(n, -1)
         for i in range(n):
@@ -337,14 +339,14 @@ _WRAPS = (
 )
 
 
-def variants(source: str, seed: int) -> list[str]:
-    """The page itself and two rewritten pages, with their content and added blocks marked by ``data-y``."""
+def variants(source: str, seed: int, marker: str) -> list[str]:
+    """The page itself and two rewritten pages, with their content and added blocks marked by the attribute ``marker``."""
     rng = np.random.default_rng(seed)
     m = re.search(r"<(article|main)\b[^>]*>(.*?)(?:</\1\s*>|\Z)", source, re.S | re.I)
     if not m:
         return []
     words = re.sub(r"<[^>]*>", " ", m.group(2)).split()
-    mark = lambda tag, y: tag.replace(">", f' data-y="{y}">', 1)
+    mark = lambda tag, y: tag.replace(">", f' {marker}="{y}">', 1)
 
     def block():
         a, b = _KINDS[rng.integers(len(_KINDS))]
@@ -363,8 +365,8 @@ def variants(source: str, seed: int) -> list[str]:
         inside = block() if rng.random() < 0.4 else ""
         page = source[:m.start()] + before + mark(a, 1) + m.group(2) + inside + b + after + source[m.end():]
         if rng.random() < 0.5:
-            page = re.sub(r"<(/?)nav\b", lambda t: "</div" if t.group(1) else '<div class="menu" data-y="0"', page)
-            page = re.sub(r"<(/?)footer\b", lambda t: "</div" if t.group(1) else '<div id="footer" data-y="0"', page)
+            page = re.sub(r"<(/?)nav\b", lambda t: "</div" if t.group(1) else f'<div class="menu" {marker}="0"', page)
+            page = re.sub(r"<(/?)footer\b", lambda t: "</div" if t.group(1) else f'<div id="footer" {marker}="0"', page)
         out.append(page)
     return out
 
@@ -374,12 +376,14 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_p
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
+    marker = f"data-{uuid.uuid4().hex}"  # of this fit alone: no page holds it
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = [], []
             for source, seed in zip(*(c.to_pylist() for c in batch.columns)):
-                for v in variants(source, seed):
-                    page = Page(v)
+                for v in variants(source, seed, marker):
+                    page = Page(v, marker)
                     y = page.marked()
                     xs.append(page.features()[y >= 0])
                     ys.append(y[y >= 0])

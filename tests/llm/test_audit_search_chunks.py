@@ -261,3 +261,18 @@ def test_decoding_takes_any_ids(spark):
     rows = [(1, np.asarray(half, "<u4").tobytes()), (2, None), (3, b""), (4, np.asarray([50256, 64], "<u4").tobytes())]
     got = bpe_chunks.decode(spark.createDataFrame(rows, "n int, ids binary"), path).collect()
     assert [r["decoded"] for r in got] == [TOKENIZER.decode(half, skip_special_tokens=False), None, "", "<|endoftext|>a"]
+
+
+# ---- pages with attributes of their own
+
+def test_pages_own_attributes_are_no_marks(spark):
+    from quarry.llm import html_extract
+
+    body = "<article>%s</article>" % "".join(f"<p>Seven wizards brew potion number {i} in the old tower.</p>" for i in range(5))
+    rows = [(i, f"<div data-y{v} class=x><nav data-y=1>menu</nav>{body}</div>") for i, v in
+            enumerate(['="top"', '=""', "=1.5", "=0", "=1", "", "='x>y'", '="9999999999999999999999"'])]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    trees = html_extract.fit(pages)
+    for model in (trees, None):
+        got = [r["text"] for r in html_extract.extract(pages, model).collect()]
+        assert len(set(got)) == 1 and got[0].startswith("Seven wizards brew potion number 0") and got[0].endswith("tower.")
