@@ -97,13 +97,13 @@ def csv_to_messages(
     )
 
 
-def publish_order(df: DataFrame, key: str, ts: str, num_partitions: int | None = None) -> DataFrame:
-    """Group each key's rows in one partition, sorted by time, for a keyed sink.
+def publish_order(df: DataFrame, key: str, ts: str, num_partitions: int | None = None, tiebreak: tuple[str, ...] = ()) -> DataFrame:
+    """Group each key's rows in one partition, sorted by time (then ``tiebreak``), for a keyed sink.
 
     Replaces a global sort: per-key order is all a keyed topic keeps anyway.
     """
     out = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
-    return out.sortWithinPartitions(key, ts)
+    return out.sortWithinPartitions(key, ts, *tiebreak)
 
 
 def to_messages(df: DataFrame, key: str) -> DataFrame:

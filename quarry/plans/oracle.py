@@ -241,3 +241,30 @@ ORACLE["line_counts_from_events"] = ORACLE["line_counts_files"]
 ORACLE["load_bars"] = ORACLE["clean_bars"]
 ORACLE["click_counter_tsv"] = ORACLE["time_bucket_counts"]
 ORACLE["classify_stream"] = _NEAREST
+
+ORACLE["path_parts"] = f"""
+WITH p AS (SELECT '/data/' || source || '/' || coalesce(lang, 'none') || '/doc.' || doc_id || '.txt' AS path,
+                  coalesce(lang, 'none') AS label, 'doc.' || doc_id AS stem, CAST({_lines('text')} AS BIGINT) AS n FROM documents)
+SELECT path, label, stem, 'Number of lines in ' || path || ': ' || n AS report FROM p
+"""
+ORACLE["libsvm_scan"] = """
+SELECT CAST(label AS INTEGER) AS label, count(*) AS n, max(len(embedding))::INT AS dims,
+       round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS first_sum
+FROM embeddings GROUP BY 1
+"""
+ORACLE["publish_order"] = f"""
+SELECT stock_ticker, event_id, row_number() OVER (PARTITION BY stock_ticker ORDER BY timestamp, event_id)::INT AS place
+FROM ({_TICKS}) b
+"""
+# A tree of depth 0 predicts the most frequent label of the other folds, the first by name of equals; its weighted
+# precision on a fold is the square of that label's share of the fold.
+ORACLE["tune_tree_majority"] = """
+WITH e AS (SELECT CAST(label AS DOUBLE)::VARCHAR AS label, ('0x' || substr(md5(vec_id::VARCHAR), 1, 6))::INT % 3 AS fold FROM embeddings),
+t AS (SELECT f.fold, label, count(*) AS n FROM e, (SELECT DISTINCT fold FROM e) f WHERE e.fold <> f.fold GROUP BY ALL),
+m AS (SELECT fold, label FROM t QUALIFY row_number() OVER (PARTITION BY fold ORDER BY n DESC, label) = 1),
+s AS (SELECT e.fold, pow(avg(CASE WHEN e.label = m.label THEN 1.0 ELSE 0.0 END), 2) AS p FROM e JOIN m ON e.fold = m.fold GROUP BY e.fold),
+w AS (SELECT pow(max(n) / sum(n), 2) AS p FROM (SELECT label, count(*) AS n FROM e GROUP BY label))
+SELECT 0 AS max_depth, b AS max_bins, round((SELECT avg(p) FROM s), 9) AS avg_metric, 40 AS grid_size, 0 AS best_depth,
+       round((SELECT p FROM w), 9) AS train_score
+FROM (SELECT unnest([2, 4, 8, 16, 32]) AS b)
+"""

@@ -442,7 +442,63 @@ def q_detect_anomalies_stream_table(spark, sf):
     return ticks.anomalies(res)
 
 
+def q_tune_tree_majority(spark, sf):
+    """The grid's points of depth 0, whose trees predict the majority class, over folds fixed by a hash of the id:
+    cross-validated weighted precision, the best model's parameters and its score on the training table."""
+    from quarry.operators.tuning import DEFAULT_GRID, INDEXED_LABEL, best_params, hash_folds, tune_tree, weighted_precision
+
+    vecs = derive.vectors_from_embeddings(load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]))
+    grid = {"maxDepth": [0], "maxBins": DEFAULT_GRID["maxBins"]}
+    model, metrics = tune_tree(hash_folds(vecs, "vec_id"), grid=grid, fold_col="fold")
+    best = best_params(model)
+    score = weighted_precision(model.transform(vecs), INDEXED_LABEL).select(F.round("weighted_precision", 9).alias("train_score"))
+    return metrics.select(
+        F.col("maxDepth").alias("max_depth"), F.col("maxBins").alias("max_bins"), F.round("avg_metric", 9).alias("avg_metric"),
+        F.lit(len(DEFAULT_GRID["maxDepth"]) * len(DEFAULT_GRID["maxBins"])).alias("grid_size"),
+        F.lit(best["maxDepth"]).alias("best_depth")).join(F.broadcast(score))  # one row
+
+
+def q_path_parts(spark, sf):
+    """What the jobs take from a file's path: the label from its folder, the ticker from its name, and the report line."""
+    from quarry.functions.text import file_stem, parent_dir, report_line
+
+    docs = load_table(spark, sf, "documents", ["doc_id", "text", "lang", "source"])
+    path = F.concat_ws("/", F.lit("/data"), "source", F.coalesce("lang", F.lit("none")), F.concat(F.lit("doc."), F.col("doc_id").cast("string"), F.lit(".txt")))
+    counted = linecount.with_line_count(docs.withColumn("path", path), "text")
+    return counted.select("path", parent_dir(F.col("path")).alias("label"), file_stem(F.col("path")).alias("stem"),
+                          report_line(F.col("path"), F.col("n_lines")).alias("report"))
+
+
+def q_libsvm_scan(spark, sf):
+    """Embeddings written as LibSVM text and read back with a fixed vector size: rows and length per label."""
+    from pyspark.ml.functions import vector_to_array
+
+    from quarry.sources import files
+
+    emb = load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    dim = emb.agg(F.max(F.size("embedding"))).first()[0]
+    out = scratch_path(spark, "embeddings-libsvm")
+    derive.vectors_from_embeddings(emb).select("label", "features").write.mode("overwrite").format("libsvm").save(out)
+    back = files.read_libsvm(spark, out, dim).select("label", vector_to_array("features").alias("v"))
+    return back.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.round(F.sum(F.element_at("v", 1)), 4).alias("first_sum"))
+
+
+def q_publish_order(spark, sf):
+    """Place of each bar among its ticker's in the order in which a keyed sink gets them."""
+    from pyspark.sql import Window
+
+    bars = clean.publish_order(_ticks(spark, sf), "stock_ticker", "timestamp", tiebreak=("event_id",))
+    placed = bars.select("stock_ticker", "event_id", F.monotonically_increasing_id().alias("_at"))
+    by = Window.partitionBy("stock_ticker").orderBy("_at")
+    return placed.select("stock_ticker", "event_id", F.row_number().over(by).alias("place"))
+
+
 QUERIES = {
+    "tune_tree_majority": q_tune_tree_majority,
+    "path_parts": q_path_parts,
+    "libsvm_scan": q_libsvm_scan,
+    "publish_order": q_publish_order,
     "detect_anomalies_stream_table": q_detect_anomalies_stream_table,
     "customer_messages": q_customer_messages,
     "moving_avg_range": q_moving_avg_range,
