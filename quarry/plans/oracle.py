@@ -268,3 +268,11 @@ SELECT 0 AS max_depth, b AS max_bins, round((SELECT avg(p) FROM s), 9) AS avg_me
        round((SELECT p FROM w), 9) AS train_score
 FROM (SELECT unnest([2, 4, 8, 16, 32]) AS b)
 """
+
+ORACLE["late_rows"] = """
+WITH e AS (SELECT event_id, ts, floor(date_diff('day', DATE '2024-01-01', ts::DATE) / 5) + (event_type = 'error')::INT AS g FROM events),
+m AS (SELECT g, max(ts) AS latest FROM e GROUP BY g),
+w AS (SELECT g, max(latest) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 3 DAY AS mark FROM m),
+l AS (SELECT event_id, ts < mark AS late FROM e JOIN w USING (g))
+SELECT event_id, 'late' AS reason, (SELECT count(*) FROM l WHERE NOT coalesce(late, false)) AS n_on_time FROM l WHERE late
+"""

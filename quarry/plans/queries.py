@@ -218,6 +218,23 @@ def q_sliding_counts_stream(spark, sf):
     )
 
 
+def q_late_rows(spark, sf):
+    """Events that arrive more than 3 days after later ones, split off before the sliding counts would drop them,
+    and the number of on-time rows that the counts then hold."""
+    from quarry.sources.tables import to_event_time
+    from quarry.streaming.late import gate_stream
+
+    feed = _events_feed(spark, sf, ["event_id", "ts"])
+    schema = _events(spark, sf, ["event_id", "ts"]).schema
+    stream = to_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed), "ts")
+    on_time, late, marks = (scratch_path(spark, f"gate-{x}") for x in ("on-time", "late", "marks"))
+    gate_stream(stream, "ts", 3 * 86_400, on_time, late, marks, scratch_path(spark, "gate-ckpt"),
+                trigger={"availableNow": True}).awaitTermination()
+    kept = spark.read.schema("event_id long").parquet(on_time).agg(F.count(F.lit(1)).alias("n_on_time"))
+    rows = spark.read.schema("event_id long, reason string").parquet(late)
+    return rows.select("event_id", "reason").join(F.broadcast(kept))  # one row
+
+
 def q_line_counts_stream(spark, sf):
     from quarry.streaming.linecount import line_counts_stream
 
@@ -495,6 +512,7 @@ def q_publish_order(spark, sf):
 
 
 QUERIES = {
+    "late_rows": q_late_rows,
     "tune_tree_majority": q_tune_tree_majority,
     "path_parts": q_path_parts,
     "libsvm_scan": q_libsvm_scan,

@@ -174,3 +174,30 @@ def test_sliding_stream_append_mode_emits_closed_windows_once(spark):
     assert got.groupBy("window_start").count().where("count > 1").count() == 0  # each window once
     want = {(r[0], r[1]): r[2] for r in sliding.sliding_counts(ev, "ts", "1 hour", "30 minutes").collect()}
     assert {(r[0], r[1]): r[2] for r in got.collect()} == want  # the sentinel's windows stay open
+
+
+def test_on_time_and_late_rows_are_all_rows(spark):
+    from quarry.streaming.late import gate_stream
+    from quarry.streaming.runner import rows_dropped_by_watermark
+    from quarry.streaming.sliding import read_counts, sliding_counts_stream
+
+    ev = to_event_time(spark.read.parquet(f"{SF0}/events.parquet").select("event_id", "ts", "event_type"))
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
+    feed, on_time, late, marks, out = (scratch_path(spark, f"t-late-{x}") for x in ("feed", "on", "late", "marks", "out"))
+    src = ev.withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts"))).drop("event_type")
+    arrival = F.floor(day / 10) + F.when(ev["event_type"] == "error", 2).otherwise(0)  # a late file
+    write_arrivals(ev.withColumn("_a", arrival).withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts"))).drop("event_type"), "_a", feed)
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    q = gate_stream(stream, "ts", 86_400, on_time, late, marks, scratch_path(spark, "t-late-ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    kept, lost = spark.read.parquet(on_time), spark.read.parquet(late)
+    ids = [r["event_id"] for d in (kept, lost) for r in d.select("event_id").collect()]
+    assert sorted(ids) == sorted(r["event_id"] for r in ev.select("event_id").collect())
+    reasons = {r["reason"]: r["count"] for r in lost.groupBy("reason").count().collect()}
+    assert set(reasons) == {"late", "no time"} and reasons["no time"] == ev.where("event_id % 50 = 0").count()
+    after = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(on_time)
+    q = sliding_counts_stream(after, scratch_path(spark, "t-late-ck2"), "ts", "1 hour", "30 minutes", watermark="1 day", path=out,
+                              trigger={"availableNow": True})
+    q.awaitTermination()
+    assert rows_dropped_by_watermark(q) == 0
+    assert sum(r["count"] for r in read_counts(spark, out).collect()) == 2 * kept.count()
