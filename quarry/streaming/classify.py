@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
+
 from quarry.operators.inference import PREDICTION_SCHEMA, classify
-from quarry.streaming.linecount import BINARY_FILE_SCHEMA
 from quarry.streaming.runner import start
 
+# Fixed value: the binary-file source schema.
+BINARY_FILE_SCHEMA = StructType([
+    StructField("path", StringType(), False),
+    StructField("modificationTime", TimestampType(), False),
+    StructField("length", LongType(), False),
+    StructField("content", BinaryType(), True),
+])
+
 
 def classified_files(
     spark: SparkSession,
@@ -19,14 +28,14 @@ def classified_files(
     decode,
     schema: str = PREDICTION_SCHEMA,
     glob: str | None = None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     label_pattern: str | None = None,
 ) -> DataFrame:
     """Streaming frame ``label, prediction, processing_time`` (+ ``path``).
 
     The label is the folder holding each file, or the first group of
     ``label_pattern`` applied to the path. Each micro-batch takes at most
-    ``max_files_per_trigger`` new files.
+    ``max_files_per_trigger`` new files (default: all there are).
     """
     r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
     if glob:

@@ -36,6 +36,22 @@ def test_clean_bars_pushes_null_checks_to_the_scan(spark):
 
 
 def test_anomaly_window_shuffles_the_data_once(spark):
-    plan = executed(Q.q_detect_anomalies(spark, SF1))
-    assert "ReusedExchange" in plan
-    assert plan.count("FileScan parquet") == 1 or "ReusedExchange" in plan
+    """Sparse keys: one scan, one shuffle, no join. A large key: its chunks' tails reuse the data's exchange."""
+    from quarry.operators.history import with_history
+    from quarry.operators.ticks import detect_anomalies
+    from quarry.sources import derive
+
+    t = derive.ticks_from_events(spark.read.parquet(f"{SF1}/events.parquet"))
+    plan = detect_anomalies(t)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = with_history(t.select("stock_ticker", "timestamp", "event_id", "close", "volume"), "stock_ticker",
+                           ["timestamp", "event_id"], {"p": "close"}, {"a": "volume"}, chunk="auto", target_rows=20)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "ReusedExchange" in plan and plan.count("events.parquet") == 1
