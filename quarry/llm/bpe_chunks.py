@@ -14,7 +14,7 @@ Steps: (1) chunk keys are counted over all documents; (2) the shared ones go int
 their number (at most ``FILTER_BITS``; a false hit sends one chunk through the join for nothing);
 (3) texts without shared chunks are encoded where they are read; (4) the others become frames, encoded joins
 with holes; holes are filled by an equi-join on the chunk key and put together per text. No text is shuffled
-but the shared chunks', once per task that reads them. Equal texts ask for their chunks once.
+but the shared chunks', once per task that reads them. Equal texts are put together once and joined to their rows.
 
 Defined cases: null texts are empty; empty texts have no ids; rows without an id, repeated rows and very long
 texts are encoded like others; an empty table gives an empty result; other columns are ignored.
@@ -201,7 +201,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     framed = pin(src.mapInArrow(frames, T.StructType([
         out.fields[0], T.StructField("digest", T.BinaryType()), T.StructField("joins", T.ArrayType(T.BinaryType())),
         T.StructField("keys", T.ArrayType(T.BinaryType()))])))
-    asks = framed.groupBy("digest").agg(F.first("keys").alias("keys")).select("digest", F.posexplode("keys").alias("place", "key"))
+    texts_once = framed.groupBy("digest").agg(F.first("joins").alias("joins"), F.first("keys").alias("keys"))  # equal texts, one frame
+    asks = texts_once.select("digest", F.posexplode("keys").alias("place", "key"))
     fills = asks.join(once, "key").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("fills"))
 
     @F.pandas_udf("binary")
@@ -214,8 +215,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             done.append(b"".join(row))
         return pd.Series(done, dtype=object)
 
-    whole = framed.select("id", "digest", "joins").join(fills, "digest").select("id", joined("joins", F.col("fills.ids")).alias("ids"))
-    return src.mapInArrow(alone, out).unionByName(whole).withColumnRenamed("id", id_col)
+    # pinned, so that the join below is of two plain exchanges and Spark can split the rows of a text with many copies
+    whole = pin(texts_once.select("digest", "joins").join(fills, "digest").select("digest", joined("joins", F.col("fills.ids")).alias("ids")))
+    rows = framed.select("id", "digest").join(whole, "digest").select("id", "ids")
+    return src.mapInArrow(alone, out).unionByName(rows).withColumnRenamed("id", id_col)
 
 
 def piece_bytes(path: str) -> list[bytes]:

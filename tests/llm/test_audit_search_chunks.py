@@ -276,3 +276,10 @@ def test_pages_own_attributes_are_no_marks(spark):
     for model in (trees, None):
         got = [r["text"] for r in html_extract.extract(pages, model).collect()]
         assert len(set(got)) == 1 and got[0].startswith("Seven wizards brew potion number 0") and got[0].endswith("tower.")
+
+
+def test_exact_dedup_buckets_grow_with_the_rows():
+    from quarry.llm.exact_dedup import BUCKET_KEYS, bucket_count
+
+    assert bucket_count(0, 8) == bucket_count(8 * BUCKET_KEYS, 8) == 8
+    assert bucket_count(10**12, 8) == 10**12 // BUCKET_KEYS
