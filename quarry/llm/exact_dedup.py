@@ -7,7 +7,7 @@ against the stored keys of the bucket. When an insertion finds no free slot, the
 rebuilt from the stored keys. Deleting a digest removes its fingerprint and its key.
 
 Rows are grouped by (digest, salt) before they go to their bucket, so a digest held by a third of all
-rows reaches one bucket as at most ``SALTS`` rows; buckets are as many as the keys need.
+rows reaches one bucket as at most ``SALTS`` rows; buckets are as many as the rows need (``bucket_count``).
 
 Defined cases: null text equals the empty text; of equal texts the smallest id stays, a null id only
 when no row of the group has an id; of rows with the smallest id all are marked kept only if they are
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import ready
 
 SALTS, SLOTS, MAX_KICKS, LOAD = 32, 4, 64, 0.85
+BUCKET_KEYS = 50_000  # an index row of some 2 MB
 INDEX_SCHEMA = "bucket int, filter binary, digest array<binary>, id array<long>, rows array<long>"
 
 
@@ -211,10 +212,15 @@ def keys(index: DataFrame) -> DataFrame:
                                     F.col("k.rows").alias("group_size"))
 
 
+def bucket_count(rows: int, least: int) -> int:
+    """Buckets for at most ``rows`` digests: ``least`` or more, so that none holds much over ``BUCKET_KEYS``."""
+    return max(least, -(-rows // BUCKET_KEYS))
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with its group's keep_id and size, and whether it stays."""
     keyed = digests(docs, id_col, text_col)
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    buckets = bucket_count(docs.count(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
     found = keys(insert(None, keyed, buckets))
     return keyed.join(found, "sha").select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import estimate_partitions
+
 from .common import pin
 
 ROW_OVERHEAD = 16
@@ -28,7 +30,8 @@ def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col:
     sized = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
                         F.crc32(text.cast("binary")).alias("crc"), F.rand(11).alias("tie"))
     order = ["id", "crc", "size", "tie"]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # AQE does not split explicit range partitions, so their number follows the table
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimate_partitions(sized))
     ranged = sized.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
     ranged = pin(ranged)  # the cut into partitions is fixed from here on
 
