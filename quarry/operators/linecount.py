@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.functions.json import parse_json
 from quarry.functions.text import LINE_BREAK, line_break_count, line_count, plain_path, report_line
-from quarry.session import materialize
+from quarry.session import list_by_cores, materialize
 
 # The text reader already splits on \n, \r and \r\n; these are the other boundaries.
 _EXTRA_BREAKS = r"[\x{0B}\x{0C}\x{1C}\x{1D}\x{1E}\x{85}\x{2028}\x{2029}]"
@@ -27,7 +27,7 @@ def with_line_count(df: DataFrame, text_col: str = "text", out: str = "n_lines")
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """One row per file: path, modificationTime, length, content (binary)."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    r = list_by_cores(spark).read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(path)

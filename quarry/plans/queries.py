@@ -6,14 +6,18 @@ be compared with DuckDB.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import plain_path
 from quarry.operators import buckets, clean, linecount, ranks, scd2, sliding, ticks
 from quarry.session import scratch_path
 from quarry.plans.scd2_sql import scd2_merge_sql
 from quarry.operators.history import with_history
 from quarry.sources import derive
+from quarry.sources.sinks import key_folder, write_named_files
 from quarry.sources.tables import load_table
 
 
@@ -152,12 +156,16 @@ def q_line_counts(spark, sf):
     return linecount.with_line_count(docs, "text").select("doc_id", "n_lines")
 
 
+_FILES_PER_FOLDER = 2_000
+
+
 def write_documents_as_files(spark, sf) -> str:
-    """One text file per document (Spark's text writer ends each with a newline)."""
+    """One text file per document, each row ended by a newline, in folders of about ``_FILES_PER_FOLDER`` files."""
     out = scratch_path(spark, "documents-files")
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    docs.repartition(spark.sparkContext.defaultParallelism, "doc_id").write.mode("overwrite") \
-        .partitionBy("doc_id").text(out)
+    folders = 1 + docs.count() // _FILES_PER_FOLDER
+    folder = key_folder("folder", F.pmod(F.xxhash64("doc_id"), F.lit(folders)))
+    write_named_files(docs, out, F.concat_ws("/", folder, F.concat(key_folder("doc_id", F.col("doc_id")), F.lit(".txt"))), F.col("text"))
     return out
 
 

@@ -105,6 +105,20 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     raise ValueError(f"unknown materialize mode {how!r}")
 
 
+def list_by_cores(spark: SparkSession) -> SparkSession:
+    """Lower the session's setting so that sources list folders and files in four tasks a core at most.
+
+    Spark's own limit is 10,000 tasks, so a folder of many folders, or a micro-batch of many files, is listed in
+    tasks of one name each, whose start and results outweigh the names. A stream's source asks the session in
+    every micro-batch, so the setting stays.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    most = 4 * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(key)) > most:
+        spark.conf.set(key, str(most))
+    return spark
+
+
 _SHIPPED: set[str] = set()
 
 
