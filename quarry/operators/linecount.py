@@ -95,7 +95,7 @@ def count_lines(
     Spark's file sources; pass ``manifest`` (a ``path`` column) to report them with 0. Manifest entries
     that do not exist also count 0, and rejected files stay rejected.
     """
-    r = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
+    r = list_by_cores(spark).read.option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
     files = file_totals(text_rows(r.text(path)))
