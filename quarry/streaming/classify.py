@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from quarry.operators.inference import PREDICTION_SCHEMA, classify
+from quarry.session import list_by_cores
 from quarry.streaming.runner import start
 
 # Fixed value: the binary-file source schema.
@@ -37,7 +38,7 @@ def classified_files(
     ``label_pattern`` applied to the path. Each micro-batch takes at most
     ``max_files_per_trigger`` new files (default: all there are).
     """
-    r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
+    r = list_by_cores(spark).readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:

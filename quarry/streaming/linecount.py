@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.linecount import file_totals, text_rows, totals_split, with_report
+from quarry.session import list_by_cores
 from quarry.streaming.runner import start_foreach_batch
 
 
@@ -34,7 +35,7 @@ def line_counts_stream(
     both outputs under ``batch_id=<id>`` with overwrite, so a repeated batch replaces its own rows.
     Files that are not UTF-8 go to ``rejects_path`` (path, reason), if given.
     """
-    r = spark.readStream.format("text").option("recursiveFileLookup", "true").option("lineSep", "\n")
+    r = list_by_cores(spark).readStream.format("text").option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
