@@ -351,15 +351,14 @@ def q_load_bars(spark, sf):
 def _file_events(spark, sf):
     """File-arrival messages for the document files, plus broken and dangling ones."""
     root = write_documents_as_files(spark, sf)
-    files = linecount.read_files(spark, root, glob="*.txt").select(
-        F.regexp_replace("path", "^file:", "").alias("path")
-    )
-    rel = F.expr(f"substring(path, {len(root.replace('file:', '')) + 2})")
-    ok = files.select(F.to_json(F.struct(F.lit(root.replace("file:", "")).alias("bucket"), rel.alias("file"))).alias("value"))
+    bucket = re.sub("^file:/*(?=/)", "", root)
+    files = linecount.read_files(spark, root, glob="*.txt").select(plain_path(F.col("path"), decode=False).alias("path"))
+    rel = F.substring("path", len(bucket) + 2, 1 << 30)
+    ok = files.select(F.to_json(F.struct(F.lit(bucket).alias("bucket"), rel.alias("file"))).alias("value"))
     docs = load_table(spark, sf, "documents", ["lang", "source"])
     broken = docs.select("lang").distinct().select(F.concat(F.lit('{"bucket": "x", "file": '), F.col("lang")).alias("value"))
     dangling = docs.select("source").distinct().select(
-        F.to_json(F.struct(F.lit(root.replace("file:", "")).alias("bucket"), F.concat(F.col("source"), F.lit(".missing")).alias("file"))).alias("value")
+        F.to_json(F.struct(F.lit(bucket).alias("bucket"), F.concat(F.col("source"), F.lit(".missing")).alias("file"))).alias("value")
     )
     return root, ok.unionByName(broken).unionByName(dangling)
 
