@@ -65,9 +65,10 @@ def load_bars(
     Returns ``(good, rejected)`` as ``clean_bars``.
     """
     from quarry.functions.text import file_stem, plain_path
+    from quarry.session import list_by_cores
     from quarry.sources.files import BAR_TEXT_SCHEMA, read_csv
 
-    raw = read_csv(spark, path, schema or BAR_TEXT_SCHEMA, header=True)
+    raw = read_csv(list_by_cores(spark), path, schema or BAR_TEXT_SCHEMA, header=True)
     fp = plain_path(F.col("_metadata.file_path"))
     if ticker_from == "stem":
         raw = raw.withColumn("stock_ticker", file_stem(fp))

@@ -339,8 +339,8 @@ def q_load_bars(spark, sf):
     """Bars written as CSV, one folder per ticker, read back with the ticker from the folder."""
     raw = derive.bar_text_from_events(_events(spark, sf, ["event_id", "ts", "user_id", "event_type", "value"]))
     out = scratch_path(spark, "bars-csv")
-    raw.repartition(spark.sparkContext.defaultParallelism, "stock_ticker").write.mode("overwrite") \
-        .partitionBy("stock_ticker").option("header", True).csv(out)
+    cols = [c for c in raw.columns if c != "stock_ticker"]
+    write_named_files(raw, out, F.concat(key_folder("stock_ticker", F.col("stock_ticker")), F.lit("/bars.csv")), F.to_csv(F.struct(*cols)), ",".join(cols))
     from pyspark.sql.types import StringType, StructField, StructType
 
     schema = StructType([StructField(c, StringType()) for c in ["event_id", *_BAR_NTZ]])
