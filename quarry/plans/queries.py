@@ -376,18 +376,18 @@ def q_line_count_event_rejects(spark, sf):
 
 
 def q_classify_stream(spark, sf):
-    """Vectors written one file each under label=<l>/vec_id=<id>/ folders, classified on arrival."""
+    """Vectors written one file each under label=<l>/ folders, about ``_FILES_PER_FOLDER`` to a folder, classified on arrival."""
     from quarry.operators import inference
     from quarry.streaming.classify import classify_stream
 
     emb = load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
     labels, cents = inference.class_centroids(emb, "embedding", "label")
     src = scratch_path(spark, "vector-files")
-    emb.select("label", "vec_id", F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))).alias("v")) \
-        .repartition(spark.sparkContext.defaultParallelism, "label", "vec_id").write.mode("overwrite") \
-        .partitionBy("label", "vec_id").text(src)
-    out = scratch_path(spark, "classify-out")
     n = emb.count()
+    folder = key_folder("folder", F.pmod(F.xxhash64("vec_id"), F.lit(1 + n // (_FILES_PER_FOLDER * max(1, len(labels))))))
+    file = F.concat_ws("/", key_folder("label", F.col("label")), folder, F.concat(key_folder("vec_id", F.col("vec_id")), F.lit(".txt")))
+    write_named_files(emb, src, file, F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))))
+    out = scratch_path(spark, "classify-out")
     q = classify_stream(
         spark, src, scratch_path(spark, "classify-ckpt"),
         inference.nearest_centroid_factory(labels, cents), inference.text_vector_preprocess,
@@ -397,7 +397,7 @@ def q_classify_stream(spark, sf):
     q.awaitTermination()
     res = spark.read.parquet(out)
     return res.select(
-        F.regexp_extract("path", r"vec_id=(\d+)/", 1).cast("bigint").alias("vec_id"),
+        F.regexp_extract("path", r"vec_id=(\d+)\.txt", 1).cast("bigint").alias("vec_id"),
         F.col("label").cast("int").alias("label"),
         F.col("prediction.class").alias("pred_class"),
     )
