@@ -280,7 +280,11 @@ def _ticks_feed(spark, sf):
     return feed, derive.ticks_from_events(ev).schema
 
 
-def _anomaly_stream(spark, feed, schema, out, checkpoint, row_api=True):
+_BARS_PER_BUCKET = 20_000
+
+
+def _anomaly_stream(spark, feed, schema, out, checkpoint, bars, row_api=True):
+    """The stream over ``feed``; its ticker buckets follow ``bars``, the number of all bars, as a task holds one bucket's at a time."""
     from quarry.sources.tables import to_event_time
     from quarry.streaming.anomalies import detect_anomalies_stream
     from quarry.streaming.runner import start
@@ -288,7 +292,7 @@ def _anomaly_stream(spark, feed, schema, out, checkpoint, row_api=True):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
     cores = spark.sparkContext.defaultParallelism
     flagged = detect_anomalies_stream(to_event_time(stream, "timestamp"), watermark="12 days", row_api=row_api,
-                                      chunk_seconds=30 * 86_400, buckets=2 * cores)
+                                      chunk_seconds=30 * 86_400, buckets=max(2 * cores, -(-bars // _BARS_PER_BUCKET)))
     return start(flagged, checkpoint, sink="parquet", path=out, mode="append", trigger={"availableNow": True}, shuffle_partitions=cores)
 
 
@@ -296,7 +300,8 @@ def q_detect_anomalies_stream(spark, sf):
     """The anomaly rules over ticks that arrive as files, with history across micro-batches and time chunks."""
     feed, schema = _ticks_feed(spark, sf)
     out = scratch_path(spark, "anomaly-out")
-    _anomaly_stream(spark, feed, schema, out, scratch_path(spark, "anomaly-ckpt")).awaitTermination()
+    bars = _events(spark, sf).count()
+    _anomaly_stream(spark, feed, schema, out, scratch_path(spark, "anomaly-ckpt"), bars).awaitTermination()
     res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return ticks.anomalies(res)
 
@@ -457,11 +462,11 @@ def q_detect_anomalies_stream_table(spark, sf):
     parts = spark.read.schema(schema).parquet(feed)
     middle = parts.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
     later = F.unix_micros(F.col("timestamp").cast("timestamp")) >= F.lit(middle)
-    both = parts.withColumn("_half", later.cast("int"))
+    both, bars = parts.withColumn("_half", later.cast("int")), parts.count()
     src, out, ckpt = (scratch_path(spark, f"ticks-{n}") for n in ("halves", "table", "table-ckpt"))
     for run in (0, 1):
         write_arrivals(both.where(F.col("_half") == run), "_half", src)
-        _anomaly_stream(spark, src, schema, out, ckpt, row_api=False).awaitTermination()
+        _anomaly_stream(spark, src, schema, out, ckpt, bars, row_api=False).awaitTermination()
     res = spark.read.parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return ticks.anomalies(res)
 
