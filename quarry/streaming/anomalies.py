@@ -23,6 +23,7 @@ import json
 import sys as _sys
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
@@ -45,6 +46,12 @@ COMPLETE, HEAD, TAIL = 0, 1, 2
 _BAR = ["ticker", "ts_us", "tb", "close", "volume"]
 _JOINT_SCHEMA = ("bucket int, chunk long, kind int, ticker string, ts_us long, tb long, close double, volume double, "
                  "prev double, average double, vols array<double>, event_time timestamp")
+# The row form hands bars on in packs: Spark turns all rows that a task's timers emit in a micro-batch into
+# one batch of Python dictionaries, so a row a bar would hold every bar the watermark releases.
+_PACK_ROWS = 1000
+_PACK_SCHEMA = "bucket int, chunk long, packed string, event_time timestamp"
+_PACKED = ("array<struct<kind:int,ticker:string,ts_us:bigint,tb:bigint,close:double,volume:double,prev:double,"
+           "average:double,vols:array<double>>>")
 _OUT_SCHEMA = "ticker string, ts_us long, tb long, close double, volume double, prev double, average double"
 
 
@@ -75,6 +82,12 @@ class _Processor(StatefulProcessor):
                     for r in pdf[names].astype(object).itertuples(index=False, name=None)]
         return out
 
+    def _parts(self, rows) -> Iterator[list]:
+        """``rows`` in lists of 1,000 rows, or of one frame."""
+        rows = iter(rows)
+        while some := list(islice(rows, 1000 if self.row_api else 1)):
+            yield some
+
     def _emit(self, out: list[tuple]) -> Iterator:
         if not out:
             return iter([])
@@ -101,6 +114,16 @@ class ChunkHistory(_Processor):
         self.chunk_us = chunk_us
         self.slot_us = max(1, chunk_us // SLOTS)
 
+    def _emit(self, out: list[tuple]) -> Iterator:
+        if not self.row_api:
+            return super()._emit(out)
+        row, names, packs = Row(*_names(_PACK_SCHEMA)), self.names[2:-1], []
+        for i in range(0, len(out), _PACK_ROWS):
+            some = out[i:i + _PACK_ROWS]
+            packed = json.dumps([dict(zip(names, r[2:-1])) for r in some])
+            packs.append(row(some[0][0], some[0][1], packed, min(r[-1] for r in some)))
+        return iter(packs)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.head = handle.getValueState("head", "body STRING")
@@ -195,9 +218,9 @@ class ChunkJoints(_Processor):
         self.state = handle.getValueState("joints", "body STRING")
 
     def handleInputRows(self, key, rows, timerValues):
+        if int(key[1]) >= 0:  # a lane of complete bars, handed on as they come
+            return (out for some in self._parts(rows) for out in self._emit([tuple(r) for r in self._tuples(some, self.names)]))
         got = self._tuples(rows, ["chunk", "kind", "ticker", "ts_us", "tb", "close", "volume", "prev", "average", "vols"])
-        if int(key[1]) >= 0:  # a lane of complete bars
-            return self._emit([(t, ts, tb, close, volume, prev, avg) for _, _, t, ts, tb, close, volume, prev, avg, _ in got])
         old = self.state.get()
         joints = json.loads(old[0]) if old is not None else {}
         out = []
@@ -241,7 +264,8 @@ def detect_anomalies_stream(
     ``key``, ``tiebreak``, ``close`` and ``volume``. Output is append-only and
     delayed by ``watermark``; bars later than the watermark are dropped by Spark.
     ``chunk_seconds`` is the time span that one task holds of a ticker (choose it so that a ticker has
-    many times ``rows`` bars in it), ``buckets`` the number of ticker groups; both are
+    many times ``rows`` bars in it), ``buckets`` the number of ticker groups (a task's Python holds the bars of one
+    group in one chunk: choose it so that these are some tens of thousands); both are
     fixed at the first start, like the state partitions. ``row_api`` uses the row-based
     ``transformWithState``, otherwise ``transformWithStateInPandas``.
     """
@@ -269,7 +293,11 @@ def detect_anomalies_stream(
         run = grouped.transformWithState if row_api else grouped.transformWithStateInPandas
         return run(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=mode, eventTimeColumnName=event_time)
 
-    parts = stage(inp, ["bucket", "chunk"], ChunkHistory(rows, row_api, chunk_us), _JOINT_SCHEMA, "EventTime", "event_time")
+    parts = stage(inp, ["bucket", "chunk"], ChunkHistory(rows, row_api, chunk_us), _PACK_SCHEMA if row_api else _JOINT_SCHEMA,
+                  "EventTime", "event_time")
+    if row_api:
+        parts = parts.select("event_time", "bucket", "chunk", F.explode(F.from_json("packed", _PACKED)).alias("bar")).select(
+            "event_time", "bucket", "chunk", "bar.*")
     lane = F.when(F.col("kind") == COMPLETE, F.col("chunk").bitwiseAND(F.lit((1 << 62) - 1))).otherwise(F.lit(-1))
     hist = stage(parts.withColumn("lane", lane).drop("event_time"), ["bucket", "lane"], ChunkJoints(rows, row_api), _OUT_SCHEMA, "None")
     hist = hist.select(
