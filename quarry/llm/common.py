@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import materialize, ship_package
 
-from .textkernel import Bloom
+from .textkernel import CHUNK_BYTES, Bloom, text_chunks
 
 
 # Freed Arrow buffers go back to the system: whole documents pass through workers that live for the whole job.
@@ -47,6 +48,52 @@ def ready(df: DataFrame) -> DataFrame:
     return df
 
 
+def blocks_of(df: DataFrame, text_col: str, block_bytes: int) -> DataFrame:
+    """(block, rows): the rows of each task in blocks of about ``block_bytes`` of text, as compressed Arrow streams.
+
+    Texts that are needed twice travel compressed. Rows are sorted by a hash of their columns within
+    the task, so that a task that runs again makes the same blocks.
+    """
+    hashed = [F.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def emit() -> pa.RecordBatch:
+            table, sink = pa.Table.from_batches(held).combine_chunks(), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+                out.write_table(table)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
+
+        for batch in batches:
+            for part, data, _ in text_chunks(batch, text_col, min(block_bytes, CHUNK_BYTES)):
+                held.append(part)
+                size += len(data)
+                if size >= block_bytes:
+                    yield emit()
+                    block, held, size = block + 1, [], 0
+        if held:
+            yield emit()
+
+    return ready(df).sortWithinPartitions(F.xxhash64(*hashed)).mapInArrow(run, "block long, rows binary")
+
+
+def rows_of(block) -> pa.Table:
+    """The rows of one block of ``blocks_of``."""
+    return pa.ipc.open_stream(block).read_all()
+
+
+def squeeze(a: np.ndarray) -> bytes:
+    """64-bit integers, byte by byte of all, compressed: bytes that hardly vary take next to no room."""
+    return pa.Codec("zstd", 1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T), asbytes=True)
+
+
+def loosen(raw: bytes, n: int, dtype: str) -> np.ndarray:
+    """The ``n`` integers of ``squeeze``."""
+    planes = np.frombuffer(pa.Codec("zstd").decompress(raw, 8 * n), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
 def bloom_of(ids: DataFrame, col: str, bits: int) -> Bloom:
     """Bloom filter of an id column: one filter per task, merged on the driver pairwise by Spark.
 

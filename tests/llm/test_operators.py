@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from conftest import SF0
 from quarry.llm import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
 from quarry.llm import textkernel as K
+from quarry.llm.common import blocks_of, loosen, rows_of
 from quarry.llm.components import components
 from quarry.llm.queries import QUERIES, byte_bpe, piece_model
 from quarry.llm.tokens import Encoder
@@ -526,6 +527,30 @@ def test_scores_use_trigrams_and_wide_counts(spark):
     assert lm_scoring._distinct(grams, place, 3, 2)[1].dtype.itemsize == 8
 
 
+def test_a_block_sends_its_ngrams_in_few_bytes(spark, messy):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 500)) for _ in range(200)]
+    sent, (_, place, grams) = lm_scoring._sent(texts, 3, 3), lm_scoring._grams(texts, 3)
+    u, c, o, _ = lm_scoring._distinct(grams, place, 3, 3)
+    raw = [sent[k].to_pylist() for k in ("gram", "count", "single")]
+    assert sum(len(x) for col in raw for x in col) < 8 * len(u) < len(u) * (u.itemsize + c.itemsize + o.itemsize) / 2
+    n = sent["n"].to_pylist()
+    assert np.concatenate([np.cumsum(loosen(x, k, "<u8"), dtype=np.uint64) for x, k in zip(raw[0], n)]).tolist() == u.tolist()
+    assert np.concatenate([loosen(x, k, "<i8") for x, k in zip(raw[1], n)]).tolist() == c.tolist()
+    # Texts travel once, in compressed blocks: the join of blocks and counts reads the exchange that the counting read.
+    scored = lm_scoring.score(messy, blocks=3)
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
+
+
+def test_blocks_hold_all_rows_and_columns(spark, messy):
+    packed = blocks_of(messy, "text", 1000).collect()
+    assert len({r["block"] for r in packed}) == len(packed) > 3
+    rows = [tuple(x.values()) for r in packed for x in rows_of(r["rows"]).to_pylist()]
+    assert Counter(rows) == Counter(map(tuple, messy.collect()))
+
+
 # ---- quality rules
 
 def _counts(text):
