@@ -3,16 +3,17 @@
 A text is escaped (a leading and every inner space become U+2581) and cut into words before each run of
 that mark; no piece of the vocabulary crosses such a cut. Over the distinct words of the whole input, every
 substring of at most the longest piece's length is exploded and equi-joined to the piece table; the edges
-are grouped by word, and a fold over them gives the word's ids:
+are grouped by shards of words, and a fold over them gives each word's ids:
 
-* ``viterbi``: the path with the largest sum of scores, folded with Spark's higher-order ``aggregate``
-  (ties: the longer last piece); exact for unigram vocabularies;
+* ``viterbi``: the path with the largest sum of scores (ties: the longer last piece); exact for unigram vocabularies;
 * ``bpe``: merges of neighbouring pieces in order of score, for BPE vocabularies, over the same edges.
 
-A character without a piece costs less than any piece and becomes its UTF-8 byte pieces. Rows are dealt to
-blocks by a hash of all their columns, so a text in a third of all rows meets in no single task. A block asks
-for the ids of its distinct words and looks its texts' words up in the answer; words are never a row an
-occurrence beyond one text. The piece table has the size of the vocabulary file; it is broadcast.
+Both folds take many words of one length at a time; longer ones are folded one by one, in time that grows with
+their edges. A character without a piece costs less than any piece and becomes its UTF-8 byte pieces. Tasks pack
+the rows they read into compressed blocks, so a text in a third of all rows meets in no single task. A block asks
+each shard for the ids of its distinct words, packed, and looks its texts' words up in the answers; words are
+never a row an occurrence, edges never cross the network. The piece table has the size of the vocabulary file;
+it is broadcast.
 
 Defined cases: null text gives a null id list; the empty text an empty one; rows keep all their columns
 and repeats; a word of any length is folded whole; an empty table gives an empty result.
@@ -32,10 +33,14 @@ from pyspark.sql import types as T
 
 from quarry.session import estimate_partitions
 
-from .common import pin, ready
+from . import textkernel as K
+from .common import blocks_of, loosen, ready, rows_of, squeeze
 
 MARK = "▁"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20
+SHORT = 32  # characters of a word that is folded together with others
+CELLS = 1 << 18  # places of edges folded at a time
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -53,113 +58,179 @@ def piece_table(spark: SparkSession, model_path: str) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, score double, byte int")
 
 
-def words_of(text: str) -> list[str]:
-    """Words of an escaped text, in order; their concatenation is the escaped text."""
-    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+def words_of(text: str | None) -> list[str]:
+    """Words of an escaped text, in order, without the mark that each begins with."""
+    if not text:
+        return []
+    words = text.split(" ")
+    return words if "" not in words and MARK not in text else [w[1:] for w in _WORD.findall(MARK + text.replace(" ", MARK))]
 
 
 def lattice(words: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(word, nodes): nodes hold, for each end, the edges (start, id, score) of pieces that end there."""
+    """(shard, w, start, end, id): the pieces in the words (shard, w, word); id is -1 for a character without a piece."""
     normal = pieces.where("piece is not null")
-    longest, least = normal.agg(F.max(F.char_length("piece")), F.min("score")).first()
+    longest = normal.agg(F.max(F.char_length("piece"))).first()[0]
     size = F.char_length("word")
-    at = words.select("word", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-    spans = at.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start")))).alias("length")).select(
-        "word", "start", "length", F.substring("word", F.col("start") + 1, F.col("length")).alias("piece"))
-    edges = spans.join(F.broadcast(normal.select("piece", "id", "score")), "piece", "left").where("id is not null or length = 1")
-    edges = edges.select("word", (F.col("start") + F.col("length")).alias("end"), "start", "id", "piece",
-                         F.coalesce("score", F.lit(least - 10.0)).alias("score"))
-    at_end = edges.groupBy("word", "end").agg(F.sort_array(F.collect_list(F.struct("start", "id", "score", "piece"))).alias("edges"))
-    return at_end.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("end", "edges"))).alias("nodes"))
-
-
-_BEST = "struct<score:double,start:int,id:int,piece:string>"
-
-
-def viterbi(lat: DataFrame) -> DataFrame:
-    """``lat`` with steps: (id or null, piece) along the best path."""
-    def best_into(acc, node):
-        """The best edge into a node: edges come by start, and the first of equal sums wins."""
-        return F.aggregate(
-            node["edges"], F.lit(None).cast(_BEST),
-            lambda b, e: F.when(
-                b.isNull() | (F.element_at(acc, e["start"] + 1)["score"] + e["score"] > b["score"]),
-                F.struct((F.element_at(acc, e["start"] + 1)["score"] + e["score"]).alias("score"), e["start"].alias("start"),
-                         e["id"].alias("id"), e["piece"].alias("piece")).cast(_BEST)).otherwise(b))
-
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(None).cast("int").alias("id"),
-                              F.lit("").alias("piece")).cast(_BEST))
-    table = lat.select("*", F.aggregate("nodes", origin, lambda acc, n: F.concat(acc, F.array(best_into(acc, n)))).alias("best"))
-    # Walk back from the end: the state is (place, steps so far).
-    step = "array<struct<id:int,piece:string>>"
-    walk = F.aggregate(
-        F.reverse(F.sequence(F.lit(1), F.size("best") - 1)),
-        F.struct((F.size("best") - 1).alias("at"), F.array().cast(step).alias("steps")),
-        lambda s, i: F.when(s["at"] == i, F.struct(
-            F.element_at("best", i + 1)["start"].alias("at"),
-            F.concat(F.array(F.struct(F.element_at("best", i + 1)["id"].alias("id"), F.element_at("best", i + 1)["piece"].alias("piece"))),
-                     s["steps"]).cast(step).alias("steps"))).otherwise(s))
-    return table.select(*lat.columns, walk["steps"].alias("steps"))
-
-
-def bpe(lat: DataFrame, spelled: list[int], out_col: str) -> DataFrame:
-    """``lat`` with ids for its nodes: merges of neighbours, the highest score first and the leftmost of equals.
-
-    ``spelled`` holds the ids of the 256 bytes. The edges go to Python as flat arrays.
-    """
-    def fold(word, start, end, ids, score) -> list[int]:
-        edge = {(a, b): (s, i) for a, b, i, s in zip(start, end, ids, score)}
-        size = len(word)
-        right = {i: i + 1 for i in range(size)}
-        left = {i + 1: i for i in range(size)}
-        queue = []
-
-        def offer(a):
-            b = right.get(a)
-            c = right.get(b) if b is not None else None
-            found = edge.get((a, c)) if c is not None else None
-            if found and found[1] >= 0:
-                heapq.heappush(queue, (-found[0], a, b, c))
-
-        for i in range(size):
-            offer(i)
-        while queue:
-            _, a, b, c = heapq.heappop(queue)
-            if right.get(a) != b or right.get(b) != c:
-                continue
-            right[a], left[c] = c, a
-            del right[b], left[b]
-            offer(a)
-            if a in left:
-                offer(left[a])
-        out = []
-        for a, b in sorted(right.items()):
-            i = edge[a, b][1]
-            out += [i] if i >= 0 else [spelled[x] for x in word[a:b].encode()]
-        return out
-
-    rest = [c for c in lat.columns if c != "nodes"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            edges = zip(*(batch.column(c).to_pylist() for c in ("word", "__start", "__end", "__id", "__score")))
-            ids = pa.array([fold(*x) for x in edges], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), ids], [*rest, out_col])
-
-    def flat(value):
-        return F.flatten(F.transform("nodes", lambda n: F.transform(n["edges"], lambda e: value(n, e))))
-
-    schema = T.StructType([lat.schema[c] for c in rest] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return ready(lat).select(
-        *rest, flat(lambda n, e: e["start"]).alias("__start"), flat(lambda n, e: n["end"]).alias("__end"),
-        flat(lambda n, e: F.coalesce(e["id"], F.lit(-1))).alias("__id"), flat(lambda n, e: e["score"]).alias("__score")).mapInArrow(run, schema)
-
-
-def _ids(steps, byte_ids):
-    """Ids of the steps; a step without an id is spelled in bytes."""
-    raw = lambda s: F.transform(F.sequence(F.lit(1), F.octet_length(s["piece"])), lambda i: F.element_at(
-        byte_ids, F.conv(F.hex(F.substring(F.encode(s["piece"], "UTF-8"), i, F.lit(1))), 16, 10).cast("int") + 1))
-    return F.flatten(F.transform(steps, lambda s: F.when(s["id"].isNotNull(), F.array(s["id"])).otherwise(raw(s))))
+    at = words.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    spans = at.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start")))).alias("length")).select(
+        "shard", "w", "start", (F.col("start") + F.col("length")).alias("end"), F.substring("word", F.col("start") + 1, F.col("length")).alias("piece"))
+    edges = spans.join(F.broadcast(normal.select("piece", "id")), "piece", "left").where("id is not null or end = start + 1")
+    return edges.select("shard", "w", "start", "end", F.coalesce("id", F.lit(-1)).alias("id"))
+
+
+def _viterbi(score: np.ndarray) -> np.ndarray:
+    """Cuts of words of one length: ``score[word, start, end]``, -inf without an edge. The first of equal sums wins."""
+    words, size = len(score), score.shape[1] - 1
+    best, back = np.zeros((words, size + 1)), np.zeros((words, size + 1), np.int64)
+    every = np.arange(words)
+    for end in range(1, size + 1):
+        sums = best[:, :end] + score[:, :end, end]
+        back[:, end] = sums.argmax(1)
+        best[:, end] = sums[every, back[:, end]]
+    cut = np.zeros((words, size + 1), bool)
+    at = np.full(words, size)
+    while at.any():
+        cut[every, at] = True
+        at = back[every, at]
+    cut[:, 0] = True
+    return cut
+
+
+def _bpe(score: np.ndarray) -> np.ndarray:
+    """Cuts of words of one length after all merges of neighbours, the highest score first, the leftmost of equals."""
+    words, size = len(score), score.shape[1] - 1
+    cut = np.ones((words, size + 1), bool)
+    todo, place = np.arange(words), np.tile(np.arange(size + 1), (words, 1))
+    while len(todo) and place.shape[1] > 2:
+        offer = score[todo[:, None], place[:, :-2], place[:, 2:]]
+        offer[place[:, 1:-1] == size] = -np.inf
+        j = offer.argmax(1)
+        some = offer[np.arange(len(todo)), j] > -np.inf
+        todo, place, j = todo[some], place[some], j[some]
+        cut[todo, place[np.arange(len(todo)), j + 1]] = False
+        kept = np.arange(place.shape[1] - 1)
+        place = np.take_along_axis(place, kept + (kept > j[:, None]), 1)
+    return cut
+
+
+def _viterbi_long(size: int, edge: dict) -> list[int]:
+    """Cuts of one word; ``edge`` holds the score of (start, end)."""
+    best, back = [0.0] + [-np.inf] * size, [0] * (size + 1)
+    for (a, b) in sorted(edge, key=lambda x: (x[1], x[0])):
+        if best[a] + edge[a, b] > best[b]:
+            best[b], back[b] = best[a] + edge[a, b], a
+    out = [size]
+    while out[-1]:
+        out.append(back[out[-1]])
+    return out[::-1]
+
+
+def _bpe_long(size: int, edge: dict) -> list[int]:
+    """Cuts of one word after all merges."""
+    right = {i: i + 1 for i in range(size)}
+    left = {i + 1: i for i in range(size)}
+    queue = []
+
+    def offer(a):
+        b = right.get(a)
+        c = right.get(b) if b is not None else None
+        found = edge.get((a, c)) if c is not None else None
+        if found is not None:
+            heapq.heappush(queue, (-found, a, b, c))
+
+    for i in range(size):
+        offer(i)
+    while queue:
+        _, a, b, c = heapq.heappop(queue)
+        if right.get(a) != b or right.get(b) != c:
+            continue
+        right[a], left[c] = c, a
+        del right[b], left[b]
+        offer(a)
+        if a in left:
+            offer(left[a])
+    return [*sorted(right), size]
+
+
+_FOLDS = {"viterbi": (_viterbi, _viterbi_long), "bpe": (_bpe, _bpe_long)}
+
+
+def fold(words: list[str], edges: tuple, score: np.ndarray, methods: list[str]) -> list[np.ndarray]:
+    """Per method the lengths of the words' pieces, word after word, by the words' edges (w, start, end, id), sorted by w."""
+    w, start, end, ids = edges
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.searchsorted(w, np.arange(len(words) + 1))
+    found = [([], [], []) for _ in methods]  # word, start and end of the pieces taken
+    for n in np.unique(size[size <= SHORT]):
+        same = np.flatnonzero(size == n)
+        most = max(1, CELLS // (n + 1) ** 2)
+        for mine in (same[i:i + most] for i in range(0, len(same), most)):
+            k = np.diff(first)[mine]
+            row = np.repeat(np.arange(len(mine)), k)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(first[mine], k)
+            table = np.full((len(mine), n + 1, n + 1), -np.inf)
+            table[row, start[at], end[at]] = score[ids[at]]
+            for out, m in zip(found, methods):
+                row, cut = np.nonzero(_FOLDS[m][0](table))
+                inner = row[1:] == row[:-1]
+                for x, y in zip(out, (mine[row[1:][inner]], cut[:-1][inner], cut[1:][inner])):
+                    x.append(y)
+    for x in np.flatnonzero(size > SHORT):
+        at = slice(first[x], first[x + 1])
+        edge = dict(zip(zip(start[at].tolist(), end[at].tolist()), score[ids[at]].tolist()))
+        for out, m in zip(found, methods):
+            cut = np.array(_FOLDS[m][1](int(size[x]), edge))
+            for x_, y in zip(out, (np.full(len(cut) - 1, x), cut[:-1], cut[1:])):
+                x_.append(y)
+    out = []
+    for of, a, b in ([np.concatenate([np.zeros(0, np.int64), *x]) for x in y] for y in found):
+        by = np.lexsort((a, of))
+        out.append((b - a)[by])
+    return out
+
+
+class _Spelled(dict):
+    """piece -> its id, or the ids of its bytes, as little-endian 32-bit integers."""
+
+    def __init__(self, known: dict[str, int], spelled: list[int]):
+        super().__init__((p, np.array([i], "<i4").tobytes()) for p, i in known.items())
+        self.spelled = spelled
+
+    def __missing__(self, piece: str) -> bytes:
+        return np.array([self.spelled[x] for x in piece.encode()], "<i4").tobytes()
+
+
+def _ids(words: list[str], lengths: np.ndarray, spelled: _Spelled) -> Iterator[bytes]:
+    """The ids of each word, from the lengths of the pieces of all words."""
+    whole, cut = "".join(MARK + w for w in words), np.concatenate(([0], np.cumsum(lengths)))
+    ends = cut.tolist()
+    ids = [spelled[whole[a:b]] for a, b in zip(ends, ends[1:])]
+    offs = np.concatenate(([0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))))
+    raw, size = b"".join(ids), np.fromiter(map(len, words), np.int64, len(words)) + 1
+    at = offs[np.searchsorted(cut, np.concatenate(([0], np.cumsum(size))))].tolist()
+    return (raw[a:b] for a, b in zip(at, at[1:]))
+
+
+def _asked(texts, shards: int) -> list[list[str]]:
+    """The distinct words of a block's texts by shard, sorted."""
+    words = sorted({w for t in texts for w in words_of(t)})
+    out = [[] for _ in range(shards)]
+    if words:
+        arr = pa.array(words, pa.large_string())
+        data, offs = np.frombuffer(arr.buffers()[2], np.uint8), np.frombuffer(arr.buffers()[1], np.int64, len(words) + 1)
+        for part in range(0, len(words), 1 << 14):
+            o = offs[part:part + (1 << 14) + 1]
+            h = K.FIRST.ranges(K.FIRST.prefix(data[o[0]:o[-1]]), o[:-1] - o[0], o[1:] - o[0])
+            for w, s in zip(words[part:], (h % K.U64(shards)).tolist()):
+                out[s].append(w)
+    return out
+
+
+def _pack(words: list[str]) -> bytes:
+    sink, batch = pa.BufferOutputStream(), pa.record_batch({"word": pa.array(words, pa.string())})
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def encode(df: DataFrame, pieces: DataFrame, text_col: str = "text", method: str = "viterbi", out_col: str = "ids") -> DataFrame:
@@ -171,44 +242,82 @@ def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_c
                blocks: int | None = None) -> DataFrame:
     """``df`` with one id column per entry of ``methods`` (column -> method), all from one lattice."""
     spelled = [r["id"] for r in pieces.where("byte is not null").orderBy("byte").collect()]  # 256 ids
-    blocks = blocks or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimate_partitions(df, BLOCK_BYTES))
-    hashed = [F.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
-    keyed = ready(df).withColumns({"__text": F.col(text_col).cast("string"),
-                                   "__block": F.pmod(F.xxhash64(*hashed), F.lit(blocks)).cast("int")})
+    known = {r["piece"]: (r["id"], r["score"]) for r in pieces.where("piece is not null").collect()}  # the vocabulary
+    score = np.full(max(i for i, _ in known.values()) + 2, min(x for _, x in known.values()) - 10.0)  # the last: no piece
+    score[[i for i, _ in known.values()]] = [x for _, x in known.values()]
+    shared = df.sparkSession.sparkContext.broadcast(({p: i for p, (i, _) in known.items()}, score))
+    shards = blocks or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimate_partitions(df, SHARD_BYTES))
+    plain = isinstance(df.schema[text_col].dataType, T.StringType)
+    text = text_col if plain else "__text"
+    packed = blocks_of(df if plain else df.withColumn(text, F.col(text_col).cast("string")), text, BLOCK_BYTES).repartition("block")
+
+    def texts_of(rows: pa.Table) -> Iterator[str | None]:
+        return (t for c in rows.column(text).chunks for k in range(0, len(c), 100) for t in c.slice(k, 100).to_pylist())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of: dict[int, set] = {}
-            for block, text in zip(*(c.to_pylist() for c in batch.columns)):
-                of.setdefault(block, set()).update(words_of(text))
-            for block, words in of.items():
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int32()), pa.array(list(words), pa.string())], ["__block", "word"])
-
-    asked = keyed.where("__text is not null").select("__block", "__text").mapInArrow(ask, "__block int, word string").distinct()
-    folded = pin(lattice(asked.select("word").distinct(), pieces))
-    names = {method: f"__{method}" for method in sorted(set(methods.values()), reverse=True)}
-    for method, col in names.items():  # the merges come last: they let go of the nodes
-        if method == "bpe":
-            folded = bpe(folded, spelled, col)
-        else:
-            folded = viterbi(folded).withColumn(col, _ids(F.col("steps"), F.array(*map(F.lit, spelled)))).drop("steps")
-    told = asked.join(folded.select("word", *names.values()), "word")
+            for block, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = _asked(texts_of(rows_of(rows.as_buffer())), shards)
+                some = [s for s in range(shards) if words[s]]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int32()),
+                                                  pa.array([_pack(words[s]) for s in some], pa.binary())], ["block", "shard", "words"])
+
+    def distinct(asked: pa.Table) -> list[str]:
+        return sorted({w for x in asked["words"] for w in rows_of(x.as_buffer())["word"].to_pylist()})
+
+    def vocabulary(asked: pa.Table) -> pa.Table:
+        words = distinct(asked)
+        return pa.table({"shard": pa.array([asked["shard"][0].as_py()] * len(words), pa.int32()),
+                         "w": pa.array(range(len(words)), pa.int32()), "word": pa.array([MARK + w for w in words], pa.string())})
+
+    names = sorted(set(methods.values()))
+
+    def answer(edges: pa.Table, asked: pa.Table) -> pa.Table:
+        words = distinct(asked)
+        cols = [edges[c].to_numpy() for c in ("w", "start", "end", "id")]
+        by = np.argsort(cols[0], kind="stable")
+        folded = fold([MARK + w for w in words], tuple(c[by] for c in cols), shared.value[1], names)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        cuts = []  # per method the number of each word's first piece
+        for x in folded:
+            cuts.append(np.searchsorted(np.concatenate(([0], np.cumsum(x))), np.concatenate(([0], np.cumsum(size)))))
+        place = {w: i for i, w in enumerate(words)}
+        out = []
+        for x in asked["words"]:
+            mine = np.array([place[w] for w in rows_of(x.as_buffer())["word"].to_pylist()])
+            told = []
+            for x, cut in zip(folded, cuts):
+                k = np.diff(cut)[mine]
+                told.append(x[np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(cut[mine], k)])
+            out.append([v for x in told for v in (len(x), squeeze(x.astype("<i8")))])
+        return pa.Table.from_arrays([asked["block"], asked["shard"], *(pa.array(c) for c in zip(*out))], reply.names)
+
+    reply = T.StructType([T.StructField("block", T.LongType()), T.StructField("shard", T.IntegerType()), *(
+        T.StructField(f"{m}_{c}", kind) for m in names for c, kind in (("n", T.LongType()), ("lengths", T.BinaryType())))])
+    # Numbers of partitions are given, since the edges are many more than the words that Spark sees.
+    asked = packed.mapInArrow(ask, "block long, shard int, words binary").repartition(shards, "shard")
+    words = asked.groupBy("shard").applyInArrow(vocabulary, "shard int, w int, word string").repartition(shards, "shard")
+    told = lattice(words, pieces).groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, reply)
     kept = [c for c in df.columns if c not in methods]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(c, T.ArrayType(T.IntegerType())) for c in methods])
 
-    def look_up(rows: pa.Table, ids: pa.Table) -> pa.Table:
-        words = ids.column("word").to_pylist()
-        texts = [None if t is None else words_of(t) for t in rows.column("__text").to_pylist()]
-        cols = {}
-        for method, col in names.items():
-            held = ids.column(col).combine_chunks()
-            raw, offs = held.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes(), (4 * held.offsets.to_numpy().astype(np.int64)).tolist()
-            of = {w: raw[a:b] for w, a, b in zip(words, offs, offs[1:])}
-            found = [None if t is None else np.frombuffer(b"".join(map(of.__getitem__, t)), "<i4") for t in texts]
-            cols[method] = pa.array(found, pa.list_(pa.int32()))
-        return pa.Table.from_arrays([rows.column(c) for c in kept] + [cols[m] for m in methods.values()], [*kept, *methods])
-
-    return keyed.groupBy("__block").cogroup(told.groupBy("__block")).applyInArrow(look_up, schema)
+    def look_up(blocks: pa.Table, told: pa.Table) -> pa.Table:
+        (rows,) = map(rows_of, (x.as_buffer() for x in blocks["rows"]))
+        words, spell = _asked(texts_of(rows), shards), _Spelled(shared.value[0], spelled)
+        of: dict[str, dict[str, bytes]] = {m: {} for m in names}
+        for r in range(told.num_rows):
+            mine = words[told["shard"][r].as_py()]
+            for m in names:
+                of[m].update(zip(mine, _ids(mine, loosen(told[f"{m}_lengths"][r].as_buffer(), told[f"{m}_n"][r].as_py(), "<i8"), spell)))
+        cols: dict[str, list] = {m: [] for m in names}
+        for t in texts_of(rows):
+            found = None if t is None else words_of(t)
+            for m in names:
+                cols[m].append(None if t is None else np.frombuffer(b"".join(map(of[m].__getitem__, found)), "<i4"))
+        ids = {m: pa.array(cols.pop(m), pa.list_(pa.int32())) for m in names}
+        return pa.Table.from_arrays([rows.column(c) for c in kept] + [ids[m] for m in methods.values()], [*kept, *methods])
+
+    return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(look_up, schema)
 
 
 def decode(df: DataFrame, pieces: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

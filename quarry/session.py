@@ -169,8 +169,11 @@ def estimate_partitions(
         plan = df._jdf.queryExecution().optimizedPlan()
         size = int(str(plan.stats().sizeInBytes()))
         leaves = plan.collectLeaves()
-        if leaves.size() > 1:
-            size = min(size, sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())))
+        of = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        if len(of) > 1:
+            size = min(size, sum(of))
+        if any(x >= (1 << 62) for x in of):  # a leaf of unknown size, which a projection may have scaled down
+            return default
     except Exception:  # no estimate (e.g. some remote plans)
         return default
     if size <= 0 or size >= (1 << 62):

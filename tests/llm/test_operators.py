@@ -11,12 +11,14 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import SF0
 from quarry.llm import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
 from quarry.llm import textkernel as K
 from quarry.llm.common import blocks_of, loosen, rows_of
 from quarry.llm.components import components
+from quarry.llm.pieces import MARK
 from quarry.llm.queries import QUERIES, byte_bpe, piece_model
 from quarry.llm.tokens import Encoder
 from quarry.sources.tables import load_table
@@ -192,6 +194,35 @@ def test_registered_pieces_cover_documents_and_turns(spark):
     assert all(got[i]["ids"] == sp.encode(t) and got[i]["viterbi_ids"] for i, t in docs.items() if t)
 
 
+def test_long_words_fold_as_short_ones_do(spark):
+    import sentencepiece as S
+
+    table = pieces.piece_table(spark, piece_model()).cache()
+    sp = S.SentencePieceProcessor(model_file=piece_model())
+    texts = ["antidisestablishmentarianism", "a  b ", " ", MARK, "x" + MARK + MARK + "y", "日本語🎉", "of the\nnew", "internationalisation ofthe"]
+    long = ["the" * 20 + "é🎉", "abcdefgh" * 200]
+    df = spark.createDataFrame([(t,) for t in texts + long], "text string")
+    both = {r["text"]: r for r in pieces.encode_all(df, table, {"ids": "bpe", "best": "viterbi"}, blocks=2).collect()}
+    assert all(both[t]["ids"] == sp.encode(t) for t in texts + long[:1] if MARK not in t)
+    assert len(both) == len(texts) + 2 and len(both[long[1]]["best"]) >= 100
+    edges = lambda w: {(a, b): -float(b - a) ** 0.5 for a in range(len(w)) for b in range(a + 1, min(len(w), a + 4) + 1)}
+    for n in range(1, 12):
+        edge, score = edges("x" * n), np.full((1, n + 1, n + 1), -np.inf)
+        for (a, b), v in edge.items():
+            score[0, a, b] = v
+        for short, one in pieces._FOLDS.values():
+            assert np.flatnonzero(short(score)[0]).tolist() == one(n, edge)
+
+
+def test_piece_lengths_travel_not_ids(spark):
+    table = pieces.piece_table(spark, piece_model())
+    texts = spark.createDataFrame([("some words of the text",), (None,), ("",)], "text string")
+    got = pieces.encode_all(texts, table, {"ids": "bpe"}, blocks=2)
+    assert [r["ids"] for r in got.where("text = '' or text is null").orderBy("text").collect()] == [None, []]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "bpe_lengths" in plan and "collect_list" not in plan
+
+
 # ---- packing
 
 def _check_packing(rows, texts, limits):
