@@ -315,7 +315,8 @@ def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_c
             for m in names:
                 cols[m].append(None if t is None else np.frombuffer(b"".join(map(of[m].__getitem__, found)), "<i4"))
         ids = {m: pa.array(cols.pop(m), pa.list_(pa.int32())) for m in names}
-        return pa.Table.from_arrays([rows.column(c) for c in kept] + [ids[m] for m in methods.values()], [*kept, *methods])
+        out = pa.Table.from_arrays([rows.column(c) for c in kept] + [ids[m] for m in methods.values()], [*kept, *methods])
+        return pa.concat_tables(out.slice(k, 100) for k in range(0, out.num_rows, 100))  # Spark reads 100 rows at a time
 
     return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(look_up, schema)
 
