@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -223,6 +224,53 @@ def test_piece_lengths_travel_not_ids(spark):
     assert "bpe_lengths" in plan and "collect_list" not in plan
 
 
+def test_words_and_ids_are_handled_whole_blocks_at_a_time():
+    """The words of a block are an Arrow array: of 350,000 words a list of strings alone takes over 20 MB."""
+    import tracemalloc
+
+    texts = ["a b", None, "", " ", "  x", "y ", "a  b", MARK, "x" + MARK + "y z", "é 日本 🎉\nx"] * 3
+    flat, count = pieces._split(pa.array(texts, pa.string()))
+    words, ends = flat.to_pylist(), np.cumsum(count).tolist()
+    assert [words[a:b] for a, b in zip([0, *ends], ends)] == [pieces.words_of(t) for t in texts]
+    empty, at = pieces._asked(pieces._split(pa.array([None, ""], pa.string()))[0].unique(), 3)
+    assert len(empty) == 0 and at.tolist() == [0] * 4
+
+    big = pa.array([" ".join(f"w{i}é{i * 7919}" for i in range(k, k + 50)) for k in range(0, 350_000, 50)])
+    tracemalloc.start()
+    words, at = pieces._asked(pieces._split(big)[0].unique(), 7)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(words) == at[-1] == 350_000 and held < 20e6
+    assert all(words[a:b].to_pylist() == sorted(words[a:b].to_pylist()) for a, b in zip(at, at[1:]))
+
+    known = pieces._Vocabulary(pa.array(["a", MARK + "a", "日本"]), np.array([5, 6, 7], np.int32), np.arange(1000, 1256, dtype=np.int32), None)
+    of = pieces._ids(pa.array(["a", "", "aé日本", "🎉"]), np.array([2, 1, 2, 1, 2, 1, 1]), known)
+    byte = lambda x: [1000 + b for b in x.encode()]
+    assert of.to_pylist() == [[6], byte(MARK), [6, *byte("é"), 7], byte(MARK) + byte("🎉")]
+
+
+def test_lattice_cuts_no_piece_off(spark):
+    table = spark.createDataFrame([(p, i, -float(i), None) for i, p in enumerate(["a", "ab", "abc", "abcd", "abcdefg", "cd", "bcdx", "g"])],
+                                  "piece string, id int, score double, byte int")
+    words = ["abcdefgh", "abcdx", "ab", "xbc", "abcdef", "a"]
+    df = spark.createDataFrame([(0, k, w) for k, w in enumerate(words)], "shard int, w int, word string")
+    got = {(r["w"], r["start"], r["end"], r["id"]) for r in pieces.lattice(df, table).collect()}
+    ids = {r["piece"]: r["id"] for r in table.collect()}
+    assert got == {(k, a, b, ids.get(w[a:b], -1)) for k, w in enumerate(words) for a in range(len(w)) for b in range(a + 1, len(w) + 1)
+                   if w[a:b] in ids or b == a + 1}
+
+
+def test_decoding_joins_bytes_and_skips_other_ids(spark):
+    table = spark.createDataFrame([(MARK + "a", 3, -1.0, None), ("b", 5, -2.0, None), *((None, 10 + b, None, b) for b in range(256))],
+                                  "piece string, id int, score double, byte int")
+    byte = [10 + b for b in (MARK + "é").encode()]
+    lists = [[3, 5, 3], [], None, byte, [3, None, 99999, -7, 4, 5], [*byte[:3], *byte[:3], 5]]
+    got = pieces.decode(spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, ids array<int>"), table).orderBy("k").collect()
+    assert [r["decoded"] for r in got] == ["ab a", "", None, "é", "ab", " b"]
+    none = pieces.encode(spark.createDataFrame([(None,), ("",)], "text string").coalesce(1), table).collect()
+    assert sorted(str(r["ids"]) for r in none) == ["None", "[]"]
+
+
 # ---- packing
 
 def _check_packing(rows, texts, limits):
