@@ -43,6 +43,7 @@ BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 1 << 20
 HEAD = 4  # characters by which the longest piece at a place is looked up
 SHORT = 32  # characters of a word that is folded together with others
+WORDS = 1 << 15  # distinct words of a block that are spelled at a time
 CELLS = 1 << 18  # places of edges folded at a time
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -348,13 +349,18 @@ def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_c
         texts = texts_of(rows)
         flat, count = _split(texts)
         coded = flat.dictionary_encode()
-        words = _asked(coded.dictionary, shards)[0]
+        words, at = _asked(coded.dictionary, shards)
         word = pc.index_in(coded.dictionary, words).take(coded.indices)
-        ends, null = np.concatenate(([0], np.cumsum(count)))[1:], texts.is_null()
-        by, ids = np.argsort(told["shard"].to_numpy()).tolist(), {}
+        del flat, coded
+        ends, null, ids = np.concatenate(([0], np.cumsum(count)))[1:], texts.is_null(), {}
+        shard = told["shard"].to_numpy()
+        parts = [p for p in np.array_split(np.argsort(shard), len(words) // WORDS + 1) if len(p)]
         for m in names:
-            lengths = [loosen(told[f"{m}_lengths"][r].as_buffer(), told[f"{m}_n"][r].as_py(), "<i8") for r in by]
-            of = _ids(words, np.concatenate([np.zeros(0, np.int64), *lengths]), shared.value).take(word)
+            each = [pa.array([], pa.list_(pa.int32()))]
+            for p in parts:
+                lengths = [loosen(told[f"{m}_lengths"][r].as_buffer(), told[f"{m}_n"][r].as_py(), "<i8") for r in p.tolist()]
+                each.append(_ids(words[at[shard[p[0]]]:at[shard[p[-1]] + 1]], np.concatenate(lengths), shared.value))
+            of = pa.concat_arrays(each).take(word)
             offs = np.concatenate(([0], of.offsets.to_numpy()[ends]))
             ids[m] = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), of.values, mask=null)
         out = pa.Table.from_arrays([rows.column(c) for c in kept] + [ids[m] for m in methods.values()], [*kept, *methods])
