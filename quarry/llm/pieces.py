@@ -337,8 +337,8 @@ def encode_all(df: DataFrame, pieces: DataFrame, methods: dict[str, str], text_c
     reply = T.StructType([T.StructField("block", T.LongType()), T.StructField("shard", T.IntegerType()), *(
         T.StructField(f"{m}_{c}", kind) for m in names for c, kind in (("n", T.LongType()), ("lengths", T.BinaryType())))])
     # Numbers of partitions are given, since the edges are many more than the words that Spark sees.
-    asked = packed.mapInArrow(ask, "block long, shard int, words binary").repartition(shards, "shard")
-    words = asked.groupBy("shard").applyInArrow(vocabulary, "shard int, w int, word string").repartition(shards, "shard")
+    asked = packed.mapInArrow(ask, "block long, shard int, words binary").repartitionById(shards, F.col("shard"))
+    words = asked.groupBy("shard").applyInArrow(vocabulary, "shard int, w int, word string").repartitionById(shards, F.col("shard"))
     told = lattice(words, pieces).groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, reply)
     kept = [c for c in df.columns if c not in methods]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(c, T.ArrayType(T.IntegerType())) for c in methods])
