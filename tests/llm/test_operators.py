@@ -271,6 +271,14 @@ def test_decoding_joins_bytes_and_skips_other_ids(spark):
     assert sorted(str(r["ids"]) for r in none) == ["None", "[]"]
 
 
+def test_each_shard_of_words_has_a_task_of_its_own(spark):
+    table = pieces.piece_table(spark, piece_model())
+    texts = spark.createDataFrame([(" ".join(f"w{i}" for i in range(900)),)], "text string")
+    plan = pieces.encode_all(texts, table, {"ids": "bpe"}, blocks=9)._jdf.queryExecution().executedPlan().toString()
+    by_shard = [line for line in plan.splitlines() if "Exchange" in line and "shard#" in line]
+    assert by_shard and all("direct_shuffle_partition_id(shard#" in line for line in by_shard)  # by hash some tasks got several
+
+
 # ---- packing
 
 def _check_packing(rows, texts, limits):
