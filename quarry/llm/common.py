@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -109,15 +108,15 @@ def bloom_of(ids: DataFrame, col: str, bits: int) -> Bloom:
         yield pa.RecordBatch.from_arrays(
             [pa.array(on, pa.int32()), pa.array([cells[i].tobytes() for i in on], pa.binary())], ["cell", "bits"])
 
-    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
         out = np.zeros(bits // 8 // 64, np.uint8)
-        for x in pdf["bits"]:
-            out |= np.frombuffer(x, np.uint8)
-        return pd.DataFrame({"cell": [key[0]], "bits": [out.tobytes()]})
+        for x in table["bits"]:
+            out |= np.frombuffer(x.as_py(), np.uint8)
+        return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([out.tobytes()], pa.binary())})
 
     ready(ids)
     parts = ids.select(F.col(col).cast("long")).mapInArrow(part, "cell int, bits binary")
-    merged = parts.groupBy("cell").applyInPandas(merge, "cell int, bits binary")
+    merged = parts.groupBy("cell").applyInArrow(merge, "cell int, bits binary")
     out = Bloom.empty(bits)
     cells = out.bits.reshape(64, -1)
     for r in merged.collect():  # 64 rows of bits / 512 bytes each

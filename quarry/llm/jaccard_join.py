@@ -30,7 +30,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,14 +99,14 @@ def profile(docs: DataFrame) -> DataFrame:
 
 def _order_table(profiles: DataFrame) -> np.ndarray:
     """The summed sketch as a rank per cell, one byte each: a size that does not depend on the data."""
-    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, table: pa.Table) -> pa.Table:
         total = np.zeros(SKETCH_CELLS // SKETCH_BLOCKS, np.int64)
-        for x in pdf["counts"]:
-            total += np.frombuffer(x, "<i8")
-        return pd.DataFrame({"cell": [key[0]], "counts": [total.tobytes()]})
+        for x in table["counts"]:
+            total += np.frombuffer(x.as_py(), "<i8")
+        return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     sketch = np.zeros((SKETCH_BLOCKS, SKETCH_CELLS // SKETCH_BLOCKS), np.int64)
-    parts = profiles.where("kind = 1").select("cell", "counts").groupBy("cell").applyInPandas(add, "cell int, counts binary")
+    parts = profiles.where("kind = 1").select("cell", "counts").groupBy("cell").applyInArrow(add, "cell int, counts binary")
     for r in parts.collect():  # SKETCH_BLOCKS rows
         sketch[r["cell"]] = np.frombuffer(r["counts"], "<i8")
     flat = sketch.ravel()
@@ -214,17 +213,17 @@ def _shared_prefixes(docs: DataFrame, reps: DataFrame, order: np.ndarray, fragme
         if held:
             yield flush()
 
-    def shared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        token, *rest = (np.concatenate([np.frombuffer(x, kind) for x in pdf[name]]) for name, kind in fields)
+    def shared(key: tuple, table: pa.Table) -> pa.Table:
+        token, *rest = (np.concatenate([np.frombuffer(x.as_py(), kind) for x in table[name]]) for name, kind in fields)
         by = np.argsort(token, kind="stable")
         t = token[by]
         same = t[1:] == t[:-1]
         many = np.append(same, False) | np.append(False, same)
         by = by[many]
-        return pd.DataFrame({"token": token[by].view(np.int64), **{x: v[by] for (x, _), v in zip(fields[1:], rest)}})
+        return pa.table({"token": token[by].view(np.int64), **{x: v[by] for (x, _), v in zip(fields[1:], rest)}})
 
     return (docs.mapInArrow(cut, "fragment int, token binary, id binary, n binary, end binary").groupBy("fragment")
-            .applyInPandas(shared, "token long, id long, n long, end long"))
+            .applyInArrow(shared, "token long, id long, n long, end long"))
 
 
 def _size_class(n):

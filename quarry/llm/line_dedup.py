@@ -22,7 +22,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -179,8 +178,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     src = _source(docs, id_col, text_col)
     shards = shards or _shards(docs)
 
-    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        e = _reduce({n: np.concatenate([np.frombuffer(x, k) for x in pdf[n]]) for n, k in _ENTRY})
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        e = _reduce({n: np.concatenate([np.frombuffer(x.as_py(), k) for x in table[n]]) for n, k in _ENTRY})
         some = e["low"] != e["high"]
         e = {k: v[some] for k, v in e.items()}
         ph = PerfectHash.build(e["h1"], e["h2"])
@@ -189,10 +188,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for name, source in (("fingerprint", "h2"), ("count", "rows"), ("owner", "low")):
             a = np.empty(len(at), e[source].dtype)
             a[at] = e[source]
-            out[name] = [a.tobytes()]
-        return pd.DataFrame({"shard": [int(key[0])], "keys": [len(at)], "levels": [ph.to_rows()], **out})
+            out[name] = pa.array([a.tobytes()], pa.binary())
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([len(at)], pa.int64()),
+                         "levels": pa.array([ph.to_rows()], pa.list_(pa.binary())), **out})
 
-    return pin(_block_entries(src, shards).groupBy("shard").applyInPandas(build, _INDEX_SCHEMA).where("keys > 0"))
+    return pin(_block_entries(src, shards).groupBy("shard").applyInArrow(build, _INDEX_SCHEMA).where("keys > 0"))
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -236,19 +236,19 @@ def _probe_routed(src: DataFrame, index: DataFrame, shards: int) -> DataFrame:
                 ids = np.repeat(K.column(rows, "id").to_numpy(), np.diff(loff))
                 yield _packed({"h1": h1[long], "h2": h2[long], "id": ids[long]}, fields, shards, ["shard"] + [f for f, _ in fields])
 
-    def answer(key: tuple, index_rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(index_rows) or not len(asked):
-            return pd.DataFrame({"id": [], "h": []}).astype("int64")
-        shard = Shard(index_rows.iloc[0])
-        out = []
-        for a, b, i in zip(asked["h1"], asked["h2"], asked["id"]):
-            h1, h2, ids = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), np.frombuffer(i, "<i8")
-            known, owner = shard.owners(h1, h2)
-            drop = known & (owner != ids)
-            out.append(pd.DataFrame({"id": ids[drop], "h": h1[drop].view(np.int64)}).drop_duplicates())
-        return pd.concat(out)
-
-    told = index.groupBy("shard").cogroup(src.mapInArrow(ask, schema).groupBy("shard")).applyInPandas(answer, "id long, h long")
+    def answer(key: tuple, index_rows: pa.Table, asked: pa.Table) -> pa.Table:
+        out = [np.zeros((2, 0), np.int64)]
+        if index_rows.num_rows and asked.num_rows:
+            shard = Shard(index_rows.slice(0, 1).to_pylist()[0])
+            for a, b, i in zip(asked["h1"], asked["h2"], asked["id"]):
+                h1, h2, ids = np.frombuffer(a.as_py(), "<u8"), np.frombuffer(b.as_py(), "<u8"), np.frombuffer(i.as_py(), "<i8")
+                known, owner = shard.owners(h1, h2)
+                drop = known & (owner != ids)
+                out.append(np.unique(np.stack((ids[drop], h1[drop].view(np.int64))), axis=1))
+        ids, h = np.concatenate(out, axis=1)
+        return pa.table({"id": ids, "h": h})
+
+    told = index.groupBy("shard").cogroup(src.mapInArrow(ask, schema).groupBy("shard")).applyInArrow(answer, "id long, h long")
     return told.groupBy("id").agg(F.collect_set("h").alias("__drops"))  # a document's own lines
 
 

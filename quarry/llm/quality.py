@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import scratch_path
+
 from . import textkernel as K
-from .common import pin, ready
+from .common import ready
 
 BITS = 15
 DIMS = 1 << BITS
@@ -111,7 +113,7 @@ def _margin(model: Model, data, offs, prefix, wh, woff) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Label, held flag, slots and values of each row's features."""
+    """Label, held flag and features of each row, a sparse vector as MLlib stores it."""
     for batch in batches:
         for rows, data, offs in K.text_chunks(batch):
             s, e, woff = K.words(data, offs)
@@ -122,20 +124,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts = [np.unique(x[o[i]:o[i + 1]] + base, return_counts=True) for x, o, base in ((w, wo, 0), (g, go, DIMS))]
                 slots.append(np.concatenate([p[0] for p in parts]).astype(np.int32))
                 values.append(np.concatenate([SHARE * p[1] / max(p[1].sum(), 1) for p in parts]))
-            yield pa.RecordBatch.from_arrays([K.column(rows, "label"), K.column(rows, "held"), pa.array(slots, pa.list_(pa.int32())),
-                                              pa.array(values, pa.list_(pa.float64()))], ["label", "held", "slots", "values"])
+            n = rows.num_rows
+            vector = pa.StructArray.from_arrays([pa.array([0] * n, pa.int8()), pa.array([2 * DIMS] * n, pa.int32()), pa.array(slots, pa.list_(pa.int32())),
+                                                 pa.array(values, pa.list_(pa.float64()))], ["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([K.column(rows, "label"), K.column(rows, "held"), vector], ["label", "held", "features"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", max_rows: int = 6000) -> Model | None:
     """Fit and calibrate on at most ``max_rows`` labelled documents; None without both classes.
 
-    The sample is written once and read in ``FIT_PARTS`` partitions, however many the documents have, so
-    an iteration is a few tasks and sums as many gradients.
+    The sample's features are written once and read in ``FIT_PARTS`` partitions, however many the documents
+    have, so an iteration is a few tasks and sums as many gradients. They are read back as MLlib's vectors:
+    one Python worker a task, none that holds MLlib's modules, and none while fitting.
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    from pyspark.ml.linalg import VectorUDT
 
     chosen = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label"))
               .where("id is not null and label in (0, 1)").distinct()
@@ -143,10 +148,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = ready(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "id")  # at most max_rows small rows
     held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0
-    sample = pin(rows.select("label", held.alias("held"), "text")).coalesce(FIT_PARTS)
-    slots = sample.mapInArrow(_features, "label double, held boolean, slots array<int>, values array<double>")
-    vec = F.udf(lambda i, v: SparseVector(2 * DIMS, i, v), VectorUDT())  # MLlib's type, on the sample only
-    data = slots.select("label", "held", vec("slots", "values").alias("features")).persist()
+    fields = [T.StructField("label", T.DoubleType()), T.StructField("held", T.BooleanType())]
+    stored = T.StructType([*fields, T.StructField("features", VectorUDT.sqlType())])
+    path = scratch_path(docs.sparkSession, "features")
+    rows.select("label", held.alias("held"), "text").mapInArrow(_features, stored).write.mode("overwrite").parquet(path)
+    vectors = T.StructType([*fields, T.StructField("features", VectorUDT())])
+    data = docs.sparkSession.read.schema(vectors).parquet(path).coalesce(FIT_PARTS).persist()
     try:
         if data.where("not held").select("label").distinct().count() < 2:
             return None

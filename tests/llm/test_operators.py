@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF0
+from conftest import ROOT, SF0
 from quarry.llm import exact_dedup, html_extract, jaccard_join, line_dedup, lm_scoring, packing, pieces, quality, sharding, substring_dedup
 from quarry.llm import textkernel as K
 from quarry.llm.common import blocks_of, loosen, rows_of
@@ -664,6 +664,38 @@ def test_quality_counts_and_cases(spark, messy, nothing):
     assert quality.fit(messy, labels) is None
 
 
+def test_quality_fits_without_python_workers(spark, monkeypatch):
+    """Fitting reads stored vectors: a stage with a second Python step would hold two workers a core."""
+    from pyspark.ml.classification import LogisticRegression
+
+    seen, plain = [], LogisticRegression.fit
+
+    def fit(self, data, *args):
+        seen.append((data._jdf.queryExecution().toString(), data.select("features").collect()))
+        return plain(self, data, *args)
+
+    monkeypatch.setattr(LogisticRegression, "fit", fit)
+    texts = {i: (f"{PROSE} Day {i}." if i % 2 else f"win cash {i} now " * 9) for i in range(60)}
+    model = quality.fit(spark.createDataFrame(list(texts.items()), "doc_id long, text string"),
+                        spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality long"))
+    assert model is not None and not any(x in seen[0][0] for x in ("EvalPython", "MapInArrow", "pythonUDF"))
+    vectors = [r["features"] for r in seen[0][1]]
+    assert 40 <= len(vectors) < 60 and all(v.size == 2 * quality.DIMS for v in vectors)
+    for v in vectors:  # words, then trigrams, each SHARE in sum
+        assert (np.diff(v.indices) > 0).all()
+        for part in (v.indices < quality.DIMS, v.indices >= quality.DIMS):
+            assert math.isclose(v.values[part].sum(), quality.SHARE)
+
+
+def test_pipeline_workers_load_no_pandas():
+    import subprocess
+    import sys
+
+    code = ("import sys; from quarry.llm import jaccard_join, line_dedup, packing, quality, substring_dedup; "
+            "print('pandas' in sys.modules or 'pyspark.ml' in sys.modules)")
+    assert subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.strip() == "False"
+
+
 def test_quality_model_on_held_out_labels(spark):
     sf = SF0.replace("0.001", "0.1")
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
