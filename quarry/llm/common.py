@@ -36,9 +36,9 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Write once under the shared checkpoint folder and read back: computed once, lineage cut."""
-    return materialize(df, how="table")
+def pin(df: DataFrame, options: dict | None = None) -> DataFrame:
+    """Write once (with the writer's ``options``) under the shared checkpoint folder and read back: computed once, lineage cut."""
+    return materialize(df, how="table", options=options)
 
 
 def ready(df: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@
 shuffled. A segment is one row: sorted term hashes, posting lists as variable-length integers in blocks of
 ``BLOCK`` postings, and per block its first and last document and its competitive (tf, length) pairs, the
 postings that no other one of the block beats in both. Those pairs give exact block maxima once the
-corpus statistics N and L are known, so the index does not depend on them and segments can be added.
+corpus statistics N and L are known, so the index does not depend on them and segments can be added. The arrays of
+a segment lie compressed in its row, and the index is written in small row groups: Spark decodes a whole one at a time.
 
 ``search`` sums N, L and the queries' document frequencies over the index and scores each query per segment:
 list bounds split the lists into essential ones, whose documents are candidates, and the rest; on the rest,
@@ -39,7 +40,7 @@ from . import textkernel as K
 from .common import pin, ready
 
 SEGMENT_DOCS = 4096
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 BLOCK = 64
 QUERY_ROWS = 2000
 # Constants of the ranking function.
@@ -51,6 +52,8 @@ TERM[0x30:0x3A] = TERM[0x41:0x5B] = TERM[0x61:0x7B] = TERM[0x80:] = True
 _COLUMNS = {"ids": "<i8", "named": "u1", "lens": "<i8", "terms": "<u8", "lists": "<i8", "dfs": "<i8", "first": "<i4", "last": "<i4",
             "bytes_at": "<i8", "pairs_at": "<i8", "pair_tf": "<i8", "pair_n": "<i8", "postings": "u1"}
 INDEX_SCHEMA = "with_terms long, length long, " + ", ".join(f"{c} binary" for c in _COLUMNS)
+# Row groups of about so many bytes, looked at after every row, as Parquet's writer would first look after 100 rows.
+_WRITTEN = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 
 
 def hashed_terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,14 +130,31 @@ def build_segment(ids: list, hashes: np.ndarray, lens: np.ndarray) -> dict:
     return {"with_terms": int((lens > 0).sum()), "length": int(lens.sum()), **row}
 
 
+def _packed(raw: bytes) -> bytes:
+    """Compressed, after its length."""
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def _unpacked(packed) -> pa.Buffer:
+    packed = memoryview(packed)
+    return pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"))
+
+
+def _unpacked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The index rows, one at a time, with their arrays as ``build_segment`` gives them."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield {n: _unpacked(c[i].as_buffer()) if n in _COLUMNS else c[i].as_py() for n, c in zip(b.schema.names, b.columns)}
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The segments of all documents, one row each; write it (``pin``) before searching it more than once."""
+    """The segments of all documents, one row each, arrays compressed; write it (``pin_index``) before searching it more than once."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     names = T._parse_datatype_string(INDEX_SCHEMA).names
 
     def out(ids, hashes, lens):
         row = build_segment(ids, np.concatenate(hashes), np.concatenate(lens))
-        return pa.RecordBatch.from_pylist([{c: row[c] for c in names}])
+        return pa.RecordBatch.from_pylist([{c: _packed(row[c]) if c in _COLUMNS else row[c] for c in names}])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, lens, size = [], [], [], 0
@@ -154,6 +174,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return ready(src).mapInArrow(run, INDEX_SCHEMA)
 
 
+def pin_index(index: DataFrame) -> DataFrame:
+    return pin(index, _WRITTEN)
+
+
 class Segment:
     """Arrays of one index row with the bounds of the wanted terms for given corpus statistics."""
 
@@ -294,7 +318,7 @@ def _frequencies(index: DataFrame, wanted: np.ndarray) -> np.ndarray:
         df = np.zeros(len(wanted), np.int64)
         for b in batches:
             for terms, counts in zip(b.column(0), b.column(1)):
-                terms, counts = np.frombuffer(terms.as_buffer(), "<u8"), np.frombuffer(counts.as_buffer(), "<i8")
+                terms, counts = np.frombuffer(_unpacked(terms.as_buffer()), "<u8"), np.frombuffer(_unpacked(counts.as_buffer()), "<i8")
                 at = np.searchsorted(terms, wanted)
                 on = at < len(terms)
                 on[on] = terms[at[on]] == wanted[on]
@@ -323,8 +347,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 50, item_col: str = "i
         places = [np.searchsorted(wanted, t) for t in terms]
 
         def run(batches: Iterator[pa.RecordBatch], places=places, wanted=wanted, weights=weights) -> Iterator[pa.RecordBatch]:
-            rows = (row for b in batches for i in range(b.num_rows) for row in b.slice(i, 1).to_pylist())
-            heaps, _, _ = search_rows(rows, places, wanted, weights, n_docs, total, k)
+            heaps, _, _ = search_rows(_unpacked_rows(batches), places, wanted, weights, n_docs, total, k)
             for i, h in enumerate(heaps):
                 if len(h.score):
                     yield pa.RecordBatch.from_arrays([pa.array([i] * len(h.score), pa.int32()), pa.array(h.ids, mask=h.unnamed),
@@ -343,4 +366,4 @@ def search(index: DataFrame, queries: DataFrame, k: int = 50, item_col: str = "i
 
 def search_documents(docs: DataFrame, queries: DataFrame, k: int = 50) -> DataFrame:
     """Index all documents (pinned once) and rank them for each query."""
-    return search(pin(build_index(docs)), queries, k)
+    return search(pin_index(build_index(docs)), queries, k)

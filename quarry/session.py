@@ -80,10 +80,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str = "checkpoint", options: dict | None = None) -> DataFrame:
     """Pin a frame that is read more than once and must not change between reads.
 
-    ``table`` writes it once as Parquet under the shared checkpoint folder and
+    ``table`` writes it once as Parquet (with ``options``) under the shared checkpoint folder and
     reads it back: lineage is cut, a lost executor cannot make a second read
     see different rows, and the input is computed once. ``checkpoint`` uses
     ``Dataset.checkpoint`` (same guarantees; computes the input twice unless
@@ -93,7 +93,7 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     if how == "table":
         spark = df.sparkSession
         path = scratch_path(spark, "pinned")
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**(options or {})).parquet(path)
         return spark.read.parquet(path)
     if how == "checkpoint":
         checkpoint_root(df.sparkSession)
