@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from quarry.functions.json import parse_json
 from quarry.functions.text import LINE_BREAK, line_break_count, line_count, plain_path, report_line
 from quarry.session import list_by_cores, materialize
+from quarry.sources.files import FileGroups
 
 # The text reader already splits on \n, \r and \r\n; these are the other boundaries.
 _EXTRA_BREAKS = r"[\x{0B}\x{0C}\x{1C}\x{1D}\x{1E}\x{85}\x{2028}\x{2029}]"
@@ -25,19 +26,35 @@ def with_line_count(df: DataFrame, text_col: str = "text", out: str = "n_lines")
     return df.withColumn(out, line_count(F.col(text_col)))
 
 
-def read_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """One row per file: path, modificationTime, length, content (binary)."""
+def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """One row per file: path, modificationTime, length, content (binary). Paths of a list are taken as they are, not as patterns."""
     r = list_by_cores(spark).read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path)
+    return as_they_are(r, path).load(path)
 
 
-def count_file_lines(files: DataFrame, exclude: str | None = None) -> tuple[DataFrame, DataFrame]:
+def as_they_are(reader, path: str | list[str]):
+    return reader.option("__globPaths__", "false") if isinstance(path, list) else reader
+
+
+def read_file_groups(spark: SparkSession, path: str, glob: str | None = None) -> FileGroups:
+    """The files of ``read_files``, group after group: their listings need not fit the driver together."""
+    return FileGroups(spark, path, lambda paths: read_files(spark, paths, glob))
+
+
+def count_file_lines(files: DataFrame | FileGroups, exclude: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(path, n_lines) for whole-file rows; files that are not UTF-8 are rejected.
 
-    ``exclude`` is a regex on the path for files never to count (own output).
+    ``exclude`` is a regex on the path for files never to count (own output). Groups of ``read_file_groups`` are
+    counted one after the other, into a table, unless the files are few.
     """
+    if isinstance(files, FileGroups):
+        if not files.few:
+            checked = files.table(lambda frame, _: _checked(frame, exclude))
+            good = checked.where("_ok").select("path", "n_lines")
+            return good, checked.where("not _ok").select("path", F.lit("invalid utf-8").alias("reason"))
+        files = files.only()
     if exclude:
         files = files.where(~F.col("path").rlike(exclude))
     text = F.col("content").cast("string")
@@ -48,6 +65,15 @@ def count_file_lines(files: DataFrame, exclude: str | None = None) -> tuple[Data
     return good, rejected
 
 
+def _checked(files: DataFrame, exclude: str | None = None) -> DataFrame:
+    """Counts and rejects of ``count_file_lines`` by one scan: path, _ok, n_lines (null if rejected)."""
+    if exclude:
+        files = files.where(~F.col("path").rlike(exclude))
+    text = F.col("content").cast("string")
+    valid = F.is_valid_utf8(text)
+    return files.select("path", valid.alias("_ok"), F.when(valid, line_count(text)).alias("n_lines"))
+
+
 def text_rows(lines: DataFrame) -> DataFrame:
     """Rows of the text source (``lineSep`` = line feed, batch or stream) with what ``file_totals`` needs of their files."""
     return lines.select("value", plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("_size"),

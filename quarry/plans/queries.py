@@ -175,7 +175,7 @@ def _doc_id_from_path(col="path"):
 
 def q_line_counts_files(spark, sf):
     root = write_documents_as_files(spark, sf)
-    counts = linecount.count_file_lines(linecount.read_files(spark, root, "*.txt"))[0]
+    counts = linecount.count_file_lines(linecount.read_file_groups(spark, root, "*.txt"))[0]
     return counts.select(_doc_id_from_path(), "n_lines")
 
 
