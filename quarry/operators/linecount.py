@@ -119,12 +119,17 @@ def count_lines(
     their line feeds are one byte longer than the file; if that row ends in another boundary, no
     further line follows. Files that are not UTF-8 are rejected. Zero-length files are not listed by
     Spark's file sources; pass ``manifest`` (a ``path`` column) to report them with 0. Manifest entries
-    that do not exist also count 0, and rejected files stay rejected.
+    that do not exist also count 0, and rejected files stay rejected. Many files are scanned group after group of
+    folders (``FileGroups``), into a table of one row per file.
     """
-    r = list_by_cores(spark).read.option("recursiveFileLookup", "true").option("lineSep", "\n")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    files = file_totals(text_rows(r.text(path)))
+    def read(paths: str | list[str]) -> DataFrame:
+        r = list_by_cores(spark).read.option("recursiveFileLookup", "true").option("lineSep", "\n")
+        if glob:
+            r = r.option("pathGlobFilter", glob)
+        return as_they_are(r, paths).text(paths)
+
+    groups = FileGroups(spark, path, read)
+    files = file_totals(text_rows(groups.only())) if groups.few else groups.table(lambda lines, _: file_totals(text_rows(lines)))
     counts, rejected = totals_split(files)
     if manifest is not None:
         known = manifest.select("path", plain_path(F.col("path"), decode=False).alias("_p"))
