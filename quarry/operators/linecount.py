@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.functions.json import parse_json
 from quarry.functions.text import LINE_BREAK, line_break_count, line_count, plain_path, report_line
-from quarry.session import list_by_cores, materialize
+from quarry.session import estimate_partitions, list_by_cores, materialize, scratch_path
 from quarry.sources.files import FileGroups
 
 # The text reader already splits on \n, \r and \r\n; these are the other boundaries.
@@ -193,16 +193,56 @@ def _in_bitmap(name: Column, bitmap: bytes, bits: int) -> Column:
     first, second = _hashes(name, bits)
     return held(first) & held(second)
 
+
+
+def _listed(files: DataFrame) -> DataFrame:
+    return files.select(plain_path(F.col("path"), decode=False).alias("path"), _file_name(files).alias("_file"))
+
+
+def _limited(files: DataFrame, matched: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The scan of ``files`` limited to the names of ``matched``, and, if it lets other files through, the paths asked for."""
+    file = _file_name(files)
+    some = files.withColumn("path", plain_path(F.col("path"), decode=False))
+    names = matched.where("_file is not null").select("_file").distinct()
+    few = [r["_file"] for r in names.limit(FILES_PER_SCAN + 1).collect()]
+    if len(few) <= FILES_PER_SCAN:
+        return some.where(file.isin(few) if few else F.lit(False)), None
+    return some.where(_in_bitmap(file, *_bitmap(names, "_file"))), matched.where("_file is not null").select("path")
+
+
+def _count_matched_groups(wanted: DataFrame, files: FileGroups) -> tuple[DataFrame, DataFrame]:
+    """``(missing, checked)``: wanted paths without a file, and ``_checked`` rows of those with one."""
+    spark = files.spark
+    listing = files.table(lambda frame, i: _listed(frame).withColumn("_group", F.lit(i)))
+    matched = wanted.join(listing, "path", "left")
+    table = scratch_path(spark, "matched")  # a folder a group, so that each group reads its own names
+    spread = matched.repartition(estimate_partitions(matched), "_group", F.pmod(F.xxhash64("path"), F.lit(16)))
+    spread.write.mode("overwrite").partitionBy("_group").parquet(table)
+    matched = spark.read.schema("path string, _file string, _group int").parquet(table)
+    held = {r["_group"] for r in matched.where("_group is not null").select("_group").distinct().collect()}  # numbers of groups
+
+    def part(frame: DataFrame, i: int) -> DataFrame | None:
+        if i not in held:
+            return None
+        some, asked = _limited(frame, matched.where(F.col("_group") == i))
+        checked = _checked(some)
+        return checked if asked is None else checked.join(asked, "path", "left_semi")
+
+    checked = files.table(part) if held else spark.createDataFrame([], "path string, _ok boolean, n_lines bigint")
+    return matched.where("_group is null").select("path"), checked
+
+
 # Fixed value: the file-event message schema.
 EVENT_SCHEMA = StructType([StructField("bucket", StringType()), StructField("file", StringType())])
 
 
 def line_counts_from_events(
-    events: DataFrame, files: DataFrame, value_col: str = "value", root: str = ""
+    events: DataFrame, files: DataFrame | FileGroups, value_col: str = "value", root: str = ""
 ) -> tuple[DataFrame, DataFrame]:
     """File-event messages ``{"bucket", "file"}`` -> per-file line counts.
 
-    ``files`` is a frame of ``read_files`` over the buckets, and ``root`` what stands before a
+    ``files`` is a frame of ``read_files`` over the buckets, or their ``read_file_groups``, whose listings are matched in
+    one join and whose files are then scanned group after group; ``root`` is what stands before a
     bucket's name in its paths (``gs://``, ``hdfs:///data/``). Events are matched with the listing of the files
     (their paths alone), and the scan of contents is then limited to the matched files by
     ``_metadata.file_path``: other files are not opened, and no content goes through a join or an exchange.
@@ -216,20 +256,18 @@ def line_counts_from_events(
         plain_path(F.concat(F.lit(root), F.regexp_replace("bucket", "/+$", ""), F.lit("/"), F.regexp_replace("file", "^/+", "")),
                    decode=False).alias("path")
     ).distinct()
-    file = _file_name(files)
-    listing = files.select(plain_path(F.col("path"), decode=False).alias("path"), file.alias("_file"))
-    matched = materialize(wanted.join(listing, "path", "left"), "table")
-    names = matched.where("_file is not null").select("_file").distinct()
-    few = [r["_file"] for r in names.limit(FILES_PER_SCAN + 1).collect()]
-    if len(few) <= FILES_PER_SCAN:
-        some = files.where(file.isin(few) if few else F.lit(False))
+    if isinstance(files, FileGroups) and files.few:
+        files = files.only()
+    if isinstance(files, FileGroups):
+        missing, checked = _count_matched_groups(wanted, files)
+        counted, unreadable = checked.where("_ok").select("path", "n_lines"), checked.where("not _ok").select("path", F.lit("invalid utf-8").alias("reason"))
     else:
-        some = files.where(_in_bitmap(file, *_bitmap(names, "_file")))
-    counted, unreadable = count_file_lines(some.withColumn("path", plain_path(F.col("path"), decode=False)))
-    if len(few) > FILES_PER_SCAN:  # the bitmap lets a few other files through
-        asked = matched.where("_file is not null").select("path")
-        counted, unreadable = (x.join(asked, "path", "left_semi") for x in (counted, unreadable))
-    missing = matched.where("_file is null").select("path")
+        matched = materialize(wanted.join(_listed(files), "path", "left"), "table")
+        some, asked = _limited(files, matched)
+        counted, unreadable = count_file_lines(some)
+        if asked is not None:
+            counted, unreadable = (x.join(asked, "path", "left_semi") for x in (counted, unreadable))
+        missing = matched.where("_file is null").select("path")
     rejected = (
         bad.select(F.col("raw_value").alias("message"), F.lit(None).cast("string").alias("path"), F.lit("malformed").alias("reason"))
         .unionByName(missing.select(F.lit(None).cast("string").alias("message"), "path", F.lit("missing").alias("reason")))

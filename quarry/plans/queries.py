@@ -11,7 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import plain_path
 from quarry.operators import buckets, clean, linecount, ranks, scd2, sliding, ticks
 from quarry.session import scratch_path
 from quarry.plans.scd2_sql import scd2_merge_sql
@@ -164,11 +163,16 @@ def write_documents_as_files(spark, sf) -> str:
     out = scratch_path(spark, "documents-files")
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
     folders = 1 + docs.count() // _FILES_PER_FOLDER
-    folder = key_folder("folder", F.pmod(F.xxhash64("doc_id"), F.lit(folders)))
-    write_named_files(docs, out, F.concat_ws("/", folder, F.concat(key_folder("doc_id", F.col("doc_id")), F.lit(".txt"))), F.col("text"))
+    write_named_files(docs, out, _document_file(folders), F.col("text"))
     return out
 
 
+def _document_file(folders: int):
+    """Path of a document's file below the folder of all."""
+    folder = key_folder("folder", F.pmod(F.xxhash64("doc_id"), F.lit(folders)))
+    return F.concat_ws("/", folder, F.concat(key_folder("doc_id", F.col("doc_id")), F.lit(".txt")))
+
+
 def _doc_id_from_path(col="path"):
     return F.regexp_extract(F.col(col), r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
 
@@ -357,9 +361,9 @@ def _file_events(spark, sf):
     """File-arrival messages for the document files, plus broken and dangling ones."""
     root = write_documents_as_files(spark, sf)
     bucket = re.sub("^file:/*(?=/)", "", root)
-    files = linecount.read_files(spark, root, glob="*.txt").select(plain_path(F.col("path"), decode=False).alias("path"))
-    rel = F.substring("path", len(bucket) + 2, 1 << 30)
-    ok = files.select(F.to_json(F.struct(F.lit(bucket).alias("bucket"), rel.alias("file"))).alias("value"))
+    ids = load_table(spark, sf, "documents", ["doc_id"])
+    rel = ids.select(_document_file(1 + ids.count() // _FILES_PER_FOLDER).alias("file")).distinct()  # a file of each name was written
+    ok = rel.select(F.to_json(F.struct(F.lit(bucket).alias("bucket"), "file")).alias("value"))
     docs = load_table(spark, sf, "documents", ["lang", "source"])
     broken = docs.select("lang").distinct().select(F.concat(F.lit('{"bucket": "x", "file": '), F.col("lang")).alias("value"))
     dangling = docs.select("source").distinct().select(
@@ -370,7 +374,7 @@ def _file_events(spark, sf):
 
 def q_line_counts_from_events(spark, sf):
     root, events = _file_events(spark, sf)
-    counts, _ = linecount.line_counts_from_events(events, linecount.read_files(spark, root, glob="*.txt"))
+    counts, _ = linecount.line_counts_from_events(events, linecount.read_file_groups(spark, root, glob="*.txt"))
     return counts.select(_doc_id_from_path(), "n_lines")
 
 
