@@ -380,7 +380,7 @@ def q_line_counts_from_events(spark, sf):
 
 def q_line_count_event_rejects(spark, sf):
     root, events = _file_events(spark, sf)
-    _, rejected = linecount.line_counts_from_events(events, linecount.read_files(spark, root, glob="*.txt"))
+    _, rejected = linecount.line_counts_from_events(events, linecount.read_file_groups(spark, root, glob="*.txt"))
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
