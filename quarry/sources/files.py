@@ -81,7 +81,7 @@ def read_text(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
 
 
 FILES_PER_FRAME = 5_000  # files that one frame lists and scans as it is
-FILES_PER_GROUP = 50_000
+FILES_PER_GROUP = 25_000
 # For scans of very many small files: tasks of several hundred files instead of a few, listing in tasks, and no listing
 # kept by the session after its frame.
 _MANY_FILES = {"spark.sql.files.openCostInBytes": "16k", "spark.sql.sources.parallelPartitionDiscovery.threshold": "1",
